@@ -102,7 +102,6 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk:
     Null texts count as empty; rows of a stratum without admissible cutoffs (also a null one) fall back on the base rule;
     labels that repeat or contradict each other count one by one; null labels and labels without a document are ignored.
     """
-    own = docs.columns
     found = cut(measures(docs).drop("text"), "measures")
     known = labels.select(F.col("doc_id").alias("_id"), "quality").where("quality is not null")
     labelled = found.where(~base_failed()).join(known, found.doc_id == F.col("_id"))
@@ -114,4 +113,12 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk:
     bad = base_failed()
     for r in RULES:
         bad = bad | F.coalesce(percent(r) > F.col(f"_{r}"), F.lit(False))
-    return out.select(*[c for c in found.columns], base_failed().alias("base_failed"), (~bad).alias("kept")).drop(*[c for c in own if c not in ("doc_id", "text")])
+    return out.select(*[c for c in found.columns], base_failed().alias("base_failed"), (~bad).alias("kept")).drop(strata)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """The rows of docs that are kept, with their columns. Equal ids with different texts are judged one by one."""
+    key = F.xxhash64("text")
+    judged = apply_rules(docs.select("doc_id", "text", strata).withColumn("_h", key), labels, strata, risk, delta)
+    bad = judged.where("not kept").select(F.col("doc_id").alias("_i"), F.col("_h").alias("_k")).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_i")) & (key == F.col("_k")), "left_anti")

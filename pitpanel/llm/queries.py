@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import read_table
+from pitpanel.llm.shared import read_table, tokenizer_path
+
+
+def op1_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.covertree import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +36,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.shared import new_path
+    from pitpanel.llm.warc import read_pages, write_warc
+
+    folder = new_path(spark, "warc")
+    write_warc(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return read_pages(spark, folder)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pitpanel.llm.quality import apply_rules
 
@@ -38,6 +53,28 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.secrets import RULES, scan_history
+
+    kinds = list(RULES)
+    r = scan_history(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    name = lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, kinds)), s["kind"] + 1), s["start"], s["end"])
+    joined = lambda c: F.array_join(F.transform(c, name), ",")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return r.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"),
+    )
+
+
+def op7_binary_ids(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    from pitpanel.llm.binary_ids import read_ids, write_ids
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_ids(write_ids(docs, tokenizer or tokenizer_path("byte_bpe_50k.json")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pitpanel.llm.mixing import plan
 
@@ -45,6 +82,23 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_formatting, op3_simhash, op5_quality_rules, op8_mixing)}
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.lines import dedup_lines
+
+    r = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return r.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"), "text")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    from pitpanel.llm.packing import pack
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    p = pack(docs, tokenizer or tokenizer_path("word_bpe_49k.json"))
+    return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_covertree, op2_chat_formatting, op3_simhash, op4_warc, op5_quality_rules, op6_secret_scans, op7_binary_ids, op8_mixing, op9_line_dedup, op10_packing,
+)}
 
 ORACLES: dict[str, str] = {}

@@ -57,3 +57,9 @@ def join_small(left: DataFrame, right: DataFrame, on, how: str, rows: int = 20_0
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
