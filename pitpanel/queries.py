@@ -2,5 +2,354 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pitpanel.config import Config
+from pitpanel.functions import text as T
+from pitpanel.functions.scalar import significant
+from pitpanel.operators.dedupe import article_key, has_history, keep_first, keep_last, todo, upsert
+from pitpanel.oracles import CODES, LEXICON, NAMES, ORACLES, SECTORS
+from pitpanel.plans import align, flow, fundamental, inputs, macro, sentiment, technical
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]
+c, CFG = F.col, Config()
+UNIVERSE = CFG.universe.__class__(min_median_turnover=40_000.0, tiers=((0.0, 1500.0, 0.35), (1500.0, 5000.0, 0.25), (5000.0, 1e12, 0.20)))
 QUERIES: dict = {}
-ORACLES: dict = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def r6(*names):
+    return [F.round(n, 6).alias(n) for n in names]
+
+
+def cleaned(spark, sf_dir) -> DataFrame:
+    return technical.back_adjust(technical.clean(inputs.bars(spark, sf_dir)))
+
+
+def quarterly(spark, sf_dir) -> DataFrame:
+    return fundamental.fundamental_features(fundamental.merge_statements(*inputs.statements(spark, sf_dir)))
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = technical.range_vol(technical.returns(cleaned(spark, sf_dir)))
+    d = align.join_fundamentals(d, quarterly(spark, sf_dir).where("freq = 'Q'"))
+    return d.select("ticker", "date", "close", *r6("ret_5d", "price_sma20_ratio", "realized_vol_20d", "pe_ttm"))
+
+
+@query
+def daily_bars(spark, sf_dir):
+    return inputs.bars(spark, sf_dir).select("ticker", "date", *r6("open", "high", "low", "close"), "volume", "n")
+
+
+@query
+def clean_dedupe_keep_last(spark, sf_dir):
+    l = inputs.table(spark, sf_dir, "lineitem")
+    d = keep_last(l, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"])
+    return d.where("l_quantity > 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", F.round(c("l_quantity") * c("l_extendedprice"), 2).alias("turnover"))
+
+
+def with_gaps(spark, sf_dir) -> DataFrame:
+    """Bars with an adjusted close that is missing on every third day and halves before the year 2000."""
+    adj = F.when(F.day("date") % 3 != 0, c("close") * F.when(F.year("date") < 2000, 0.5).otherwise(1.0))
+    return inputs.bars(spark, sf_dir).withColumn("adj_close", adj)
+
+
+@query
+def back_adjust(spark, sf_dir):
+    d = technical.back_adjust(technical.clean(with_gaps(spark, sf_dir)))
+    return d.select("ticker", "date", *r6("open", "high", "low", "close", "raw_close"), F.round("turnover_idr", 2).alias("turnover_idr"))
+
+
+@query
+def universe_flags(spark, sf_dir):
+    return technical.universe_flags(cleaned(spark, sf_dir), UNIVERSE).select("ticker", "date", "is_liquid", "ara_flag", "arb_flag")
+
+
+@query
+def returns_sma(spark, sf_dir):
+    d = technical.returns(cleaned(spark, sf_dir))
+    return d.select("ticker", "date", *r6("ret_5d", "ret_20d", "ret_60d", "ret_250d", "price_sma20_ratio", "price_sma60_ratio", "gap_open"))
+
+
+@query
+def macd_hist(spark, sf_dir):
+    return technical.recursive(cleaned(spark, sf_dir)).select("ticker", "date", *r6("macd_hist", "macd_hist_pct"))
+
+
+@query
+def rsi_14(spark, sf_dir):
+    return technical.recursive(cleaned(spark, sf_dir)).select("ticker", "date", *r6("rsi_14"))
+
+
+@query
+def atr_14(spark, sf_dir):
+    return technical.recursive(cleaned(spark, sf_dir)).select("ticker", "date", *r6("atr_ratio_14"))
+
+
+@query
+def mfi_obv_slope(spark, sf_dir):
+    return technical.volume_features(cleaned(spark, sf_dir)).select("ticker", "date", *r6("volume_ratio", "obv_slope_20d", "mfi_14"))
+
+
+@query
+def range_vol_bollinger(spark, sf_dir):
+    return technical.range_vol(cleaned(spark, sf_dir)).select("ticker", "date", *r6("dist_52w_high", "close_pos_20d", "realized_vol_20d", "vol_ratio_5_60", "bollinger_pctb"))
+
+
+@query
+def window_dressing(spark, sf_dir):
+    return technical.calendar_features(cleaned(spark, sf_dir)).select("ticker", "date", "day_of_week", "window_dressing_flag")
+
+
+@query
+def cross_section_z(spark, sf_dir):
+    d = technical.range_vol(technical.volume_features(technical.returns(cleaned(spark, sf_dir))))
+    return technical.cross_section(d).select("ticker", "date", *r6("ret_20d_cs_z", "ret_60d_cs_z", "volume_ratio_cs_z", "realized_vol_20d_cs_z"))
+
+
+@query
+def flow_zscore(spark, sf_dir):
+    d = flow.flow_features(inputs.flow_rows(spark, sf_dir))
+    return d.select("date", "ticker", "foreign_buy", "foreign_sell", "foreign_net", *r6("foreign_net_zscore", "foreign_net_5d_sum"))
+
+
+@query
+def funda_canonical(spark, sf_dir):
+    d = fundamental.canonical(fundamental.merge_statements(*inputs.statements(spark, sf_dir)))
+    return d.select("ticker", "freq", "report_period", "release_date", "release_date_estimated", *(F.round(x, 2).alias(x) for x in ("revenue", "net_income", "total_equity", "total_assets", "total_liabilities")))
+
+
+@query
+def funda_ttm_growth(spark, sf_dir):
+    d = quarterly(spark, sf_dir)
+    return d.select("ticker", "freq", "report_period", *(F.round(x, 2).alias(x) for x in ("revenue_ttm", "net_income_ttm", "eps_ttm")), *r6("roa", "roe", "revenue_yoy", "net_income_yoy", "eps_yoy", "revenue_qoq", "net_income_qoq", "eps_qoq"))
+
+
+@query
+def funda_ratios(spark, sf_dir):
+    return quarterly(spark, sf_dir).select("ticker", "report_period", *r6("gross_margin", "net_margin", "equity_ratio", "bvps", "debt_to_equity"))
+
+
+@query
+def asof_funda_valuation(spark, sf_dir):
+    d = align.join_fundamentals(cleaned(spark, sf_dir), quarterly(spark, sf_dir))
+    return d.select("ticker", "date", "funda_report_period", "funda_release_date", *r6("eps_ttm", "bvps", "pe_ttm", "pbv"))
+
+
+LAGS = {"1-URGENT": 0, "2-HIGH": 7, "3-MEDIUM": 14, "4-NOT SPECIFIED": 30, "5-LOW": 42}
+
+
+def monthly_grid(spark, sf_dir) -> DataFrame:
+    return macro.daily_grid(macro.observations(inputs.macro_rows(spark, sf_dir), LAGS))
+
+
+@query
+def macro_release_features(spark, sf_dir):
+    return monthly_grid(spark, sf_dir).select("series", "date", *r6("value", "surprise", "chg_pct"))
+
+
+@query
+def macro_pct_z_stale(spark, sf_dir):
+    d = macro.series_features(monthly_grid(spark, sf_dir), (), {"1-URGENT": 20, "5-LOW": 40})
+    return d.select("series", "date", *r6("pct_5d", "pct_20d", "z252"), "stale")
+
+
+@query
+def macro_yoy_nearest(spark, sf_dir):
+    return macro.year_over_year(inputs.macro_rows(spark, sf_dir)).select("series", "date", *r6("value"))
+
+
+SECTOR_SERIES = (("AFRICA", ("1-URGENT", "2-HIGH")), ("AMERICA", ("2-HIGH", "3-MEDIUM", "5-LOW")), ("ASIA", ("4-NOT SPECIFIED",)))
+
+
+@query
+def sector_factor(spark, sf_dir):
+    return macro.sector_factor(monthly_grid(spark, sf_dir), SECTOR_SERIES).select("date", "sector", *r6("sector_cmdty_ret"))
+
+
+@query
+def macro_wide(spark, sf_dir):
+    names = list(LAGS)
+    d = macro.wide(macro.series_features(monthly_grid(spark, sf_dir), ("2-HIGH",), {"5-LOW": 40}), names, ("2-HIGH",), {"5-LOW": 40})
+    return d.select("date", *(F.round(f"`{x}`", 6).alias(y) for x, y in (("1-URGENT", "urgent"), ("2-HIGH_pct_5d", "high_pct_5d"), ("3-MEDIUM_surprise", "medium_surprise"), ("4-NOT SPECIFIED_chg_pct", "plain_chg_pct"))), c("`5-LOW_stale`").alias("low_stale"))
+
+
+def whole_panel(spark, sf_dir) -> DataFrame:
+    spine = technical.technical_panel(inputs.bars(spark, sf_dir), UNIVERSE)
+    grid = monthly_grid(spark, sf_dir)
+    m = grid.groupBy("date").agg(F.max(F.when(c("series") == "1-URGENT", c("value"))).alias("bi_rate"), F.max(F.when(c("series") == "2-HIGH", c("value"))).alias("vix"))
+    return align.panel(spine, inputs.metadata(spark, sf_dir), quarterly(spark, sf_dir), m, macro.sector_factor(grid, SECTOR_SERIES), flow.flow_features(inputs.flow_rows(spark, sf_dir)))
+
+
+@query
+def panel_align(spark, sf_dir):
+    d = whole_panel(spark, sf_dir)
+    return d.select("ticker", "date", "sector", "funda_report_period", "is_liquid", "window_dressing_flag", *r6("close", "ret_20d", "rsi_14", "macd_hist", "pe_ttm", "bi_rate", "vix", "sector_cmdty_ret", "foreign_net", "foreign_net_zscore"))
+
+
+@query
+def coverage_by_year(spark, sf_dir):
+    return align.coverage(whole_panel(spark, sf_dir))
+
+
+@query
+def point_in_time_leaks(spark, sf_dir):
+    """Invariants of the panel: rows, duplicate keys, reports used before their release."""
+    d = whole_panel(spark, sf_dir)
+    return d.agg(F.count("*").alias("n_rows"), (F.count("*") - F.count_distinct("ticker", "date")).alias("n_duplicates"), F.count_if(c("funda_release_date") > c("date")).alias("n_leaks"))
+
+
+@query
+def text_clean_html(spark, sf_dir):
+    d = inputs.table(spark, sf_dir, "pages").select("page_id", T.clean_html(c("html")).alias("t"))
+    return d.select("page_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("md5"))
+
+
+@query
+def article_dedupe(spark, sf_dir):
+    d = inputs.articles(spark, sf_dir)
+    d = d.withColumn("link", F.when(c("doc_id") % 5 == 0, F.lit(" ")).when(c("doc_id") % 3 == 0, F.concat(F.lit("http://x/"), c("doc_id") % 100))).withColumn("title", F.substring("summary", 1, 40))
+    d = d.where(F.length(F.trim("title")) > 0).withColumn("key", article_key(c("link"), c("source"), c("title")))
+    return keep_first(d, ["key"], ["published", "doc_id"]).select("key", "doc_id", "published")
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    return sentiment.score_articles(inputs.articles(spark, sf_dir), LEXICON)
+
+
+@query
+def lexicon_score(spark, sf_dir):
+    return scored(spark, sf_dir).select("doc_id", *r6("score"))
+
+
+def companies(spark, sf_dir) -> DataFrame:
+    """Nations as companies, each named by a common pair of words, coded by a word of the texts."""
+    n = inputs.metadata(spark, sf_dir)
+    names = F.array(*map(F.lit, NAMES))
+    codes = F.array(*map(F.lit, CODES))
+    return n.select(
+        F.concat(F.element_at(codes, c("ticker") + 1), F.lit(".JK")).alias("ticker"), F.element_at(names, c("ticker") + 1).alias("name"), "sector"
+    )
+
+
+
+def company_hits(spark, sf_dir) -> DataFrame:
+    return sentiment.match_entities(scored(spark, sf_dir).select("doc_id", "text"), sentiment.entities(companies(spark, sf_dir)))
+
+
+@query
+def entity_match(spark, sf_dir):
+    return company_hits(spark, sf_dir)
+
+
+def sector_hits(spark, sf_dir) -> DataFrame:
+    s = scored(spark, sf_dir)
+    return sentiment.all_sectors(sentiment.match_sectors(s, SECTORS), company_hits(spark, sf_dir), sentiment.entities(companies(spark, sf_dir)))
+
+
+@query
+def sector_keywords(spark, sf_dir):
+    return sector_hits(spark, sf_dir)
+
+
+def stock_rows(spark, sf_dir) -> DataFrame:
+    s = scored(spark, sf_dir).select("doc_id", "date", "score", "source_type")
+    return sentiment.stock_daily(company_hits(spark, sf_dir).join(s, "doc_id"))
+
+
+@query
+def sentiment_daily(spark, sf_dir):
+    return stock_rows(spark, sf_dir).select("ticker", "date", *r6("score_sum", "sent_score"), "n", "news_count", "sent_source")
+
+
+@query
+def sentiment_decay(spark, sf_dir):
+    return sentiment.stock_sentiment(stock_rows(spark, sf_dir)).select("date", "ticker", *r6("sent_score", "sent_decay"), "news_count", "sent_source")
+
+
+def levels(spark, sf_dir) -> DataFrame:
+    s = scored(spark, sf_dir)
+    sectors = sector_hits(spark, sf_dir).join(s.select("doc_id", "date", "score"), "doc_id")
+    return sentiment.sentiment_union(sentiment.stock_sentiment(stock_rows(spark, sf_dir)), sentiment.market_sentiment(s), sentiment.sector_sentiment(sectors))
+
+
+@query
+def sentimen_union(spark, sf_dir):
+    return levels(spark, sf_dir).select("date", "level", "entity", *r6("sent_score", "sent_decay"), "news_count")
+
+
+@query
+def level_counts(spark, sf_dir):
+    return levels(spark, sf_dir).groupBy("level").agg(F.count("*").alias("n"))
+
+
+@query
+def anti_todo_dates(spark, sf_dir):
+    wanted = inputs.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+    done = inputs.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.to_date("o_orderdate").alias("date"))
+    empty = inputs.table(spark, sf_dir, "events").select(F.to_date("ts").alias("date"))
+    return todo(wanted, done, empty, "date")
+
+
+@query
+def upsert_keep_last(spark, sf_dir):
+    e = inputs.table(spark, sf_dir, "events").select("user_id", "event_type", F.to_date("ts").alias("date"), "event_id", "value")
+    old, new = e.where("event_id % 3 <> 0"), e.where("event_id % 3 = 0")
+    return upsert(old, new, ["user_id", "date"], ["event_id"]).select("user_id", "date", "event_id", "event_type", "value")
+
+
+@query
+def corporate_actions(spark, sf_dir):
+    l = inputs.table(spark, sf_dir, "lineitem").select(c("l_suppkey").alias("ticker"), F.to_date("l_shipdate").alias("date"), c("l_discount").alias("dividends"), c("l_tax").alias("stock_splits"))
+    d = technical.corporate_actions(l)
+    return d.groupBy("ticker", "date", "action").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
+@query
+def min_history_filter(spark, sf_dir):
+    d = has_history(inputs.table(spark, sf_dir, "events").select("user_id", "ts"), "user_id", CFG.universe.min_rows)
+    return d.groupBy("user_id").agg(F.count("*").alias("n"), F.min(F.to_date("ts")).alias("first_date"))
+
+
+@query
+def composite_key_map(spark, sf_dir):
+    e = inputs.table(spark, sf_dir, "events").select("event_id", "event_type", "value", F.month("ts").alias("m"), F.get_json_object("props", "$.k").alias("k"))
+    m = F.map_from_arrays(F.array(F.concat(c("event_type"), c("k"), F.lit("1")), F.concat(c("event_type"), c("k"), F.lit("13"))), F.array(c("value"), c("value") * 12))
+    d = e.withColumn("m2", F.map_filter(m, lambda key, _: ~key.endswith("13")))
+    return d.select("event_id", F.try_element_at("m2", F.concat("event_type", "k", c("m").cast("string"))).alias("hit"), c("k").try_cast("long").alias("k"))
+
+
+@query
+def significant_digits(spark, sf_dir):
+    b = inputs.bars(spark, sf_dir)
+    return b.select("ticker", "date", F.round(significant(c("close")), 3).alias("close"), significant(c("volume")).alias("volume"))
+
+
+@query
+def first_provider(spark, sf_dir):
+    income, _ = inputs.statements(spark, sf_dir)
+    a = income.where("ticker % 3 <> 0").withColumn("provider", F.lit("main"))
+    b = income.withColumn("provider", F.lit("spare"))
+    d = fundamental.first_provider(a.unionByName(b), ("main", "spare"))
+    return d.groupBy("ticker", "provider").agg(F.count("*").alias("n"))
+
+
+@query
+def source_chain(spark, sf_dir):
+    m = inputs.macro_rows(spark, sf_dir)
+    rows = m.where("series < '3'").withColumn("priority", F.lit(0)).unionByName(inputs.macro_rows(spark, sf_dir, daily=True).withColumn("priority", F.lit(1)))
+    return macro.observations(macro.choose_source(rows), LAGS).select("series", "date", "effective_date", "priority", *r6("value"))
+
+
+@query
+def daily_windows(spark, sf_dir):
+    """Events by tumbling hour and type; the streaming form of the same is in streaming/."""
+    e = inputs.table(spark, sf_dir, "events")
+    return e.groupBy(F.date_trunc("hour", c("ts").cast("timestamp")).cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
+
+
