@@ -1,10 +1,11 @@
 """Line dedup by an exact set-similarity join, with Spark expressions only.
 
-A line is the set of its words. Words are 63-bit hashes whose leading 16 bits rank the word's hash bucket by rarity over the
-corpus, so that sorting puts rare words first. Lines with equal sets are one row; two different sets of Jaccard similarity
-at least t share a word among their first n - ceil(t n) + 1 words (prefix filter), have similar sizes (length filter), and
-enough words left behind that one (positional filter); what passes is verified on the whole sets. A line goes if an earlier
-line (by doc_id, then place) has an equal or similar set, whether or not that one stays itself.
+A line is the set of its words. Words are hashes led by 8 bits of how frequent the word is at most (the count of its hash
+bucket over the corpus, on a logarithmic scale), so that sorting puts rare words first. Lines with equal sets are one row; two different
+sets of Jaccard similarity at least t share a word among their first n - ceil(t n) + 1 words (prefix filter), have similar
+sizes (length filter), enough words left behind that one (positional filter), and parity sketches of 64 bits that differ in
+no more bits than the sets may differ in words; what passes is verified on the whole sets. A line goes if an earlier line
+(by doc_id, then place) has an equal or similar set, whether or not that one stays itself.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm.shared import WORD, cut, let
 
-BUCKETS = 1 << 16
+#: Hash buckets of words whose counts order them; their number never changes.
+BUCKETS = 1 << 18
 #: Words of 64 bits in the bitmap that tells which sets take part in candidate pairs; its size never changes.
 BITMAP = 1 << 14
 
@@ -29,28 +31,29 @@ def _literal(values: DataFrame, kind: str, size: int) -> Column:
     return F.split(F.lit(",".join(out)), ",").cast(f"array<{kind}>")
 
 
-def rarity(docs: DataFrame) -> Column:
-    """Rank of each hash bucket by how many words of the corpus fall into it, rare ones first: a constant array."""
-    words = docs.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("i")).agg(F.count("*").alias("n"))
-    from pyspark.sql import Window
+def words(line: Column) -> Column:
+    """The words of a line (or text): cut at blanks, after other white space has become blanks where there is any."""
+    even = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
+    return F.array_remove(F.split(even, " ", -1), "")
+
 
-    return _literal(counts.select("i", F.row_number().over(Window.orderBy("n", "i")).alias("v")), "bigint", BUCKETS)
+def rarity(docs: DataFrame) -> Column:
+    """Of each hash bucket, 8 log2 of how many words of the corpus fall into it, at most 255: a constant array."""
+    of = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("i")).agg(F.count("*").alias("n"))
+    return _literal(of.select("i", F.least(F.lit(255), F.floor(F.log2(F.col("n").cast("double")) * 8)).alias("v")), "bigint", BUCKETS)
 
 
 def tokens(line: Column, ranks: Column) -> Column:
-    hashes = F.transform(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
-    token = lambda h: F.call_function(
-        "shiftleft", F.element_at(ranks, (h.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")), F.lit(47)
-    ).bitwiseOR(F.shiftrightunsigned(h, 17))
-    return F.sort_array(F.array_distinct(F.transform(hashes, token)))
+    hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, lambda h: F.call_function(
+        "shiftleft", F.element_at(ranks, (h.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")), F.lit(55)
+    ).bitwiseOR(F.shiftrightunsigned(h, 9))))
 
 
-def _lines(docs: DataFrame, ranks: Column) -> DataFrame:
-    """Lines with a word: doc_id, h, pos, set (sorted tokens), k1, k2."""
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    rows = rows.where(F.col("line").rlike(WORD)).select("doc_id", "h", "pos", tokens(F.col("line"), ranks).alias("set"))
-    return rows.select("*", F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc_id, h, pos, line of every line with a word."""
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.split("text", "\n", -1).alias("parts"))
+    return rows.select("doc_id", "h", F.posexplode("parts").alias("pos", "line")).where(F.col("line").rlike(WORD))
 
 
 def _bit(k: Column) -> tuple[Column, Column]:
@@ -68,29 +71,36 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     src = docs.select("doc_id", "text").where("text is not null")
     ranks = rarity(src)
     n = F.size("set")
+    parity = F.aggregate("set", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
-    lines = _lines(src, ranks)
-    firsts = lines.select("k1", "k2", F.struct("doc_id", "h", "pos").alias("at"), n.alias("n"), prefix.alias("prefix"))
-    sets = cut(firsts.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("prefix").alias("prefix")).withColumn("id", F.monotonically_increasing_id()), "sets")
+    lines = _lines(src)
+    firsts = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
+    firsts = firsts.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), prefix.alias("prefix"))
+    sets = firsts.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    sets = cut(sets.drop("k1", "k2").withColumn("id", F.monotonically_increasing_id()), "sets")
     free()
-    post = sets.select("id", "n", F.posexplode("prefix").alias("p", "token"))
+    post = sets.select("id", "n", "parity", F.posexplode("prefix").alias("p", "token"))
     a, b = post.alias("a"), post.alias("b")
     least = F.expr(f"((a.n + b.n) * {num} + {num + den - 1}) div {num + den}")
     pairs = a.join(b, F.col("a.token") == F.col("b.token")).where(
         (F.col("a.id") < F.col("b.id")) & F.expr(f"a.n * {den} >= b.n * {num} and b.n * {den} >= a.n * {num}")
         & (1 + F.least(F.col("a.n") - F.col("a.p") - 1, F.col("b.n") - F.col("b.p") - 1) >= least)
+        & (least < F.greatest("a.n", "b.n"))  # different sets share fewer words than the larger has
+        & (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= F.col("a.n") + F.col("b.n") - 2 * least)
     )
     pairs = cut(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
     free()
     # the whole sets of those in pairs: a bitmap of fixed size leaves most other lines out before the join
     met = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-    met = cut(sets.join(met, "id").select("id", "k1", "k2", "at"), "met_sets")
-    word, bit = _bit(F.col("k1"))
-    marks = _literal(met.select(word.alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("m")).groupBy("i").agg(F.bit_or("m").alias("v")), "bigint", BITMAP)
+    met = cut(sets.join(met, "id").select("id", "at"), "met_sets")
+    word, bit = _bit(F.col("e"))
+    marks = met.select(F.col("at.e").alias("e")).select(word.alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("m"))
+    marks = _literal(marks.groupBy("i").agg(F.bit_or("m").alias("v")), "bigint", BITMAP)
     seen = F.call_function("shiftrightunsigned", F.element_at(marks, (word + 1).cast("int")), bit).bitwiseAND(F.lit(1)) == 1
-    held = lines.where(seen).join(met.select("id", "k1", "k2", F.col("at.doc_id").alias("d"), F.col("at.h").alias("e"), F.col("at.pos").alias("q")), ["k1", "k2"])
-    held = held.where(F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("e")) & (F.col("pos") == F.col("q")))
-    held = cut(held.groupBy("id").agg(F.first("set").alias("set"), F.min(F.struct("doc_id", "h", "pos")).alias("at")), "whole_sets")
+    wanted = met.select("id", F.col("at.doc_id").alias("d"), F.col("at.h").alias("h"), F.col("at.pos").alias("pos"))
+    held = lines.withColumn("e", F.xxhash64("line")).where(seen).join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d")))
+    held = held.groupBy("id").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "h", "pos")).alias("at"))
+    held = cut(held.select("id", tokens(F.col("line"), ranks).alias("set"), "at"), "whole_sets")
     free()
     one = lambda s: held.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"), F.col("at").alias(f"at_{s}"))
     common = F.size(F.array_intersect("set_x", "set_y"))
@@ -98,7 +108,7 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
         common * den >= (F.size("set_x") + F.size("set_y") - common) * num
     )
     later = alike.select(F.when(F.col("at_x") > F.col("at_y"), F.col("x")).otherwise(F.col("y")).alias("id")).distinct()
-    kept = sets.join(later, "id", "left_anti").select("at.*").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
+    kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
     kept = cut(kept, "kept_lines")
     free()
     all_ = docs.withColumn("_h", F.xxhash64("text")).alias("d")
