@@ -1,6 +1,6 @@
 """Token ids in flat files with Elias-Fano coded document boundaries.
 
-A shard file: magic, all ids (little-endian unsigned 32-bit), the boundaries and the document ids as Elias-Fano blocks, a
+A shard file: magic, all ids (little-endian unsigned, 16 bits where the vocabulary allows it, else 32), the boundaries and the document ids as Elias-Fano blocks, a
 JSON footer, its length. Of n non-decreasing values below u, an Elias-Fano block keeps l = log2(u/n) low bits each and the
 high parts in unary, about 2 + l bits a value; every 512th one bit's place is kept in 32 bits, from which select starts.
 """
@@ -71,7 +71,7 @@ def _open(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def _write(folder: str, tokenizer: str, end_id: int):
+def _write(folder: str, tokenizer: str, end_id: int, width: int):
     def run(batches):
         import json
         import uuid
@@ -82,7 +82,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
 
         from pitpanel.llm.tokens import encoder
 
-        enc, end = encoder(tokenizer), end_id.to_bytes(4, "little")
+        enc, end = encoder(tokenizer, width), end_id.to_bytes(width, "little")
         shard, out, path = TaskContext.get().partitionId(), None, ""
         lengths, ids, nulls = [], [], 0
         for batch in batches:
@@ -95,7 +95,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 data = enc.encode(text.as_py() or "") + end
                 out.write(data)
-                lengths.append(len(data) // 4)
+                lengths.append(len(data) // width)
                 if doc is None:
                     nulls += 1
                 else:
@@ -109,7 +109,7 @@ def _write(folder: str, tokenizer: str, end_id: int):
             head, data = EliasFano.build(v).blob()
             out.write(data)
             heads.append(head)
-        foot = json.dumps({"boundaries": heads[0], "doc_ids": heads[1], "base": base, "null_ids": nulls}).encode()
+        foot = json.dumps({"boundaries": heads[0], "doc_ids": heads[1], "base": base, "null_ids": nulls, "width": width}).encode()
         out.write(foot)
         out.write(len(foot).to_bytes(4, "little"))
         out.close()
@@ -126,11 +126,13 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | No
     ignored; an empty table gives an empty manifest. A file counts only if the (written) manifest names it, so that files
     of lost or repeated attempts are never read.
     """
+    from pitpanel.llm.tokens import width_of
+
     spark = docs.sparkSession
     folder = folder or new_path(spark, "ids")
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(F.col("doc_id").asc_nulls_first())
     d = d.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    shards = cut(d.mapInArrow(_write(folder, tokenizer, end_id), "shard int, path string, n_docs long, n_ids long"), "manifest")
+    shards = cut(d.mapInArrow(_write(folder, tokenizer, end_id, width_of(tokenizer, end_id)), "shard int, path string, n_docs long, n_ids long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard file
     return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
 
@@ -140,6 +142,7 @@ def _read(docs: int):
         import json
         import zlib
 
+        import numpy as np
         import pyarrow as pa
 
         names = {"doc_id": pa.int64(), "start": pa.int64(), "n_tokens": pa.int64(), "ids_crc32": pa.int64()}
@@ -154,14 +157,15 @@ def _read(docs: int):
                     tail = size - 4 - n - a - b
                     ends = EliasFano.load(foot["boundaries"], f.read_at(a, tail))
                     ids = EliasFano.load(foot["doc_ids"], f.read_at(b, tail + a))
-                    nulls, base, at = foot["null_ids"], foot["base"], 0
+                    nulls, base, width, at = foot["null_ids"], foot["base"], foot["width"], 0
                     for i in range(0, ends.n, docs):
                         j = min(ends.n, i + docs)
                         to = ends.select(i, j).tolist()
                         own = [None] * max(0, min(j, nulls) - i) + [base + x for x in ids.select(max(0, i - nulls), max(0, j - nulls)).tolist()]
                         rows = []
                         for doc, e in zip(own, to):
-                            rows.append((doc, start + at, e - at, zlib.crc32(f.read_at(4 * (e - at), len(MAGIC) + 4 * at))))
+                            own_ids = np.frombuffer(f.read_at(width * (e - at), len(MAGIC) + width * at), f"<u{width}")
+                            rows.append((doc, start + at, e - at, zlib.crc32(own_ids.astype("<u4"))))
                             at = e
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), names.values())], list(names))
 
