@@ -26,9 +26,12 @@ def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: i
     ends = F.when(F.col("_k") == block, F.struct(*(F.col(f"_s_{name}").alias(name) for name in specs)))
     before = Window.partitionBy(*by).orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_ends", F.collect_list(ends).over(before))
+
+    def carry(name: str, b: float):
+        return F.aggregate("_ends", F.lit(0.0), lambda a, e: a * F.lit(b**block) + e[name])
+
     for name, (_, b) in specs.items():
-        carry = F.aggregate("_ends", F.lit(0.0), lambda a, e, b=b, name=name: a * F.lit(b**block) + e[name])
-        d = d.withColumn(name, F.col(f"_s_{name}") + carry * F.pow(F.lit(b), F.col("_k")))
+        d = d.withColumn(name, F.col(f"_s_{name}") + carry(name, b) * F.pow(F.lit(b), F.col("_k")))
     return d.drop("_n", "_b", "_k", "_ends", *(f"_s_{name}" for name in specs))
 
 

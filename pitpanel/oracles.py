@@ -103,8 +103,8 @@ aso as (select c.*, f.report_period as fp, f.release_date as fr, f.* exclude (ti
 val as (select *, fr is not null and date_diff('day', fr, date) <= 400 as ok from aso)"""
 
 
-def _r6(*names: str) -> str:
-    return ", ".join(f"round({x}, 6) as {x}" for x in names)
+def _r6(*names: str, digits: int = 6) -> str:
+    return ", ".join(f"round({x}, {digits}) as {x}" for x in names)
 
 
 def _list(words) -> str:
@@ -182,12 +182,12 @@ def _z(x: str) -> str:
 
 
 ORACLES = {
-    "daily_bars": f"with {BARS} select ticker, date, {_r6('open', 'high', 'low', 'close')}, volume, n from bars",
+    "daily_bars": f"with {BARS} select ticker, date, {_r6('open', 'high', 'low', 'close', digits=9)}, volume, n from bars",
     "clean_dedupe_keep_last": """select l_orderkey, l_linenumber, l_partkey, l_quantity, round(l_quantity * l_extendedprice, 2) as turnover from (select *, row_number() over (partition by l_orderkey, l_linenumber
   order by l_shipdate desc, l_partkey desc, l_suppkey desc, l_quantity desc, l_extendedprice desc, l_discount desc, l_tax desc, l_returnflag desc, l_linestatus desc) as k from lineitem) where k = 1 and l_quantity > 1""",
     "back_adjust": f"""with {BARS}, a as (select *, case when day(date) % 3 <> 0 then case when year(date) < 2000 then 0.5 else 1.0 end end as f from bars),
 b as (select *, coalesce(last_value(f ignore nulls) over (partition by ticker order by date), first_value(f ignore nulls) over (partition by ticker order by date rows between current row and unbounded following), 1.0) as k from a)
-select ticker, date, round(open * k, 6) as open, round(greatest(high, open, close) * k, 6) as high, round(least(low, open, close) * k, 6) as low, round(close * k, 6) as close, round(close, 6) as raw_close, round(close * volume, 2) as turnover_idr from b""",
+select ticker, date, round(open * k, 9) as open, round(greatest(high, open, close) * k, 9) as high, round(least(low, open, close) * k, 9) as low, round(close * k, 9) as close, round(close, 9) as raw_close, round(close * volume, 7) as turnover_idr from b""",
     "universe_flags": f"with {BARS}, {FLAGS} select ticker, date, is_liquid, ara_flag, arb_flag from flg",
     "returns_sma": f"with {BARS}, {RET} select ticker, date, {_r6('ret_5d', 'ret_20d', 'ret_60d', 'ret_250d', 'price_sma20_ratio', 'price_sma60_ratio', 'gap_open')} from ret",
     "macd_hist": f"with {MACD} select ticker, date, round(h, 6) as macd_hist, round(h / close, 6) as macd_hist_pct from macd",
@@ -199,7 +199,7 @@ select ticker, date, round(open * k, 6) as open, round(greatest(high, open, clos
     "cross_section_z": f"with {CROSS} select ticker, date, " + ", ".join(f"round({_z(x)}, 6) as {x}_cs_z" for x in ("ret_20d", "ret_60d", "volume_ratio", "realized_vol_20d")) + " from xs",
     "flow_zscore": f"with {FLOW} select date, ticker, foreign_buy, foreign_sell, foreign_net, {_r6('foreign_net_zscore', 'foreign_net_5d_sum')} from fl",
     "funda_canonical": f"with {FUNDA} select ticker, freq, report_period, release_date, 1 as release_date_estimated, " + ", ".join(f"round({x}, 2) as {x}" for x in ("revenue", "net_income", "total_equity", "total_assets", "total_liabilities")) + " from can",
-    "funda_ttm_growth": f"with {FUNDA} select ticker, freq, report_period, " + ", ".join(f"round({x}, 2) as {x}" for x in ("revenue_ttm", "net_income_ttm", "eps_ttm")) + f", {_r6('roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'revenue_qoq', 'net_income_qoq', 'eps_qoq')} from fund",
+    "funda_ttm_growth": f"with {FUNDA} select ticker, freq, report_period, " + _r6("revenue_ttm", "net_income_ttm", digits=2) + f", {_r6('eps_ttm', 'roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'revenue_qoq', 'net_income_qoq', 'eps_qoq')} from fund",
     "funda_ratios": f"with {FUNDA} select ticker, report_period, {_r6('gross_margin', 'net_margin', 'equity_ratio', 'bvps')}, cast(null as double) as debt_to_equity from fund",
     "asof_funda_valuation": f"with {BARS}, {FUNDA}, {ASOF} select ticker, date, case when ok then fp end as funda_report_period, case when ok then fr end as funda_release_date, " + ", ".join(f"round(case when ok then {x} end, 6) as {x}" for x in ("eps_ttm", "bvps")) + ", round(case when ok and eps_ttm > 0 then close / eps_ttm end, 6) as pe_ttm, round(case when ok and bvps > 0 then close / bvps end, 6) as pbv from val",
     "macro_release_features": f"with {MACRO} select series, date, {_r6('value')}, round(last_value(surprise ignore nulls) over w, 6) as surprise, round(last_value(chg_pct ignore nulls) over w, 6) as chg_pct from grid window w as (partition by series order by date)",
@@ -214,7 +214,7 @@ select series, date, round((value - y) / nullif(abs(y), 0) * 100, 6) as value fr
     "macro_wide": f"""with {MACRO}, g as (select *, value / nullif(lag(value, 5) over w, 0) - 1 as p5, last_value(surprise ignore nulls) over w as su, last_value(chg_pct ignore nulls) over w as ch from grid window w as (partition by series order by date))
 select date, round(max(value) filter (series = '1-URGENT'), 6) as urgent, round(max(p5) filter (series = '2-HIGH'), 6) as high_pct_5d, round(max(su) filter (series = '3-MEDIUM'), 6) as medium_surprise,
   round(max(ch) filter (series = '4-NOT SPECIFIED'), 6) as plain_chg_pct, max(case when value is not null then cast(date_diff('day', last_date, date) > 40 as int) end) filter (series = '5-LOW') as low_stale from g group by 1""",
-    "panel_align": f"with {PANEL} select ticker, date, sector, funda_report_period, is_liquid, window_dressing_flag, {_r6('close', 'ret_20d', 'rsi_14', 'macd_hist', 'pe_ttm', 'bi_rate', 'vix', 'sector_cmdty_ret', 'foreign_net', 'foreign_net_zscore')} from pan",
+    "panel_align": f"with {PANEL} select ticker, date, sector, funda_report_period, is_liquid, window_dressing_flag, round(close, 9) as close, {_r6('ret_20d', 'rsi_14', 'macd_hist', 'pe_ttm', 'bi_rate', 'vix', 'sector_cmdty_ret', 'foreign_net', 'foreign_net_zscore')} from pan",
     "coverage_by_year": f"""with {PANEL}, z as (select *, case when rn >= 14 then 1 end as atr, macd_hist as mh, {', '.join(f'{_z(x)} as z{i}' for i, x in enumerate(('ret_20d', 'ret_60d', 'volume_ratio', 'realized_vol_20d')))} from pan)
 select cast(year as int) as year, count(*) as rows, {_share('ret_5d', 'ret_20d', 'ret_60d', 'ret_250d', 'mh', 'rsi_14', 'mfi_14', 'obv_slope_20d', 'atr', 'realized_vol_20d', 'bollinger_pctb')} as technical,
   {_share('z0', 'z1', 'z2', 'z3')} as cross_sectional, {_share('gross_margin', 'cast(null as int)', 'net_margin', 'cast(null as int)', 'cast(null as int)', 'roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'pe_ttm', 'pbv')} as fundamental, {_share('bi_rate', 'vix')} as macro from z group by 1""",
@@ -237,7 +237,7 @@ select key, doc_id, published from (select *, row_number() over (partition by ke
 select ticker, date, action, count(*) as n, round(sum(v), 4) as value from a group by 1, 2, 3""",
     "min_history_filter": "select user_id, count(*) as n, min(cast(ts as date)) as first_date from events group by 1 having count(*) >= 60",
     "composite_key_map": """select event_id, case when month(ts) = 1 then value end as hit, try_cast(json_extract_string(props, '$.k') as bigint) as k from events""",
-    "significant_digits": f"with {BARS} select ticker, date, round(case when close = 0 then 0 else round_even(close * pow(10, 5 - floor(log10(abs(close)))), 0) / pow(10, 5 - floor(log10(abs(close)))) end, 3) as close, volume from bars",
+    "significant_digits": f"with {BARS} select ticker, date, round(case when close = 0 then 0 else round_even(close * pow(10, 3 - floor(log10(abs(close)))), 0) / pow(10, 3 - floor(log10(abs(close)))) end, 3) as close, volume from bars",
     "first_provider": f"with {FUNDA} select ticker, case when ticker % 3 <> 0 then 'main' else 'spare' end as provider, count(*) as n from agg where month(report_period) <> 6 or ticker <> 3 group by 1, 2",
     "source_chain": f"""with {MACRO}, dd as (select o_orderpriority as series, cast(o_orderdate as date) as date, avg(o_totalprice) as value from orders group by 1, 2),
 a as (select series, date, value, 0 as priority from mrow where series < '3' union all select series, date, value, 1 from dd where series >= '3') select series, date, cast(date + {LAG} as date) as effective_date, priority, round(value, 6) as value from a""",

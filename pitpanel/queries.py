@@ -23,8 +23,8 @@ def query(f):
     return f
 
 
-def r6(*names):
-    return [F.round(n, 6).alias(n) for n in names]
+def r6(*names, digits=6):
+    return [F.round(n, digits).alias(n) for n in names]
 
 
 def cleaned(spark, sf_dir) -> DataFrame:
@@ -43,7 +43,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def daily_bars(spark, sf_dir):
-    return inputs.bars(spark, sf_dir).select("ticker", "date", *r6("open", "high", "low", "close"), "volume", "n")
+    return inputs.bars(spark, sf_dir).select("ticker", "date", *r6("open", "high", "low", "close", digits=9), "volume", "n")
 
 
 @query
@@ -62,7 +62,7 @@ def with_gaps(spark, sf_dir) -> DataFrame:
 @query
 def back_adjust(spark, sf_dir):
     d = technical.back_adjust(technical.clean(with_gaps(spark, sf_dir)))
-    return d.select("ticker", "date", *r6("open", "high", "low", "close", "raw_close"), F.round("turnover_idr", 2).alias("turnover_idr"))
+    return d.select("ticker", "date", *r6("open", "high", "low", "close", "raw_close", digits=9), *r6("turnover_idr", digits=7))
 
 
 @query
@@ -127,7 +127,7 @@ def funda_canonical(spark, sf_dir):
 @query
 def funda_ttm_growth(spark, sf_dir):
     d = quarterly(spark, sf_dir)
-    return d.select("ticker", "freq", "report_period", *(F.round(x, 2).alias(x) for x in ("revenue_ttm", "net_income_ttm", "eps_ttm")), *r6("roa", "roe", "revenue_yoy", "net_income_yoy", "eps_yoy", "revenue_qoq", "net_income_qoq", "eps_qoq"))
+    return d.select("ticker", "freq", "report_period", *r6("revenue_ttm", "net_income_ttm", digits=2), *r6("eps_ttm"), *r6("roa", "roe", "revenue_yoy", "net_income_yoy", "eps_yoy", "revenue_qoq", "net_income_qoq", "eps_qoq"))
 
 
 @query
@@ -189,7 +189,7 @@ def whole_panel(spark, sf_dir) -> DataFrame:
 @query
 def panel_align(spark, sf_dir):
     d = whole_panel(spark, sf_dir)
-    return d.select("ticker", "date", "sector", "funda_report_period", "is_liquid", "window_dressing_flag", *r6("close", "ret_20d", "rsi_14", "macd_hist", "pe_ttm", "bi_rate", "vix", "sector_cmdty_ret", "foreign_net", "foreign_net_zscore"))
+    return d.select("ticker", "date", "sector", "funda_report_period", "is_liquid", "window_dressing_flag", F.round("close", 9).alias("close"), *r6("ret_20d", "rsi_14", "macd_hist", "pe_ttm", "bi_rate", "vix", "sector_cmdty_ret", "foreign_net", "foreign_net_zscore"))
 
 
 @query
@@ -327,7 +327,7 @@ def composite_key_map(spark, sf_dir):
 @query
 def significant_digits(spark, sf_dir):
     b = inputs.bars(spark, sf_dir)
-    return b.select("ticker", "date", F.round(significant(c("close")), 3).alias("close"), significant(c("volume")).alias("volume"))
+    return b.select("ticker", "date", F.round(significant(c("close"), 4), 3).alias("close"), significant(c("volume")).alias("volume"))
 
 
 @query
