@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.llm import lines, mixing, packing, quality, simhash
-from pitpanel.llm.shared import SPACE, WORD, new_path, read_table, tokenizer_path
+from pitpanel.llm.shared import WORD, new_path, read_table, tokenizer_path
 
 #: SQL cannot express the stages with fingerprints, tokenizers and seeded choices; tests hold each against brute force.
 ORACLE_SQL = None
@@ -30,12 +30,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's words as often as the mix takes their blocks: a first copy, and a second of what is taken twice."""
-    plan = mixing.plan(docs).where("taken > 0").withColumnsRenamed({"doc_id": "_id", "source": "_source"})
-    once = plan.select("_id", "_source", "at", "size", "block", "copies", F.explode(F.sequence(F.lit(1), F.array_max("copies"))).alias("copy"))
-    words = F.regexp_extract_all("text", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
-    taken = lambda i: F.get(F.col("copies"), (F.floor((F.col("at") + i) / F.col("block")) - F.floor(F.col("at") / F.col("block"))).cast("int")) >= F.col("copy")
-    text = F.when(F.array_min("copies") >= F.col("copy"), F.col("text")).otherwise(F.ltrim(F.array_join(F.filter(words, lambda w, i: taken(i)), "")))
-    out = docs.join(once, docs.doc_id.eqNullSafe(once["_id"]) & docs.source.eqNullSafe(once["_source"])).withColumn("text", text)
+    out = mixing.mixed(docs)
     return out.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 

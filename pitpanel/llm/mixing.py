@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import WORD, cut, let
+from pitpanel.llm.shared import SPACE, WORD, cut, let
 
 #: Most words of a shard (on average), of a block, and the blocks wanted of a small corpus.
 SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 16
@@ -42,18 +42,18 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
 
 
 def plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """docs(doc_id, text, source) -> one row per row: doc_id, source, size, source_size, target, taken, at, block, copies.
+    """docs(doc_id, text, source) -> one row per row: doc_id, source, h (hash of the text), size, source_size, target, taken, at, block, copies.
 
     The row lies at words [at, at + size) of its stream; `copies` holds how often the mix takes each block of `block` words
     that it touches (null without words). Null texts have size 0, a null source is a source of its own, repeated rows are
     rows of their own, other columns are ignored, an empty table gives an empty table. Texts are not shuffled.
     """
-    rows = cut(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    rows = cut(docs.select("doc_id", "source", F.xxhash64("text").alias("h"), n_words(F.col("text")).alias("size")), "sizes")
     by_source = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     total = by_source.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
     shards, block = -(-total // SHARD_WORDS) or 1, max(1, min(BLOCK_WORDS, total // LEAST_BLOCKS))
     rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).cast("int"))
-    stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size")
+    stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "h")
     rows = rows.withColumn("at", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     streams = rows.groupBy("source", "shard").agg(F.sum("size").alias("words"))
     streams = streams.join(by_source, streams.source.eqNullSafe(by_source.source)).drop(by_source.source).where("words > 0")
@@ -85,6 +85,27 @@ def plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, mo
         F.least((j + 1).cast("long") * block, F.col("r.at") + F.col("r.size")) - F.greatest(j.cast("long") * block, F.col("r.at"))
     ))
     taken = F.when(F.col("r.size") > 0, F.aggregate(held, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(F.lit(0).cast("long"))
-    return out.select("r.doc_id", "r.source", "r.size", "t.source_size", "t.target", taken.alias("taken"), "r.at", F.lit(block).cast("long").alias("block"), F.when(
+    return out.select("r.doc_id", "r.source", "r.h", "r.size", "t.source_size", "t.target", taken.alias("taken"), "r.at", F.lit(block).cast("long").alias("block"), F.when(
         F.col("r.size") > 0, F.slice("s.copies", first + 1, last - first + 1)
     ).alias("copies"))
+
+
+def mixed(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """The mix itself: docs' columns, a row for each copy of a document, its text the words whose blocks that copy takes.
+
+    A text that is taken whole stays as it is; rows of which nothing is taken go.
+    """
+    chosen = cut(plan(docs, seed, weights, share, most).where("taken > 0"), "mix_plan")
+    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_hash"), "at", "block", "copies")
+    rows = docs.withColumn("_h", F.xxhash64("text"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_h") == F.col("_hash"))
+    if chosen.groupBy("_id", "_source", "_hash").count().where("count > 1").limit(1).count():  # repeated rows: one to one
+        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_h").orderBy("_h")))
+        chosen = chosen.withColumn("_m", F.row_number().over(Window.partitionBy("_id", "_source", "_hash").orderBy("at")))
+        on = on & (F.col("_n") == F.col("_m"))
+    once = chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.array_max("copies"))))
+    words = F.regexp_extract_all("text", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
+    place = lambda i: (F.floor((F.col("at") + i) / F.col("block")) - F.floor(F.col("at") / F.col("block"))).cast("int")
+    part = F.ltrim(F.array_join(F.filter(words, lambda w, i: F.get("copies", place(i)) >= F.col("copy")), ""))
+    text = F.when(F.array_min("copies") >= F.col("copy"), F.col("text")).otherwise(part)
+    return rows.join(once, on).select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns))
