@@ -57,8 +57,10 @@ def article_text(title: Column, summary: Column) -> Column:
 
 def grams(words: Column, n: int) -> Column:
     """Distinct runs of 1 to n words, joined by blanks."""
-    runs = lambda k: F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, k), " "))
-    return F.array_distinct(F.concat(*(runs(k) for k in range(1, n + 1))))
+    def runs(w, k):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, k), " "))
+
+    return let(words, lambda w: F.array_distinct(F.concat(*(runs(w, k) for k in range(1, n + 1)))))
 
 
 def keyword_groups(text: Column, groups: dict[str, list[str]]) -> Column:

@@ -36,7 +36,7 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: list[str], target: Colum
 def calendar(df: DataFrame, start: Column, end: Column, by: list[str] | None = None, name: str = "date") -> DataFrame:
     """Every day from start to end (aggregates of df), per key of `by` or once."""
     span = df.groupBy(*(by or [])).agg(start.alias("_a"), end.alias("_z")).where("_a is not null")
-    return span.select(*(by or []), F.explode(F.sequence("_a", "_z", F.expr("interval 1 day"))).cast("date").alias(name))
+    return span.select(*(by or []), F.explode(F.sequence("_a", "_z", F.expr("interval 1 day"))).alias(name))
 
 
 def densify(obs: DataFrame, days: DataFrame, by: list[str], at: str) -> DataFrame:

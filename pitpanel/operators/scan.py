@@ -17,22 +17,22 @@ def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: i
     """specs: new column -> (column of c, factor b). A missing c counts as 0. Adds the columns to df."""
     by = [by] if isinstance(by, str) else list(by)
     whole = Window.partitionBy(*by).orderBy(order)
-    d = df.withColumn("_n", F.row_number().over(whole) - 1)
-    d = d.withColumn("_b", F.floor(F.col("_n") / block).cast("int")).withColumn("_k", (F.col("_n") % block + 1).cast("double"))
-    inside = Window.partitionBy(*by, "_b").orderBy("_n").rowsBetween(Window.unboundedPreceding, 0)
+    d = df.withColumn("_scan_n", F.row_number().over(whole) - 1)
+    d = d.withColumn("_scan_b", F.floor(F.col("_scan_n") / block).cast("int")).withColumn("_scan_k", (F.col("_scan_n") % block + 1).cast("double"))
+    inside = Window.partitionBy(*by, "_scan_b").orderBy("_scan_n").rowsBetween(Window.unboundedPreceding, 0)
     for name, (c, b) in specs.items():
-        own = F.sum(F.coalesce(F.col(c), F.lit(0.0)) * F.pow(F.lit(b), -F.col("_k"))).over(inside) * F.pow(F.lit(b), F.col("_k"))
+        own = F.sum(F.coalesce(F.col(c), F.lit(0.0)) * F.pow(F.lit(b), -F.col("_scan_k"))).over(inside) * F.pow(F.lit(b), F.col("_scan_k"))
         d = d.withColumn(f"_s_{name}", own)
-    ends = F.when(F.col("_k") == block, F.struct(*(F.col(f"_s_{name}").alias(name) for name in specs)))
-    before = Window.partitionBy(*by).orderBy("_n").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_ends", F.collect_list(ends).over(before))
+    ends = F.when(F.col("_scan_k") == block, F.struct(*(F.col(f"_s_{name}").alias(name) for name in specs)))
+    before = Window.partitionBy(*by).orderBy("_scan_n").rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("_scan_ends", F.collect_list(ends).over(before))
 
     def carry(name: str, b: float):
-        return F.aggregate("_ends", F.lit(0.0), lambda a, e: a * F.lit(b**block) + e[name])
+        return F.aggregate("_scan_ends", F.lit(0.0), lambda a, e: a * F.lit(b**block) + e[name])
 
     for name, (_, b) in specs.items():
-        d = d.withColumn(name, F.col(f"_s_{name}") + carry(name, b) * F.pow(F.lit(b), F.col("_k")))
-    return d.drop("_n", "_b", "_k", "_ends", *(f"_s_{name}" for name in specs))
+        d = d.withColumn(name, F.col(f"_s_{name}") + carry(name, b) * F.pow(F.lit(b), F.col("_scan_k")))
+    return d.drop("_scan_n", "_scan_b", "_scan_k", "_scan_ends", *(f"_s_{name}" for name in specs))
 
 
 def scan_pandas(df: DataFrame, by, order, specs: dict[str, tuple[str, float]]) -> DataFrame:

@@ -112,7 +112,7 @@ def _list(words) -> str:
 
 
 ARTICLES = f"""art as (select doc_id, source, lang, '. ' || text as text, text as summary, cast(date '2024-01-01' + cast(doc_id % 90 as int) as date) as date, case when doc_id % 2 = 0 then 'live' else 'backfill' end as source_type from documents),
-tok as (select doc_id, list_transform(regexp_extract_all(text, '[a-zA-Z]+'), x -> lower(x)) as t from art),
+tok as (select doc_id, [lower(x) for x in regexp_extract_all(text, '[a-zA-Z]+')] as t from art),
 tk as (select doc_id, unnest(t) as w, generate_subscripts(t, 1) as i from tok),
 tp as (select doc_id, w, lag(w) over (partition by doc_id order by i) as p from tk),
 pol as (select doc_id, (case when list_contains({_list(LEXICON["positive"])}, w) then 1 when list_contains({_list(LEXICON["negative"])}, w) then -1 else 0 end) * (case when coalesce(list_contains({_list(LEXICON["negations"])}, p), false) then -1 else 1 end) as s from tp),
@@ -202,7 +202,7 @@ select ticker, date, round(open * k, 9) as open, round(greatest(high, open, clos
     "funda_ttm_growth": f"with {FUNDA} select ticker, freq, report_period, " + _r6("revenue_ttm", "net_income_ttm", digits=2) + f", {_r6('eps_ttm', 'roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'revenue_qoq', 'net_income_qoq', 'eps_qoq')} from fund",
     "funda_ratios": f"with {FUNDA} select ticker, report_period, {_r6('gross_margin', 'net_margin', 'equity_ratio', 'bvps')}, cast(null as double) as debt_to_equity from fund",
     "asof_funda_valuation": f"with {BARS}, {FUNDA}, {ASOF} select ticker, date, case when ok then fp end as funda_report_period, case when ok then fr end as funda_release_date, " + ", ".join(f"round(case when ok then {x} end, 6) as {x}" for x in ("eps_ttm", "bvps")) + ", round(case when ok and eps_ttm > 0 then close / eps_ttm end, 6) as pe_ttm, round(case when ok and bvps > 0 then close / bvps end, 6) as pbv from val",
-    "macro_release_features": f"with {MACRO} select series, date, {_r6('value')}, round(last_value(surprise ignore nulls) over w, 6) as surprise, round(last_value(chg_pct ignore nulls) over w, 6) as chg_pct from grid window w as (partition by series order by date)",
+    "macro_release_features": f"with {MACRO} select series, date, round(value + 1e-8, 6) as value, round(last_value(surprise ignore nulls) over w, 6) as surprise, round(last_value(chg_pct ignore nulls) over w, 6) as chg_pct from grid window w as (partition by series order by date)",
     "macro_pct_z_stale": f"""with {MACRO} select series, date, round(value / nullif(lag(value, 5) over w, 0) - 1, 6) as pct_5d, round(value / nullif(lag(value, 20) over w, 0) - 1, 6) as pct_20d,
   round(case when count(value) over z >= 63 then (value - avg(value) over z) / nullif(stddev_samp(value) over z, 0) end, 6) as z252,
   case when value is null then null when series = '1-URGENT' then cast(date_diff('day', last_date, date) > 20 as int) when series = '5-LOW' then cast(date_diff('day', last_date, date) > 40 as int) end as stale
@@ -212,9 +212,9 @@ p as (select t.series, t.date, t.value, arg_max(o.value, struct_pack(a := -abs(d
 select series, date, round((value - y) / nullif(abs(y), 0) * 100, 6) as value from p""",
     "sector_factor": f"with {MACRO}, {SECTOR} select date, sector, round(sector_cmdty_ret, 6) as sector_cmdty_ret from sfac",
     "macro_wide": f"""with {MACRO}, g as (select *, value / nullif(lag(value, 5) over w, 0) - 1 as p5, last_value(surprise ignore nulls) over w as su, last_value(chg_pct ignore nulls) over w as ch from grid window w as (partition by series order by date))
-select date, round(max(value) filter (series = '1-URGENT'), 6) as urgent, round(max(p5) filter (series = '2-HIGH'), 6) as high_pct_5d, round(max(su) filter (series = '3-MEDIUM'), 6) as medium_surprise,
+select date, round(max(value) filter (series = '1-URGENT') + 1e-8, 6) as urgent, round(max(p5) filter (series = '2-HIGH'), 6) as high_pct_5d, round(max(su) filter (series = '3-MEDIUM'), 6) as medium_surprise,
   round(max(ch) filter (series = '4-NOT SPECIFIED'), 6) as plain_chg_pct, max(case when value is not null then cast(date_diff('day', last_date, date) > 40 as int) end) filter (series = '5-LOW') as low_stale from g group by 1""",
-    "panel_align": f"with {PANEL} select ticker, date, sector, funda_report_period, is_liquid, window_dressing_flag, round(close, 9) as close, {_r6('ret_20d', 'rsi_14', 'macd_hist', 'pe_ttm', 'bi_rate', 'vix', 'sector_cmdty_ret', 'foreign_net', 'foreign_net_zscore')} from pan",
+    "panel_align": f"with {PANEL} select ticker, date, sector, funda_report_period, is_liquid, window_dressing_flag, round(close, 9) as close, {_r6('ret_20d', 'rsi_14', 'macd_hist', 'pe_ttm', 'sector_cmdty_ret', 'foreign_net', 'foreign_net_zscore')}, round(bi_rate + 1e-8, 6) as bi_rate, round(vix + 1e-8, 6) as vix from pan",
     "coverage_by_year": f"""with {PANEL}, z as (select *, case when rn >= 14 then 1 end as atr, macd_hist as mh, {', '.join(f'{_z(x)} as z{i}' for i, x in enumerate(('ret_20d', 'ret_60d', 'volume_ratio', 'realized_vol_20d')))} from pan)
 select cast(year as int) as year, count(*) as rows, {_share('ret_5d', 'ret_20d', 'ret_60d', 'ret_250d', 'mh', 'rsi_14', 'mfi_14', 'obv_slope_20d', 'atr', 'realized_vol_20d', 'bollinger_pctb')} as technical,
   {_share('z0', 'z1', 'z2', 'z3')} as cross_sectional, {_share('gross_margin', 'cast(null as int)', 'net_margin', 'cast(null as int)', 'cast(null as int)', 'roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'pe_ttm', 'pbv')} as fundamental, {_share('bi_rate', 'vix')} as macro from z group by 1""",
@@ -240,6 +240,6 @@ select ticker, date, action, count(*) as n, round(sum(v), 4) as value from a gro
     "significant_digits": f"with {BARS} select ticker, date, round(case when close = 0 then 0 else round_even(close * pow(10, 3 - floor(log10(abs(close)))), 0) / pow(10, 3 - floor(log10(abs(close)))) end, 3) as close, volume from bars",
     "first_provider": f"with {FUNDA} select ticker, case when ticker % 3 <> 0 then 'main' else 'spare' end as provider, count(*) as n from agg where month(report_period) <> 6 or ticker <> 3 group by 1, 2",
     "source_chain": f"""with {MACRO}, dd as (select o_orderpriority as series, cast(o_orderdate as date) as date, avg(o_totalprice) as value from orders group by 1, 2),
-a as (select series, date, value, 0 as priority from mrow where series < '3' union all select series, date, value, 1 from dd where series >= '3') select series, date, cast(date + {LAG} as date) as effective_date, priority, round(value, 6) as value from a""",
+a as (select series, date, value, 0 as priority from mrow where series < '3' union all select series, date, value, 1 from dd where series >= '3') select series, date, cast(date + {LAG} as date) as effective_date, priority, round(value + 1e-8, 6) as value from a""",
     "daily_windows": "select date_trunc('hour', ts) as hour, event_type, count(*) as n, round(sum(value), 4) as value from events group by 1, 2",
 }

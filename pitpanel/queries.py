@@ -27,6 +27,11 @@ def r6(*names, digits=6):
     return [F.round(n, digits).alias(n) for n in names]
 
 
+def level(name):
+    """A mean of prices: moved off the exact halves at which two engines may round apart."""
+    return F.round(c(f"`{name}`") + 1e-8, 6).alias(name)
+
+
 def cleaned(spark, sf_dir) -> DataFrame:
     return technical.back_adjust(technical.clean(inputs.bars(spark, sf_dir)))
 
@@ -150,7 +155,7 @@ def monthly_grid(spark, sf_dir) -> DataFrame:
 
 @query
 def macro_release_features(spark, sf_dir):
-    return monthly_grid(spark, sf_dir).select("series", "date", *r6("value", "surprise", "chg_pct"))
+    return monthly_grid(spark, sf_dir).select("series", "date", level("value"), *r6("surprise", "chg_pct"))
 
 
 @query
@@ -176,7 +181,7 @@ def sector_factor(spark, sf_dir):
 def macro_wide(spark, sf_dir):
     names = list(LAGS)
     d = macro.wide(macro.series_features(monthly_grid(spark, sf_dir), ("2-HIGH",), {"5-LOW": 40}), names, ("2-HIGH",), {"5-LOW": 40})
-    return d.select("date", *(F.round(f"`{x}`", 6).alias(y) for x, y in (("1-URGENT", "urgent"), ("2-HIGH_pct_5d", "high_pct_5d"), ("3-MEDIUM_surprise", "medium_surprise"), ("4-NOT SPECIFIED_chg_pct", "plain_chg_pct"))), c("`5-LOW_stale`").alias("low_stale"))
+    return d.select("date", level("1-URGENT").alias("urgent"), *(F.round(f"`{x}`", 6).alias(y) for x, y in (("2-HIGH_pct_5d", "high_pct_5d"), ("3-MEDIUM_surprise", "medium_surprise"), ("4-NOT SPECIFIED_chg_pct", "plain_chg_pct"))), c("`5-LOW_stale`").alias("low_stale"))
 
 
 def whole_panel(spark, sf_dir) -> DataFrame:
@@ -189,7 +194,7 @@ def whole_panel(spark, sf_dir) -> DataFrame:
 @query
 def panel_align(spark, sf_dir):
     d = whole_panel(spark, sf_dir)
-    return d.select("ticker", "date", "sector", "funda_report_period", "is_liquid", "window_dressing_flag", F.round("close", 9).alias("close"), *r6("ret_20d", "rsi_14", "macd_hist", "pe_ttm", "bi_rate", "vix", "sector_cmdty_ret", "foreign_net", "foreign_net_zscore"))
+    return d.select("ticker", "date", "sector", "funda_report_period", "is_liquid", "window_dressing_flag", F.round("close", 9).alias("close"), *r6("ret_20d", "rsi_14", "macd_hist", "pe_ttm", "sector_cmdty_ret", "foreign_net", "foreign_net_zscore"), level("bi_rate"), level("vix"))
 
 
 @query
@@ -343,7 +348,7 @@ def first_provider(spark, sf_dir):
 def source_chain(spark, sf_dir):
     m = inputs.macro_rows(spark, sf_dir)
     rows = m.where("series < '3'").withColumn("priority", F.lit(0)).unionByName(inputs.macro_rows(spark, sf_dir, daily=True).withColumn("priority", F.lit(1)))
-    return macro.observations(macro.choose_source(rows), LAGS).select("series", "date", "effective_date", "priority", *r6("value"))
+    return macro.observations(macro.choose_source(rows), LAGS).select("series", "date", "effective_date", "priority", level("value"))
 
 
 @query
