@@ -18,8 +18,25 @@ from pitpanel.llm.shared import cut
 BLOCK, LEAST_RADIUS, SLACK = 4096, 1 / 16, 1e-9
 
 
+def _cover(points, left, radius: float, owner, rows: int = 256) -> None:
+    """Greedy cover of the points `left` (the first stays a centre) by balls around some of them; sets their owners."""
+    import numpy as np
+
+    while len(left):
+        head = left[:rows]
+        near = points[head] @ points[left].T >= 1 - radius * radius / 2
+        free = np.ones(len(left), bool)
+        for r in range(len(head)):
+            if free[r]:
+                own = near[r] & free
+                own[r] = True
+                owner[left[own]] = head[r]
+                free[own] = False
+        left = left[free]
+
+
 def build(points):
-    """Unit vectors -> (order, levels): levels of (first point, end, radius) arrays over the points in that order.
+    """Unit vectors -> (order, levels): levels of (first point, end, radius, centre) of nodes over the points in that order.
 
     The children of a node lie side by side; the last level has a node per point.
     """
@@ -27,24 +44,16 @@ def build(points):
 
     n = len(points)
     owner = np.zeros(n, np.int64)  # of each point, the centre that covers it at this level
-    chain = [owner.copy()]
-    radius = 1.0
-    while radius >= LEAST_RADIUS:
-        new = np.arange(n)
-        for centre in np.unique(owner):
-            left = np.flatnonzero(owner == centre)
-            at = centre  # the centre stays one: levels are nested
-            while len(left):
-                near = np.sqrt(np.maximum(0, 2 - 2 * (points[left] @ points[at]))) <= radius
-                near[left == at] = True
-                new[left[near]] = at
-                left = left[~near]
-                if len(left):
-                    at = left[0]
+    chain, radius = [owner], 1.0
+    while len(np.unique(owner)) < n and radius >= LEAST_RADIUS:
+        new = owner.copy()
+        by = np.argsort(owner, kind="stable")
+        for group in np.split(by, np.flatnonzero(np.diff(owner[by])) + 1):
+            if len(group) > 1:
+                centre = owner[group[0]]  # stays one: levels are nested
+                _cover(points, np.r_[centre, group[group != centre]], radius, new)
         owner = new
-        chain.append(owner.copy())
-        if len(np.unique(owner)) == n:
-            break
+        chain.append(owner)
         radius /= 2
     if len(np.unique(owner)) < n:
         chain.append(np.arange(n))
@@ -53,8 +62,7 @@ def build(points):
     for own in chain:
         own = own[order]
         first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        centres = points[own[first]]
-        gap = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", points[order], centres[np.repeat(np.arange(len(first)), np.diff(np.r_[first, n]))])))
+        gap = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", points[order], points[own])))
         levels.append((first, np.r_[first[1:], n], np.maximum.reduceat(gap, first), own[first]))
     return order, levels
 
@@ -64,32 +72,36 @@ def dual(x, y, tx, ty, cosine: float, rows: int = 512):
     import numpy as np
 
     far = np.sqrt(2 - 2 * cosine)
-    depth = max(len(tx), len(ty))
     level = lambda t, k: t[min(k, len(t) - 1)]
 
+    def points(i, j):
+        """Nodes of one point each: the cosine decides."""
+        for s in range(0, len(i), rows):
+            p, q = np.nonzero(x[i[s : s + rows]] @ y[j].T >= cosine)
+            if len(p):
+                yield i[s : s + rows][p], j[q]
+
     def walk(k: int, a, b):
-        """a, b: nodes of level k whose pairs are all open."""
+        """a, b: nodes of level k; all their pairs are open."""
         fx, ex, rx, cx = level(tx, k)
         fy, ey, ry, cy = level(ty, k)
-        for s in range(0, len(a), rows):
-            p = a[s : s + rows]
-            dots = x[cx[p]] @ y[cy[b]].T
-            if k == depth - 1:
-                i, j = np.nonzero(dots >= cosine)
-                yield cx[p][i], cy[b][j]
-                continue
-            open_ = np.sqrt(np.maximum(0, 2 - 2 * dots)) <= rx[p][:, None] + ry[b][None] + far + SLACK
-            keep_a, keep_b = open_.any(axis=1), open_.any(axis=0)
-            if not keep_a.any():
+        one_a, one_b = ex[a] - fx[a] == 1, ey[b] - fy[b] == 1
+        if one_a.any() and one_b.any():
+            yield from points(fx[a[one_a]], fy[b[one_b]])
+        for p, q in ((a[~one_a], b), (a[one_a], b[~one_b])):
+            if not len(p) or not len(q):
                 continue
-            p, q, open_ = p[keep_a], b[keep_b], open_[keep_a][:, keep_b]
             nx, ny = level(tx, k + 1)[0], level(ty, k + 1)[0]
-            if open_.mean() > 0.5:  # nearly all pairs: go down with both sides whole
-                yield from walk(k + 1, _below(nx, fx[p], ex[p]), _below(ny, fy[q], ey[q]))
-            else:
-                for g in range(len(p)):  # one node of x with all nodes of y that are open to it
-                    w = q[open_[g]]
-                    yield from walk(k + 1, _below(nx, fx[p[g : g + 1]], ex[p[g : g + 1]]), _below(ny, fy[w], ey[w]))
+            for s in range(0, len(p), rows):
+                g = p[s : s + rows]
+                gap = np.sqrt(np.maximum(0, 2 - 2 * (x[cx[g]] @ y[cy[q]].T)))
+                open_ = gap <= rx[g][:, None] + ry[q][None] + far + SLACK
+                if open_.mean() > 0.5:  # nearly all pairs: go down with both sides whole
+                    yield from walk(k + 1, _below(nx, fx[g], ex[g]), _below(ny, fy[q], ey[q]))
+                    continue
+                for i in np.flatnonzero(open_.any(axis=1)):  # one node of x with all nodes of y that are open to it
+                    w = q[open_[i]]
+                    yield from walk(k + 1, _below(nx, fx[g[i : i + 1]], ex[g[i : i + 1]]), _below(ny, fy[w], ey[w]))
 
     yield from walk(0, np.arange(len(level(tx, 0)[0])), np.arange(len(level(ty, 0)[0])))
 
