@@ -147,8 +147,8 @@ def _texts(batches):
 
 def _joined(spark: SparkSession, lines: DataFrame, cands: DataFrame, reached: DataFrame) -> DataFrame:
     """The facts of reached records that hold magic strings or go on in other blocks: their segments are put together."""
-    broken = reached.where("not whole").select("file", "at", "to")
-    parts = cands.join(F.broadcast(broken) if broken.limit(20_001).count() <= 20_000 else broken, "file").where("abs >= at and abs < to")
+    broken = reached.where("not whole").select("file", "at", F.col("to").alias("end"))
+    parts = join_small(cands.drop("to"), broken, "file", "inner").where("abs >= at and abs < end")
     parts = cut(parts.select("file", "block", "idx", "abs", "at"), "parts")
     texts = join_small(lines.mapInArrow(_texts, "file string, block long, idx int, text binary"), parts, ["file", "block", "idx"], "inner")
 
