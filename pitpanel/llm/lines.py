@@ -18,7 +18,7 @@ from pitpanel.llm.shared import WORD, cut, let
 #: Hash buckets of words whose counts order them; their number never changes.
 BUCKETS = 1 << 18
 #: Words of 64 bits in the bitmap that tells which sets take part in candidate pairs; its size never changes.
-BITMAP = 1 << 14
+BITMAP = 1 << 16
 
 
 def _literal(values: DataFrame, kind: str, size: int) -> Column:
@@ -60,37 +60,47 @@ def _bit(k: Column) -> tuple[Column, Column]:
     return k.bitwiseAND(F.lit(BITMAP - 1)), F.shiftrightunsigned(k, 20).bitwiseAND(F.lit(63)).cast("int")
 
 
-def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
-    """docs(doc_id, text, ...) -> its columns with the text's remaining lines, n_lines and n_removed (long); t = num / den.
-
-    Lines without a word never go. A null text stays null (no lines); a null doc_id comes first in the order; rows equal in
-    doc_id and text are one document and get one result; other columns pass unchanged. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    free = lambda: spark._jvm.System.gc()  # noqa: E731  shuffle files of finished steps go with their plans
-    src = docs.select("doc_id", "text").where("text is not null")
-    ranks = rarity(src)
+def _sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
+    """Different word sets: id, at (first occurrence: doc_id, h, pos, e = hash of the line), n, parity, prefix."""
     n = F.size("set")
     parity = F.aggregate("set", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
-    lines = _lines(src)
-    firsts = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
-    firsts = firsts.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), prefix.alias("prefix"))
-    sets = firsts.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    sets = cut(sets.drop("k1", "k2").withColumn("id", F.monotonically_increasing_id()), "sets")
-    free()
-    post = sets.select("id", "n", "parity", F.posexplode("prefix").alias("p", "token"))
-    a, b = post.alias("a"), post.alias("b")
-    least = F.expr(f"((a.n + b.n) * {num} + {num + den - 1}) div {num + den}")
-    pairs = a.join(b, F.col("a.token") == F.col("b.token")).where(
-        (F.col("a.id") < F.col("b.id")) & F.expr(f"a.n * {den} >= b.n * {num} and b.n * {den} >= a.n * {num}")
-        & (1 + F.least(F.col("a.n") - F.col("a.p") - 1, F.col("b.n") - F.col("b.p") - 1) >= least)
-        & (least < F.greatest("a.n", "b.n"))  # different sets share fewer words than the larger has
-        & (F.bit_count(F.col("a.parity").bitwiseXOR(F.col("b.parity"))) <= F.col("a.n") + F.col("b.n") - 2 * least)
+    rows = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
+    rows = rows.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), prefix.alias("prefix"))
+    rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
+    return cut(rows.drop("k1", "k2").withColumn("id", F.monotonically_increasing_id()), "sets")
+
+
+def _may_match(a: str, b: str, num: int, den: int) -> Column:
+    """Length, positional and parity filters, and that different sets share fewer words than the larger has."""
+    least = f"(({a}.n + {b}.n) * {num} + {num + den - 1}) div {num + den}"
+    return F.expr(
+        f"{a}.n * {den} >= {b}.n * {num} and {b}.n * {den} >= {a}.n * {num} and least({a}.n - {a}.p, {b}.n - {b}.p) >= {least} "
+        f"and {least} < greatest({a}.n, {b}.n) and bit_count({a}.parity ^ {b}.parity) <= {a}.n + {b}.n - 2 * ({least})"
     )
-    pairs = cut(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
-    free()
-    # the whole sets of those in pairs: a bitmap of fixed size leaves most other lines out before the join
+
+
+def _postings(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """A row per set and prefix word that another set's prefix has too (words by 32-bit hash: a collision costs a comparison).
+
+    id, key, n, p (place in the set), parity, first (the posting of the word with the least doc_id), ok (may match it).
+    """
+    from pyspark.sql import Window
+
+    rows = sets.select("id", "n", "parity", F.col("at.doc_id").alias("doc"), F.posexplode("prefix").alias("p", "w")).where(f"n * {2 * num} + {num} <= n * {num + den}")
+    rows = rows.select("id", F.hash("w").alias("key"), "n", "p", "parity", "doc")
+    w = Window.partitionBy("key").orderBy("doc", "id")
+    rows = rows.withColumn("first", F.first(F.struct("id", "n", "p", "parity")).over(w)).withColumn("next", F.lead("id").over(w))
+    rows = rows.where((F.col("first.id") != F.col("id")) | F.col("next").isNotNull())
+    ok = (F.col("first.id") != F.col("id")) & _may_match("s", "first", num, den)
+    return cut(rows.withColumn("s", F.struct("n", "p", "parity")).select("id", "key", "n", "p", "parity", "first", ok.alias("ok")), "postings")
+
+
+def _later(pairs: DataFrame, sets: DataFrame, lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
+    """Of each candidate pair (x, y) that is similar, the id of the later set.
+
+    The whole sets of those in pairs come from their lines; a bitmap of fixed size leaves most other lines out before the join.
+    """
     met = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
     met = cut(sets.join(met, "id").select("id", "at"), "met_sets")
     word, bit = _bit(F.col("e"))
@@ -101,13 +111,39 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     held = lines.withColumn("e", F.xxhash64("line")).where(seen).join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d")))
     held = held.groupBy("id").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "h", "pos")).alias("at"))
     held = cut(held.select("id", tokens(F.col("line"), ranks).alias("set"), "at"), "whole_sets")
-    free()
     one = lambda s: held.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"), F.col("at").alias(f"at_{s}"))
     common = F.size(F.array_intersect("set_x", "set_y"))
-    alike = pairs.join(one("x"), "x").join(one("y"), "y").where(
-        common * den >= (F.size("set_x") + F.size("set_y") - common) * num
+    alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common * den >= (F.size("set_x") + F.size("set_y") - common) * num)
+    return alike.select(F.when(F.col("at_x") > F.col("at_y"), F.col("x")).otherwise(F.col("y")).alias("id")).distinct()
+
+
+def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
+    """docs(doc_id, text, ...) -> its columns with the text's remaining lines, n_lines and n_removed (long); t = num / den.
+
+    Lines without a word never go. A null text stays null (no lines); a null doc_id comes first in the order; rows equal in
+    doc_id and text are one document and get one result; other columns pass unchanged. An empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    free = lambda: spark._jvm.System.gc()  # noqa: E731  shuffle files of finished steps go with their plans
+    src = docs.select("doc_id", "text").where("text is not null")
+    ranks = rarity(src)
+    lines = _lines(src)
+    sets = _sets(lines, ranks, num, den)
+    free()
+    posts = _postings(sets, num, den)
+    free()
+    # first the lines that resemble the earliest one with which they share a rare word, then the others with all
+    pairs = cut(posts.where("ok").select(F.col("id").alias("x"), F.col("first.id").alias("y")).distinct(), "line_pairs")
+    later = cut(_later(pairs, sets, lines, ranks, num, den), "later_lines")
+    free()
+    left = posts.join(later, "id", "left_anti").select("id", "key", "n", "p", "parity").alias("a")
+    right = posts.join(later.withColumn("late", F.lit(True)), "id", "left").select("id", "key", "n", "p", "parity", F.coalesce("late", F.lit(False)).alias("late")).alias("b")
+    pairs = left.join(right, F.col("a.key") == F.col("b.key")).where(
+        (F.col("a.id") != F.col("b.id")) & (F.col("b.late") | (F.col("a.id") < F.col("b.id"))) & _may_match("a", "b", num, den)
     )
-    later = alike.select(F.when(F.col("at_x") > F.col("at_y"), F.col("x")).otherwise(F.col("y")).alias("id")).distinct()
+    pairs = cut(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
+    free()
+    later = later.union(_later(pairs, sets, lines, ranks, num, den)).distinct()
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
     kept = cut(kept, "kept_lines")
     free()
