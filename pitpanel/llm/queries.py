@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pitpanel.llm.oracles import ORACLES
 from pitpanel.llm.shared import read_table, tokenizer_path
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def op1_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pitpanel.llm.covertree import near_vectors
@@ -100,5 +103,3 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
 QUERIES = {f.__name__: f for f in (
     op1_covertree, op2_chat_formatting, op3_simhash, op4_warc, op5_quality_rules, op6_secret_scans, op7_binary_ids, op8_mixing, op9_line_dedup, op10_packing,
 )}
-
-ORACLES: dict[str, str] = {}
