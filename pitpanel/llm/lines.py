@@ -66,7 +66,7 @@ def _sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
     parity = F.aggregate("set", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
     rows = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
-    rows = rows.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), prefix.alias("prefix"))
+    rows = rows.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), F.transform(prefix, lambda x: F.hash(x)).alias("prefix"))
     rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
     return cut(rows.drop("k1", "k2").withColumn("id", F.monotonically_increasing_id()), "sets")
 
@@ -80,20 +80,30 @@ def _may_match(a: str, b: str, num: int, den: int) -> Column:
     )
 
 
-def _postings(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """A row per set and prefix word that another set's prefix has too (words by 32-bit hash: a collision costs a comparison).
+def _postings(sets: DataFrame, num: int, den: int, *more: str) -> DataFrame:
+    """A row per set and prefix word (by 32-bit hash: a collision costs a comparison): id, key, n, p (place), parity."""
+    rows = sets.where(f"n * {2 * num} + {num} <= n * {num + den}")  # smaller sets resemble equal ones only
+    return rows.select("id", "n", "parity", *more, F.posexplode("prefix").alias("p", "key"))
 
-    id, key, n, p (place in the set), parity, first (the posting of the word with the least doc_id), ok (may match it).
-    """
+
+def _first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Of each set and rare word, the pair with the word's posting of least doc_id, if the two may match."""
     from pyspark.sql import Window
 
-    rows = sets.select("id", "n", "parity", F.col("at.doc_id").alias("doc"), F.posexplode("prefix").alias("p", "w")).where(f"n * {2 * num} + {num} <= n * {num + den}")
-    rows = rows.select("id", F.hash("w").alias("key"), "n", "p", "parity", "doc")
+    rows = _postings(sets.withColumn("doc", F.col("at.doc_id")), num, den, "doc")
     w = Window.partitionBy("key").orderBy("doc", "id")
-    rows = rows.withColumn("first", F.first(F.struct("id", "n", "p", "parity")).over(w)).withColumn("next", F.lead("id").over(w))
-    rows = rows.where((F.col("first.id") != F.col("id")) | F.col("next").isNotNull())
-    ok = (F.col("first.id") != F.col("id")) & _may_match("s", "first", num, den)
-    return cut(rows.withColumn("s", F.struct("n", "p", "parity")).select("id", "key", "n", "p", "parity", "first", ok.alias("ok")), "postings")
+    rows = rows.withColumn("b", F.first(F.struct("id", "n", "p", "parity")).over(w)).withColumn("a", F.struct("id", "n", "p", "parity"))
+    return rows.where((F.col("a.id") != F.col("b.id")) & _may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+
+
+def _other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that may match, of sets not yet known to be later ones with all others. Both sides read one exchange."""
+    rows = sets.drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+    rows = _postings(rows, num, den, "late")
+    # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
+    return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
+        "a.late < 1 + least(b.n, 0) and a.id <> b.id and (b.late + 0 * a.n = 1 or a.id < b.id)"
+    ).where(_may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
 def _later(pairs: DataFrame, sets: DataFrame, lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
@@ -130,18 +140,10 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     lines = _lines(src)
     sets = _sets(lines, ranks, num, den)
     free()
-    posts = _postings(sets, num, den)
-    free()
     # first the lines that resemble the earliest one with which they share a rare word, then the others with all
-    pairs = cut(posts.where("ok").select(F.col("id").alias("x"), F.col("first.id").alias("y")).distinct(), "line_pairs")
-    later = cut(_later(pairs, sets, lines, ranks, num, den), "later_lines")
+    later = cut(_later(cut(_first_pairs(sets, num, den), "line_pairs"), sets, lines, ranks, num, den), "later_lines")
     free()
-    left = posts.join(later, "id", "left_anti").select("id", "key", "n", "p", "parity").alias("a")
-    right = posts.join(later.withColumn("late", F.lit(True)), "id", "left").select("id", "key", "n", "p", "parity", F.coalesce("late", F.lit(False)).alias("late")).alias("b")
-    pairs = left.join(right, F.col("a.key") == F.col("b.key")).where(
-        (F.col("a.id") != F.col("b.id")) & (F.col("b.late") | (F.col("a.id") < F.col("b.id"))) & _may_match("a", "b", num, den)
-    )
-    pairs = cut(pairs.select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct(), "line_pairs")
+    pairs = cut(_other_pairs(sets, later, num, den), "line_pairs")
     free()
     later = later.union(_later(pairs, sets, lines, ranks, num, den)).distinct()
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
