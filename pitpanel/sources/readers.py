@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,8 +101,6 @@ def devalue(flat: list, at: int = 0):
 
 def statements(landed: DataFrame) -> DataFrame:
     """(ticker, freq, payload) -> ticker, freq, financial: JSON of the last data node's financialData (NULL if there is none)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(payload: pd.Series) -> pd.Series:
         import json
