@@ -16,9 +16,9 @@ from pitpanel.llm.shared import SPACE, WORD, cut
 SYMBOLS = r"[#*$%&|<>]"
 #: Rule -> (numerator, denominator, grid of cutoffs in percent); a document with a greater percentage is rejected.
 RULES = {
-    "symbols": ("n_symbols", "word_chars", (0.5, 1, 2, 3, 5, 8, 12, 20, 30)),
-    "dup_lines": ("n_dup_lines", "n_lines", (5, 10, 20, 30, 40, 50, 60, 75)),
-    "repeats": ("n_repeat_words", "n_words", (2, 5, 10, 15, 20, 30, 40, 50)),
+    "symbols": ("n_symbols", "word_chars", (0.1, 0.25, 0.5, 1, 2, 3, 5, 8, 12, 20, 30)),
+    "dup_lines": ("n_dup_lines", "n_lines", (5, 10, 15, 20, 30, 40, 50, 60, 75)),
+    "repeats": ("n_repeat_words", "n_words", (1, 2, 5, 10, 15, 20, 30, 40)),
 }
 
 
@@ -81,14 +81,15 @@ def _add(x: Column, y: Column) -> Column:
 
 
 def cutoffs(labelled: DataFrame, strata: str, risk: float, delta: float) -> DataFrame:
-    """(stratum, quality, measures) -> stratum, rule, cutoff, n good, k rejected, admissible: the whole table of tests."""
+    """(stratum, quality, measures) -> stratum, rule, cutoff, n good, k good rejected, b others rejected, admissible: all tests."""
     grid = F.explode(F.array(*(
         F.struct(F.lit(r).alias("rule"), percent(r).alias("value"), F.array(*(F.lit(float(c)) for c in g)).alias("grid"))
         for r, (_, _, g) in RULES.items()
     )))
-    good = labelled.where("quality = 1").select(F.col(strata).alias("stratum"), grid.alias("r"))
-    tests = good.select("stratum", "r.rule", "r.value", F.explode("r.grid").alias("cutoff")).groupBy("stratum", "rule", "cutoff").agg(
-        F.count("*").alias("n"), F.count_if(F.col("value") > F.col("cutoff")).alias("k")
+    rows = labelled.select(F.col(strata).alias("stratum"), (F.col("quality") == 1).alias("good"), grid.alias("r"))
+    over = F.col("value") > F.col("cutoff")
+    tests = rows.select("stratum", "good", "r.rule", "r.value", F.explode("r.grid").alias("cutoff")).groupBy("stratum", "rule", "cutoff").agg(
+        F.count_if("good").alias("n"), F.count_if(F.col("good") & over).alias("k"), F.count_if(~F.col("good") & over).alias("b")
     )
     m = tests.agg(F.count("*").alias("m"))
     tests = tests.crossJoin(F.broadcast(m))  # one row
@@ -105,7 +106,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk:
     found = cut(measures(docs).drop("text"), "measures")
     known = labels.select(F.col("doc_id").alias("_id"), "quality").where("quality is not null")
     labelled = found.where(~base_failed()).join(known, found.doc_id == F.col("_id"))
-    chosen = cutoffs(labelled, strata, risk, delta).where("admissible").groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    chosen = cutoffs(labelled, strata, risk, delta).where("admissible and b > k").groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct(F.col("b") - F.col("k"), "cutoff")).alias("cutoff"))
     chosen = chosen.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
     chosen = cut(chosen.withColumnsRenamed({r: f"_{r}" for r in RULES}), "cutoffs")
     few = chosen.limit(100_001).count() <= 100_000  # rows by stratum

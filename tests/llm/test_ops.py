@@ -191,13 +191,18 @@ def test_quality_rules(spark, sf):
     pdf = pd.DataFrame([(i, *measures(t), g) for i, t, g in d.collect()], columns=["doc_id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "lang"])
     pdf["base"] = (pdf.n_words < 50) | (100 * pdf.n_repeat_words > 50 * pdf.n_words)
     lab = pd.concat([real.toPandas(), labels.toPandas()[["doc_id", "quality"]]]).dropna()
-    good = pdf[~pdf.base].merge(lab[lab.quality == 1], on="doc_id")
+    known = pdf[~pdf.base].merge(lab, on="doc_id")
     value = lambda f, r: np.where(f[quality.RULES[r][1]] > 0, 100.0 * f[quality.RULES[r][0]] / f[quality.RULES[r][1]].clip(lower=1), 0.0)
-    tests = {(s, r, c): (len(g), int((value(g, r) > c).sum())) for s, g in good.groupby("lang") for r in quality.RULES for c in quality.RULES[r][2]}
-    cut = {}
-    for (s, r, c), (n, k) in tests.items():
-        if k < 0.05 * n and tail(k, n, 0.05) <= 0.05 / len(tests):
-            cut[s, r] = min(c, cut.get((s, r), c))
+    tests = {}
+    for s, g in known.groupby("lang"):
+        for r in quality.RULES:
+            for c in quality.RULES[r][2]:
+                good, over = g.quality == 1, value(g, r) > c
+                tests[s, r, c] = (int(good.sum()), int((good & over).sum()), int((~good & over).sum()))
+    cut, best = {}, {}
+    for (s, r, c), (n, k, b) in tests.items():
+        if b > k and k < 0.05 * n and tail(k, n, 0.05) <= 0.05 / len(tests) and (b - k, c) > best.get((s, r), (0, 0)):
+            cut[s, r], best[s, r] = c, (b - k, c)
     assert cut  # some rule is admissible
     bad = pdf.base.to_numpy().copy()
     for r in quality.RULES:
