@@ -97,12 +97,16 @@ def _first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that may match, of sets not yet known to be later ones with all others. Both sides read one exchange."""
-    rows = sets.drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
-    rows = _postings(rows, num, den, "late")
+    """Pairs that may match, of sets not yet known to be later ones with those of the same or earlier documents.
+
+    Both sides read one exchange.
+    """
+    first = F.coalesce("at.doc_id", F.lit(-(2**63)))
+    rows = sets.withColumn("doc", first).drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+    rows = _postings(rows, num, den, "late", "doc")
     # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
     return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
-        "a.late < 1 + least(b.n, 0) and a.id <> b.id and (b.late + 0 * a.n = 1 or a.id < b.id)"
+        "a.late < 1 + least(b.n, 0) and a.id <> b.id and b.doc <= a.doc"
     ).where(_may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
@@ -121,6 +125,7 @@ def _later(pairs: DataFrame, sets: DataFrame, lines: DataFrame, ranks: Column, n
     held = lines.withColumn("e", F.xxhash64("line")).where(seen).join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d")))
     held = held.groupBy("id").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "h", "pos")).alias("at"))
     held = cut(held.select("id", tokens(F.col("line"), ranks).alias("set"), "at"), "whole_sets")
+    held.sparkSession._jvm.System.gc()
     one = lambda s: held.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"), F.col("at").alias(f"at_{s}"))
     common = F.size(F.array_intersect("set_x", "set_y"))
     alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common * den >= (F.size("set_x") + F.size("set_y") - common) * num)
