@@ -180,11 +180,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     cands = raw.join(blocks.drop("consumed"), ["file", "block"]).withColumn("abs", F.col("base") + F.col("start")).withColumn("to", F.col("base") + F.col("next"))
     cands = cands.withColumn("out", F.col("base") + F.col("exit"))
     # pointer jumping: after k rounds `seen` holds the entries within 2^k - 1 jumps of a file's start, `jumps` leads 2^k on
-    jumps, seen = cands.where("next is not null").select("file", "abs", "out"), cands.where("abs = 0 and next is not null").select("file", "abs")
-    seen, n, old = cut(seen, "entries"), -1, []
+    sound = cands.where("next is not null")
+    jumps = cut(sound.select("file", "abs", "out").join(sound.select("file", F.col("abs").alias("out")), ["file", "out"], "left_semi"), "jumps")
+    seen, n, old = cut(sound.where("abs = 0").select("file", "abs"), "entries"), -1, []
     while (now := seen.count()) > n:
         n = now
-        ahead = seen.join(jumps, ["file", "abs"]).select("file", F.col("out").alias("abs")).join(jumps.select("file", "abs"), ["file", "abs"], "left_semi")
+        ahead = seen.join(jumps, ["file", "abs"]).select("file", F.col("out").alias("abs"))
         a, b = new_path(spark, "entries"), new_path(spark, "jumps")
         seen.unionByName(ahead).distinct().write.parquet(a)
         far = jumps.select("file", F.col("out").alias("_m"), "abs").join(jumps.select("file", F.col("abs").alias("_m"), "out"), ["file", "_m"]).select("file", "abs", "out")
