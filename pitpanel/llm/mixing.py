@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pitpanel.llm.shared import SPACE, WORD, cut, let
 
 #: Most words of a shard (on average), of a block, and the blocks wanted of a small corpus.
-SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 16
+SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 14
 WEIGHTS = (3, 1, 2)
 
 
