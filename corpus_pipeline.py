@@ -24,8 +24,9 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: fingerprints of five-word shingles at 3 or fewer differing bits."""
-    return simhash.keep_one(docs, width=5)
+    """One document of each group of near copies stays: fingerprints of five-word shingles at 3 or fewer differing bits,
+    or sets of five-word shingles of a Jaccard similarity of 0.8 or more."""
+    return simhash.keep_one(docs, width=5, alike=(8, 10))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

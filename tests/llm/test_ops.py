@@ -128,6 +128,42 @@ def test_simhash_links(spark):
     assert got == {(x, y) for i, x in enumerate(fps) for y in fps[i + 1 :] if ((x ^ y) % 2**64).bit_count() <= 3}
 
 
+def shingles(text, width=5):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
+
+
+def test_simhash_alike(spark):
+    r = np.random.RandomState(4)
+    vocab = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(60):  # texts with copies at about 0.95 down to 0.7, and chains of copies of copies
+        w = list(r.choice(vocab, r.randint(120, 400)))
+        rows.append((i * 10, " ".join(w)))
+        for k in range(1, 6):
+            v = list(w)
+            for at in r.choice(len(v), max(1, len(v) * k // 170), replace=False):
+                v[at] = f"z{r.randint(10**9)}"
+            rows.append((i * 10 + k, " ".join(v)))
+            w = v if i % 3 == 0 else w
+    rows += [(5000, None), (5001, ""), (5002, "One two"), (5003, "oNE  two"), (5004, "a b c d e f"), (5005, "b c d e f g"), (5006, "w " * 3000), (3, rows[3][1]), (None, rows[4][1]), (None, "alone and null here"), (0, rows[60][1])]
+    assert len({i for i, _ in rows}) == len(rows) - 3
+    got = simhash.near_duplicates(docs(spark, rows), 5, alike=(8, 10)).collect()
+    fps, sets = [fingerprint(t, 5) for _, t in rows], [shingles(t) for _, t in rows]
+    alike = lambda a, b: 10 * len(a & b) >= 8 * len(a | b) > 0
+    bits = lambda i, j: (fps[i] ^ fps[j]).bit_count() <= 3
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i)]
+    assert sum(alike(sets[i], sets[j]) and not bits(i, j) for i, j in pairs) > 100
+    comp = union(range(len(rows)), [(i, j) for i, j in pairs if bits(i, j) or alike(sets[i], sets[j])])
+    least = collections.defaultdict(list)
+    for i, (d, _) in enumerate(rows):
+        least[comp[i]] += [d] if d is not None else []
+    assert sorted((str(x.doc_id), x.fp % 2**64, str(x.component_id)) for x in got) == sorted((str(d), fps[i], str(min(least[comp[i]], default=None))) for i, (d, _) in enumerate(rows))
+    kept = simhash.keep_one(docs(spark, rows), 5, alike=(8, 10)).collect()
+    assert {x.doc_id for x in kept if x.doc_id is not None} == {min(v) for v in least.values() if v}
+    assert simhash.near_duplicates(docs(spark, []), 5, alike=(8, 10)).count() == 0
+
+
 # 4 ------------------------------------------------------------------------------------------------------------------
 def pages_brute(rows, least=100):
     first = {}
