@@ -1,8 +1,9 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
-Each (source, shard) holds its documents in a seeded order as one stream of words, cut into blocks of equal length.
-In each shard, the blocks that the mix takes are given to sources by highest quotients target / (2k + 1); a source's blocks
-are then chosen in a seeded order, all of them once before any is taken twice.
+Each source has shards of its own, by its size, each with its documents in a seeded order as one stream of words, cut into
+blocks of equal length (short ones in a small source). The blocks that the mix takes of a source, by its target, are given to
+its streams by highest quotients share / (2k + 1); a stream's blocks are then chosen in a seeded order, all of them once
+before any is taken twice. A source thus meets its target to a block and what the last blocks of its streams lack.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm.shared import SPACE, WORD, cut, let
 
-#: Most words of a shard (on average), of a block, and the blocks wanted of a small corpus.
-SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 14
+#: Most words of a source's shard (on average), of a block, and the blocks wanted of a small source.
+SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 12
 WEIGHTS = (3, 1, 2)
 
 
@@ -41,51 +42,57 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float =
     return s.select("source", "source_size", F.least("cap", F.coalesce(F.col("w") * level, F.col("cap"))).alias("target"))
 
 
+def quotas(streams: DataFrame, most: float = 2.0) -> DataFrame:
+    """(source, shard, words, source_size, target, block) -> with blocks and quota, the Sainte-Lague seats of each stream.
+
+    A source has round(target / block) seats, a stream at most `most` times its blocks. Of a source with n streams and Q
+    seats, a stream's seats are near q = share / block: those below q - w are its own, and the places to q + w compete.
+    """
+    of = Window.partitionBy("source")
+    s = streams.withColumn("blocks", F.ceil(F.col("words") / F.col("block")).cast("int")).withColumn("q", F.col("target") * F.col("words") / F.col("source_size") / F.col("block"))
+    s = s.withColumn("all", F.round(F.col("target") / F.col("block")).cast("long")).withColumn("w", F.ceil(F.col("q") * F.count("*").over(of) / F.greatest("all", F.lit(1))) + 2)
+    s = s.withColumn("base", F.greatest(F.floor("q") - F.col("w"), F.lit(0))).withColumn("top", F.least(F.floor("q") + F.col("w"), F.ceil(F.col("blocks") * F.lit(float(most)))))
+    s = s.withColumn("open", F.col("all") - F.sum("base").over(of))
+    offers = s.where("top > base").withColumn("k", F.explode(F.sequence("base", F.col("top") - 1)))
+    rank = of.orderBy(F.desc(F.col("q") / (2 * F.col("k") + 1)), "shard", "k")
+    won = offers.withColumn("rank", F.row_number().over(rank)).withColumn("won", (F.col("rank") <= F.col("open")).cast("int"))
+    return won.groupBy("source", "shard").agg(F.first("blocks").alias("blocks"), (F.first("base") + F.sum("won")).cast("int").alias("quota"))
+
+
 def plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """docs(doc_id, text, source) -> one row per row: doc_id, source, h (hash of the text), size, source_size, target, taken, at, block, copies.
 
-    The row lies at words [at, at + size) of its stream; `copies` holds how often the mix takes each block of `block` words
+    The row lies at words [at, at + size) of its stream; `copies` holds how often the mix takes each block of `block` words (by source)
     that it touches (null without words). Null texts have size 0, a null source is a source of its own, repeated rows are
     rows of their own, other columns are ignored, an empty table gives an empty table. Texts are not shuffled.
     """
     rows = cut(docs.select("doc_id", "source", F.xxhash64("text").alias("h"), n_words(F.col("text")).alias("size")), "sizes")
     by_source = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
-    total = by_source.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
-    shards, block = -(-total // SHARD_WORDS) or 1, max(1, min(BLOCK_WORDS, total // LEAST_BLOCKS))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(shards)).cast("int"))
+    per = F.col("source_size")
+    by_source = by_source.withColumn("shards", F.greatest(F.ceil(per / F.lit(SHARD_WORDS)), F.lit(1))).withColumn(
+        "block", F.greatest(F.least(F.lit(BLOCK_WORDS), F.floor(per / F.lit(LEAST_BLOCKS))), F.lit(1)).cast("long")
+    )
+    few = by_source.limit(10_001).count() <= 10_000
+    rows = rows.join(F.broadcast(by_source) if few else by_source, rows.source.eqNullSafe(by_source.source)).drop(by_source.source)
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("shards")).cast("int"))
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed + 1), "doc_id"), "doc_id", "size", "h")
     rows = rows.withColumn("at", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    streams = rows.groupBy("source", "shard").agg(F.sum("size").alias("words"))
-    streams = streams.join(by_source, streams.source.eqNullSafe(by_source.source)).drop(by_source.source).where("words > 0")
-    streams = streams.withColumn("share", F.col("target") * F.col("words") / F.col("source_size")).withColumn(
-        "blocks", F.ceil(F.col("words") / F.lit(block)).cast("int")
-    )
-    # highest quotients: a stream offers share / (2k + 1) for its k-th block, at most `most` times its blocks
-    offers = streams.select("source", "shard", "share", F.explode(
-        F.sequence(F.lit(0), F.col("blocks") * F.lit(int(most)) - 1)
-    ).alias("k")).withColumn("q", F.col("share") / (2 * F.col("k") + 1))
-    seats = streams.groupBy("shard").agg((F.sum("share") / F.lit(block)).alias("seats"))
-    rank = Window.partitionBy("shard").orderBy(F.desc("q"), F.col("source").asc_nulls_last(), "k")
-    won = offers.withColumn("rank", F.row_number().over(rank)).join(seats, "shard").where("rank <= round(seats)")
-    quotas = won.groupBy("source", "shard").agg(F.count("*").cast("int").alias("quota"))
-    s = streams.alias("s").join(quotas.alias("q"), (F.col("s.shard") == F.col("q.shard")) & F.col("s.source").eqNullSafe(F.col("q.source")), "left").select(
-        "s.source", "s.shard", "s.blocks", F.coalesce("q.quota", F.lit(0)).alias("quota")
-    )
+    streams = rows.groupBy("source", "shard").agg(F.sum("size").alias("words"), *(F.first(c).alias(c) for c in ("source_size", "target", "block")))
+    s = quotas(streams.where("words > 0"), most)
     # every block quota div blocks times, and the first quota mod blocks in seeded order once more
     ids = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.xxhash64(F.lit(seed + 2), "source", "shard", j).alias("h"), j.alias("j")))
     once, more = F.expr("quota div blocks").cast("int"), F.col("quota") % F.col("blocks")
     s = s.select("source", "shard", let(ids, lambda x: let(
         F.get(F.array_sort(x), more - 1), lambda last: F.transform(x, lambda y: once + F.coalesce(y <= last, F.lit(False)).cast("int"))
     )).alias("copies"))
-    out = rows.alias("r").join(s.alias("s"), (F.col("r.shard") == F.col("s.shard")) & F.col("r.source").eqNullSafe(F.col("s.source")), "left").join(
-        F.broadcast(by_source).alias("t") if by_source.limit(10_001).count() <= 10_000 else by_source.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source"))
-    )
-    first, last = F.expr(f"r.at div {block}").cast("int"), F.expr(f"(r.at + r.size - 1) div {block}").cast("int")
+    out = rows.alias("r").join(s.alias("s"), (F.col("r.shard") == F.col("s.shard")) & F.col("r.source").eqNullSafe(F.col("s.source")), "left")
+    block = F.col("r.block")
+    first, last = F.expr("r.at div r.block").cast("int"), F.expr("(r.at + r.size - 1) div r.block").cast("int")
     held = F.transform(F.sequence(first, last), lambda j: F.get(F.col("s.copies"), j) * (
         F.least((j + 1).cast("long") * block, F.col("r.at") + F.col("r.size")) - F.greatest(j.cast("long") * block, F.col("r.at"))
     ))
     taken = F.when(F.col("r.size") > 0, F.aggregate(held, F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(F.lit(0).cast("long"))
-    return out.select("r.doc_id", "r.source", "r.h", "r.size", "t.source_size", "t.target", taken.alias("taken"), "r.at", F.lit(block).cast("long").alias("block"), F.when(
+    return out.select("r.doc_id", "r.source", "r.h", "r.size", "r.source_size", "r.target", taken.alias("taken"), "r.at", "r.block", F.when(
         F.col("r.size") > 0, F.slice("s.copies", first + 1, last - first + 1)
     ).alias("copies"))
 

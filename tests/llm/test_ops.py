@@ -408,6 +408,37 @@ def test_mixing(spark, sf):
     assert mixing.plan(docs(spark, [])).count() == 0
 
 
+def test_mixing_small_source(spark, monkeypatch):
+    """A small source of short texts beside large ones, over many shards, meets its target as the others do."""
+    big = [(i, "w " * 200_000, "en", f"big{i % 2}") for i in range(30)]
+    rows = big + [(1000 + i, "a b c d " * 5, "en", "small") for i in range(100)] + [(3000, "one text of some words", "en", "tiny")]
+    for shard_words in (mixing.SHARD_WORDS, 1 << 12):
+        monkeypatch.setattr(mixing, "SHARD_WORDS", shard_words)
+        use = rows if shard_words > 1 << 12 else [(i, t[:4000], *r) for i, t, *r in rows] + [(5000 + i, "e f " * (i % 90), "en", "mid") for i in range(900)]
+        size, taken = collections.Counter(), collections.Counter()
+        for _, t, _, s in use:
+            size[s] += len(t.split())
+        for r in mixing.plan(docs(spark, use)).collect():
+            taken[r.source] += r.taken
+        want = fill(size)
+        assert all(abs(taken[s] - want[s]) <= max(2, 0.02 * want[s]) for s in size), (taken, want)
+
+
+def test_mixing_quotas(spark):
+    r = np.random.RandomState(6)
+    rows = []
+    for s, (n, top, block, part) in enumerate([(1, 900, 7, 1.3), (40, 3000, 16, 0.7), (60, 40, 8, 1.1), (25, 20000, 256, 2.0), (30, 300, 256, 0.1)]):
+        words = [int(x) for x in r.randint(1, top, n)] + [top * 9]
+        rows += [(f"s{s}", i, w, sum(words), part * sum(words), block) for i, w in enumerate(words)]
+    df = spark.createDataFrame(rows, "source string, shard int, words long, source_size long, target double, block long")
+    got = {(x.source, x.shard): x.quota for x in mixing.quotas(df).collect()}
+    for s in {x[0] for x in rows}:
+        mine = [x for x in rows if x[0] == s]
+        offers = sorted(((-(x[4] * x[2] / x[3] / x[5]) / (2 * k + 1), x[1], k) for x in mine for k in range(2 * -(-x[2] // x[5]))))
+        want = collections.Counter(i for _, i, _ in offers[: round(mine[0][4] / mine[0][5])])
+        assert {i: got[s, i] for _, i, *_ in mine} == {x[1]: want[x[1]] for x in mine}
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------
 def lines_brute(rows):
     """Rows (doc_id, text) distinct -> doc_id, text: remaining text."""
