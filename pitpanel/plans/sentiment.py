@@ -37,13 +37,15 @@ def entities(universe: DataFrame, s: Sentiment = Sentiment()) -> DataFrame:
     return universe.select("ticker", "sector", F.substring_index("ticker", ".", 1).alias("code"), F.when(F.length(F.replace(name, F.lit(" "), F.lit(""))) >= s.min_name, name).alias("name"))
 
 
-def match_entities(rows: DataFrame, ents: DataFrame, key: str = "doc_id", longest: int = 4) -> DataFrame:
+def match_entities(rows: DataFrame, ents: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, ticker) once per article and company that it names: its code as a word of the text (case counts), or its name
-    as words of the text's normal form. Words and runs of up to `longest` words are joined by equality, not compared pair by pair."""
+    as words of the text's normal form. Words and runs of as many words as any name has are joined by equality, not compared
+    pair by pair; the lengths of names are looked up when the plan is made."""
     codes = rows.select(key, F.explode(F.array_distinct(F.split("text", "[^A-Za-z0-9_]+"))).alias("code")).where("code <> ''")
     by_code = codes.join(ents.where("code <> ''").select("ticker", "code"), "code").select(key, "ticker")
     words = F.split(normal_name(c("text")), " ")
-    names = rows.select(key, F.explode(grams(words, longest)).alias("name"))
+    lengths = sorted(r.n for r in ents.where("name is not null").select(F.size(F.split("name", " ")).alias("n")).distinct().collect())
+    names = rows.select(key, F.explode(grams(words, lengths or [1])).alias("name"))
     by_name = names.join(ents.where("name is not null").select("ticker", "name"), "name").select(key, "ticker")
     return by_code.unionByName(by_name).distinct()
 

@@ -219,3 +219,15 @@ def test_query_matches_sql(spark, sf, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_long_names(spark):
+    """Names are found whole whatever their length, and not by their first words."""
+    names = [("BJBR.JK", "PT Bank Pembangunan Daerah Jawa Barat dan Banten Tbk"), ("BBCA.JK", "Bank Central"), ("X.JK", "abc")]
+    ents = sentiment.entities(spark.createDataFrame([(*n, "s") for n in names], "ticker string, name string, sector string"))
+    name = {r.ticker: r.name for r in ents.collect()}
+    assert len(name["BJBR.JK"].split()) > 4
+    texts = [(1, f"Laba {name['BJBR.JK'].upper()}, naik"), (2, " ".join(name["BJBR.JK"].split()[:4]) + " lain"), (3, name["BJBR.JK"]), (4, f"kata {name['BBCA.JK']} x"), (5, "")]
+    got = sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents).collect()
+    assert sorted(map(tuple, got)) == [(1, "BJBR.JK"), (3, "BJBR.JK"), (4, "BBCA.JK")]
+    assert sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents.where("false")).count() == 0
