@@ -287,6 +287,18 @@ def test_secrets(spark, sf):
     assert secrets.scan_history(docs(spark, [])).count() == 0
 
 
+def test_secrets_widened(spark):
+    """A version of a rule that covers more finds it, also in texts that the older version has seen."""
+    rows = [(1, "x 0123456789abcdef y"), (2, "AKIA" + "B" * 12), (3, "ghx_" + "z" * 36), (4, "credential=hunter22"), (5, "a 0123456789abcdef01234567")]
+    ledger = new_path(spark, "ledger")
+    first = {r.doc_id: len(r.spans) for r in secrets.scan_history(docs(spark, rows), ledger).collect()}
+    assert first == {1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+    rules = secrets.RULES | {"hex": (r"[0-9a-f]+", 0, 16), "access": (r"AKIA[A-Z0-9]+", 0, 16), "github": (r"gh[pousrx]_[A-Za-z0-9]+", 0, 40), "assign": (r"((?i:credential))(=)(.+)", 3, 6)}
+    kinds = list(rules)
+    got = {r.doc_id: {kinds[s.kind] for s in r.spans} for r in secrets.scan_history(docs(spark, rows), ledger, rules).collect()}
+    assert got == {1: {"hex"}, 2: {"access"}, 3: {"github"}, 4: {"assign"}, 5: {"hex"}}
+
+
 # 7, 10 --------------------------------------------------------------------------------------------------------------
 def ids_of(path, text, end=2):
     from tokenizers import Tokenizer
