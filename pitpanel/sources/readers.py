@@ -195,12 +195,15 @@ def feed(spark: SparkSession, path: str, source: str, lang: str, feed_url: str,
 
 
 def snapshots(index: DataFrame, per_run: int = 5000) -> DataFrame:
-    """(feed_url, timestamp, statuscode) of an archive index -> at most one good snapshot per feed and day, oldest first."""
+    """(feed_url, timestamp, statuscode) of an archive index -> at most one good snapshot per feed and day, oldest first, and
+    at most `per_run` of each feed."""
     from pyspark.sql import Window
 
     d = index.where("statuscode = '200'").withColumn("day", F.substring("timestamp", 1, 8))
     w = Window.partitionBy("feed_url", "day").orderBy("timestamp")
-    return d.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "day").orderBy("timestamp").limit(per_run)
+    d = d.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("day")
+    w = Window.partitionBy("feed_url").orderBy("timestamp")
+    return d.withColumn("_n", F.row_number().over(w)).where(c("_n") <= per_run).drop("_n").orderBy("timestamp")
 
 
 def backfill_backend(name: str) -> str:

@@ -140,3 +140,10 @@ def test_stages_end_to_end(spark, tmp_path):
     assert panel.where("ticker = 'A.JK' and sector_cmdty_ret is not null").count() > 0
     assert {r.level for r in store.get("sentimen").collect()} == {"stock", "market", "sector"}
     assert store.get("coverage").where(F.col("rows") == 140).count() == 1
+
+
+def test_snapshots_per_feed(spark):
+    rows = [(f, f"2020010{d}{h}0000", code) for f in "ab" for d in range(1, 6) for h, code in (("01", "200"), ("02", "200"), ("00", "404"))]
+    got = readers.snapshots(spark.createDataFrame(rows, "feed_url string, timestamp string, statuscode string"), per_run=3).collect()
+    assert sorted((r.feed_url, r.timestamp) for r in got) == [(f, f"2020010{d}010000") for f in "ab" for d in (1, 2, 3)]
+    assert [r.timestamp for r in got] == sorted(r.timestamp for r in got)
