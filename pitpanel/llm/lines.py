@@ -1,172 +1,206 @@
 """Line dedup by an exact set-similarity join, with Spark expressions only.
 
-A line is the set of its words. Words are hashes led by 8 bits of how frequent the word is at most (the count of its hash
-bucket over the corpus, on a logarithmic scale), so that sorting puts rare words first. Lines with equal sets are one row; two different
-sets of Jaccard similarity at least t share a word among their first n - ceil(t n) + 1 words (prefix filter), have similar
-sizes (length filter), enough words left behind that one (positional filter), and parity sketches of 64 bits that differ in
-no more bits than the sets may differ in words; what passes is verified on the whole sets. A line goes if an earlier line
-(by doc_id, then place) has an equal or similar set, whether or not that one stays itself.
+A line is the set of its words. Words are hashes led by 7 bits of how frequent the word is at most (the count of its hash
+bucket over the corpus, on a logarithmic scale), so that sorting puts rare words first. Lines with equal sets are one row;
+two different sets of Jaccard similarity at least t share a word among their first n - ceil(t n) + 1 words (prefix filter),
+have similar sizes (length filter), enough words left behind that one (positional filter), and parity sketches of 64 bits
+(128 or 256 in larger sets) that differ in no more bits than the sets may differ in words; what passes is verified on the
+words themselves. A line goes if an earlier line (by doc_id, then place) has an equal or similar set, whether or not that
+one stays itself.
+
+Groups of near copies are met first: each set meets, for each of its rarest words, the word's first set and the sets just
+before its own. Only sets for which that finds no earlier match meet all earlier sets, so that no group is joined with itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import WORD, cut, let
+from pitpanel.llm.shared import WORD, Scratch, let
 
 #: Hash buckets of words whose counts order them; their number never changes.
 BUCKETS = 1 << 18
-#: Words of 64 bits in the bitmap that tells which sets take part in candidate pairs; its size never changes.
+#: Words of 64 bits in the bitmap that tells which lines take part in candidate pairs; its size never changes.
 BITMAP = 1 << 16
+#: Rare words by which a set meets near copies first, and how many sets before its own.
+FIRST, BACK = 3, 3
+#: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
+SIZES = (64, 192)
+SKETCH = ("s0", "s1", "s2", "s3")
 
 
-def _literal(values: DataFrame, kind: str, size: int) -> Column:
-    """(i, v) with i below `size`, a fixed number -> one constant array of v by i, 0 where there is none."""
-    row = values.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: F.concat_ws(":", x["i"], x["v"])), ",").alias("s")).first()["s"]
-    out = ["0"] * size
-    for x in filter(None, (row or "").split(",")):
-        i, v = x.split(":")
-        out[int(i)] = v
-    return F.split(F.lit(",".join(out)), ",").cast(f"array<{kind}>")
+def units(line: Column) -> Column:
+    """A line cut at blanks, after other white space has become blanks where there is any: its words and empty strings."""
+    other = "\t\x0b\x0c\r"
+    odd = F.contains(line, F.lit(other[0]))
+    for c in other[1:]:
+        odd = odd | F.contains(line, F.lit(c))
+    return F.split(F.when(odd, F.translate(line, other, " " * len(other))).otherwise(line), " ", -1)
 
 
 def words(line: Column) -> Column:
-    """The words of a line (or text): cut at blanks, after other white space has become blanks where there is any."""
-    even = F.when(line.rlike(r"[\x09-\x0D]"), F.regexp_replace(line, r"[\x09-\x0D]", " ")).otherwise(line)
-    return F.array_remove(F.split(even, " ", -1), "")
+    return F.array_remove(units(line), "")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """Of each hash bucket, 8 log2 of how many words of the corpus fall into it, at most 255: a constant array."""
-    of = docs.select(F.explode(words(F.col("text"))).alias("w")).groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("i")).agg(F.count("*").alias("n"))
-    return _literal(of.select("i", F.least(F.lit(255), F.floor(F.log2(F.col("n").cast("double")) * 8)).alias("v")), "bigint", BUCKETS)
+    """Of each hash bucket, 4 log2 of how many words of the corpus fall into it, at most 127: a constant array of fixed size.
+
+    The table passes through the driver: 2^18 small numbers, whatever the corpus.
+    """
+    of = docs.select(F.explode(F.split("text", "\n", -1)).alias("line")).select(F.explode(units(F.col("line"))).alias("w")).where("w <> ''")
+    of = of.groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).alias("i")).agg(F.count("*").alias("n"))
+    out = ["0"] * BUCKETS
+    for i, v in of.select("i", F.least(F.lit(127), F.floor(F.log2(F.col("n").cast("double")) * 4)).cast("int")).toPandas().itertuples(index=False):
+        out[i] = str(v)
+    return F.split(F.lit(",".join(out)), ",").cast("array<bigint>")
 
 
 def tokens(line: Column, ranks: Column) -> Column:
     hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
     return F.sort_array(F.transform(hashes, lambda h: F.call_function(
-        "shiftleft", F.element_at(ranks, (h.bitwiseAND(F.lit(BUCKETS - 1)) + 1).cast("int")), F.lit(55)
-    ).bitwiseOR(F.shiftrightunsigned(h, 9))))
+        "shiftleft", F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1))), F.lit(56)
+    ).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, h, pos, line of every line with a word."""
+def split_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, h (hash of the text), pos, line of every line with a word."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.split("text", "\n", -1).alias("parts"))
     return rows.select("doc_id", "h", F.posexplode("parts").alias("pos", "line")).where(F.col("line").rlike(WORD))
 
 
-def _bit(k: Column) -> tuple[Column, Column]:
-    return k.bitwiseAND(F.lit(BITMAP - 1)), F.shiftrightunsigned(k, 20).bitwiseAND(F.lit(63)).cast("int")
+def sketch(n: Column) -> list[Column]:
+    """Parities of the words by hash: 64 of them, 128 or 256 in larger sets; those unused are 0."""
+    def of(part):
+        return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    def held(mask: int, k: int):
+        return of(F.filter("set", lambda x: x.bitwiseAND(F.lit(mask << 6)) == k << 6))
 
+    none, (one, two) = F.lit(0).cast("long"), SIZES
+    return [
+        F.when(n <= one, of(F.col("set"))).when(n <= two, held(1, 0)).otherwise(held(3, 0)).alias("s0"),
+        F.when(n <= one, none).when(n <= two, held(1, 1)).otherwise(held(3, 1)).alias("s1"),
+        F.when(n <= two, none).otherwise(held(3, 2)).alias("s2"),
+        F.when(n <= two, none).otherwise(held(3, 3)).alias("s3"),
+    ]
 
-def _sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
-    """Different word sets: id, at (first occurrence: doc_id, h, pos, e = hash of the line), n, parity, prefix."""
+
+def line_sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
+    """Different word sets: id, in the order of `at` (first occurrence: doc_id, h, pos), e (hash of that line), n, sketch, prefix."""
     n = F.size("set")
-    parity = F.aggregate("set", F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
     rows = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
-    rows = rows.select(F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"), n.alias("n"), parity.alias("parity"), F.transform(prefix, lambda x: F.hash(x)).alias("prefix"))
-    rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.first("n").alias("n"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix"))
-    return cut(rows.drop("k1", "k2").withColumn("id", F.monotonically_increasing_id()), "sets")
+    rows = rows.select(
+        F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"),
+        n.alias("n"), *sketch(n), F.transform(prefix, lambda x: F.hash(x)).alias("prefix"),
+    )
+    rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", *SKETCH, "prefix")))
+    rows = rows.drop("k1", "k2").repartitionByRange("at").sortWithinPartitions("at")
+    return rows.withColumn("id", F.monotonically_increasing_id())
 
 
-def _may_match(a: str, b: str, num: int, den: int) -> Column:
-    """Length, positional and parity filters, and that different sets share fewer words than the larger has."""
+def may_match(a: str, b: str, num: int, den: int) -> str:
+    """Length, positional and sketch filters, and that different sets share fewer words than the larger has."""
     least = f"(({a}.n + {b}.n) * {num} + {num + den - 1}) div {num + den}"
-    return F.expr(
+    most = f"{a}.n + {b}.n - 2 * ({least})"
+    both = lambda *c: "bit_count(" + " ^ ".join(f"{x}.{k}" for x in (a, b) for k in c) + ")"
+    one, two = SIZES
+    return (
         f"{a}.n * {den} >= {b}.n * {num} and {b}.n * {den} >= {a}.n * {num} and least({a}.n - {a}.p, {b}.n - {b}.p) >= {least} "
-        f"and {least} < greatest({a}.n, {b}.n) and bit_count({a}.parity ^ {b}.parity) <= {a}.n + {b}.n - 2 * ({least})"
+        f"and {least} < greatest({a}.n, {b}.n) and {both(*SKETCH)} <= {most} "
+        f"and (least({a}.n, {b}.n) <= {one} or {both('s0', 's2')} + {both('s1', 's3')} <= {most}) "
+        f"and (least({a}.n, {b}.n) <= {two} or {' + '.join(both(s) for s in SKETCH)} <= {most})"
     )
 
 
-def _postings(sets: DataFrame, num: int, den: int, *more: str) -> DataFrame:
-    """A row per set and prefix word (by 32-bit hash: a collision costs a comparison): id, key, n, p (place), parity."""
+def postings(sets: DataFrame, num: int, den: int, prefix, *more: str) -> DataFrame:
+    """A row per set and prefix word (by 32-bit hash: a collision costs a comparison): id, key, n, p (place), sketch."""
     rows = sets.where(f"n * {2 * num} + {num} <= n * {num + den}")  # smaller sets resemble equal ones only
-    return rows.select("id", "n", "parity", *more, F.posexplode("prefix").alias("p", "key"))
-
+    return rows.select("id", "n", *SKETCH, *more, F.posexplode(prefix).alias("p", "key"))
 
-def _first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of each set and rare word, the pair with the word's posting of least doc_id, if the two may match."""
-    from pyspark.sql import Window
 
-    rows = _postings(sets.withColumn("doc", F.col("at.doc_id")), num, den, "doc")
-    w = Window.partitionBy("key").orderBy("doc", "id")
-    rows = rows.withColumn("b", F.first(F.struct("id", "n", "p", "parity")).over(w)).withColumn("a", F.struct("id", "n", "p", "parity"))
-    return rows.where((F.col("a.id") != F.col("b.id")) & _may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+def first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Of each set and each of its rarest words, the pairs that may match with the word's first set and those just before."""
+    rows = postings(sets, num, den, F.slice("prefix", 1, FIRST))
+    w = Window.partitionBy("key").orderBy("id")
+    own = F.struct("id", "n", "p", *SKETCH)
+    met = F.array(F.first(own).over(w), *(F.lag(own, k).over(w) for k in range(1, BACK + 1)))
+    rows = rows.select(own.alias("a"), met.alias("met")).select("a", F.explode("met").alias("b")).where("b.id < a.id")
+    return rows.where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
-def _other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that may match, of sets not yet known to be later ones with those of the same or earlier documents.
-
-    Both sides read one exchange.
-    """
-    first = F.coalesce("at.doc_id", F.lit(-(2**63)))
-    rows = sets.withColumn("doc", first).drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
-    rows = _postings(rows, num, den, "late", "doc")
+def other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that may match, of sets not yet known to be later ones with all earlier sets. Both sides read one exchange."""
+    rows = sets.drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+    rows = postings(rows, num, den, F.col("prefix"), "late")
     # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
     return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
-        "a.late < 1 + least(b.n, 0) and a.id <> b.id and b.doc <= a.doc"
-    ).where(_may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+        "a.late < 1 + least(b.n, 0) and b.id < a.id"
+    ).where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
-def _later(pairs: DataFrame, sets: DataFrame, lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
-    """Of each candidate pair (x, y) that is similar, the id of the later set.
+def later_sets(scratch: Scratch, pairs: DataFrame, sets: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
+    """Of the candidate pairs (x, y), x behind y, those x that are similar to y, by the words of the lines themselves.
 
-    The whole sets of those in pairs come from their lines; a bitmap of fixed size leaves most other lines out before the join.
+    The lines of the sets in pairs come from the texts; a bitmap of fixed size leaves most other lines out before the join.
     """
-    met = pairs.select(F.col("x").alias("id")).union(pairs.select("y")).distinct()
-    met = cut(sets.join(met, "id").select("id", "at"), "met_sets")
-    word, bit = _bit(F.col("e"))
-    marks = met.select(F.col("at.e").alias("e")).select(word.alias("i"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("m"))
-    marks = _literal(marks.groupBy("i").agg(F.bit_or("m").alias("v")), "bigint", BITMAP)
-    seen = F.call_function("shiftrightunsigned", F.element_at(marks, (word + 1).cast("int")), bit).bitwiseAND(F.lit(1)) == 1
-    wanted = met.select("id", F.col("at.doc_id").alias("d"), F.col("at.h").alias("h"), F.col("at.pos").alias("pos"))
+    met = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
+    met = scratch.cut(sets.join(met, "id").select("id", "at.doc_id", "at.h", "at.pos", "at.e"), "met_sets")
+    word = F.col("e").bitwiseAND(F.lit(BITMAP - 1))
+    bit = F.shiftrightunsigned("e", 20).bitwiseAND(F.lit(63)).cast("int")
+    marks = met.groupBy(word.alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("m"))
+    whole = sets.sparkSession.range(BITMAP).withColumnRenamed("id", "i").join(marks, "i", "left").groupBy().agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", F.lit(0)).alias("m")))), lambda x: x["m"]).alias("marks")
+    )
+    marks = scratch.cut(whole, "marks").scalar()
+    seen = F.call_function("shiftrightunsigned", F.get(marks, word.cast("int")), bit).bitwiseAND(F.lit(1)) == 1
+    wanted = met.select("id", F.col("doc_id").alias("d"), "h", "pos")
     held = lines.withColumn("e", F.xxhash64("line")).where(seen).join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d")))
-    held = held.groupBy("id").agg(F.first("line").alias("line"), F.min(F.struct("doc_id", "h", "pos")).alias("at"))
-    held = cut(held.select("id", tokens(F.col("line"), ranks).alias("set"), "at"), "whole_sets")
-    held.sparkSession._jvm.System.gc()
-    one = lambda s: held.select(F.col("id").alias(s), F.col("set").alias(f"set_{s}"), F.col("at").alias(f"at_{s}"))
+    held = scratch.cut(held.groupBy("id").agg(F.first("line").alias("line")), "met_lines")
+    one = lambda s: held.select(F.col("id").alias(s), F.array_distinct(words(F.col("line"))).alias(f"set_{s}"))
     common = F.size(F.array_intersect("set_x", "set_y"))
     alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common * den >= (F.size("set_x") + F.size("set_y") - common) * num)
-    return alike.select(F.when(F.col("at_x") > F.col("at_y"), F.col("x")).otherwise(F.col("y")).alias("id")).distinct()
+    out = scratch.cut(alike.select(F.col("x").alias("id")).distinct(), "later")
+    scratch.drop("met_sets", "marks", "met_lines")
+    return out
 
 
 def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     """docs(doc_id, text, ...) -> its columns with the text's remaining lines, n_lines and n_removed (long); t = num / den.
 
     Lines without a word never go. A null text stays null (no lines); a null doc_id comes first in the order; rows equal in
-    doc_id and text are one document and get one result; other columns pass unchanged. An empty table gives no rows.
+    doc_id and text are one document and get one result; other columns pass unchanged, whatever their names, but for
+    n_lines and n_removed, which the new ones replace. An empty table gives no rows. Words are told apart by 56-bit hashes
+    where sets are found equal, by themselves where they are found similar.
     """
-    spark = docs.sparkSession
-    free = lambda: spark._jvm.System.gc()  # noqa: E731  shuffle files of finished steps go with their plans
+    scratch = Scratch(docs.sparkSession)
     src = docs.select("doc_id", "text").where("text is not null")
-    ranks = rarity(src)
-    lines = _lines(src)
-    sets = _sets(lines, ranks, num, den)
-    free()
-    # first the lines that resemble the earliest one with which they share a rare word, then the others with all
-    later = cut(_later(cut(_first_pairs(sets, num, den), "line_pairs"), sets, lines, ranks, num, den), "later_lines")
-    free()
-    pairs = cut(_other_pairs(sets, later, num, den), "line_pairs")
-    free()
-    later = later.union(_later(pairs, sets, lines, ranks, num, den)).distinct()
+    lines = split_lines(src)
+    sets = scratch.cut(line_sets(lines, rarity(src), num, den), "sets")
+    pairs = scratch.cut(first_pairs(sets, num, den), "line_pairs")
+    later = later_sets(scratch, pairs, sets, lines, num, den)
+    scratch.drop("line_pairs")
+    pairs = scratch.cut(other_pairs(sets, later, num, den), "line_pairs")
+    later = later.union(later_sets(scratch, pairs, sets, lines, num, den))
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
-    kept = cut(kept, "kept_lines")
-    free()
-    all_ = docs.withColumn("_h", F.xxhash64("text")).alias("d")
-    out = all_.join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._h") == F.col("k.h")), "left")
-    out = out.select("d.*", F.coalesce("k.kept", F.array().cast("array<int>")).alias("_kept")).drop("_h")
+    kept = scratch.cut(kept, "kept_lines")
+    scratch.drop("line_pairs", "later", "sets")
+
+    given = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64("text").alias("h"))
+    out = given.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.h") == F.col("k.h")), "left")
+    out = out.select("d.row", "d.text", F.coalesce("k.kept", F.array().cast("array<int>")).alias("kept"))
 
     def rest(parts: Column) -> Column:
-        gone = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_kept"))
+        gone = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("kept"))
         stay = F.filter(gone, lambda i: ~F.get(parts, i).rlike(WORD))
-        order = F.array_sort(F.concat(F.col("_kept"), stay))
+        order = F.array_sort(F.concat(F.col("kept"), stay))
         return F.struct(F.transform(order, lambda i: F.get(parts, i)).alias("lines"), F.size(parts).alias("n"))
 
-    out = out.withColumn("_r", let(F.split("text", "\n", -1), rest))
-    cols = [F.array_join("_r.lines", "\n").alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return out.select(
-        *cols, F.coalesce(F.col("_r.n"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.col("_r.n") - F.size("_r.lines"), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    out = out.withColumn("rest", let(F.split("text", "\n", -1), rest))
+    new = {
+        "text": F.array_join("rest.lines", "\n"), "n_lines": F.coalesce(F.col("rest.n"), F.lit(0)).cast("long"),
+        "n_removed": F.coalesce(F.col("rest.n") - F.size("rest.lines"), F.lit(0)).cast("long"),
+    }
+    same = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return out.select(*(new[c].alias(c) if c in new else F.col("row").getField(c).alias(c) for c in [*same, "n_lines", "n_removed"]))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +15,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Folder of each local session that names none.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Where the session names none, one is made (local runs, tests)."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share. A local session (tests) that names none gets one; a cluster must name it."""
+    there = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not there:
-        there = spark.sparkContext.getCheckpointDir()
-    if not there:
-        there = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", there)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        there = _LOCAL.get(spark.sparkContext.applicationId) or "file://" + tempfile.mkdtemp(prefix="shared-")
+        _LOCAL[spark.sparkContext.applicationId] = there
     return there.rstrip("/")
 
 
@@ -28,11 +34,43 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Within it, the shuffle files of each query go when the query ends, not when the driver happens to collect garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def write(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_end(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: lineage ends there, and a lost executor loses nothing."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return write(df, new_path(df.sparkSession, name))
+
+
+class Scratch:
+    """Tables of one run, dropped by name as soon as the run is through with them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def cut(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.setdefault(name, []).append(new_path(self.spark, name))
+        return write(df, self.paths[name][-1])
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self.paths.pop(name, []):
+                drop_path(self.spark, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
