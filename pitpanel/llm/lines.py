@@ -26,7 +26,7 @@ BITMAP = 1 << 16
 #: Rare words by which a set meets near copies first, and how many sets before its own.
 FIRST, BACK = 3, 3
 #: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
-SIZES = (64, 192)
+SIZES = (48, 144)
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -56,11 +56,13 @@ def rarity(docs: DataFrame) -> Column:
     return F.split(F.lit(",".join(out)), ",").cast("array<bigint>")
 
 
-def tokens(line: Column, ranks: Column) -> Column:
-    hashes = F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: F.call_function(
-        "shiftleft", F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1))), F.lit(56)
-    ).bitwiseOR(F.shiftrightunsigned(h, 8))))
+def hashes(line: Column) -> Column:
+    return F.sort_array(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))))
+
+
+def by_rarity(hashed: Column, ranks: Column) -> Column:
+    rank = lambda h: F.coalesce(F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1))), F.lit(0))  # noqa: E731  never null: sorts as plain longs
+    return F.sort_array(F.transform(hashed, lambda h: F.call_function("shiftleft", rank(h), F.lit(56)).bitwiseOR(F.shiftrightunsigned(h, 8))))
 
 
 def split_lines(docs: DataFrame) -> DataFrame:
@@ -69,20 +71,24 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", F.posexplode("parts").alias("pos", "line")).where(F.col("line").rlike(WORD))
 
 
-def sketch(n: Column) -> list[Column]:
-    """Parities of the words by hash: 64 of them, 128 or 256 in larger sets; those unused are 0."""
-    def of(part):
-        return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+def sketch(hashed: str) -> list[Column]:
+    """Parities of the words by the last bits of their hashes: 64 of them; in larger sets as many in each half or quarter of
+    the hashes, which are sorted. Those unused are 0."""
+    n, none, (one, two) = F.size(hashed), F.lit(0).cast("long"), SIZES
 
-    def held(mask: int, k: int):
-        return of(F.filter("set", lambda x: x.bitwiseAND(F.lit(mask << 6)) == k << 6))
+    def below(bound: int) -> Column:
+        return F.array_position(F.sort_array(F.concat(hashed, F.array(F.lit(bound).cast("long")))), F.lit(bound).cast("long")).cast("int") - 1
 
-    none, (one, two) = F.lit(0).cast("long"), SIZES
+    def of(first: Column, end: Column) -> Column:
+        part = F.slice(hashed, first + 1, end - first)
+        return F.aggregate(part, none, lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    zero, low, half, high = F.lit(0), below(-(2**62)), below(0), below(2**62)
     return [
-        F.when(n <= one, of(F.col("set"))).when(n <= two, held(1, 0)).otherwise(held(3, 0)).alias("s0"),
-        F.when(n <= one, none).when(n <= two, held(1, 1)).otherwise(held(3, 1)).alias("s1"),
-        F.when(n <= two, none).otherwise(held(3, 2)).alias("s2"),
-        F.when(n <= two, none).otherwise(held(3, 3)).alias("s3"),
+        F.when(n <= one, of(zero, n)).when(n <= two, of(zero, half)).otherwise(of(zero, low)).alias("s0"),
+        F.when(n <= one, none).when(n <= two, of(half, n)).otherwise(of(low, half)).alias("s1"),
+        F.when(n <= two, none).otherwise(of(half, high)).alias("s2"),
+        F.when(n <= two, none).otherwise(of(high, n)).alias("s3"),
     ]
 
 
@@ -90,27 +96,34 @@ def line_sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
     """Different word sets: id, in the order of `at` (first occurrence: doc_id, h, pos), e (hash of that line), n, sketch, prefix."""
     n = F.size("set")
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
-    rows = lines.select("doc_id", "h", "pos", F.xxhash64("line").alias("e"), tokens(F.col("line"), ranks).alias("set"))
+    at = F.struct("doc_id", "h", "pos", F.xxhash64("line").alias("e")).alias("at")
+    rows = lines.select(at, hashes(F.col("line")).alias("hashed")).select("at", "hashed", by_rarity(F.col("hashed"), ranks).alias("set"))
     rows = rows.select(
-        F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), F.struct("doc_id", "h", "pos", "e").alias("at"),
-        n.alias("n"), *sketch(n), F.transform(prefix, lambda x: F.hash(x)).alias("prefix"),
+        F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), "at", n.alias("n"), *sketch("hashed"),
+        F.transform(prefix, lambda x: F.hash(x)).alias("prefix"),
     )
     rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", *SKETCH, "prefix")))
     rows = rows.drop("k1", "k2").repartitionByRange("at").sortWithinPartitions("at")
     return rows.withColumn("id", F.monotonically_increasing_id())
 
 
+def apart(a: str, b: str) -> str:
+    """Bits in which the sketches differ, at the coarser of their sizes: at most the words in which the sets differ."""
+    one, two = SIZES
+    # quarters 0 and 1 make the lower half; a set of two words has its halves in s0 and s1
+    half = lambda x, i: f"if({x}.n > {two}, {x}.s{2 * i} ^ {x}.s{2 * i + 1}, {x}.s{i})"
+    whole = "bit_count(" + " ^ ".join(f"{x}.{s}" for x in (a, b) for s in SKETCH) + ")"
+    halves = " + ".join(f"bit_count({half(a, i)} ^ {half(b, i)})" for i in (0, 1))
+    quarters = " + ".join(f"bit_count({a}.{s} ^ {b}.{s})" for s in SKETCH)
+    return f"(case when least({a}.n, {b}.n) <= {one} then {whole} when least({a}.n, {b}.n) <= {two} then {halves} else {quarters} end)"
+
+
 def may_match(a: str, b: str, num: int, den: int) -> str:
     """Length, positional and sketch filters, and that different sets share fewer words than the larger has."""
     least = f"(({a}.n + {b}.n) * {num} + {num + den - 1}) div {num + den}"
-    most = f"{a}.n + {b}.n - 2 * ({least})"
-    both = lambda *c: "bit_count(" + " ^ ".join(f"{x}.{k}" for x in (a, b) for k in c) + ")"
-    one, two = SIZES
     return (
         f"{a}.n * {den} >= {b}.n * {num} and {b}.n * {den} >= {a}.n * {num} and least({a}.n - {a}.p, {b}.n - {b}.p) >= {least} "
-        f"and {least} < greatest({a}.n, {b}.n) and {both(*SKETCH)} <= {most} "
-        f"and (least({a}.n, {b}.n) <= {one} or {both('s0', 's2')} + {both('s1', 's3')} <= {most}) "
-        f"and (least({a}.n, {b}.n) <= {two} or {' + '.join(both(s) for s in SKETCH)} <= {most})"
+        f"and {least} < greatest({a}.n, {b}.n) and {apart(a, b)} <= {a}.n + {b}.n - 2 * ({least})"
     )
 
 
@@ -127,12 +140,16 @@ def first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
     own = F.struct("id", "n", "p", *SKETCH)
     met = F.array(F.first(own).over(w), *(F.lag(own, k).over(w) for k in range(1, BACK + 1)))
     rows = rows.select(own.alias("a"), met.alias("met")).select("a", F.explode("met").alias("b")).where("b.id < a.id")
-    return rows.where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+    # one match is enough, the nearest is tried; a set for which that fails meets all earlier sets afterwards
+    near = F.min_by("b.id", F.struct(F.expr(apart("a", "b")), -F.col("b.id")))
+    return rows.where(may_match("a", "b", num, den)).groupBy(F.col("a.id").alias("x")).agg(near.alias("y"))
 
 
-def other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
+def other_pairs(scratch: Scratch, sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that may match, of sets not yet known to be later ones with all earlier sets. Both sides read one exchange."""
-    rows = sets.drop("at").join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+    held, rows = bitmap(scratch, later, "id"), sets.drop("at")
+    some = rows.where(held("id")).join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
+    rows = rows.where(~held("id")).withColumn("late", F.lit(0)).unionByName(some)
     rows = postings(rows, num, den, F.col("prefix"), "late")
     # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
     return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
@@ -140,29 +157,45 @@ def other_pairs(sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFr
     ).where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
 
 
+def bitmap(scratch: Scratch, keys: DataFrame, name: str):
+    """A test of columns of longs that all of the `keys` pass, and most others do not while the keys are fewer than the bits.
+
+    It leaves rows out before a join and decides nothing. Its size is fixed; it reaches the tasks as a scalar subquery.
+    """
+    def place(k: str) -> tuple[Column, Column]:
+        x = F.xxhash64(F.lit(7), k)
+        return x.bitwiseAND(F.lit(BITMAP - 1)), F.shiftrightunsigned(x, 20).bitwiseAND(F.lit(63)).cast("int")
+
+    word, bit = place(name)
+    marks = keys.groupBy(word.alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("m"))
+    all_ = keys.sparkSession.range(BITMAP).withColumnRenamed("id", "i").join(marks, "i", "left")
+    listed = F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", F.lit(0)).alias("m"))))
+    marks = scratch.cut(all_.groupBy().agg(F.transform(listed, lambda x: x["m"]).alias("marks")), "marks").scalar()
+
+    def test(k: str) -> Column:
+        word, bit = place(k)
+        return F.call_function("shiftrightunsigned", F.get(marks, word.cast("int")), bit).bitwiseAND(F.lit(1)) == 1
+
+    return test
+
+
 def later_sets(scratch: Scratch, pairs: DataFrame, sets: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
     """Of the candidate pairs (x, y), x behind y, those x that are similar to y, by the words of the lines themselves.
 
-    The lines of the sets in pairs come from the texts; a bitmap of fixed size leaves most other lines out before the join.
+    The lines of the sets in pairs come from the texts; bitmaps leave most other sets and lines out before the joins.
     """
-    met = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    met = scratch.cut(sets.join(met, "id").select("id", "at.doc_id", "at.h", "at.pos", "at.e"), "met_sets")
-    word = F.col("e").bitwiseAND(F.lit(BITMAP - 1))
-    bit = F.shiftrightunsigned("e", 20).bitwiseAND(F.lit(63)).cast("int")
-    marks = met.groupBy(word.alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("m"))
-    whole = sets.sparkSession.range(BITMAP).withColumnRenamed("id", "i").join(marks, "i", "left").groupBy().agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("m", F.lit(0)).alias("m")))), lambda x: x["m"]).alias("marks")
-    )
-    marks = scratch.cut(whole, "marks").scalar()
-    seen = F.call_function("shiftrightunsigned", F.get(marks, word.cast("int")), bit).bitwiseAND(F.lit(1)) == 1
+    met = scratch.cut(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "met_ids")
+    met = sets.where(bitmap(scratch, met, "id")("id")).join(met, "id").select("id", "at.doc_id", "at.h", "at.pos", "at.e")
+    met = scratch.cut(met, "met_sets")
     wanted = met.select("id", F.col("doc_id").alias("d"), "h", "pos")
-    held = lines.withColumn("e", F.xxhash64("line")).where(seen).join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d")))
-    held = scratch.cut(held.groupBy("id").agg(F.first("line").alias("line")), "met_lines")
+    held = lines.withColumn("e", F.xxhash64("line")).where(bitmap(scratch, met, "e")("e")).join(wanted, ["h", "pos"])
+    held = held.where(F.col("doc_id").eqNullSafe(F.col("d"))).groupBy("id").agg(F.first("line").alias("line"))
+    held = scratch.cut(held, "met_lines")
     one = lambda s: held.select(F.col("id").alias(s), F.array_distinct(words(F.col("line"))).alias(f"set_{s}"))
     common = F.size(F.array_intersect("set_x", "set_y"))
     alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common * den >= (F.size("set_x") + F.size("set_y") - common) * num)
     out = scratch.cut(alike.select(F.col("x").alias("id")).distinct(), "later")
-    scratch.drop("met_sets", "marks", "met_lines")
+    scratch.drop("met_ids", "met_sets", "met_lines", "marks")
     return out
 
 
@@ -181,14 +214,15 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     pairs = scratch.cut(first_pairs(sets, num, den), "line_pairs")
     later = later_sets(scratch, pairs, sets, lines, num, den)
     scratch.drop("line_pairs")
-    pairs = scratch.cut(other_pairs(sets, later, num, den), "line_pairs")
+    pairs = scratch.cut(other_pairs(scratch, sets, later, num, den), "line_pairs")
     later = later.union(later_sets(scratch, pairs, sets, lines, num, den))
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
     kept = scratch.cut(kept, "kept_lines")
-    scratch.drop("line_pairs", "later", "sets")
+    scratch.drop("line_pairs", "later", "sets", "marks")
 
     given = docs.select(F.struct("*").alias("row"), "doc_id", "text", F.xxhash64("text").alias("h"))
-    out = given.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.h") == F.col("k.h")), "left")
+    # a hash table of places by document, so that texts are dealt out but not sorted
+    out = given.alias("d").join(kept.alias("k").hint("shuffle_hash"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d.h") == F.col("k.h")), "left")
     out = out.select("d.row", "d.text", F.coalesce("k.kept", F.array().cast("array<int>")).alias("kept"))
 
     def rest(parts: Column) -> Column:
