@@ -1,7 +1,8 @@
 """Secret scans over a history of texts by an incremental ledger of blobs, with Spark expressions only.
 
 Every version of a text is a blob, addressed by its SHA-256. The ledger (Parquet, appended to) holds, per blob, the rules
-(with version) that have scanned it and the spans they found. A scan reads only blobs that some rule version has not seen,
+(with version) that have scanned it and the spans they found; a span's kind is its rule's place among the rules of the scan
+that reads it. A scan reads only blobs that some rule version has not seen,
 one copy of each, and joins the findings of the ledger back to all paths. Spans count code points, ends exclusive.
 """
 
@@ -10,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import cut, let, new_path
+from pitpanel.llm.shared import cut, join_small, let, new_path, shuffles_end
 
 #: kind -> (pattern, group whose length counts, least length); the order breaks ties of spans at the same start.
 RULES = {
@@ -20,7 +21,7 @@ RULES = {
     "github": (r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     "slack": (r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
     "jwt": (r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
-    "pem": (r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 20),
+    "pem": (r"-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----", 0, 20),
 }
 #: Patterns that a text must hold for the rule of RULES to find anything; cheaper to look for. Other versions go without.
 NEEDS = {
@@ -28,6 +29,7 @@ NEEDS = {
     "github": r"gh[pousr]_", "slack": r"xox[abprs]-", "jwt": r"eyJ", "pem": r"-----BEGIN ",
 }
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
+PLACES = "array<struct<start:bigint,end:bigint>>"
 
 
 def rule_keys(rules: dict = RULES) -> dict[str, str]:
@@ -38,25 +40,24 @@ def rule_keys(rules: dict = RULES) -> dict[str, str]:
 
 
 def spans(text: Column, kind: str, rules: dict = RULES) -> Column:
-    """The kept matches of a rule: what lies between matches and the matches themselves give all places."""
+    """The kept matches of a rule (start, end): what lies between matches and the matches themselves give all places."""
     pattern, group, least = rules[kind]
-    place = list(rules).index(kind)
     hits = F.arrays_zip(
         F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length).alias("n"),
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length).alias("key"),
     )
     found = let(hits, lambda h: F.aggregate(
-        h, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(SPANS).alias("out")),
+        h, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(PLACES).alias("out")),
         lambda a, x: F.struct(
             (a["at"] + x["gap"] + F.coalesce(x["n"], F.lit(0))).alias("at"),
             F.when(x["key"] >= least, F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["gap"]).alias("start"), F.lit(place).alias("kind"), (a["at"] + x["gap"] + x["n"]).alias("end")
+                (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end")
             )))).otherwise(a["out"]).alias("out"),
         ),
     )["out"])
     known = kind in NEEDS and rules[kind] == RULES[kind]
-    return F.when(text.rlike(NEEDS[kind]) if known else F.lit(True), found).otherwise(F.array().cast(SPANS))
+    return F.when(text.rlike(NEEDS[kind]) if known else F.lit(True), found).otherwise(F.array().cast(PLACES))
 
 
 def read_ledger(spark, ledger: str, rules: dict) -> DataFrame | None:
@@ -66,9 +67,12 @@ def read_ledger(spark, ledger: str, rules: dict) -> DataFrame | None:
         return None
     keys = F.array(*map(F.lit, rule_keys(rules).values()))
     rows = spark.read.parquet(ledger).select("blob", F.map_filter("found", lambda k, _: F.array_contains(keys, k)).alias("found"))
+    own = F.flatten(F.transform(F.map_entries("found"), lambda e: F.transform(e["value"], lambda s: F.struct(
+        s["start"].alias("start"), (F.array_position(keys, e["key"]) - 1).cast("int").alias("kind"), s["end"].alias("end")
+    ))))
     return rows.groupBy("blob").agg(
         F.array_distinct(F.flatten(F.collect_list(F.map_keys("found")))).alias("seen"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.flatten(F.map_values("found")))))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(own)))).alias("spans"),
     )
 
 
@@ -82,20 +86,26 @@ def scan_history(versions: DataFrame, ledger: str | None = None, rules: dict = R
     ledger = ledger or new_path(spark, "ledger")
     keys = rule_keys(rules)
     text = F.coalesce("text", F.lit(""))
-    paths = cut(versions.select("doc_id", F.unhex(F.sha2(text, 256)).alias("blob")), "paths")
+    blob = F.unhex(F.sha2(text, 256))
+    paths = cut(versions.select("doc_id", blob.alias("blob")), "paths")
     known = read_ledger(spark, ledger, rules)
-    blobs = paths.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
+    # a blob that many paths share is scanned by the row of its least doc_id
+    blobs = paths.groupBy("blob").agg(F.min("doc_id").alias("first"))
     every = F.array(*map(F.lit, keys.values()))
     if known is not None:
         blobs = blobs.join(known, "blob", "left").withColumn("todo", F.array_except(every, F.coalesce("seen", F.array().cast("array<string>"))))
     else:
         blobs = blobs.withColumn("todo", every)
-    todo = blobs.where(F.size("todo") > 0).select(F.col("doc_id").alias("_id"), "blob", "todo")
-    src = versions.select("doc_id", text.alias("text"))
-    src = src.join(todo, F.col("doc_id").eqNullSafe(F.col("_id"))).where(F.unhex(F.sha2("text", 256)) == F.col("blob"))
+    todo = blobs.where(F.size("todo") > 0).select("blob", "first", "todo")
+    src = versions.select("doc_id", text.alias("text"), blob.alias("blob"), F.coalesce("doc_id", F.lit(0)).alias("at"), F.isnull("doc_id").alias("none"))
+    todo = todo.select("blob", "todo", F.coalesce("first", F.lit(0)).alias("at"), F.isnull("first").alias("none"))
+    src = src.join(todo, ["blob", "at", "none"])
     found = F.map_from_arrays(every, F.array(*(
         F.when(F.array_contains("todo", key), spans(F.col("text"), kind, rules)) for kind, key in keys.items()
     )))
-    src.select("blob", F.map_filter(found, lambda _, v: v.isNotNull()).alias("found")).write.mode("append").parquet(ledger)
+    rows = src.select("blob", F.map_filter(found, lambda _, v: v.isNotNull()).alias("found"))
+    with shuffles_end(spark):
+        rows.write.mode("append").parquet(ledger)
     hits = cut(read_ledger(spark, ledger, rules).where(F.size("spans") > 0).select("blob", "spans"), "hits")
-    return paths.join(hits, "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    # few blobs have findings: while they are few enough, no path is shuffled
+    return join_small(paths, hits, "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
