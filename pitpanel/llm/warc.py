@@ -63,16 +63,16 @@ def _parse(head: bytes) -> dict[str, str]:
     return {k.strip().lower().decode("latin-1"): v.strip().decode("latin-1") for k, _, v in pairs}
 
 
-def _payload(block: bytes) -> bytes:
-    head, found, body = block.partition(b"\r\n\r\n")
-    return body if found and head.startswith(b"HTTP/") else block
-
-
-def _facts(block: bytes) -> tuple[int, str]:
+def _facts(head: dict[str, str], block: bytes) -> tuple[int, str]:
+    """Bytes and digest of a record's payload: the block, without the HTTP head where Content-Type names HTTP. A revisit has
+    no payload of its own but the digest of the one that it stands for."""
     from hashlib import sha256
 
-    body = _payload(block)
-    return len(body), sha256(body).hexdigest()
+    if head.get("content-type", "").partition(";")[0].strip().lower() == "application/http":
+        block = block.partition(b"\r\n\r\n")[2]
+    if head.get("warc-type") == "revisit":
+        return len(block), head.get("warc-payload-digest", "").rpartition(":")[2]
+    return len(block), sha256(block).hexdigest()
 
 
 def _blocks(batches):
@@ -127,7 +127,7 @@ def _scan(batches):
                     row[8] = len(body) >= n
                     row[9:12] = h.get("warc-type"), h.get("warc-record-id"), h.get("warc-refers-to")
                     if row[8]:
-                        row[12:14] = _facts(body[:n])
+                        row[12:14] = _facts(h, body[:n])
                     else:
                         row[12] = n
             rows.append(row)
@@ -147,9 +147,11 @@ def _texts(batches):
 
 def _joined(spark: SparkSession, lines: DataFrame, cands: DataFrame, reached: DataFrame) -> DataFrame:
     """The facts of reached records that hold magic strings or go on in other blocks: their segments are put together."""
-    broken = reached.where("not whole").select("file", "at", F.col("to").alias("end"))
-    parts = join_small(cands.drop("to"), broken, "file", "inner").where("abs >= at and abs < end")
-    parts = cut(parts.select("file", "block", "idx", "abs", "at"), "parts")
+    broken = reached.where("not whole").select("file", F.col("at").alias("abs"), F.lit(None).cast("long").alias("block"), F.lit(None).cast("int").alias("idx"), F.struct("at", "to").alias("of"))
+    rows = cands.select("file", "abs", "block", "idx", F.lit(None).cast(broken.schema["of"].dataType).alias("of")).unionByName(broken)
+    before = Window.partitionBy("file").orderBy("abs", F.col("block").asc_nulls_first())  # a broken record, then its segments
+    rows = rows.withColumn("of", F.last("of", ignorenulls=True).over(before)).where("block is not null and abs < of.to")
+    parts = cut(rows.select("file", "block", "idx", "abs", "of.at"), "parts")
     texts = join_small(lines.mapInArrow(_texts, "file string, block long, idx int, text binary"), parts, ["file", "block", "idx"], "inner")
 
     def put(key, pdf):
@@ -158,8 +160,9 @@ def _joined(spark: SparkSession, lines: DataFrame, cands: DataFrame, reached: Da
         text = b"\r\n\r\nWARC/1.0\r\n".join(pdf.sort_values("abs")["text"])
         text = text[len(MAGIC):] if key[1] == 0 and text.startswith(MAGIC.encode()) else text
         head, _, body = text.partition(b"\r\n\r\n")
-        n = int(_parse(head)["content-length"])
-        size, digest = _facts(body[:n])
+        h = _parse(head)
+        n = int(h["content-length"])
+        size, digest = _facts(h, body[:n])
         return pd.DataFrame({"file": [key[0]], "at": [key[1]], "bytes2": [size], "digest2": [digest], "held": [len(body) >= n]})
 
     return texts.groupBy("file", "at").applyInPandas(put, "file string, at long, bytes2 long, digest2 string, held boolean")
@@ -206,12 +209,16 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Archives as write_warc makes them -> page_id, payload_bytes, payload_digest, record_type, refers_to; revisits resolved."""
+    """Archives as write_warc makes them -> page_id, payload_bytes, payload_digest, record_type, refers_to; revisits resolved.
+
+    A revisit stands for the response with the page_id it refers to and the payload digest it names.
+    """
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
     r = read_warc(spark, path).select(
         number("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), number("refers").alias("refers_to")
     )
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    first = r.where("record_type = 'response'").groupBy(F.col("page_id").alias("_p")).agg(F.max_by("payload_bytes", "payload_bytes").alias("_n"), F.max_by("payload_digest", "payload_bytes").alias("_d"))
-    again = r.where("record_type = 'revisit'").join(first, F.col("refers_to") == F.col("_p"), "left").withColumn("payload_bytes", F.col("_n")).withColumn("payload_digest", F.col("_d"))
+    first = r.where("record_type = 'response'").groupBy(F.col("page_id").alias("_p"), F.col("payload_digest").alias("_d")).agg(F.first("payload_bytes").alias("_n"))
+    on = (F.col("refers_to") == F.col("_p")) & (F.col("payload_digest") == F.col("_d"))
+    again = r.where("record_type = 'revisit'").join(first, on, "left").withColumn("payload_bytes", F.col("_n"))
     return r.where("record_type = 'response'").select(cols).unionByName(again.select(cols))

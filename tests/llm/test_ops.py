@@ -5,6 +5,7 @@ import hashlib
 import math
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -184,18 +185,43 @@ def test_warc(spark):
     inner = "WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     long = "<p>ü" * 40
     rows = [(1, "x" + inner + inner + "y"), (2, long), (3, long), (4, None), (5, ""), (6, "\r\n\r\n" + inner), (7, "ends\r\n"), (8, "\r\n\r\n" * 30 + inner), (9, long), (None, long), (10, "z" * 99), (11, "z" * 99), (12, inner[:30]), (3, long), (13, "q" * 3000 + inner)]
+    # one page_id with two payloads, each revisited; a payload that looks like an HTTP message
+    rows += [(20, "A" * 150), (20, "B" * 300), (21, "A" * 150), (22, "B" * 300), (23, "HTTP/1.1 200 OK\r\nX: y\r\n\r\n" + "C" * 100), (24, "r" * 6_000 + inner)]
     df = spark.createDataFrame([(i, f"http://h/{i}\r\nX: y", h, 1) for i, h in rows], "page_id long, url string, html string, first int")
-    for parts, size in ((1, "128m"), (2, "900b")):
+    for parts, size in ((1, "128m"), (2, "900b"), (3, "700b"), (2, "200b")):
+        use = rows if size != "200b" else [r for r in rows if r[0] != 24]
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.set("spark.sql.files.openCostInBytes", "1b")
         try:
             folder = new_path(spark, "w")
-            warc.write_warc(df.coalesce(parts) if parts == 1 else df.repartition(parts), folder)
+            d = df if use is rows else df.where("page_id is null or page_id <> 24")
+            warc.write_warc(d.coalesce(parts) if parts == 1 else d.repartition(parts), folder)
             got = sorted((tuple(r) for r in warc.read_pages(spark, folder).collect()), key=str)
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
             spark.conf.unset("spark.sql.files.openCostInBytes")
-        assert got == pages_brute(rows)
+        assert got == pages_brute(use), size
+    assert warc.read_pages(spark, new_empty(spark, df, folder)).count() == 0
+
+
+def new_empty(spark, df, folder):
+    warc.write_warc(df.where("false"), folder + "-none")
+    return folder + "-none"
+
+
+def test_warc_gzip(spark, tmp_path):
+    """Archives of gzip members, a member per record, read as plain ones do."""
+    import gzip
+
+    rows = [(i, f"{i} " * (60 + i)) for i in range(20)] + [(50, "0 " * 60)]
+    folder = new_path(spark, "w")
+    warc.write_warc(spark.createDataFrame([(i, "http://h", h) for i, h in rows], "page_id long, url string, html string").coalesce(1), folder)
+    plain = b"".join(p.read_bytes() for p in sorted(Path(folder.removeprefix("file://")).glob("part-*")))
+    records = [x for x in re.split(rb"(?=WARC/1\.0\r\n)", plain) if x]
+    assert len(records) == len(rows)
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = sorted((tuple(r) for r in warc.read_pages(spark, f"file://{tmp_path}").collect()), key=str)
+    assert got == pages_brute(rows)
 
 
 # 5 ------------------------------------------------------------------------------------------------------------------
@@ -299,6 +325,22 @@ def test_secrets_widened(spark):
     assert got == {1: {"hex"}, 2: {"access"}, 3: {"github"}, 4: {"assign"}, 5: {"hex"}}
 
 
+def test_secrets_long_and_reordered(spark):
+    """Very long texts for every rule; kinds follow the rules' order at reading; many null ids meet few blobs."""
+    bad = ["-----BEGIN " + "A " * 200_000 + "PRIVATE KEY-----", "-----BEGIN RSA PRIVATE KEY-----" * 5000, "token=" + "a" * 10**6, "AKIA" + "B" * 10**6, "0123456789abcdef" * 60_000, "ghp_" + "z" * 10**6, "xoxb-" + "1-" * 500_000, "eyJ" + "a" * 400_000 + ".eyJ" + "b" * 400_000 + "." + "c" * 400_000, "password" * 100_000]
+    rows = list(enumerate(bad)) + [(None, f"secret: abcdef{i % 3}") for i in range(3_000)]
+    ledger = new_path(spark, "ledger")
+    d = docs(spark, rows)
+    want = sorted((str(i), spans_brute(t)) for i, t in rows)
+    assert sorted((str(r.doc_id), [tuple(s) for s in r.spans]) for r in secrets.scan_history(d, ledger).collect()) == want
+    other = {"new": (r"abcdef[0-9]", 0, 7)} | dict(reversed(secrets.RULES.items()))
+    old = list(secrets.RULES)
+    for r in secrets.scan_history(docs(spark, rows[:10]), ledger, other).collect():
+        mine = sorted((s.start, list(other)[s.kind], s.end) for s in r.spans if list(other)[s.kind] != "new")
+        assert mine == sorted((a, old[k], b) for a, k, b in spans_brute(bad[r.doc_id] if r.doc_id is not None else rows[9][1]))
+        assert r.doc_id is not None or "new" in {list(other)[s.kind] for s in r.spans}
+
+
 # 7, 10 --------------------------------------------------------------------------------------------------------------
 def ids_of(path, text, end=2):
     from tokenizers import Tokenizer
@@ -487,6 +529,27 @@ def test_lines(spark, sf):
     assert lines.dedup_lines(docs(spark, [])).count() == 0
 
 
+def test_lines_near(spark):
+    """Groups of near copies of short, long and very long lines, in any order of doc_id; columns with the names used inside."""
+    r = np.random.RandomState(8)
+    rows = []
+    for g, (n, size) in enumerate([(40, 12), (25, 30), (25, 50), (20, 70), (15, 150), (10, 220), (8, 700)]):
+        base = [f"g{g}w{i}" for i in range(size)]
+        for k in range(n):
+            line = list(base)
+            for at in r.choice(size, max(1, int(size * r.uniform(0, 0.16))), replace=False):
+                line[at] = f"x{r.randint(10**9)}"
+            rows.append((int(r.randint(10**6)), " ".join(line) + f"\nown {g} {k} line of this text"))
+    assert len({i for i, _ in rows}) == len(rows)
+    names = "doc_id long, text string, h long, _h string, kept int, _kept int, pos int, line string, id long, n_lines string, k int, d int, row int, rest int"
+    df = spark.createDataFrame([(i, t, 1, "a", 2, 3, 4, "b", 5, "c", 6, 7, 8, 9) for i, t in rows], names)
+    got = lines.dedup_lines(df)
+    assert got.columns == [c for c in df.columns if c != "n_lines"] + ["n_lines", "n_removed"]
+    got, want = got.collect(), lines_brute(rows)
+    assert {(x.doc_id): x.text for x in got} == {i: t for (i, _), t in want.items()}
+    assert sum(x.n_removed for x in got) > 50 and all((x.h, x._h, x.kept, x._kept, x.pos, x.line, x.id, x.k, x.d, x.row, x.rest) == (1, "a", 2, 3, 4, "b", 5, 6, 7, 8, 9) for x in got)
+
+
 # pipeline -----------------------------------------------------------------------------------------------------------
 def test_pipeline(spark, sf):
     import corpus_pipeline as c
