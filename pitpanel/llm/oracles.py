@@ -42,6 +42,7 @@ select page_id, n as payload_bytes, d as payload_digest, case when n >= 100 and
 
 
 def _quality(risk: float = 0.02, delta: float = 0.05) -> str:
+    risk /= len(QUALITY)
     pct = lambda r, f="": f"case when {f}{QUALITY[r][1]} > 0 then 100.0::double * {f}{QUALITY[r][0]} / {f}{QUALITY[r][1]} else 0 end"
     grid = ", ".join(f"('{r}', {float(c)!r}::double)" for r, (_, _, g) in QUALITY.items() for c in g)
     value = "case t.rule " + " ".join(f"when '{r}' then {pct(r)}" for r in QUALITY) + " end"
@@ -53,7 +54,7 @@ rep as (select doc_id, count(distinct i + j) as n from (select doc_id, i, count(
 m as (select doc_id, lang, len(w) as n_words, cast(coalesce(list_sum([length(x) for x in w]), 0) as bigint) as word_chars, len(regexp_extract_all(t, '{SYMBOLS}')) as n_symbols, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n, 0) as n_repeat_words from w left join rep using (doc_id)),
 b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m),
 t(rule, cutoff) as (values {grid}),
-k as (select lang, t.rule, t.cutoff, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and {value} > t.cutoff) as k, count(*) filter (quality <> 1 and {value} > t.cutoff) as b from b join labels using (doc_id) cross join t where quality is not null and not base_failed group by 1, 2, 3),
+k as (select lang, t.rule, t.cutoff, count(*) filter (quality = 1) as n, count(*) filter (quality = 1 and {value} > t.cutoff) as k, count(*) filter (quality <> 1 and {value} > t.cutoff) as b from b join (select doc_id, min(quality) as quality from labels where quality is not null group by 1) using (doc_id) cross join t where not base_failed group by 1, 2, 3),
 a as (select lang, rule, cutoff, (select sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({risk}::double) + (n - i) * ln(1 - {risk}::double))) from (select unnest(range(0, k + 1)) as i)) as tail, count(*) over () as m, k, n, b from k),
 cut as (select lang, rule, arg_max(cutoff, struct_pack(a := b - k, c := cutoff)) as cutoff from a where b > k and k < {risk} * n and tail <= {delta} / m group by 1, 2)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not (base_failed or {bad}) as kept from b"""

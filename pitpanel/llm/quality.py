@@ -2,8 +2,11 @@
 
 Labelled documents are the holdout. For each stratum (language) and rule, candidate cutoffs form a fixed grid; a cutoff is
 admissible if the number k of good documents it rejects, out of n good ones, would be at most that low with probability
-delta / m or less were the true share of rejected good documents `risk` or more (exact binomial tail; m = all tests over
-all strata, rules and cutoffs: Bonferroni). The strictest admissible cutoff of each rule is used, none where none is.
+delta / m or less were the true share of rejected good documents `risk` / 3 or more (exact binomial tail; m = all tests
+over all strata, rules and cutoffs: Bonferroni). As each of the three rules keeps to a third of `risk`, all of them together
+reject at most `risk` of a stratum's good documents (those that pass the base rule), with probability 1 - delta. That takes
+at least log(m / delta) / -log(1 - risk / 3) good labels, about 1150 with the defaults and four strata; a stratum with fewer
+keeps to the base rule. Of a rule's admissible cutoffs, the one that rejects the most bad holdouts less good ones is used.
 """
 
 from __future__ import annotations
@@ -94,6 +97,7 @@ def cutoffs(labelled: DataFrame, strata: str, risk: float, delta: float) -> Data
     m = tests.agg(F.count("*").alias("m"))
     tests = tests.crossJoin(F.broadcast(m))  # one row
     # a share of rejected above `risk` is never admissible, which also bounds the terms
+    risk = risk / len(RULES)
     return tests.withColumn("admissible", F.when(F.col("k") < risk * F.col("n"), log_binomial_tail(F.col("k"), F.col("n"), risk) <= F.log(F.lit(delta) / F.col("m"))).otherwise(False))
 
 
@@ -101,10 +105,11 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk:
     """docs, labels(doc_id, quality) -> the measures of docs, base_failed, kept.
 
     Null texts count as empty; rows of a stratum without admissible cutoffs (also a null one) fall back on the base rule;
-    labels that repeat or contradict each other count one by one; null labels and labels without a document are ignored.
+    repeated labels of a document count once, as bad if any of them is (trials must be independent); null labels and labels
+    without a document are ignored.
     """
     found = cut(measures(docs).drop("text"), "measures")
-    known = labels.select(F.col("doc_id").alias("_id"), "quality").where("quality is not null")
+    known = labels.where("quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("quality"))
     labelled = found.where(~base_failed()).join(known, found.doc_id == F.col("_id"))
     chosen = cutoffs(labelled, strata, risk, delta).where("admissible and b > k").groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct(F.col("b") - F.col("k"), "cutoff")).alias("cutoff"))
     chosen = chosen.groupBy("stratum").pivot("rule", list(RULES)).agg(F.first("cutoff"))
@@ -118,8 +123,9 @@ def apply_rules(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, strata: str = "lang", risk: float = 0.02, delta: float = 0.05) -> DataFrame:
-    """The rows of docs that are kept, with their columns. Equal ids with different texts are judged one by one."""
-    key = F.xxhash64("text")
-    judged = apply_rules(docs.select("doc_id", "text", strata).withColumn("_h", key), labels, strata, risk, delta)
-    bad = judged.where("not kept").select(F.col("doc_id").alias("_i"), F.col("_h").alias("_k")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_i")) & (key == F.col("_k")), "left_anti")
+    """The rows of docs that are kept, with their columns, whatever their names. Equal ids with different texts are judged one by one."""
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("h"))
+    judged = apply_rules(docs.select("doc_id", "text", strata, F.xxhash64("text").alias("h")), labels, strata, risk, delta)
+    bad = judged.where("not kept").select("doc_id", "h").distinct()
+    on = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.h") == F.col("b.h"))
+    return rows.alias("d").join(bad.alias("b"), on, "left_anti").select("d.row.*")
