@@ -1,7 +1,7 @@
 """Mixing sources to target weights by Sainte-Lague apportionment of equal-token blocks.
 
 Each source has shards of its own, by its size, each with its documents in a seeded order as one stream of words, cut into
-blocks of equal length (short ones in a small source). The blocks that the mix takes of a source, by its target, are given to
+blocks of equal length, about 4096 of them in every shard of every source. The blocks that the mix takes of a source, by its target, are given to
 its streams by highest quotients share / (2k + 1); a stream's blocks are then chosen in a seeded order, all of them once
 before any is taken twice. A source thus meets its target to a block and what the last blocks of its streams lack.
 """
@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from pitpanel.llm.shared import SPACE, WORD, cut, let
 
-#: Most words of a source's shard (on average), of a block, and the blocks wanted of a small source.
-SHARD_WORDS, BLOCK_WORDS, LEAST_BLOCKS = 1 << 20, 256, 1 << 12
+#: Most words of a source's shard (on average), and the blocks of a shard (if it has as many words).
+SHARD_WORDS, SHARD_BLOCKS = 1 << 20, 1 << 12
 WEIGHTS = (3, 1, 2)
 
 
@@ -70,7 +70,7 @@ def plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, mo
     by_source = cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
     per = F.col("source_size")
     by_source = by_source.withColumn("shards", F.greatest(F.ceil(per / F.lit(SHARD_WORDS)), F.lit(1))).withColumn(
-        "block", F.greatest(F.least(F.lit(BLOCK_WORDS), F.floor(per / F.lit(LEAST_BLOCKS))), F.lit(1)).cast("long")
+        "block", F.greatest(F.ceil(per / F.col("shards") / F.lit(SHARD_BLOCKS)), F.lit(1)).cast("long")
     )
     few = by_source.limit(10_001).count() <= 10_000
     rows = rows.join(F.broadcast(by_source) if few else by_source, rows.source.eqNullSafe(by_source.source)).drop(by_source.source)
@@ -100,19 +100,19 @@ def plan(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, mo
 def mixed(docs: DataFrame, seed: int = 7, weights=WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """The mix itself: docs' columns, a row for each copy of a document, its text the words whose blocks that copy takes.
 
-    A text that is taken whole stays as it is; rows of which nothing is taken go.
+    A text that is taken whole stays as it is; rows of which nothing is taken go. Columns may have any names.
     """
-    chosen = cut(plan(docs, seed, weights, share, most).where("taken > 0"), "mix_plan")
-    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("h").alias("_hash"), "at", "block", "copies")
-    rows = docs.withColumn("_h", F.xxhash64("text"))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_h") == F.col("_hash"))
-    if chosen.groupBy("_id", "_source", "_hash").count().where("count > 1").limit(1).count():  # repeated rows: one to one
-        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id", "source", "_h").orderBy("_h")))
-        chosen = chosen.withColumn("_m", F.row_number().over(Window.partitionBy("_id", "_source", "_hash").orderBy("at")))
-        on = on & (F.col("_n") == F.col("_m"))
-    once = chosen.withColumn("copy", F.explode(F.sequence(F.lit(1), F.array_max("copies"))))
+    chosen = cut(plan(docs, seed, weights, share, most).where("taken > 0"), "mix_plan").alias("c")
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "source", "text", F.xxhash64("text").alias("h"))
+    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & F.col("d.source").eqNullSafe(F.col("c.source")) & (F.col("d.h") == F.col("c.h"))
+    if chosen.groupBy("doc_id", "source", "h").count().where("count > 1").limit(1).count():  # repeated rows: one to one
+        rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "h").orderBy("h")))
+        chosen = chosen.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "source", "h").orderBy("at"))).alias("c")
+        on = on & (F.col("d.n") == F.col("c.n"))
+    met = rows.alias("d").join(chosen, on).select("d.row", "d.text", "c.at", "c.block", "c.copies")
+    once = met.withColumn("copy", F.explode(F.sequence(F.lit(1), F.array_max("copies"))))
     words = F.regexp_extract_all("text", F.lit(f"(?:{SPACE})?{WORD}"), F.lit(0))
     place = lambda i: (F.floor((F.col("at") + i) / F.col("block")) - F.floor(F.col("at") / F.col("block"))).cast("int")
     part = F.ltrim(F.array_join(F.filter(words, lambda w, i: F.get("copies", place(i)) >= F.col("copy")), ""))
     text = F.when(F.array_min("copies") >= F.col("copy"), F.col("text")).otherwise(part)
-    return rows.join(once, on).select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    return once.select(*(text.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns))
