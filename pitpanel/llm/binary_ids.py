@@ -137,7 +137,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = 2, folder: str | No
     return shards.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long"))
 
 
-def _read(docs: int):
+def _read(docs: int, request: int = 1 << 22):
     def run(batches):
         import json
         import zlib
@@ -162,11 +162,15 @@ def _read(docs: int):
                         j = min(ends.n, i + docs)
                         to = ends.select(i, j).tolist()
                         own = [None] * max(0, min(j, nulls) - i) + [base + x for x in ids.select(max(0, i - nulls), max(0, j - nulls)).tolist()]
-                        rows = []
-                        for doc, e in zip(own, to):
-                            own_ids = np.frombuffer(f.read_at(width * (e - at), len(MAGIC) + width * at), f"<u{width}")
-                            rows.append((doc, start + at, e - at, zlib.crc32(own_ids.astype("<u4"))))
-                            at = e
+                        rows, k, to_ = [], 0, np.array(to)
+                        while k < len(to):  # a run of documents by one request, of `request` bytes or the next document's
+                            last = max(k + 1, int(np.searchsorted(to_, at + request // width, "right")))
+                            data = np.frombuffer(f.read_at(width * (to[last - 1] - at), len(MAGIC) + width * at), f"<u{width}")
+                            base_at = at
+                            for doc, e in zip(own[k:last], to[k:last]):
+                                rows.append((doc, start + at, e - at, zlib.crc32(data[at - base_at : e - base_at].astype("<u4"))))
+                                at = e
+                            k = last
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), names.values())], list(names))
 
     return run
@@ -174,5 +178,6 @@ def _read(docs: int):
 
 def read_ids(manifest: DataFrame, docs: int = 4096) -> DataFrame:
     """manifest -> per document, from the files: doc_id, start, n_tokens, ids_crc32. One shard is one task's work."""
-    files = manifest.select("path", "start").repartition("path")
+    parts = manifest.sparkSession.sparkContext.defaultParallelism * 4  # a number, so that small rows are not put into one task
+    files = manifest.select("path", "start").repartition(parts, "path")
     return files.mapInArrow(_read(docs), "doc_id long, start long, n_tokens long, ids_crc32 long")
