@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import drop_path, new_path
+from pitpanel.llm.shared import drop_path, new_path, write
 
 
 def _large(e: DataFrame) -> DataFrame:
@@ -30,13 +30,11 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     path = new_path(spark, "links")
-    links.select("a", "b").where("a <> b").distinct().write.parquet(path)
-    e = spark.read.parquet(path)
+    e = write(links.select("a", "b").where("a <> b").distinct(), path)
     mark = None
     while True:
         nxt = new_path(spark, "links")
-        _small(_large(e)).write.parquet(nxt)
-        e = spark.read.parquet(nxt)
+        e = write(_small(_large(e)), nxt)
         drop_path(spark, path)
         path = nxt
         now = e.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long")), F.bit_xor(F.xxhash64("a", "b"))).first()

@@ -209,12 +209,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, alike: tuple
 
 
 def keep_one(docs: DataFrame, width: int = 3, most: int = 3, alike: tuple[int, int] | None = None) -> DataFrame:
-    """The rows of docs whose doc_id names their group, one row each (of rows with the same doc_id, any one; null ids stay)."""
+    """The rows of docs whose doc_id names their group, one row each (of rows with the same doc_id, any one; null ids stay).
+
+    Columns may have any names.
+    """
     found = near_duplicates(docs, width, most, alike)
     ids = cut(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("copies")), "kept_ids")
-    kept = docs.join(ids, "doc_id")
-    single = kept.where("copies = 1").drop("copies").select(docs.columns)
-    out = single.unionByName(docs.where("doc_id is null"))
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    kept = rows.join(ids, "doc_id")
+    out = kept.where("copies = 1").select("row").unionByName(rows.where("doc_id is null").select("row"))
     if ids.where("copies > 1").limit(1).count():
-        out = out.unionByName(kept.where("copies > 1").drop("copies").select(docs.columns).dropDuplicates(["doc_id"]))
-    return out
+        out = out.unionByName(kept.where("copies > 1").dropDuplicates(["doc_id"]).select("row"))
+    return out.select("row.*")

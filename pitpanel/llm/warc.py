@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import cut, drop_path, join_small, new_path
+from pitpanel.llm.shared import cut, drop_path, join_small, new_path, write
 
 CRLF2 = "\r\n\r\n"
 MAGIC = "WARC/1.0\r\n"
@@ -190,13 +190,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         n = now
         ahead = seen.join(jumps, ["file", "abs"]).select("file", F.col("out").alias("abs"))
         a, b = new_path(spark, "entries"), new_path(spark, "jumps")
-        seen.unionByName(ahead).distinct().write.parquet(a)
+        more = write(seen.unionByName(ahead).distinct(), a)
         far = jumps.select("file", F.col("out").alias("_m"), "abs").join(jumps.select("file", F.col("abs").alias("_m"), "out"), ["file", "_m"]).select("file", "abs", "out")
-        far.write.parquet(b)
+        seen, jumps = more, write(far, b)
         for x in old:
             drop_path(spark, x)
         old = [a, b]
-        seen, jumps = spark.read.parquet(a), spark.read.parquet(b)
     entries = cands.join(seen, ["file", "abs"], "left_semi").select("file", "block", F.col("tin").alias("entry"))
     reached = cut(cands.where("next is not null").join(entries, ["file", "block"]).where("tin <= entry and entry < tout").select(
         "file", F.col("abs").alias("at"), "to", "whole", "type", "id", "refers", "bytes", "digest"
