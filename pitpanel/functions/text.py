@@ -55,14 +55,6 @@ def article_text(title: Column, summary: Column) -> Column:
     return F.concat(F.coalesce(title, F.lit("")), F.lit(". "), F.coalesce(summary, F.lit("")))
 
 
-def grams(words: Column, lengths: list[int]) -> Column:
-    """Distinct runs of as many words as `lengths` names (one at least), joined by blanks."""
-    def runs(w, k):
-        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, k), " "))
-
-    return let(words, lambda w: F.array_distinct(F.concat(*(runs(w, k) for k in lengths))))
-
-
 def keyword_groups(text: Column, groups: dict[str, list[str]]) -> Column:
     """Names of the groups of which any keyword is a substring of the lower-cased text."""
     def of(low):

@@ -122,11 +122,11 @@ art2 as (select art.*, score from art left join sco using (doc_id))"""
 
 def _entities(names: list[str], codes: list[str]) -> str:
     rows = ", ".join(f"({i}, '{n.lower()}', '{c}')" for i, (n, c) in enumerate(zip(names, codes)))
-    return f"""nam(i, name, code) as (values {rows}),
+    return rf"""nam(i, name, code) as (values {rows}),
 ent as (select code || '.JK' as ticker, code, trim(regexp_replace(replace(replace(' ' || name || ' ', ' pt ', ' '), ' tbk ', ' '), ' +', ' ', 'g')) as name, r_name as sector from nam join nation on n_nationkey = i join region on n_regionkey = r_regionkey),
 ent2 as (select ticker, code, sector, case when length(replace(name, ' ', '')) >= 4 then name end as name from ent),
 txt as (select doc_id, text, ' ' || trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g')) || ' ' as norm from art),
-hit as (select doc_id, ticker, sector from txt join ent2 on regexp_matches(text, '(^|[^A-Za-z0-9_])' || code || '([^A-Za-z0-9_]|$)') or contains(norm, ' ' || name || ' '))"""
+hit as (select doc_id, ticker, sector from txt join ent2 on regexp_matches(text, '(^|[^\p{{L}}\p{{N}}_])' || code || '([^\p{{L}}\p{{N}}_]|$)') or contains(norm, ' ' || name || ' '))"""
 
 
 _SEC = " union all ".join(f"select doc_id, '{s}' as sector from art where " + " or ".join(f"contains(lower(text), '{w}')" for w in words) for s, words in SECTORS.items())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitpanel.config import Sentiment
-from pitpanel.functions.text import article_text, grams, keyword_groups, normal_name, polarity
+from pitpanel.functions.text import article_text, keyword_groups, normal_name, polarity
 from pitpanel.operators.asof import calendar
 from pitpanel.operators.dedupe import article_key, keep_first
 from pitpanel.operators.scan import scan
@@ -37,16 +37,25 @@ def entities(universe: DataFrame, s: Sentiment = Sentiment()) -> DataFrame:
     return universe.select("ticker", "sector", F.substring_index("ticker", ".", 1).alias("code"), F.when(F.length(F.replace(name, F.lit(" "), F.lit(""))) >= s.min_name, name).alias("name"))
 
 
-def match_entities(rows: DataFrame, ents: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, ticker) once per article and company that it names: its code as a word of the text (case counts), or its name
-    as words of the text's normal form. Words and runs of as many words as any name has are joined by equality, not compared
-    pair by pair; the lengths of names are looked up when the plan is made."""
-    codes = rows.select(key, F.explode(F.array_distinct(F.split("text", "[^A-Za-z0-9_]+"))).alias("code")).where("code <> ''")
+def match_entities(rows: DataFrame, ents: DataFrame, key: str = "doc_id", small: int = 50_000) -> DataFrame:
+    """(key, ticker) once per article and company that it names: its code as a word of the text (case counts), or its name,
+    of any length, as words of the text's normal form. A word borders on what is no letter, digit or underscore.
+
+    A text meets the names whose longest word it holds, by an equality join; then the whole name is looked for. Up to `small`
+    names (counted when the plan is made) are broadcast; of more, the pairs met are joined back to the texts."""
+    codes = rows.select(key, F.explode(F.array_distinct(F.split("text", r"[^\p{L}\p{N}_]+"))).alias("code")).where("code <> ''")
     by_code = codes.join(ents.where("code <> ''").select("ticker", "code"), "code").select(key, "ticker")
-    words = F.split(normal_name(c("text")), " ")
-    lengths = sorted(r.n for r in ents.where("name is not null").select(F.size(F.split("name", " ")).alias("n")).distinct().collect())
-    names = rows.select(key, F.explode(grams(words, lengths or [1])).alias("name"))
-    by_name = names.join(ents.where("name is not null").select("ticker", "name"), "name").select(key, "ticker")
+    longest = F.array_max(F.transform(F.split("name", " "), lambda w: F.struct(F.length(w), w.alias("word"))))["word"]
+    named = ents.where("name is not null").select("ticker", "name", longest.alias("word"))
+    norm = rows.select(key, normal_name(c("text")).alias("norm"))
+    words = norm.select(key, "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    if named.limit(small + 1).count() <= small:
+        met = words.join(F.broadcast(named), "word")
+    else:
+        pairs = words.select(key, "word").join(named, "word").select(c(key).alias("_key"), "ticker", "name")
+        met = norm.join(pairs, c(key).eqNullSafe(c("_key")))
+    padded = lambda x: F.concat(F.lit(" "), x, F.lit(" "))
+    by_name = met.where(F.contains(padded(c("norm")), padded(c("name")))).select(key, "ticker")
     return by_code.unionByName(by_name).distinct()
 
 

@@ -227,7 +227,8 @@ def test_long_names(spark):
     ents = sentiment.entities(spark.createDataFrame([(*n, "s") for n in names], "ticker string, name string, sector string"))
     name = {r.ticker: r.name for r in ents.collect()}
     assert len(name["BJBR.JK"].split()) > 4
-    texts = [(1, f"Laba {name['BJBR.JK'].upper()}, naik"), (2, " ".join(name["BJBR.JK"].split()[:4]) + " lain"), (3, name["BJBR.JK"]), (4, f"kata {name['BBCA.JK']} x"), (5, "")]
-    got = sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents).collect()
-    assert sorted(map(tuple, got)) == [(1, "BJBR.JK"), (3, "BJBR.JK"), (4, "BBCA.JK")]
+    texts = [(1, f"Laba {name['BJBR.JK'].upper()}, naik"), (2, " ".join(name["BJBR.JK"].split()[:4]) + " lain"), (3, name["BJBR.JK"]), (4, f"kata {name['BBCA.JK']} x"), (5, ""), (6, "éBBCA BBCAé"), (7, "(BBCA)"), (8, None)]
+    for small in (50_000, 0):
+        got = sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents, small=small).collect()
+        assert sorted(map(tuple, got)) == [(1, "BJBR.JK"), (3, "BJBR.JK"), (4, "BBCA.JK"), (7, "BBCA.JK")]
     assert sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents.where("false")).count() == 0
