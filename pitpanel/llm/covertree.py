@@ -212,7 +212,7 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) ->
 
     A row per input row. Null and empty vectors, vectors of zeros and those with null, NaN or infinite components link with
     nothing; vectors of different lengths do not link. Repeated rows are vectors of their own (linked by their equal
-    vectors); a null vec_id is linked but names no component. Other columns are ignored; an empty table gives no rows.
+    vectors); a null vec_id is linked but names no component, and its `kept` is null. Other columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     fine = F.coalesce(
@@ -242,4 +242,4 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = BLOCK) ->
     named = named.join(least, "label").join(links, "id", "left").select("key", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), "component_id")
     linked = rows.where("fine").select("vec_id", "key").join(named, "key").select("vec_id", "n_links", "component_id")
     alone = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -8,7 +8,7 @@ have similar sizes (length filter), enough words left behind that one (positiona
 words themselves. A line goes if an earlier line (by doc_id, then place) has an equal or similar set, whether or not that
 one stays itself.
 
-Groups of near copies are met first: each set meets, for each of its rarest words, the word's first set and the sets just
+Groups of near copies are met first: each set meets, for some of its rare words, the word's first set and the sets just
 before its own. Only sets for which that finds no earlier match meet all earlier sets, so that no group is joined with itself.
 """
 
@@ -23,8 +23,8 @@ from pitpanel.llm.shared import WORD, Scratch, let
 BUCKETS = 1 << 18
 #: Words of 64 bits in the bitmap that tells which lines take part in candidate pairs; its size never changes.
 BITMAP = 1 << 16
-#: Rare words by which a set meets near copies first, and how many sets before its own.
-FIRST, BACK = 3, 3
+#: Words by which a set meets near copies first, and how many sets before its own.
+FIRST, BACK = 4, 4
 #: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
 SIZES = (48, 144)
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -134,8 +134,9 @@ def postings(sets: DataFrame, num: int, den: int, prefix, *more: str) -> DataFra
 
 
 def first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Of each set and each of its rarest words, the pairs that may match with the word's first set and those just before."""
-    rows = postings(sets, num, den, F.slice("prefix", 1, FIRST))
+    """Of each set and FIRST words of its prefix, the nearest of the sets that may match among the word's first and those just
+    before. The words are those of least hash, so that near copies choose the same ones whatever rare words each has of its own."""
+    rows = postings(sets, num, den, F.slice(F.sort_array("prefix"), 1, FIRST)).withColumn("p", F.lit(0))
     w = Window.partitionBy("key").orderBy("id")
     own = F.struct("id", "n", "p", *SKETCH)
     met = F.array(F.first(own).over(w), *(F.lag(own, k).over(w) for k in range(1, BACK + 1)))
@@ -149,7 +150,7 @@ def other_pairs(scratch: Scratch, sets: DataFrame, later: DataFrame, num: int, d
     """Pairs that may match, of sets not yet known to be later ones with all earlier sets. Both sides read one exchange."""
     held, rows = bitmap(scratch, later, "id"), sets.drop("at")
     some = rows.where(held("id")).join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
-    rows = rows.where(~held("id")).withColumn("late", F.lit(0)).unionByName(some)
+    rows = scratch.cut(rows.where(~held("id")).withColumn("late", F.lit(0)).unionByName(some), "open_sets")  # read by both sides
     rows = postings(rows, num, den, F.col("prefix"), "late")
     # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
     return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
@@ -215,6 +216,7 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     later = later_sets(scratch, pairs, sets, lines, num, den)
     scratch.drop("line_pairs")
     pairs = scratch.cut(other_pairs(scratch, sets, later, num, den), "line_pairs")
+    scratch.drop("open_sets")
     later = later.union(later_sets(scratch, pairs, sets, lines, num, den))
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
     kept = scratch.cut(kept, "kept_lines")
