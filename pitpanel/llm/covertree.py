@@ -3,8 +3,8 @@
 Vectors that are equal are one point. Points (unit vectors; cosine >= c means distance <= sqrt(2 - 2c)) are dealt into
 blocks of bounded size; each block is a cover tree: nested levels of centres whose covering radii halve (2, 1, 1/2, ...),
 each node with the true radius of what it covers. For every pair of blocks, both trees are walked together from the top: a
-pair of nodes is dropped if the distance of its centres exceeds both radii and the threshold; what is left at the points
-is decided by the cosine itself. A pair of blocks is one task's work, so memory is bounded and no task sees a whole group.
+pair of nodes is dropped if the distance of its centres exceeds both radii and the threshold, and linked whole if that
+distance and both radii stay within the threshold; what is left at the points is decided by the cosine itself. A pair of blocks is one task's work, so memory is bounded and no task sees a whole group.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pitpanel.llm.components import components
 from pitpanel.llm.shared import cut
 
-BLOCK, LEAST_RADIUS, SLACK = 4096, 1 / 16, 1e-9
+BLOCK, LEAST_RADIUS, SLACK = 4096, 1 / 16, 1e-7
 
 
 def _cover(points, left, radius: float, owner, rows: int = 256) -> None:
@@ -67,51 +67,79 @@ def build(points):
     return order, levels
 
 
-def dual(x, y, tx, ty, cosine: float, rows: int = 512):
-    """Yields (i, j) index arrays of the points of x and y with cosine >= `cosine`, by walking both trees."""
+def dual(x, y, tx, ty, cosine: float, same: bool = False, rows: int = 512, many: int = 1 << 16):
+    """Walks both trees; yields arrays (first, end, first, end): each point of the first range links with each of the second.
+
+    A pair of nodes is dropped if its centres lie further apart than both radii and the threshold, and taken whole if they
+    lie so near that the radii cannot part any two of its points. With `same`, x and y are one tree: pairs come once, and a
+    range with itself stands for the pairs of different points in it. Products are looked through in single precision, less
+    the greatest error they can have; what they leave open is decided in double precision.
+    """
     import numpy as np
 
-    far = np.sqrt(2 - 2 * cosine)
+    far, err = np.sqrt(2 - 2 * cosine), (x.shape[1] + 4) * 2.0**-23
+    xs = x.astype(np.float32)
+    ys = xs if same else y.astype(np.float32)
     level = lambda t, k: t[min(k, len(t) - 1)]
 
-    def points(i, j):
-        """Nodes of one point each: the cosine decides."""
-        for s in range(0, len(i), rows):
-            p, q = np.nonzero(x[i[s : s + rows]] @ y[j].T >= cosine)
-            if len(p):
-                yield i[s : s + rows][p], j[q]
+    def least(gap):
+        """The product of two unit vectors so far apart."""
+        return 1 - np.minimum(gap, 2) ** 2 / 2
+
+    def settle(k: int, a, b, product):
+        """Pairs of nodes of level k with the products of their centres: taken, dropped or gone down with."""
+        (fx, ex, rx, _), (fy, ey, ry, _) = level(tx, k), level(ty, k)
+        one = (ex[a] - fx[a] == 1) & (ey[b] - fy[b] == 1)
+        if same:
+            keep = ~(one & (a == b))
+            a, b, product, one = a[keep], b[keep], product[keep], one[keep]
+        room = far - SLACK - rx[a] - ry[b]
+        whole = np.where(one, product >= cosine, (room >= 0) & (product >= least(np.maximum(room, 0))))
+        if whole.any():
+            yield fx[a[whole]], ex[a[whole]], fy[b[whole]], ey[b[whole]]
+        open_ = ~whole & ~one & (product >= least(rx[a] + ry[b] + far + SLACK))
+        if open_.any():
+            yield from walk(k, a[open_], b[open_])
 
     def walk(k: int, a, b):
-        """a, b: nodes of level k; all their pairs are open."""
-        fx, ex, rx, cx = level(tx, k)
-        fy, ey, ry, cy = level(ty, k)
-        one_a, one_b = ex[a] - fx[a] == 1, ey[b] - fy[b] == 1
-        if one_a.any() and one_b.any():
-            yield from points(fx[a[one_a]], fy[b[one_b]])
-        for p, q in ((a[~one_a], b), (a[one_a], b[~one_b])):
-            if not len(p) or not len(q):
-                continue
-            nx, ny = level(tx, k + 1)[0], level(ty, k + 1)[0]
-            for s in range(0, len(p), rows):
-                g = p[s : s + rows]
-                gap = np.sqrt(np.maximum(0, 2 - 2 * (x[cx[g]] @ y[cy[q]].T)))
-                open_ = gap <= rx[g][:, None] + ry[q][None] + far + SLACK
-                if open_.mean() > 0.5:  # nearly all pairs: go down with both sides whole
-                    yield from walk(k + 1, _below(nx, fx[g], ex[g]), _below(ny, fy[q], ey[q]))
-                    continue
-                for i in np.flatnonzero(open_.any(axis=1)):  # one node of x with all nodes of y that are open to it
-                    w = q[open_[i]]
-                    yield from walk(k + 1, _below(nx, fx[g[i : i + 1]], ex[g[i : i + 1]]), _below(ny, fy[w], ey[w]))
-
-    yield from walk(0, np.arange(len(level(tx, 0)[0])), np.arange(len(level(ty, 0)[0])))
-
-
-def _below(firsts, first, end):
-    """The nodes of the next level (by their first points) within [first, end) of any of the given nodes."""
-    import numpy as np
-
-    a, b = np.searchsorted(firsts, first), np.searchsorted(firsts, end)
-    return np.concatenate([np.arange(i, j) for i, j in zip(a, b)]) if len(a) else np.zeros(0, np.int64)
+        """Open pairs of nodes of level k: the pairs of their children."""
+        (fx, ex, *_), (fy, ey, *_) = level(tx, k), level(ty, k)
+        (nx, _, _, cx), (ny, _, _, cy) = level(tx, k + 1), level(ty, k + 1)
+        ax, zx, ay, zy = np.searchsorted(nx, fx[a]), np.searchsorted(nx, ex[a]), np.searchsorted(ny, fy[b]), np.searchsorted(ny, ey[b])
+        size = (zx - ax) * (zy - ay)
+        for n in np.flatnonzero(size > many):
+            yield from table(k + 1, ax[n], zx[n], ay[n], zy[n], same and a[n] == b[n])
+        few = np.flatnonzero(size <= many)
+        run = np.cumsum(size[few]) // many
+        for part in np.split(few, np.flatnonzero(np.diff(run)) + 1) if len(few) else ():
+            of = np.repeat(part, size[part])  # the pair whose children these are
+            at = np.arange(len(of)) - np.repeat(np.cumsum(size[part]) - size[part], size[part])
+            i, j = ax[of] + at // (zy - ay)[of], ay[of] + at % (zy - ay)[of]
+            if same:
+                i, j = i[i <= j], j[i <= j]
+            yield from settle(k + 1, i, j, np.einsum("ij,ij->i", x[cx[i]], y[cy[j]]))
+
+    def table(k: int, ax, zx, ay, zy, itself: bool):
+        """All pairs of two runs of nodes of level k, many enough for matrix products."""
+        (fx, ex, rx, cx), (fy, ey, ry, cy) = level(tx, k), level(ty, k)
+        for s in range(ax, zx, rows):
+            i, j = np.arange(s, min(s + rows, zx)), np.arange(s if itself else ay, zy)
+            near = xs[cx[i]] @ ys[cy[j]].T
+            open_ = near >= least(far + SLACK) - err  # right for single points; nodes of more have radii
+            p, q = np.flatnonzero(ex[i] - fx[i] > 1), np.flatnonzero(ey[j] - fy[j] > 1)
+            open_[p] = near[p] >= least(rx[i[p]][:, None] + ry[j][None] + far + SLACK) - err
+            open_[:, q] = near[:, q] >= least(rx[i][:, None] + ry[j[q]][None] + far + SLACK) - err
+            if itself:
+                open_ &= i[:, None] <= j[None]
+            p, q = np.nonzero(open_)
+            exact = x[cx[i]] @ y[cy[j]].T if len(p) > open_.size // 8 else None
+            for c in range(0, len(p), many):
+                g, h = p[c : c + many], q[c : c + many]
+                product = np.einsum("ij,ij->i", x[cx[i[g]]], y[cy[j[h]]]) if exact is None else exact[g, h]
+                yield from settle(k, i[g], j[h], product)
+
+    top = [len(level(t, 0)[0]) for t in (tx, ty)]
+    yield from table(0, 0, top[0], 0, top[1], same)
 
 
 def _forest(a, b):
@@ -169,8 +197,11 @@ def _pairs(cosine: float):
         same, vx = True not in t, _unit(x["v"])
         vy = vx if same else _unit(y["v"])
         n = len(vx)
-        times, label = np.r_[x["times"], [] if same else y["times"]], None
-        count, held, size = np.zeros(len(times), np.int64), [], 0
+        times, label = np.r_[x["times"], [] if same else y["times"]].astype(np.int64), None
+        before = np.r_[0, np.cumsum(times)]
+        # steps at the ends of ranges: rows linked to, ranges linked with themselves, neighbours that a range holds together
+        gain, alone, chain = np.zeros((3, len(times) + 1), np.int64)
+        held, size = [], 0
 
         def forest():
             nonlocal label, held, size
@@ -183,26 +214,29 @@ def _pairs(cosine: float):
             label[nodes] = least
             held, size = [], 0
 
-        for i, j in dual(vx, vy, x["levels"], y["levels"], cosine):
-            if same:
-                i, j = i[i != j], j[i != j]
-                np.add.at(count, i, times[j])
-                i, j = i[i < j], j[i < j]
-            else:
-                j = j + n
-                np.add.at(count, i, times[j])
-                np.add.at(count, j, times[i])
-            if len(i):
-                held.append((i, j))
-                size += len(i)
+        def step(steps, first, end, by):
+            np.add.at(steps, first, by)
+            np.add.at(steps, end, -by)
+
+        for fa, ea, fb, eb in dual(vx, vy, x["levels"], y["levels"], cosine, same):
+            fb, eb = (fb, eb) if same else (fb + n, eb + n)
+            step(gain, fa, ea, before[eb] - before[fb])
+            two, own = fa != fb, fa == fb
+            step(gain, fb[two], eb[two], (before[ea] - before[fa])[two])
+            step(alone, fa[own], ea[own], np.ones(own.sum(), np.int64))
+            for f, e in ((fa, ea), (fb, eb)):
+                step(chain, f, e - 1, np.ones(len(f), np.int64))
+            held.append((fa[two], fb[two]))
+            size += two.sum()
             if size > 1 << 21:
                 forest()
-        if held:
-            forest()
+        count = (np.cumsum(gain) - np.cumsum(alone) * np.r_[times, 0])[:-1]
+        at = np.flatnonzero(np.cumsum(chain)[:-1])
+        held.append((at, at + 1))
+        forest()
         met = np.flatnonzero(count)
         ids = x["id"] if same else np.r_[x["id"], y["id"]]
-        to = ids[label[met]] if label is not None else ids[met]
-        return pd.DataFrame({"id": ids[met], "n": count[met], "to": to})
+        return pd.DataFrame({"id": ids[met], "n": count[met], "to": ids[label[met]]})
 
     return run
 

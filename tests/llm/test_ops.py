@@ -72,6 +72,30 @@ def test_vectors(spark, block):
     assert covertree.near_vectors(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.02, 0.06, 0.12, 1.0])
+@pytest.mark.parametrize("cosine", [0.9, 0.5, 0.99])
+def test_walk_of_two_trees(spread, cosine):
+    """Ranges of both trees hold the pairs over the threshold and no others, for groups from tight to none."""
+    r = np.random.RandomState(3)
+    base = r.randn(5, 16)
+
+    def tree(n):
+        v = covertree._unit(base[r.randint(0, 5, n)] * (spread < 1) + r.randn(n, 16) * spread + [1e-9] * 16)
+        order, levels = covertree.build(v)
+        place = np.empty(n, int)
+        place[order] = np.arange(n)
+        return v[order], [(f, e, radius, place[c]) for f, e, radius, c in levels]
+
+    (x, tx), (y, ty) = tree(300), tree(211)
+    for a, b, ta, tb, same in ((x, y, tx, ty, False), (x, x, tx, tx, True)):
+        got = np.zeros((len(a), len(b)), int)
+        for ranges in covertree.dual(a, b, ta, tb, cosine, same, rows=64, many=500):
+            for f, e, g, h in zip(*ranges):
+                got[f:e, g:h] += np.triu(np.ones((e - f, h - g), int), 1) if same and f == g else 1
+        want = a @ b.T >= cosine
+        assert (got == (np.triu(want, 1) if same else want)).all()
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 def test_chat(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\[INST]b", "\\\\<s>", "<\\s>", "[SEP][TEXT]", None, "", "ü\n<s", "[TE\\XT]", "\\"]
