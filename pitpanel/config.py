@@ -49,6 +49,16 @@ class Fundamental:
     yoy_quarters: int = 4
     ttm_span: tuple = (250, 420)
     max_staleness: int = 400
+    chain: tuple = ("statements", "fallback")
+    fallback_map: tuple = (
+        ("revenue", ("Total Revenue", "Operating Revenue")), ("cogs", ("Cost Of Revenue",)), ("gross_profit", ("Gross Profit",)),
+        ("operating_profit", ("Operating Income",)), ("pretax_income", ("Pretax Income",)),
+        ("net_income", ("Net Income Common Stockholders", "Net Income")), ("eps", ("Diluted EPS", "Basic EPS")),
+        ("shares_out", ("Diluted Average Shares", "Basic Average Shares")), ("total_assets", ("Total Assets",)),
+        ("total_equity", ("Stockholders Equity", "Common Stock Equity")), ("total_liabilities", ("Total Liabilities Net Minority Interest",)),
+        ("current_assets", ("Current Assets",)), ("current_liabilities", ("Current Liabilities",)),
+        ("cash_equivalents", ("Cash And Cash Equivalents",)), ("total_debt", ("Total Debt",)),
+    )
     columns: tuple = (
         "gross_margin", "operating_margin", "net_margin", "current_ratio", "debt_to_equity", "debt_to_assets",
         "cash_to_assets", "equity_ratio", "roa", "roe", "revenue_yoy", "net_income_yoy", "eps_yoy", "revenue_qoq",
@@ -63,8 +73,37 @@ class Fundamental:
     )
 
 
+@dataclass(frozen=True)
+class Source:
+    """One source of a series; None and blanks take what the series says."""
+
+    driver: str = ""
+    transform: str | None = None
+    lag: int | None = None
+    frequency: str = ""
+    variable: str = ""
+
+
+@dataclass(frozen=True)
+class MacroSeries:
+    name: str = ""
+    group: str = "other"
+    frequency: str = "unknown"
+    transform: str = "none"
+    lag: int = 0
+    sources: tuple[Source, ...] = ()
+
+
+@dataclass(frozen=True)
+class Feed:
+    name: str = ""
+    lang: str = ""
+    url: str = ""
+
+
 @dataclass(frozen=True)
 class Macro:
+    series: tuple[MacroSeries, ...] = ()
     change_windows: tuple = (5, 20)
     z_window: int = 252
     yoy_tolerance: int = 20
@@ -93,6 +132,7 @@ class Sentiment:
     window_days: int = 14
     stopwords: tuple = ("pt", "tbk", "persero", "indonesia", "tbk.")
     min_name: int = 4
+    feeds: tuple[Feed, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -105,6 +145,7 @@ class Config:
     sentiment: Sentiment = field(default_factory=Sentiment)
     root: str = "."
     use_cache: bool = False
+    as_of: str = ""  # the day of the run, yyyy-MM-dd; blank: calendars end with the data
 
     def get(self, dotted: str, default=None):
         at = self
@@ -124,18 +165,24 @@ class Config:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def made(default, given):
+    """Given values in the shape of the defaults: lists become tuples, objects settings; unknown names are errors."""
+    if isinstance(given, list):
+        return tuple(made(None, x) for x in given)
+    if isinstance(given, dict) and dataclasses.is_dataclass(default):
+        kinds = {"series": MacroSeries, "sources": Source, "feeds": Feed}
+        parts = {k: tuple(made(kinds[k](), x) for x in v) if k in kinds else made(getattr(default, k, None), v) for k, v in given.items()}
+        return dataclasses.replace(default, **parts)
+    return given
+
+
 def load_config(path: str | None = None, root: str = ".") -> Config:
-    """Defaults, overridden by a JSON file of the same nesting (unknown names are errors)."""
-    cfg = Config(root=root)
-    if not path:
-        return cfg
-    given = json.loads(Path(path).read_text())
-    parts = {k: dataclasses.replace(getattr(cfg, k), **v) if isinstance(v, dict) else v for k, v in given.items()}
-    return dataclasses.replace(cfg, **parts)
+    """Defaults, overridden by a JSON file of the same nesting."""
+    return made(Config(root=root), json.loads(Path(path).read_text())) if path else Config(root=root)
 
 
 def load_dotenv(root: str) -> dict[str, str]:
-    """KEY=VALUE lines of .env.example, then of .env (which wins), put into the environment."""
+    """KEY=VALUE lines of .env.example, then of .env (which wins), put into the environment; empty values are not."""
     found: dict[str, str] = {}
     for name in (".env.example", ".env"):
         p = Path(root) / name
@@ -144,5 +191,6 @@ def load_dotenv(root: str) -> dict[str, str]:
                 key, eq, value = line.strip().partition("=")
                 if eq and key and not key.startswith("#"):
                     found[key.strip()] = value.strip().strip("'\"")
+    found = {k: v for k, v in found.items() if v}
     os.environ.update(found)
     return found

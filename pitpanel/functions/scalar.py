@@ -39,11 +39,11 @@ def significant(x: Column, digits: int = 6) -> Column:
     return F.when(x == 0, x).otherwise(F.rint(x * scale) / scale)
 
 
-def first_usable(df, candidates, by: str | None = None) -> Column:
-    """The first of the candidate columns that holds any value (in each group of `by`), whole."""
+def first_usable(df, candidates, by: str | list[str]) -> Column:
+    """The first of the candidate columns that holds any value in each group of `by`, whole."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(by) if by else Window.partitionBy(F.lit(0))
+    w = Window.partitionBy(by)
     out = F.lit(None).cast("double")
     for c in reversed([c for c in candidates if c in df.columns]):
         out = F.when(F.max(F.col(c).isNotNull()).over(w), F.col(c)).otherwise(out)

@@ -1,8 +1,10 @@
 """Affine scans y_t = b y_(t-1) + c_t per key (exponential means, decay sums), several at once.
 
-Rows are numbered per key and cut into blocks of 128. Within a block, y is b^k times a running sum of c_j b^-j; the ends of
-earlier blocks come in through a second window that gathers one value per block. Only windows over one partitioning are
-used, no join and no Python; scan_pandas is the plain form of the same, for comparison.
+Rows are numbered per key and cut into blocks of 128, blocks into runs of 128 blocks. Within a block, y is b^k times a running
+sum of c_j b^-j; the ends of earlier blocks of the run come in through a window that gathers one value per block, the ends of
+earlier runs through one that gathers a value per run, so that a row folds 128 values and one for each 16384 rows before it.
+Only windows over one partitioning are used, no join and no Python; scan_pandas is the plain form, for comparison. Factors
+below block^-th root of the least double (half-lives under an eighth of a row) are outside its range.
 """
 
 from __future__ import annotations
@@ -23,16 +25,24 @@ def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: i
     for name, (c, b) in specs.items():
         own = F.sum(F.coalesce(F.col(c), F.lit(0.0)) * F.pow(F.lit(b), -F.col("_scan_k"))).over(inside) * F.pow(F.lit(b), F.col("_scan_k"))
         d = d.withColumn(f"_s_{name}", own)
-    ends = F.when(F.col("_scan_k") == block, F.struct(*(F.col(f"_s_{name}").alias(name) for name in specs)))
-    before = Window.partitionBy(*by).orderBy("_scan_n").rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("_scan_ends", F.collect_list(ends).over(before))
-
-    def carry(name: str, b: float):
-        return F.aggregate("_scan_ends", F.lit(0.0), lambda a, e: a * F.lit(b**block) + e[name])
-
-    for name, (_, b) in specs.items():
-        d = d.withColumn(name, F.col(f"_s_{name}") + carry(name, b) * F.pow(F.lit(b), F.col("_scan_k")))
-    return d.drop("_scan_n", "_scan_b", "_scan_k", "_scan_ends", *(f"_s_{name}" for name in specs))
+    run = block * block
+    d = d.withColumn("_scan_r", F.floor(F.col("_scan_n") / run).cast("int"))
+
+    def gathered(at, window):
+        """The values of the rows marked by `at` before this one."""
+        ends = F.when(at, F.struct(*(F.col(f"_s_{name}").alias(name) for name in specs)))
+        return F.collect_list(ends).over(window.orderBy("_scan_n").rowsBetween(Window.unboundedPreceding, -1))
+
+    def carried(name: str, b: float, length: int, k):
+        """The rows' own value and what the gathered ends, each `length` rows behind the last, leave of themselves k rows on."""
+        before = F.aggregate("_scan_ends", F.lit(0.0), lambda a, e: a * F.lit(b**length) + e[name])
+        return F.col(f"_s_{name}") + before * F.pow(F.lit(b), k)
+
+    d = d.withColumn("_scan_ends", gathered(F.col("_scan_k") == block, Window.partitionBy(*by, "_scan_r")))
+    d = d.withColumns({f"_s_{name}": carried(name, b, block, F.col("_scan_k")) for name, (_, b) in specs.items()})
+    d = d.withColumn("_scan_ends", gathered(F.col("_scan_n") % run == run - 1, Window.partitionBy(*by)))
+    d = d.withColumns({name: carried(name, b, run, (F.col("_scan_n") % run + 1).cast("double")) for name, (_, b) in specs.items()})
+    return d.drop("_scan_n", "_scan_b", "_scan_r", "_scan_k", "_scan_ends", *(f"_s_{name}" for name in specs))
 
 
 def scan_pandas(df: DataFrame, by, order, specs: dict[str, tuple[str, float]]) -> DataFrame:

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from pitpanel.config import Config, load_config, load_dotenv
 from pitpanel.functions.lexicon import load_lexicon
-from pitpanel.plans import align, flow, fundamental, macro, sentiment, technical
+from pitpanel.plans import align, flow, fundamental, landing, macro, sentiment, technical
 from pitpanel.sources import readers, sinks
 
 log = logging.getLogger("pitpanel")
 #: Stages of `all`, in order; sentiment-backfill runs only by name.
-ORDER = ("ohlcv", "technical", "fundamentals", "funda-features", "macro", "macro-features", "flow", "flow-features", "sentiment", "align")
+ORDER = ("ohlcv", "technical", "fundamentals", "funda-features", "macro", "macro-features", "flow", "flow-features", "news", "sentiment", "align")
 MANUAL = ("sentiment-backfill",)
 
 
@@ -46,6 +46,9 @@ class Store:
     def raw(self, table: str) -> DataFrame:
         return readers.read(self.spark, self.cfg.path(f"raw/{table}"), table)
 
+    def land(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
+        df.write.mode(mode).parquet(self.cfg.path(f"raw/{table}"))
+
     def get(self, name: str) -> DataFrame | None:
         path = self.cfg.path(f"features/{name}")
         return self.spark.read.parquet(path) if readers.exists(self.spark, path) else None
@@ -54,11 +57,50 @@ class Store:
         sinks.write_parquet(df, self.cfg.path(f"features/{name}"), sort=sort)
 
 
-def landed(table: str) -> Callable[[Store], None]:
-    """A source stage: its raw table must have been landed; nothing at all is an error."""
+def _as_of(s: Store) -> str:
+    """The day of the run; where none is given, a day before all data, so that nothing hangs on the clock."""
+    return s.cfg.as_of or "1900-01-01"
+
+
+def _bars(s: Store) -> dict:
+    prices = landing.bars(s.spark, s.cfg)
+    if prices is None:
+        return {}
+    s.land("raw_prices", prices)
+    return {"stock_metadata": landing.stock_metadata(s.spark, s.cfg, s.raw("raw_prices"))}
+
+
+def _flow_days(s: Store) -> dict:
+    """New days are added to those there; days without rows are remembered, so that they are not asked for again."""
+    new = landing.flow_days(s.spark, s.cfg, s.raw("stock_metadata"))
+    if new is not None:
+        rows, empty = (cut.persist() for cut in new)
+        rows.count(), empty.count()  # both are told apart from what is stored before either is added to it
+        s.land("raw_flow", rows, "append")
+        s.land("empty_dates", empty, "append")
+        rows.unpersist(), empty.unpersist()
+    return {}
+
+
+def _articles(s: Store) -> dict:
+    new = landing.articles(s.spark, s.cfg, _as_of(s))
+    if new is not None:
+        s.land("articles", new, "append")
+    return {}
+
+
+def source(table: str, decode: Callable[[Store], dict]) -> Callable[[Store], None]:
+    """A source stage: what has landed is decoded into raw tables; tables put there ready are taken; nothing at all is an error.
+
+    Stores that grow by days or articles are always brought up to date; others may be taken as they are (`use_cache`).
+    """
     def run(s: Store) -> None:
-        if readers.cached(s.spark, s.cfg.path(f"raw/{table}"), table, s.cfg.use_cache) is not None:
+        grows = table in ("raw_flow", "articles")
+        if not grows and readers.cached(s.spark, s.cfg.path(f"raw/{table}"), table, s.cfg.use_cache) is not None:
             return
+        for name, df in decode(s).items():
+            if df is not None:
+                s.land(name, df)
         if s.raw(table).isEmpty():
             raise RuntimeError(f"no rows of {table} were landed")
     return run
@@ -80,7 +122,7 @@ def _macro(s: Store) -> None:
     obs = s.raw("macro_observations")
     names = [r[0] for r in obs.select("series").distinct().orderBy("series").collect()]  # a few dozen series
     daily = [r[0] for r in obs.where("frequency = 'daily'").select("series").distinct().collect()]
-    grid, stale = macro.daily_grid(obs), dict(s.cfg.macro.staleness)
+    grid, stale = macro.daily_grid(obs, s.cfg.as_of or None), dict(s.cfg.macro.staleness)
     s.put("macro", macro.wide(macro.series_features(grid, daily or ["-"], stale, s.cfg.macro), names, daily or ["-"], stale, s.cfg.macro), ["date"])
     s.put("macro_sector", macro.sector_factor(grid, s.cfg.macro.sector_map, s.cfg.macro.sector_window), ["date", "sector"])
 
@@ -125,9 +167,11 @@ def _align(s: Store) -> None:
 
 
 RUN: dict[str, Callable[[Store], None]] = {
-    "ohlcv": landed("raw_prices"), "technical": _technical, "fundamentals": landed("raw_fundamentals"), "funda-features": _fundamental,
-    "macro": landed("macro_observations"), "macro-features": _macro, "flow": landed("raw_flow"), "flow-features": _flow,
-    "sentiment": _sentiment, "align": _align, "sentiment-backfill": _backfill,
+    "ohlcv": source("raw_prices", _bars), "technical": _technical,
+    "fundamentals": source("raw_fundamentals", lambda s: {"raw_fundamentals": landing.fundamentals(s.spark, s.cfg)}), "funda-features": _fundamental,
+    "macro": source("macro_observations", lambda s: {"macro_observations": landing.macro_observations(s.spark, s.cfg, _as_of(s))}), "macro-features": _macro,
+    "flow": source("raw_flow", _flow_days), "flow-features": _flow,
+    "news": source("articles", _articles), "sentiment": _sentiment, "align": _align, "sentiment-backfill": _backfill,
 }
 
 
@@ -136,6 +180,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("stages", nargs="+")
     p.add_argument("--root", default=".")
     p.add_argument("--config")
+    p.add_argument("--as-of", default="", help="the day of the run: calendars reach it, undated articles get it")
     p.add_argument("--use-cache", action="store_true")
     a = p.parse_args(argv)
     load_dotenv(a.root)
@@ -145,7 +190,7 @@ def main(argv: list[str] | None = None) -> int:
     from pitpanel.session import session
 
     setup_logging(f"{a.root}/logs")
-    store = Store(session(), replace(cfg, use_cache=a.use_cache))
+    store = Store(session(), replace(cfg, use_cache=a.use_cache, as_of=a.as_of or cfg.as_of))
     failed = 0
     for name in resolve(a.stages):
         began = time.time()

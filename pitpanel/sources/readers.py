@@ -125,12 +125,16 @@ def financial_arrays(decoded: DataFrame, f: Fundamental = Fundamental()) -> Data
     return decoded.select("ticker", "freq", F.from_json("financial", schema).alias("s")).where("s is not null").select("ticker", "freq", "s.*")
 
 
-def fallback_statement(rows: DataFrame, mapping: dict[str, list[str]]) -> DataFrame:
-    """(ticker, report_period, label, value) long rows -> canonical columns; of several labels the first with any value."""
-    wide = rows.groupBy("ticker", "report_period").pivot("label", [x for v in mapping.values() for x in v]).agg(F.first("value"))
+def fallback_statement(rows: DataFrame, mapping: dict[str, tuple[str, ...]]) -> DataFrame:
+    """(ticker, freq, report_period, label, value), a row per cell of a table -> canonical columns.
+
+    Of the labels of a column the first that the table of the ticker and frequency has any value for is taken, whole.
+    """
     from pitpanel.functions.scalar import first_usable
 
-    return wide.select("ticker", "report_period", *(first_usable(wide, v, "ticker").alias(k) for k, v in mapping.items()))
+    keys = ["ticker", "freq", "report_period"]
+    wide = rows.groupBy(*keys).pivot("label", [x for v in mapping.values() for x in v]).agg(F.max("value"))
+    return wide.select(*keys, *(first_usable(wide, v, ["ticker", "freq"]).alias(k) for k, v in mapping.items()))
 
 
 def observations_api(landed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pitpanel.config import Config, load_dotenv
+from pitpanel.config import Config, load_config, load_dotenv
 from pitpanel.plans import fundamental, stages
 from pitpanel.sources import readers, sinks
 from pitpanel.streaming import incremental
@@ -142,6 +142,77 @@ def test_stages_end_to_end(spark, tmp_path):
     assert store.get("coverage").where(F.col("rows") == 140).count() == 1
 
 
+def test_stages_from_payloads(spark, tmp_path):
+    """Landed payloads to panel: decoders, provider and source chains, quarantine, days and articles added once."""
+    root = str(tmp_path)
+
+    def land(name, rows):
+        (tmp_path / "landed" / name).mkdir(parents=True, exist_ok=True)
+        with open(tmp_path / "landed" / name / "part.json", "a") as f:
+            f.writelines(json.dumps(r) + "\n" for r in rows)
+
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(70)]
+    (tmp_path / "config").mkdir()
+    (tmp_path / "config" / "universe.json").write_text(json.dumps({"id": [{"ticker": "a.jk", "name": "PT Alpha Beta Tbk"}, {"ticker": "B.JK", "name": "Bravo"}]}))
+    land("bars", [{"ticker": t, "Date": str(d), "Open": 10.0 + i, "High": 11.0 + i, "Low": 9.0 + i, "Close": 10.5 + i, "Adj Close": 10.5 + i, "Volume": 100.0, "Dividends": 0.0, "Stock Splits": 0.0} for t in ("A.JK", "B.JK") for i, d in enumerate(days)])
+    land("bars", [{"ticker": "A.JK", "Date": "2024-03-20", "Close": None}])
+    land("metadata", [{"ticker": "A.JK", "long_name": None, "sector": "Energy", "sub_sector": "Coal", "ipo_epoch": 86400}])
+
+    def statement(**fields):
+        flat = [{"financialData": 1}, {"datekey": 2, **{k: 4 + i for i, k in enumerate(fields)}}, [3], "2023-09-30"]
+        at = len(flat) + len(fields)
+        flat += [[at + i] for i in range(len(fields))] + list(fields.values())
+        return json.dumps({"nodes": [{"type": "data", "data": flat}]})
+
+    land("statements", [{"ticker": "A.JK", "freq": "Q", "kind": "income", "payload": statement(revenue=5.0)}, {"ticker": "A.JK", "freq": "Q", "kind": "balance", "payload": statement(assets=9.0, equity=4.0)}, {"ticker": "B.JK", "freq": "Q", "kind": "income", "payload": "<html>"}])
+    cells = [("Operating Revenue", 7.0), ("Total Assets", 8.0)]
+    land("fallback_statements", [{"ticker": t, "freq": "Q", "report_period": "2023-09-30", "label": k, "value": v} for t in ("A.JK", "B.JK") for k, v in cells])
+    docs = {"series": {"docs": [{"period_start_day": [str(d) for d in days], "value": [str(100 + i) for i in range(70)], "@frequency": "daily"}]}}
+    land("macro", [{"series": "brent_oil", "driver": "observations", "payload": '{"observations":[{"date":"2024-01-01","value":"."}]}'}, {"series": "brent_oil", "driver": "series_docs", "payload": json.dumps(docs)}])
+    land("macro_closes", [{"series": "gold", "date": str(d), "close": 5.0} for d in days])
+    flow_of = lambda code: json.dumps({"recordsTotal": 1, "data": [{"StockCode": code, "ForeignBuy": 5, "ForeignSell": 2}]})
+    land("flow", [{"date": "2024-02-01", "payload": flow_of("A")}, {"date": "2024-02-02", "payload": flow_of("ZZ")}, {"date": "2024-02-03", "payload": "<html>"}])
+    feeds = tmp_path / "landed" / "feeds" / "f"
+    feeds.mkdir(parents=True)
+    item = "<item><title>alpha beta {0}</title><description>gains</description><link>l{0}</link></item>"
+    (feeds / "1.xml").write_text("<rss><channel>" + item.format(1) + item.format(1) + "</channel></rss>")
+    settings = {"as_of": "2024-03-20", "macro": {"series": [
+        {"name": "brent_oil", "group": "commodity", "frequency": "monthly", "lag": 1, "sources": [{"driver": "observations"}, {"driver": "series_docs", "frequency": "daily", "lag": 2}]},
+        {"name": "gold", "frequency": "daily", "sources": [{"driver": "closes"}]}]}, "sentiment": {"feeds": [{"name": "f", "lang": "id", "url": "u"}]}}
+    (tmp_path / "settings.json").write_text(json.dumps(settings))
+    store = stages.Store(spark, load_config(str(tmp_path / "settings.json"), root))
+    for name in stages.ORDER:
+        stages.RUN[name](store)
+    meta = {r.ticker: (r.name, r.sector, r.ipo_date) for r in store.raw("stock_metadata").collect()}
+    assert meta == {"A.JK": ("PT Alpha Beta Tbk", "Energy", dt.date(1970, 1, 2)), "B.JK": ("Bravo", None, days[0])}
+    funda = {r.ticker: (r.provider, r.revenue, r.total_assets, r.total_liabilities, r.release_date) for r in store.raw("raw_fundamentals").collect()}
+    release = dt.date(2023, 9, 30) + dt.timedelta(days=45)
+    assert funda == {"A.JK": ("statements", 5.0, 9.0, 5.0, release), "B.JK": ("fallback", 7.0, 8.0, None, release)}
+    obs = {r.series: (r.driver, r.frequency, r.group, r.n, r.lag) for r in store.raw("macro_observations").groupBy("series", "driver", "frequency", "group").agg(F.count("*").alias("n"), F.max(F.datediff("effective_date", "date")).alias("lag")).collect()}
+    assert obs == {"brent_oil": ("series_docs", "daily", "commodity", 70, 2), "gold": ("closes", "daily", "other", 70, 0)}
+    assert store.get("macro").agg(F.max("date")).first()[0] == dt.date(2024, 3, 20)
+    assert [tuple(r) for r in store.raw("raw_flow").collect()] == [(dt.date(2024, 2, 1), "A.JK", 5.0, 2.0, 3.0)]
+    assert [r.date for r in store.raw("empty_dates").collect()] == [dt.date(2024, 2, 2)]
+    assert spark.read.parquet(f"{root}/quarantine/flow").count() == 1
+    assert store.get("panel").count() == 140 and store.raw("articles").count() == 1
+    # a second run adds what is new and nothing else
+    land("flow", [{"date": "2024-02-05", "payload": flow_of("B")}])
+    (feeds / "2.xml").write_text("<rss><channel>" + item.format(2) + "</channel></rss>")
+    for name in ("flow", "news"):
+        stages.RUN[name](store)
+    assert store.raw("raw_flow").count() == 2 and store.raw("empty_dates").count() == 1
+    assert sorted(r.link for r in store.raw("articles").collect()) == ["l1", "l2"]
+
+
+def test_settings_are_checked(tmp_path):
+    p = tmp_path / "s.json"
+    p.write_text('{"technical": {"sma_windows": [5, 10]}}')
+    assert load_config(str(p)).technical.sma_windows == (5, 10) and hash(load_config(str(p)))
+    p.write_text('{"technical": {"no_such": 1}}')
+    with pytest.raises(TypeError):
+        load_config(str(p))
+
+
 def test_snapshots_per_feed(spark):
     rows = [(f, f"2020010{d}{h}0000", code) for f in "ab" for d in range(1, 6) for h, code in (("01", "200"), ("02", "200"), ("00", "404"))]
     got = readers.snapshots(spark.createDataFrame(rows, "feed_url string, timestamp string, statuscode string"), per_run=3).collect()
