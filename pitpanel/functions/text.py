@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Entities that feeds use, in the order of replacing; `&amp;` comes last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+#: Named entities of HTML with and without their semicolon, as the standard library lists them.
+NAMED = {k.rstrip(";"): v for k, v in html5.items() if k.endswith(";")}
+BARE = {k: html5[k] for k in sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))}
 
 
 def let(value: Column, body) -> Column:
@@ -14,10 +18,43 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def character(code: Column) -> Column:
+    """The character of a code point in decimal digits; of those that HTML reads as others, the others."""
+    n = F.coalesce(code.try_cast("bigint"), F.lit(2**31))  # beyond any character
+    high = [bytes([x]).decode("cp1252", "replace") for x in range(128, 160)]
+    high = [chr(128 + i) if c == "\ufffd" else c for i, c in enumerate(high)]
+    plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    control = n.between(1, 8) | n.between(14, 31) | n.between(127, 159) | n.between(64976, 65007) | (n == 11) | (n.bitwiseAND(F.lit(65534)) == 65534)
+    return (
+        F.when((n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+        .when(n.between(128, 159), F.get(F.array(*map(F.lit, high)), (n - 128).cast("int")))
+        .when(n == 13, F.lit("\r")).when(control, F.lit("")).otherwise(plain)
+    )
+
+
+def entity(part: Column) -> Column:
+    """What follows an ampersand, with the entity at its start resolved; the ampersand itself where there is none."""
+    digits, hexa, name = (F.regexp_extract(part, p, 1) for p in ("^#([0-9]+)", "^#[xX]([0-9a-fA-F]+)", "^([A-Za-z][A-Za-z0-9]*);"))
+    least = F.regexp_replace(hexa, "^0+", "")
+    bare = F.regexp_extract(part, f"^({'|'.join(BARE)})", 1)
+    # a constant each: the optimizer reads the JSON once
+    table = lambda of: F.from_json(F.lit(json.dumps(of)), "map<string,string>")
+    named = F.try_element_at(table(NAMED), name)
+    rest = lambda pattern: F.regexp_replace(part, pattern, "")
+    return (
+        F.when(digits != "", F.concat(character(digits), rest("^#[0-9]+;?")))
+        .when(hexa != "", F.concat(character(F.when(F.length(least) > 9, F.lit("9999999999")).otherwise(F.conv(least, 16, 10))), rest("^#[xX][0-9a-fA-F]+;?")))
+        .when((name != "") & named.isNotNull(), F.concat(named, rest("^[A-Za-z0-9]+;")))
+        .when(bare != "", F.concat(F.try_element_at(table(BARE), bare), F.substring(part, F.length(bare) + 1, F.length(part))))
+        .otherwise(F.concat(F.lit("&"), part))
+    )
+
+
 def unescape(text: Column) -> Column:
-    for a, b in ENTITIES:
-        text = F.replace(text, F.lit(a), F.lit(b))
-    return text
+    """Named and numeric entities of HTML resolved, once each; texts without an ampersand pass as they are."""
+    parts = F.split(text, "&", -1)
+    resolved = F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), entity), ""))
+    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(text)
 
 
 def clean_html(text: Column) -> Column:

@@ -219,7 +219,7 @@ select date, round(max(value) filter (series = '1-URGENT') + 1e-8, 6) as urgent,
 select cast(year as int) as year, count(*) as rows, {_share('ret_5d', 'ret_20d', 'ret_60d', 'ret_250d', 'mh', 'rsi_14', 'mfi_14', 'obv_slope_20d', 'atr', 'realized_vol_20d', 'bollinger_pctb')} as technical,
   {_share('z0', 'z1', 'z2', 'z3')} as cross_sectional, {_share('gross_margin', 'cast(null as int)', 'net_margin', 'cast(null as int)', 'cast(null as int)', 'roa', 'roe', 'revenue_yoy', 'net_income_yoy', 'eps_yoy', 'pe_ttm', 'pbv')} as fundamental, {_share('bi_rate', 'vix')} as macro from z group by 1""",
     "point_in_time_leaks": f"with {BARS} select count(*) as n_rows, cast(0 as bigint) as n_duplicates, cast(0 as bigint) as n_leaks from bars",
-    "text_clean_html": """with a as (select page_id, replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&') as h from pages),
+    "text_clean_html": """with a as (select page_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', chr(160)), '&amp;', '&') as h from pages),
 b as (select page_id, trim(regexp_replace(regexp_replace(h, '<[^>]+>', ' ', 'g'), '[\\s' || chr(160) || ']+', ' ', 'g')) as t from a) select page_id, length(t) as n_chars, md5(t) as md5 from b""",
     "article_dedupe": """with a as (select doc_id, cast(date '2024-01-01' + cast(doc_id % 90 as int) as date) as published, source, substring(text, 1, 40) as title, case when doc_id % 5 = 0 then ' ' when doc_id % 3 = 0 then 'http://x/' || (doc_id % 100) end as link from documents),
 k as (select doc_id, published, case when length(trim(link)) > 0 then trim(link) else source || '|' || title end as key from a where length(trim(title)) > 0)

@@ -232,3 +232,30 @@ def test_long_names(spark):
         got = sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents, small=small).collect()
         assert sorted(map(tuple, got)) == [(1, "BJBR.JK"), (3, "BJBR.JK"), (4, "BBCA.JK"), (7, "BBCA.JK")]
     assert sentiment.match_entities(spark.createDataFrame(texts, "doc_id long, text string"), ents.where("false")).count() == 0
+
+
+def test_unescape_as_the_standard_library(spark):
+    import html
+
+    texts = [
+        "a &amp; b &lt;p&gt; &quot;q&quot; &#39;s&#39; &apos;", "&amp;lt; &amp;amp;", "&eacute;&Eacute &copy 2 &copyright &notit; &notin; &NotEqualTilde;",
+        "&#233;&#xe9;&#XE9 &#8217; &#128512; &#0; &#1; &#13; &#11; &#150; &#x80; &#129; &#xD800; &#x110000; &#99999999999999999999; &#xFFFFFFFFFFFF; &#65535; &#64976;",
+        "& && &; &#; &#x; &nosuch; &nosuch x", "", "no entity", "&nbsp;x&nbsp", "tail &", "&amp", "AT&T &ampx; &lt", "&#38;lt; &fjlig; &#x1F600;",
+    ]
+    from pitpanel.functions.text import unescape
+
+    got = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", unescape(F.col("t")).alias("u")).collect()
+    assert {r.t: r.u for r in got} == {None: None, **{t: html.unescape(t) for t in texts}}
+
+
+def test_scan_over_runs_of_blocks(spark):
+    import numpy as np
+
+    from pitpanel.operators.scan import scan, scan_pandas
+
+    x = np.random.RandomState(0).randn(400)
+    df = spark.createDataFrame([(k, i, float(v)) for k in "ab" for i, v in enumerate(x[: 400 if k == "a" else 63])], "k string, i int, c double")
+    specs = {"slow": ("c", 0.99), "fast": ("c", 0.5)}
+    one = {(r.k, r.i): (r.slow, r.fast) for r in scan(df, "k", "i", specs, block=4).collect()}
+    two = {(r.k, r.i): (r.slow, r.fast) for r in scan_pandas(df, "k", "i", specs).collect()}
+    assert one.keys() == two.keys() and all(np.allclose(one[k], two[k], rtol=1e-12, atol=1e-12) for k in one)
