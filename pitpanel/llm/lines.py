@@ -14,6 +14,8 @@ before its own. Only sets for which that finds no earlier match meet all earlier
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ BUCKETS = 1 << 18
 BITMAP = 1 << 16
 #: Words by which a set meets near copies first, and how many sets before its own.
 FIRST, BACK = 4, 4
+#: Runs of words in which all earlier sets are met, one after the other, so that only one run's postings are on disk at once.
+RUNS = 4
 #: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
 SIZES = (48, 144)
 SKETCH = ("s0", "s1", "s2", "s3")
@@ -147,15 +151,20 @@ def first_pairs(sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def other_pairs(scratch: Scratch, sets: DataFrame, later: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that may match, of sets not yet known to be later ones with all earlier sets. Both sides read one exchange."""
+    """Pairs that may match, of sets not yet known to be later ones with all earlier sets: of a run of words at a time, where
+    both sides read one exchange."""
     held, rows = bitmap(scratch, later, "id"), sets.drop("at")
     some = rows.where(held("id")).join(later.withColumn("late", F.lit(1)), "id", "left").withColumn("late", F.coalesce("late", F.lit(0)))
     rows = scratch.cut(rows.where(~held("id")).withColumn("late", F.lit(0)).unionByName(some), "open_sets")  # read by both sides
-    rows = postings(rows, num, den, F.col("prefix"), "late")
-    # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
-    return rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where(
-        "a.late < 1 + least(b.n, 0) and b.id < a.id"
-    ).where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y")).distinct()
+    every = postings(rows, num, den, F.col("prefix"), "late")
+    found = []
+    for run in range(RUNS):
+        rows = every.where(F.pmod("key", F.lit(RUNS)) == run)
+        # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
+        met = rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where("a.late < 1 + least(b.n, 0) and b.id < a.id")
+        met = met.where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
+        found.append(scratch.cut(met, "run_pairs"))
+    return reduce(DataFrame.union, found).distinct()
 
 
 def bitmap(scratch: Scratch, keys: DataFrame, name: str):
@@ -216,7 +225,7 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     later = later_sets(scratch, pairs, sets, lines, num, den)
     scratch.drop("line_pairs")
     pairs = scratch.cut(other_pairs(scratch, sets, later, num, den), "line_pairs")
-    scratch.drop("open_sets")
+    scratch.drop("open_sets", "run_pairs")
     later = later.union(later_sets(scratch, pairs, sets, lines, num, den))
     kept = sets.join(later, "id", "left_anti").select("at.doc_id", "at.h", "at.pos").groupBy("doc_id", "h").agg(F.collect_list("pos").alias("kept"))
     kept = scratch.cut(kept, "kept_lines")
