@@ -198,12 +198,14 @@ def later_sets(scratch: Scratch, pairs: DataFrame, sets: DataFrame, lines: DataF
     met = sets.where(bitmap(scratch, met, "id")("id")).join(met, "id").select("id", "at.doc_id", "at.h", "at.pos", "at.e")
     met = scratch.cut(met, "met_sets")
     wanted = met.select("id", F.col("doc_id").alias("d"), "h", "pos")
-    held = lines.withColumn("e", F.xxhash64("line")).where(bitmap(scratch, met, "e")("e")).join(wanted, ["h", "pos"])
-    held = held.where(F.col("doc_id").eqNullSafe(F.col("d"))).groupBy("id").agg(F.first("line").alias("line"))
-    held = scratch.cut(held, "met_lines")
-    one = lambda s: held.select(F.col("id").alias(s), F.array_distinct(words(F.col("line"))).alias(f"set_{s}"))
-    common = F.size(F.array_intersect("set_x", "set_y"))
-    alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common * den >= (F.size("set_x") + F.size("set_y") - common) * num)
+    # the first test goes below the splitting of texts into lines
+    held = lines.where(bitmap(scratch, met, "h")("h")).withColumn("e", F.xxhash64("line")).where(bitmap(scratch, met, "e")("e"))
+    held = held.join(wanted, ["h", "pos"]).where(F.col("doc_id").eqNullSafe(F.col("d"))).groupBy("id").agg(F.first("line").alias("line"))
+    held = scratch.cut(held.withColumn("n", F.size(F.array_distinct(words(F.col("line"))))), "met_lines")
+    one = lambda s: held.select(F.col("id").alias(s), F.col("line").alias(f"line_{s}"), F.col("n").alias(f"n_{s}"))
+    common = F.size(F.array_intersect(words(F.col("line_x")), words(F.col("line_y"))))
+    # common / (n_x + n_y - common) >= num / den
+    alike = pairs.join(one("x"), "x").join(one("y"), "y").where(common.cast("long") * (den + num) >= (F.col("n_x").cast("long") + F.col("n_y")) * num)
     out = scratch.cut(alike.select(F.col("x").alias("id")).distinct(), "later")
     scratch.drop("met_ids", "met_sets", "met_lines", "marks")
     return out
