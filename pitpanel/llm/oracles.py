@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pitpanel.llm.chat import BEGIN, CONTROLS, END, SEP, TEXT, TURN
+from pitpanel.llm.decontaminate import WINDOW
+from pitpanel.llm.decontaminate import WORD as ITEM_WORD
 from pitpanel.llm.quality import RULES as QUALITY
 from pitpanel.llm.quality import SYMBOLS
 from pitpanel.llm.secrets import RULES as SECRETS
@@ -72,10 +74,23 @@ select d.doc_id, count(*) filter (k = 0) as n_assign, count(*) filter (k = 1) as
 from d left join s on s.doc_id = d.doc_id group by 1"""
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DECONTAMINATION = rf"""with d as (select row_number() over () as r, doc_id, regexp_extract_all({_LOWERED}, '{ITEM_WORD}') as w from documents),
+b as (select item_id, regexp_extract_all({_LOWERED}, '{ITEM_WORD}') as w from benchmark),
+win as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as g from (select item_id, w, n, unnest(range(1, len(w) - n + 2)) as i from (select *, least(len(w), {WINDOW}) as n from b where len(w) > 0))),
+grams as (select r, n, i, array_to_string(w[i:i + n - 1], ' ') as g from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from d cross join (select distinct n from win))),
+hits as (select r, g.n, i, item_id from grams g join win using (n, g)),
+words as (select r, count(*) as n_hit from (select distinct r, i + unnest(range(0, n)) as p from (select distinct r, n, i from hits)) group by 1),
+items as (select r, count(*) as n_items, string_agg(x, ',' order by x) as items from (select distinct r, cast(item_id as varchar) as x from hits) where x is not null group by 1)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join words using (r) left join items using (r)"""
+
 ORACLES = {
     "op1_covertree": VECTORS,
     "op2_chat_formatting": CHAT,
     "op4_warc": WARC,
     "op5_quality_rules": _quality(),
     "op6_secret_scans": _secrets(),
+    "op12_decontamination": DECONTAMINATION,
 }

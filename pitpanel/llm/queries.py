@@ -100,6 +100,18 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.decontaminate import scan
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    r = scan(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return r.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_covertree, op2_chat_formatting, op3_simhash, op4_warc, op5_quality_rules, op6_secret_scans, op7_binary_ids, op8_mixing, op9_line_dedup, op10_packing,
+    op12_decontamination,
 )}
