@@ -86,6 +86,16 @@ items as (select r, count(*) as n_items, string_agg(x, ',' order by x) as items
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (r) left join items using (r)"""
 
+HARD_NEGATIVES = """with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, cast(embedding as double[]) as v from embeddings),
+f as (select vec_id, label, [cast(floor(256 * x) as bigint) for x in v] as q from e where vec_id is not null and label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0
+  qualify row_number() over (partition by vec_id order by label, v) = 1),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as alike, cast(list_sum([x[1] * x[2] for x in list_zip(a.q, b.q)]) as bigint) as score
+  from f a join f b on a.vec_id <> b.vec_id and len(a.q) = len(b.q) where a.vec_id % 50 = 0),
+p as (select anchor_id, id as positive_id, score as positive_score from s where alike qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as integer) as rank, id as negative_id, positive_score, score as negative_score
+from p join s on s.anchor_id = p.anchor_id and not alike and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window w as (partition by p.anchor_id, positive_id order by score desc, id) qualify row_number() over w <= 3"""
+
 ORACLES = {
     "op1_covertree": VECTORS,
     "op2_chat_formatting": CHAT,
@@ -93,4 +103,5 @@ ORACLES = {
     "op5_quality_rules": _quality(),
     "op6_secret_scans": _secrets(),
     "op12_decontamination": DECONTAMINATION,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

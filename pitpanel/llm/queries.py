@@ -111,7 +111,15 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.hardneg import hard_negatives
+
+    v = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    v = v.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(v, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_covertree, op2_chat_formatting, op3_simhash, op4_warc, op5_quality_rules, op6_secret_scans, op7_binary_ids, op8_mixing, op9_line_dedup, op10_packing,
-    op12_decontamination,
+    op12_decontamination, op13_hard_negatives,
 )}
