@@ -86,6 +86,24 @@ items as (select r, count(*) as n_items, string_agg(x, ',' order by x) as items
 select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join words using (r) left join items using (r)"""
 
+SPELLING = r"""with recursive t as (select coalesce(cast(doc_id as varchar), '') as d, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents),
+r as (select d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as c from t where length(run) >= 6 group by 1, 2),
+x as (select *, hex(encode(d || ':' || run)) as x from r),
+h as (select run, c, xor(list_reduce([cast('0x' || x[i:i + 1] as bigint) for i in range(1, len(x), 2)],
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda p, q: xor(p >> 1, 3988292384 * (p & 1))), 4294967295), 4294967295) as h from x),
+w as (select case when h % 199 = 0 then run[:h % length(run)] || run[h % length(run) + 2:] else run end as word, c from h),
+v as (select word, cast(sum(c) as bigint) as n from w where length(word) >= 6 group by 1 having sum(c) >= 5),
+places as (select word, n, unnest(range(1, length(word) + 1)) as i from v),
+wild as (select word, n, word[:i - 1] || '*' || word[i + 1:] as key from places),
+less as (select distinct word, n, word[:i - 1] || word[i + 1:] as key from places),
+near as (select a.word, b.word as other, b.n from wild a join wild b on a.key = b.key and a.word <> b.word
+  union select l.word, v.word, v.n from less l join v on v.word = l.key union select v.word, l.word, l.n from less l join v on v.word = l.key),
+best as (select word, count(*) as n_near, max(n) as top, arg_min(other, struct_pack(a := -n, b := other)) as other from near group by 1),
+f as (select v.word, v.n, coalesce(n_near, 0) as n_near, case when top >= 5 * v.n then other end as form, case when top >= 5 * v.n then top end as form_n from v left join best on best.word = v.word),
+chain as (select word, word as root from f union all select chain.word, f.form from chain join f on f.word = chain.root where f.form is not null),
+ends as (select chain.word, chain.root from chain join f on f.word = chain.root where f.form is null)
+select f.word, form, root, n, n_near, form_n from f join ends on ends.word = f.word"""
+
 HARD_NEGATIVES = """with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, cast(embedding as double[]) as v from embeddings),
 f as (select vec_id, label, [cast(floor(256 * x) as bigint) for x in v] as q from e where vec_id is not null and label is not null and len(v) > 0 and len(list_filter(v, lambda x: x is null or isnan(x) or isinf(x))) = 0
   qualify row_number() over (partition by vec_id order by label, v) = 1),
@@ -102,6 +120,7 @@ ORACLES = {
     "op4_warc": WARC,
     "op5_quality_rules": _quality(),
     "op6_secret_scans": _secrets(),
+    "op11_spelling_variants": SPELLING,
     "op12_decontamination": DECONTAMINATION,
     "op13_hard_negatives": HARD_NEGATIVES,
 }

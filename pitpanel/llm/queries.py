@@ -100,6 +100,12 @@ def op10_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = None)
     return p.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pitpanel.llm.spelling import variants
+
+    return variants(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pitpanel.llm.decontaminate import scan
 
@@ -121,5 +127,5 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_covertree, op2_chat_formatting, op3_simhash, op4_warc, op5_quality_rules, op6_secret_scans, op7_binary_ids, op8_mixing, op9_line_dedup, op10_packing,
-    op12_decontamination, op13_hard_negatives,
+    op11_spelling_variants, op12_decontamination, op13_hard_negatives,
 )}
