@@ -65,17 +65,23 @@ def scan_pandas(df: DataFrame, by, order, specs: dict[str, tuple[str, float]]) -
     return df.groupBy(*by).applyInPandas(run, schema)
 
 
-def ewm(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], scan_=scan) -> DataFrame:
+def ewm(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], scan_=scan, known: tuple[str, str] | None = None) -> DataFrame:
     """specs: new column -> (value column, alpha): y_0 = x_0, y_t = (1 - a) y_(t-1) + a x_t, from the first value on.
 
-    Values may be missing at the start of a key only; there the result is NULL.
+    Values may be missing at the start of a key only; there the result is NULL. `known` names two columns: where the first, an
+    `order` value, is set, the means at that place are the fields of the second (a struct by new column), and rows before it
+    leave no trace; so a series can be taken up in its middle.
     """
     by = [by] if isinstance(by, str) else list(by)
     past = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     d = df
     for name, (x, a) in specs.items():
         seed = F.count(F.col(x)).over(past) == 1
-        d = d.withColumn(f"_c_{name}", F.when(seed, F.col(x)).otherwise(F.col(x) * a))
+        own = F.when(seed, F.col(x)).otherwise(F.col(x) * a)
+        if known:
+            at, place = F.col(known[0]), F.col(order)
+            own = F.when(place < at, F.lit(0.0)).when((place == at) & F.col(known[1])[name].isNotNull(), F.col(known[1])[name]).otherwise(own)
+        d = d.withColumn(f"_c_{name}", own)
     d = scan_(d, by, order, {name: (f"_c_{name}", 1 - a) for name, (_, a) in specs.items()})
     for name, (x, _) in specs.items():
         d = d.withColumn(name, F.when(F.col(x).isNotNull(), F.col(name)))

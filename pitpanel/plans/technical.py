@@ -51,22 +51,30 @@ def returns(d: DataFrame, t: Technical = Technical()) -> DataFrame:
     return d.withColumn("gap_open", div(c("open"), S.lag(c("close"))) - 1)
 
 
-def recursive(d: DataFrame, t: Technical = Technical()) -> DataFrame:
-    """MACD histogram, RSI and ATR: five exponential means in one scan, the signal line in a second."""
+#: The exponential means that a series is taken up with.
+STATES = ("_fast", "_slow", "_ag", "_al", "_atr", "_sig")
+
+
+def recursive(d: DataFrame, t: Technical = Technical(), states: bool = False) -> DataFrame:
+    """MACD histogram, RSI and ATR: five exponential means in one scan, the signal line in a second.
+
+    With `states` the means stay as columns, and where `_known_at` is set, they start from `_known` at that date.
+    """
     fast, slow, signal = t.macd
+    known = ("_known_at", "_known") if states else None
     delta, prev = c("close") - S.lag(c("close")), S.lag(c("close"))
     d = d.withColumn("_gain", not_below(delta)).withColumn("_loss", not_below(-delta))
     d = d.withColumn("_tr", F.greatest(c("high") - c("low"), F.abs(c("high") - prev), F.abs(c("low") - prev)))
     d = ewm(d, "ticker", "date", {
         "_fast": ("close", 2 / (fast + 1)), "_slow": ("close", 2 / (slow + 1)),
         "_ag": ("_gain", 1 / t.rsi), "_al": ("_loss", 1 / t.rsi), "_atr": ("_tr", 1 / t.atr),
-    })
-    d = ewm(d.withColumn("_macd", c("_fast") - c("_slow")), "ticker", "date", {"_sig": ("_macd", 2 / (signal + 1))})
+    }, known=known)
+    d = ewm(d.withColumn("_macd", c("_fast") - c("_slow")), "ticker", "date", {"_sig": ("_macd", 2 / (signal + 1))}, known=known)
     enough = lambda x, n: F.count(c(x)).over(S.past) >= n
     rsi = F.when(c("_al") > 0, 100.0 - 100.0 / (1.0 + div(c("_ag"), c("_al")))).otherwise(100.0)
     d = d.withColumn("macd_hist", c("_macd") - c("_sig")).withColumn("macd_hist_pct", div(c("_macd") - c("_sig"), c("close")))
     d = d.withColumn("rsi_14", F.when(enough("_gain", t.rsi), rsi)).withColumn("atr_ratio_14", F.when(enough("_tr", t.atr), div(c("_atr"), c("close"))))
-    return d.drop("_gain", "_loss", "_tr", "_fast", "_slow", "_ag", "_al", "_atr", "_macd", "_sig")
+    return d.drop("_gain", "_loss", "_tr", "_macd", *(() if states else STATES))
 
 
 def volume_features(d: DataFrame, t: Technical = Technical()) -> DataFrame:
@@ -112,9 +120,19 @@ def cross_section(d: DataFrame, t: Technical = Technical()) -> DataFrame:
 
 def technical_panel(raw: DataFrame, u: Universe = Universe(), t: Technical = Technical(), ties=("close",)) -> DataFrame:
     """Raw bars -> the technical panel. One exchange by ticker for all series windows, one by date for the cross-section."""
-    d = universe_flags(back_adjust(clean(raw, ties)), u)
-    d = calendar_features(range_vol(volume_features(recursive(returns(d, t), t), t), t), t)
-    return cross_section(d, t).drop("adj_close", "dividends", "stock_splits", "n")
+    return cross_section(series_features(clean(raw, ties), u, t), t).drop("adj_close", "dividends", "stock_splits", "n")
+
+
+def series_features(cleaned: DataFrame, u: Universe = Universe(), t: Technical = Technical(), states: bool = False) -> DataFrame:
+    """All features of one ticker's own bars."""
+    d = universe_flags(back_adjust(cleaned), u)
+    return calendar_features(range_vol(volume_features(recursive(returns(d, t), t, states), t), t), t)
+
+
+def look_back(u: Universe = Universe(), t: Technical = Technical()) -> int:
+    """How many earlier rows of its ticker the finite frames of a row reach; exponential means reach all and are kept as states."""
+    frames = (*t.sma_windows, u.turnover_window, t.mfi + 1, t.obv_slope + 1, t.volume_sma, t.realized_vol + 1, *(n + 1 for n in t.vol_ratio), t.bollinger[0], t.high, t.close_pos, t.rsi + 1, t.atr + 1)
+    return max(*t.return_windows, *(n - 1 for n in frames))
 
 
 def corporate_actions(raw: DataFrame) -> DataFrame:

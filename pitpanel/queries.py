@@ -358,3 +358,7 @@ def daily_windows(spark, sf_dir):
     return e.groupBy(F.date_trunc("hour", c("ts").cast("timestamp")).cast("timestamp_ntz").alias("hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
 
+from pitpanel import queries_incremental as _incremental  # noqa: E402
+
+QUERIES.update(_incremental.QUERIES)
+ORACLES.update(_incremental.ORACLES)

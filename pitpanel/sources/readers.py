@@ -43,6 +43,23 @@ def cached(spark: SparkSession, path: str, table: str, use_cache: bool) -> DataF
     return read(spark, path, table) if use_cache and exists(spark, path) else None
 
 
+def day(text):
+    """The date of a date, timestamp or their text; NULL for anything else."""
+    return F.coalesce(F.try_to_date(text.cast("string")), F.try_to_timestamp(text.cast("string")).cast("date"))
+
+
+def carried(landed: DataFrame, *more: str) -> list[str]:
+    """Columns that decoders hand on: those named, and the place at which a row landed, where it is known."""
+    return [*more, *(["_seq"] if "_seq" in landed.columns else [])]
+
+
+def with_place(landed: DataFrame) -> DataFrame:
+    """Rows read from files, with `_seq`, by which later rows follow earlier ones: newer files, and places within a file."""
+    m = c("_metadata")
+    place = F.struct(m["file_modification_time"].alias("time"), m["file_path"].alias("file"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+    return landed.select(*landed.columns, place.alias("_seq"))
+
+
 def universe(spark: SparkSession, path: str) -> DataFrame:
     """JSON {country: [{ticker, name}]} -> ticker, name: trimmed, upper case, blank ones dropped, the first of each stays."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,array<struct<ticker:string,name:string>>>").alias("m"))
@@ -57,11 +74,11 @@ def universe(spark: SparkSession, path: str) -> DataFrame:
 def normalize_bars(frame: DataFrame, ticker: str | None = None) -> DataFrame:
     """Provider columns to canonical names, midnight dates, the last of each date, rows without close dropped."""
     names = {"Date": "date", "Datetime": "date", "Open": "open", "High": "high", "Low": "low", "Close": "close", "Adj Close": "adj_close", "Volume": "volume", "Dividends": "dividends", "Stock Splits": "stock_splits"}
-    d = frame.withColumnsRenamed({a: b for a, b in names.items() if a in frame.columns}).withColumn("date", F.to_date("date"))
+    d = frame.withColumnsRenamed({a: b for a, b in names.items() if a in frame.columns}).withColumn("date", day(c("date")))
     if ticker:
         d = d.withColumn("ticker", F.lit(ticker))
-    order = ["fetched"] if "fetched" in d.columns else ["close"]
-    return keep_last(d, ["ticker", "date"], order).where("close is not null")
+    order = [x for x in ("_seq", "fetched") if x in d.columns] or ["close"]
+    return keep_last(d.where("date is not null"), ["ticker", "date"], order).where("close is not null")
 
 
 def metadata(fetched: DataFrame, tickers: DataFrame, first_dates: DataFrame) -> DataFrame:
@@ -128,46 +145,75 @@ def financial_arrays(decoded: DataFrame, f: Fundamental = Fundamental()) -> Data
 def fallback_statement(rows: DataFrame, mapping: dict[str, tuple[str, ...]]) -> DataFrame:
     """(ticker, freq, report_period, label, value), a row per cell of a table -> canonical columns.
 
-    Of the labels of a column the first that the table of the ticker and frequency has any value for is taken, whole.
+    Of a cell that landed twice the later counts. Of the labels of a column the first that the table of the ticker and frequency
+    has any value for is taken, whole.
     """
     from pitpanel.functions.scalar import first_usable
 
     keys = ["ticker", "freq", "report_period"]
-    wide = rows.groupBy(*keys).pivot("label", [x for v in mapping.values() for x in v]).agg(F.max("value"))
+    last = F.max_by("value", "_seq") if "_seq" in rows.columns else F.max("value")
+    wide = rows.where("value is not null").groupBy(*keys).pivot("label", [x for v in mapping.values() for x in v]).agg(last)
     return wide.select(*keys, *(first_usable(wide, v, ["ticker", "freq"]).alias(k) for k, v in mapping.items()))
 
 
 def observations_api(landed: DataFrame) -> DataFrame:
-    """(series, payload) {observations: [{date, value}]} -> series, date, value; '.' and blanks are missing."""
-    o = landed.select("series", F.explode(F.from_json("payload", "observations array<struct<date:string,value:string>>")["observations"]).alias("o"))
-    return o.select("series", F.to_date("o.date").alias("date"), c("o.value").try_cast("double").alias("value")).where("value is not null")
+    """(series, payload) {observations: [{date, value}]} -> series, date, value; '.' and blanks are missing, entries without a date go."""
+    keep = carried(landed, "series")
+    o = landed.select(*keep, F.explode(F.from_json("payload", "observations array<struct<date:string,value:string>>")["observations"]).alias("o"))
+    o = o.select(*keep, F.try_to_date("o.date").alias("date"), number(c("o.value")).alias("value"))
+    return o.where("date is not null and value is not null")
+
+
+def number(text):
+    """The finite number a text stands for, else NULL."""
+    x = text.try_cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) < float("inf")), x)
 
 
 def series_docs(landed: DataFrame) -> DataFrame:
     """(series, payload) {series: {docs: [{period_start_day, value, @frequency}]}} -> rows; monthly stamps move to month end."""
+    keep = carried(landed, "series")
     schema = "series struct<docs:array<struct<period_start_day:array<string>,value:array<string>,`@frequency`:string>>>"
-    d = landed.select("series", F.from_json("payload", schema)["series"]["docs"][0].alias("d"))
-    z = d.select("series", c("d.`@frequency`").alias("f"), F.explode(F.arrays_zip(c("d.period_start_day").alias("p"), c("d.value").alias("v"))).alias("z"))
-    day = F.to_date("z.p")
-    return z.select("series", F.when(c("f") == "monthly", F.last_day(day)).otherwise(day).alias("date"), c("z.v").try_cast("double").alias("value")).where("value is not null")
+    d = landed.select(*keep, F.get(F.from_json("payload", schema)["series"]["docs"], F.lit(0)).alias("d"))
+    z = d.select(*keep, c("d.`@frequency`").alias("f"), F.explode(F.arrays_zip(c("d.period_start_day").alias("p"), c("d.value").alias("v"))).alias("z"))
+    at = F.try_to_date("z.p")
+    z = z.select(*keep, F.when(c("f") == "monthly", F.last_day(at)).otherwise(at).alias("date"), number(c("z.v")).alias("value"))
+    return z.where("date is not null and value is not null")
+
 
+def month_end(year, month):
+    """The last day of a month given as numbers or their text; NULL where there is no such month."""
+    y, m = year.try_cast("int"), month.try_cast("int")
+    return F.when(y.between(1, 9999) & m.between(1, 12), F.last_day(F.make_date(F.when(y.between(1, 9999), y), F.when(m.between(1, 12), m), F.lit(1))))
 
-def dynamic_table(landed: DataFrame, var_id: str) -> DataFrame:
-    """(series, payload) with datacontent keyed vervar+var+turvar+year+month -> monthly values; the annual month 13 is skipped."""
-    schema = "status string, vervar array<struct<val:string>>, turvar array<struct<val:string>>, tahun array<struct<val:string,label:string>>, datacontent map<string,double>"
-    p = landed.select("series", F.from_json("payload", schema).alias("p"))
-    p = p.select("series", "p.datacontent", F.explode("p.vervar.val").alias("ver"), c("p.turvar.val").alias("turs"), c("p.tahun").alias("years"))
-    p = p.select("series", "datacontent", "ver", F.explode("turs").alias("tur"), "years").select("*", F.explode("years").alias("y"))
-    p = p.select("series", "datacontent", "ver", "tur", "y", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m"))
-    key = F.concat("ver", F.lit(var_id), "tur", "y.val", c("m").cast("string"))
-    return p.select("series", F.last_day(F.make_date(c("y.label").cast("int"), c("m"), F.lit(1))).alias("date"), F.try_element_at("datacontent", key).alias("value")).where("value is not null")
+
+def dynamic_table(landed: DataFrame, variable) -> DataFrame:
+    """(series, payload) with datacontent keyed vervar+var+turvar+year+month -> monthly values; the annual month 13 is skipped.
+
+    `variable` is the id of the variable, a text or a column. Years whose label is no number go.
+    """
+    keep = carried(landed, "series")
+    schema = "status string, vervar array<struct<val:string>>, turvar array<struct<val:string>>, tahun array<struct<val:string,label:string>>, datacontent map<string,string>"
+    p = landed.select(*keep, (F.lit(variable) if isinstance(variable, str) else variable).alias("_v"), F.from_json("payload", schema).alias("p"))
+    p = p.select(*keep, "_v", "p.datacontent", F.explode("p.vervar.val").alias("ver"), c("p.turvar.val").alias("turs"), c("p.tahun").alias("years"))
+    p = p.withColumn("tur", F.explode("turs")).withColumn("y", F.explode("years")).withColumn("m", F.explode(F.sequence(F.lit(1), F.lit(12))))
+    key = F.concat("ver", "_v", "tur", "y.val", c("m").cast("string"))
+    p = p.select(*keep, month_end(c("y.label"), c("m")).alias("date"), number(F.try_element_at("datacontent", key)).alias("value"))
+    return p.where("date is not null and value is not null")
 
 
 def monthly_statistic(landed: DataFrame, as_of: str) -> DataFrame:
-    """(series, year, month, payload) {seriesData: [{x, y}]} -> month's sum of numbers; the running month is skipped."""
-    d = landed.select("series", F.last_day(F.make_date("year", "month", F.lit(1))).alias("date"), F.explode(F.from_json("payload", "seriesData array<struct<x:string,y:string>>")["seriesData"]).alias("e"))
-    d = d.withColumn("y", c("e.y").try_cast("double")).where("y is not null").where(c("date") <= F.last_day(F.add_months(F.lit(as_of).cast("date"), -1)))
-    return d.groupBy("series", "date").agg(F.sum("y").alias("value"))
+    """(series, year, month, payload) {seriesData: [{x, y}]} -> month's sum of numbers; the month of `as_of` is skipped.
+
+    Of a month that landed twice the later payload counts.
+    """
+    keep = carried(landed, "series")
+    landed = landed.withColumn("date", month_end(c("year"), c("month"))).where("date is not null")
+    if "_seq" in landed.columns:
+        landed = keep_last(landed, ["series", "date"], ["_seq"])
+    d = landed.select(*keep, "date", F.explode(F.from_json("payload", "seriesData array<struct<x:string,y:string>>")["seriesData"]).alias("e"))
+    d = d.withColumn("y", number(c("e.y"))).where("y is not null").where(c("date") <= F.last_day(F.add_months(F.lit(as_of).cast("date"), -1)))
+    return d.groupBy(*keep, "date").agg(F.sum("y").alias("value"))
 
 
 def statistic_filter(year, month):
@@ -177,10 +223,11 @@ def statistic_filter(year, month):
 
 def stock_flow(landed: DataFrame, universe_: DataFrame) -> DataFrame:
     """(date, payload) {data: [{StockCode, ForeignBuy, ForeignSell}]} -> raw_flow rows of the universe; non-numbers go."""
-    d = landed.select("date", F.explode(F.from_json("payload", "recordsTotal long, data array<struct<StockCode:string,ForeignBuy:string,ForeignSell:string>>")["data"]).alias("e"))
-    d = d.select("date", F.concat(F.upper(F.trim("e.StockCode")), F.lit(".JK")).alias("ticker"), c("e.ForeignBuy").try_cast("double").alias("foreign_buy"), c("e.ForeignSell").try_cast("double").alias("foreign_sell"))
+    keep = carried(landed, "date")
+    d = landed.select(*keep, F.explode(F.from_json("payload", "recordsTotal string, data array<struct<StockCode:string,ForeignBuy:string,ForeignSell:string>>")["data"]).alias("e"))
+    d = d.select(*keep, F.concat(F.upper(F.trim("e.StockCode")), F.lit(".JK")).alias("ticker"), number(c("e.ForeignBuy")).alias("foreign_buy"), number(c("e.ForeignSell")).alias("foreign_sell"))
     d = d.where("foreign_buy is not null and foreign_sell is not null").join(universe_.select("ticker"), "ticker", "left_semi")
-    return d.select("date", "ticker", "foreign_buy", "foreign_sell", (c("foreign_buy") - c("foreign_sell")).alias("foreign_net"))
+    return d.select(*keep, "ticker", "foreign_buy", "foreign_sell", (c("foreign_buy") - c("foreign_sell")).alias("foreign_net"))
 
 
 def quarantine(landed: DataFrame, path: str, limit: int = 300_000) -> DataFrame:
