@@ -96,9 +96,13 @@ class MacroSeries:
 
 @dataclass(frozen=True)
 class Feed:
+    """A feed, or a search of one: `query` is what was searched for, `source` the name its articles bear (the feed's own unless given)."""
+
     name: str = ""
     lang: str = ""
     url: str = ""
+    source: str = ""
+    query: str | None = None
 
 
 @dataclass(frozen=True)
@@ -176,9 +180,21 @@ def made(default, given):
     return given
 
 
+def read_settings(path: str):
+    """The value of a JSON file, or of a YAML file where that library is there."""
+    text = Path(path).read_text()
+    if not path.endswith((".yaml", ".yml")):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError(f"{path}: no YAML library is installed; use JSON") from e
+    return yaml.safe_load(text) or {}
+
+
 def load_config(path: str | None = None, root: str = ".") -> Config:
-    """Defaults, overridden by a JSON file of the same nesting."""
-    return made(Config(root=root), json.loads(Path(path).read_text())) if path else Config(root=root)
+    """Defaults, overridden by a JSON or YAML file of the same nesting."""
+    return made(Config(root=root), read_settings(path)) if path else Config(root=root)
 
 
 def load_dotenv(root: str) -> dict[str, str]:

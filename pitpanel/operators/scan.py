@@ -3,7 +3,7 @@
 Rows are numbered per key and cut into blocks of 128, blocks into runs of 128 blocks. Within a block, y is b^k times a running
 sum of c_j b^-j; the ends of earlier blocks of the run come in through a window that gathers one value per block, the ends of
 earlier runs through one that gathers a value per run, so that a row folds 128 values and one for each 16384 rows before it.
-Only windows over one partitioning are used, no join and no Python; scan_pandas is the plain form, for comparison. Factors
+Only windows over one partitioning are used, no join and no Python. Factors
 below block^-th root of the least double (half-lives under an eighth of a row) are outside its range.
 """
 
@@ -45,26 +45,6 @@ def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: i
     return d.drop("_scan_n", "_scan_b", "_scan_r", "_scan_k", "_scan_ends", *(f"_s_{name}" for name in specs))
 
 
-def scan_pandas(df: DataFrame, by, order, specs: dict[str, tuple[str, float]]) -> DataFrame:
-    """The same, one group at a time in pandas."""
-    by = [by] if isinstance(by, str) else list(by)
-    from pyspark.sql import types as T
-
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in specs)])
-
-    def run(pdf):
-        pdf = pdf.sort_values(order)
-        for name, (c, b) in specs.items():
-            y, out = 0.0, []
-            for x in pdf[c].fillna(0.0):
-                y = b * y + x
-                out.append(y)
-            pdf[name] = out
-        return pdf
-
-    return df.groupBy(*by).applyInPandas(run, schema)
-
-
 def ewm(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], scan_=scan, known: tuple[str, str] | None = None) -> DataFrame:
     """specs: new column -> (value column, alpha): y_0 = x_0, y_t = (1 - a) y_(t-1) + a x_t, from the first value on.
 

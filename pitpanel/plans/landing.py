@@ -9,9 +9,12 @@
 | `macro` (JSON lines) | series, driver, year, month, payload |
 | `macro_closes` (JSON lines) | series, date, close |
 | `flow` (JSON lines) | date, payload |
-| `feeds/NAME` (XML) | a feed named in the settings |
+| `feeds/NAME` (XML) | a feed named in the settings, RSS or Atom; NAME may be that of a search, whose articles bear its `query` |
+| `archive_index` (JSON lines) | feed_url, timestamp, statuscode: what an archive has of a feed |
+| `archive_bodies` (JSON lines) | feed_url, timestamp, status, body: what was fetched of it |
 
-A payload that cannot be read counts as none, so that the next source of its chain is taken; one source never stops another.
+A payload that cannot be read counts as none, so that the next source of its chain is taken; it goes to the dead letters with the
+reason. Of two rows of one key the one that landed later counts. One source never stops another.
 """
 
 from __future__ import annotations
@@ -24,7 +27,9 @@ from pyspark.sql import functions as F
 from pitpanel.config import Config, Source
 from pitpanel.operators.dedupe import article_key, keep_first, keep_last
 from pitpanel.plans import fundamental, macro
-from pitpanel.sources import readers
+from pitpanel.sources import feeds, readers
+from pitpanel.sources.deadletters import DeadLetters
+from pitpanel.sources.keyed import KeyedTable
 
 c = F.col
 LANDED = {
@@ -35,6 +40,8 @@ LANDED = {
     "macro": "series string, driver string, year int, month int, payload string",
     "macro_closes": "series string, date date, close double",
     "flow": "date date, payload string",
+    "archive_index": "feed_url string, timestamp string, statuscode string",
+    "archive_bodies": "feed_url string, timestamp string, status int, body string",
 }
 INCOME = ("revenue", "cogs", "gross_profit", "operating_profit", "pretax_income", "net_income", "eps", "shares_out")
 BALANCE = tuple(x for x in fundamental.FIELDS if x not in INCOME)
@@ -43,7 +50,11 @@ BALANCE = tuple(x for x in fundamental.FIELDS if x not in INCOME)
 def landed(spark, cfg: Config, name: str) -> DataFrame | None:
     """The landed rows of a folder, None where there is no such folder."""
     path = cfg.path(f"landed/{name}")
-    return spark.read.schema(LANDED[name]).json(path) if readers.exists(spark, path) else None
+    return readers.with_place(spark.read.schema(LANDED[name]).json(path)) if readers.exists(spark, path) else None
+
+
+def dead_letters(spark, cfg: Config) -> DeadLetters:
+    return DeadLetters(spark, cfg.path("tables/dead_letters"), cfg.as_of)
 
 
 def shaped(df: DataFrame, table: str) -> DataFrame:
@@ -63,7 +74,7 @@ def stock_metadata(spark, cfg: Config, prices: DataFrame) -> DataFrame | None:
     if not readers.exists(spark, path):
         return None
     fetched = landed(spark, cfg, "metadata")
-    fetched = spark.createDataFrame([], LANDED["metadata"]) if fetched is None else keep_last(fetched, ["ticker"], ["long_name", "ipo_epoch"])
+    fetched = spark.createDataFrame([], LANDED["metadata"]) if fetched is None else keep_last(fetched, ["ticker"], ["_seq"]).drop("_seq")
     first = prices.groupBy("ticker").agg(F.min("date").alias("first_data_date"))
     return shaped(readers.metadata(fetched, readers.universe(spark, path), first), "stock_metadata")
 
@@ -73,10 +84,11 @@ def fundamentals(spark, cfg: Config) -> DataFrame | None:
     parts = []
     rows = landed(spark, cfg, "statements")
     if rows is not None:
+        rows = dead_letters(spark, cfg).sift(rows, "statements", F.concat_ws(" ", "ticker", "freq", "kind"))
         kinds = []
         for kind, fields in (("income", INCOME), ("balance", BALANCE)):
             arrays = readers.financial_arrays(readers.statements(rows.where(c("kind") == kind)), cfg.fundamental)
-            kinds.append(keep_last(readers.statement_rows(arrays, fields, cfg.fundamental), ["ticker", "freq", "report_period"], list(fields)))
+            kinds.append(keep_last(readers.statement_rows(arrays, fields, cfg.fundamental), ["ticker", "freq", "report_period"], ["_seq"]).drop("_seq"))
         parts.append(fundamental.merge_statements(*kinds).withColumn("provider", F.lit("statements")))
     rows = landed(spark, cfg, "fallback_statements")
     if rows is not None:
@@ -87,45 +99,58 @@ def fundamentals(spark, cfg: Config) -> DataFrame | None:
     return shaped(fundamental.canonical(fundamental.first_provider(both, cfg.fundamental.chain), cfg.fundamental), "raw_fundamentals")
 
 
-def decoded(rows: DataFrame, source: Source, as_of: str) -> DataFrame:
-    """Payloads of a driver -> series, date, value."""
-    if source.driver == "observations":
+def decoded(rows: DataFrame, driver: str, as_of: str) -> DataFrame:
+    """Payloads of a driver (with the `variable` of dynamic tables) -> series, date, value."""
+    if driver == "observations":
         return readers.observations_api(rows)
-    if source.driver == "series_docs":
+    if driver == "series_docs":
         return readers.series_docs(rows)
-    if source.driver == "dynamic_table":
-        return readers.dynamic_table(rows, source.variable)
-    if source.driver == "monthly_statistic":
+    if driver == "dynamic_table":
+        return readers.dynamic_table(rows, c("variable"))
+    if driver == "monthly_statistic":
         return readers.monthly_statistic(rows, as_of)
-    raise ValueError(f"unknown driver {source.driver}")
+    raise ValueError(f"unknown driver {driver}")
 
 
-def macro_observations(spark, cfg: Config, as_of: str) -> DataFrame | None:
-    """Each series by the first source of its chain that leaves any rows, after that source's transform and with its lag."""
-    rows, closes = landed(spark, cfg, "macro"), landed(spark, cfg, "macro_closes")
-    parts = []
+def macro_sources(spark, cfg: Config) -> DataFrame:
+    """The sources of all series in the settings, numbered: a row each, with what holds for it."""
+    out = []
     for series in cfg.macro.series:
         for priority, s in enumerate(series.sources):
-            if s.driver == "closes":
-                one = None if closes is None else closes.where(c("series") == series.name).select("series", "date", c("close").alias("value"))
-            else:
-                one = None if rows is None else decoded(rows.where((c("series") == series.name) & (c("driver") == s.driver)), s, as_of)
-            if one is None:
-                continue
-            one = keep_last(one.where("date is not null and value is not null"), ["series", "date"], ["value"])
-            transform = series.transform if s.transform is None else s.transform
-            if transform == "yoy_pct":
-                one = macro.year_over_year(one, cfg.macro.yoy_tolerance)
-            elif transform != "none":
+            transform, lag = series.transform if s.transform is None else s.transform, series.lag if s.lag is None else s.lag
+            if transform not in ("none", "yoy_pct"):
                 raise ValueError(f"unknown transform {transform}")
-            parts.append(one.select(
-                "series", "date", "value", F.date_add("date", series.lag if s.lag is None else s.lag).alias("effective_date"),
-                F.lit(priority).alias("priority"), F.lit(s.driver).alias("driver"),
-                F.lit(s.frequency or series.frequency).alias("frequency"), F.lit(series.group).alias("group"),
-            ))
+            out.append((str(len(out)), series.name, s.driver, priority, transform, lag, s.frequency or series.frequency, series.group, s.variable))
+    return spark.createDataFrame(out, "number string, name string, driver string, priority int, transform string, lag int, frequency string, group string, variable string")
+
+
+def macro_observations(spark, cfg: Config, as_of: str) -> DataFrame | None:
+    """Each series by the first source of its chain that leaves any rows, after that source's transform and with its lag.
+
+    Payloads are decoded once per driver, all series together; while they are, a source's number stands for the series.
+    """
+    rows, closes = landed(spark, cfg, "macro"), landed(spark, cfg, "macro_closes")
+    sources, parts = macro_sources(spark, cfg), []
+    for driver in dict.fromkeys(s.driver for series in cfg.macro.series for s in series.sources):
+        own = F.broadcast(sources.where(c("driver") == driver).select("number", c("name").alias("series"), "variable"))  # as many rows as the settings name
+        if driver == "closes":
+            one = None if closes is None else closes.join(own, "series").select(c("number").alias("series"), "date", c("close").alias("value"), "_seq")
+        elif rows is None:
+            one = None
+        else:
+            good = dead_letters(spark, cfg).sift(rows.where(c("driver") == driver), driver, c("series"))
+            one = decoded(good.join(own, "series").drop("series").withColumnRenamed("number", "series"), driver, as_of)
+        if one is not None:
+            parts.append(one.where("date is not null and value is not null").select("series", "date", "value", "_seq"))
     if not parts:
         return None
-    return shaped(macro.choose_source(reduce(DataFrame.unionByName, parts)), "macro_observations")
+    d = keep_last(reduce(DataFrame.unionByName, parts), ["series", "date"], ["_seq"]).select("series", "date", "value")
+    yearly = F.broadcast(sources.where("transform = 'yoy_pct'").select(c("number").alias("series")))
+    changed = macro.year_over_year(d.join(yearly, "series", "left_semi"), cfg.macro.yoy_tolerance)
+    d = d.join(yearly, "series", "left_anti").unionByName(changed.select("series", "date", "value"))
+    d = d.withColumnRenamed("series", "number").join(F.broadcast(sources), "number")
+    d = d.select(c("name").alias("series"), "date", "value", F.date_add("date", c("lag")).alias("effective_date"), "priority", "driver", "frequency", "group")
+    return shaped(macro.choose_source(d), "macro_observations")
 
 
 def flow_days(spark, cfg: Config, universe: DataFrame) -> tuple[DataFrame, DataFrame] | None:
@@ -135,8 +160,8 @@ def flow_days(spark, cfg: Config, universe: DataFrame) -> tuple[DataFrame, DataF
         return None
     done = readers.read(spark, cfg.path("raw/raw_flow"), "raw_flow").select("date").union(readers.read(spark, cfg.path("raw/empty_dates"), "empty_dates"))
     todo = rows.where(c("date") >= cfg.flow.start_date).join(done.distinct(), "date", "left_anti")
-    good = readers.quarantine(todo, cfg.path("quarantine/flow"))
-    found = keep_last(readers.stock_flow(good, universe), ["date", "ticker"], ["foreign_buy", "foreign_sell"])
+    good = dead_letters(spark, cfg).sift(todo, "flow", c("date"))
+    found = keep_last(readers.stock_flow(good, universe), ["date", "ticker"], ["_seq"])
     empty = good.select("date").distinct().join(found.select("date").distinct(), "date", "left_anti")
     return shaped(found, "raw_flow"), shaped(empty, "empty_dates")
 
@@ -147,10 +172,38 @@ def articles(spark, cfg: Config, as_of: str) -> DataFrame | None:
     for f in cfg.sentiment.feeds:
         path = cfg.path(f"landed/feeds/{f.name}")
         if readers.exists(spark, path):
-            parts.append(readers.feed(spark, path, f.name, f.lang, f.url, as_of))
+            parts.append(readers.feed(spark, path, f.source or f.name, f.lang, f.url, as_of, f.query))
     if not parts:
         return None
     new = reduce(DataFrame.unionByName, parts).where("title <> ''").withColumn("_key", article_key(c("link"), c("source"), c("title")))
     have = readers.read(spark, cfg.path("raw/articles"), "articles").select(article_key(c("link"), c("source"), c("title")).alias("_key"))
     new = keep_first(new, ["_key"], ["published", "title", "summary", "feed_url"]).join(have, "_key", "left_anti")
     return shaped(new.drop("_key"), "articles")
+
+
+def archive_ledger(spark, cfg: Config) -> KeyedTable:
+    return KeyedTable(spark, cfg.path("tables/archive_ledger"), ["feed_url", "timestamp"], buckets=16)
+
+
+def archived_articles(spark, cfg: Config, per_run: int = 5000) -> DataFrame | None:
+    """Bodies of the archive that landed and are not in the ledger yet -> new historical articles; the outcome of each is noted.
+
+    A run that fails between the two does the bodies again, and articles that are there already are not added twice.
+    """
+    index, bodies = landed(spark, cfg, "archive_index"), landed(spark, cfg, "archive_bodies")
+    if index is None or bodies is None:
+        return None
+    names = [(f.url, f.source or f.name, f.lang) for f in cfg.sentiment.feeds]
+    names = spark.createDataFrame(names, "feed_url string, source string, lang string").dropDuplicates(["feed_url"])
+    ledger = archive_ledger(spark, cfg)
+    have = ledger.read()
+    todo = feeds.wanted(index, spark.createDataFrame([], feeds.LEDGER) if have is None else have, per_run)
+    bodies_, rows = feeds.outcomes(todo, bodies, names)
+    new = feeds.articles(bodies_.drop("timestamp")).withColumn("_key", article_key(c("link"), c("source"), c("title")))
+    past = readers.read(spark, cfg.path("raw/articles_historical"), "articles").select(article_key(c("link"), c("source"), c("title")).alias("_key"))
+    new = keep_first(new, ["_key"], [F.asc_nulls_last("published"), "title", "summary", "feed_url"]).join(past, "_key", "left_anti")
+    shaped(new.drop("_key"), "articles").write.mode("append").parquet(cfg.path("raw/articles_historical"))
+    bad = bodies_.where("reason is not null").join(bodies.select("feed_url", "timestamp", "body"), ["feed_url", "timestamp"])
+    dead_letters(spark, cfg).put(bad.select(F.coalesce("body", F.lit("")).alias("payload"), "reason", F.concat_ws(" ", "feed_url", "timestamp").alias("place")), "archive")
+    ledger.upsert(rows)
+    return readers.read(spark, cfg.path("raw/articles_historical"), "articles")

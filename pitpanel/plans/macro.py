@@ -44,24 +44,24 @@ def daily_grid(obs: DataFrame, as_of=None) -> DataFrame:
     return grid.select("series", "date", *(S.ffill(c(x)).alias(x) for x in ("value", "surprise", "chg_pct", "last_date")))
 
 
-def series_features(grid: DataFrame, daily_series=(), staleness: dict[str, int] | None = None, m: Macro = Macro()) -> DataFrame:
-    """Adds pct_{n}d (daily series only), z252 and stale (NULL before the first observation or without threshold)."""
+def series_features(grid: DataFrame, daily_series=None, staleness: dict[str, int] | None = None, m: Macro = Macro()) -> DataFrame:
+    """Adds pct_{n}d (of the daily series; of all where none are named), z252 and stale (NULL before the first observation or without threshold)."""
     d = grid
     for n in m.change_windows:
         change = S.change(c("value"), n)
-        d = d.withColumn(f"pct_{n}d", F.when(c("series").isin(*daily_series), change) if daily_series else change)
+        d = d.withColumn(f"pct_{n}d", change if daily_series is None else F.when(c("series").isin(*daily_series), change))
     d = d.withColumn("z252", S.zscore(c("value"), m.z_window, m.z_window // 4))
     limit = F.coalesce(*(F.when(c("series") == s, n) for s, n in (staleness or {}).items()), F.lit(None).cast("int"))
     return d.withColumn("stale", F.when(c("value").isNotNull(), (F.datediff("date", "last_date") > limit).cast("int")))
 
 
-def wide(features: DataFrame, series: list[str], daily_series=(), staleness: dict[str, int] | None = None, m: Macro = Macro()) -> DataFrame:
+def wide(features: DataFrame, series: list[str], daily_series=None, staleness: dict[str, int] | None = None, m: Macro = Macro()) -> DataFrame:
     """One row per day, a block of columns per series; the names are given, so no job looks for them."""
     outs = {"value": "", "surprise": "_surprise", "chg_pct": "_chg_pct", **{f"pct_{n}d": f"_pct_{n}d" for n in m.change_windows}, "z252": "_z252", "stale": "_stale"}
     cols = []
     for s in series:
         for x, suffix in outs.items():
-            if (x.startswith("pct_") and daily_series and s not in daily_series) or (x == "stale" and s not in (staleness or {})):
+            if (x.startswith("pct_") and daily_series is not None and s not in daily_series) or (x == "stale" and s not in (staleness or {})):
                 continue
             cols.append(F.max(F.when(c("series") == s, c(x))).alias(s + suffix))
     return features.groupBy("date").agg(*cols)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 import logging
 import logging.handlers
 import os
 import time
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,8 @@ log = logging.getLogger("pitpanel")
 #: Stages of `all`, in order; sentiment-backfill runs only by name.
 ORDER = ("ohlcv", "technical", "fundamentals", "funda-features", "macro", "macro-features", "flow", "flow-features", "news", "sentiment", "align")
 MANUAL = ("sentiment-backfill",)
+#: Stages whose failure leaves the others.
+SOURCES = ("ohlcv", "fundamentals", "macro", "flow", "news", "sentiment-backfill")
 
 
 def setup_logging(folder: str, level: int = logging.INFO) -> None:
@@ -58,8 +63,10 @@ class Store:
 
 
 def _as_of(s: Store) -> str:
-    """The day of the run; where none is given, a day before all data, so that nothing hangs on the clock."""
-    return s.cfg.as_of or "1900-01-01"
+    """The day of the run, which the command line sets to today where none is given; no plan asks the clock."""
+    if not s.cfg.as_of:
+        raise ValueError("this stage needs the day of the run (as_of)")
+    return s.cfg.as_of
 
 
 def _bars(s: Store) -> dict:
@@ -121,9 +128,9 @@ def _fundamental(s: Store) -> None:
 def _macro(s: Store) -> None:
     obs = s.raw("macro_observations")
     names = [r[0] for r in obs.select("series").distinct().orderBy("series").collect()]  # a few dozen series
-    daily = [r[0] for r in obs.where("frequency = 'daily'").select("series").distinct().collect()]
+    daily = [r[0] for r in obs.where("frequency = 'daily'").select("series").distinct().collect()]  # may be none
     grid, stale = macro.daily_grid(obs, s.cfg.as_of or None), dict(s.cfg.macro.staleness)
-    s.put("macro", macro.wide(macro.series_features(grid, daily or ["-"], stale, s.cfg.macro), names, daily or ["-"], stale, s.cfg.macro), ["date"])
+    s.put("macro", macro.wide(macro.series_features(grid, daily, stale, s.cfg.macro), names, daily, stale, s.cfg.macro), ["date"])
     s.put("macro_sector", macro.sector_factor(grid, s.cfg.macro.sector_map, s.cfg.macro.sector_window), ["date", "sector"])
 
 
@@ -148,6 +155,7 @@ def _sentiment(s: Store) -> None:
 
 def _backfill(s: Store) -> None:
     readers.backfill_backend("wayback")
+    landing.archived_articles(s.spark, s.cfg)
     path = s.cfg.path("raw/articles_historical")
     d = readers.read(s.spark, path, "articles").where(F.length(F.trim("title")) > 0)
     from pitpanel.operators.dedupe import keep_first
@@ -180,7 +188,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("stages", nargs="+")
     p.add_argument("--root", default=".")
     p.add_argument("--config")
-    p.add_argument("--as-of", default="", help="the day of the run: calendars reach it, undated articles get it")
+    p.add_argument("--as-of", default="", help="the day of the run: calendars reach it, undated articles get it; today unless given")
     p.add_argument("--use-cache", action="store_true")
     a = p.parse_args(argv)
     load_dotenv(a.root)
@@ -190,15 +198,15 @@ def main(argv: list[str] | None = None) -> int:
     from pitpanel.session import session
 
     setup_logging(f"{a.root}/logs")
-    store = Store(session(), replace(cfg, use_cache=a.use_cache, as_of=a.as_of or cfg.as_of))
+    store = Store(session(), replace(cfg, use_cache=a.use_cache, as_of=a.as_of or cfg.as_of or datetime.date.today().isoformat()))
     failed = 0
     for name in resolve(a.stages):
         began = time.time()
         try:
             RUN[name](store)
             log.info("%s: %.1f s", name, time.time() - began)
-        except RuntimeError as e:
-            if name == "align" or name == "technical":
+        except (RuntimeError, PySparkException, Py4JJavaError) as e:
+            if name not in SOURCES:
                 raise
             log.warning("%s: %s", name, e)  # a source that fails leaves the others
             failed += 1

@@ -66,14 +66,15 @@ class KeyedTable:
         return self._rows(m, touched).join(wanted, self.by, "left_semi")
 
     # batches --------------------------------------------------------------------------------------------------------
-    def upsert(self, batch: DataFrame, writer: str, number: int, order: list[str] = ()) -> int:
+    def upsert(self, batch: DataFrame, writer: str | None = None, number: int = 0, order: list[str] = ()) -> int:
         """Rows of the batch beat those stored; of a key's rows in the batch the last by `order` counts. -> the version then valid.
 
         Columns whose names begin with `_` are for ordering only and are not stored. Rows equal to the stored ones change nothing: a
-        batch without any change is remembered, but writes no bucket. Null keys are keys like others.
+        batch without any change is remembered, but writes no bucket. Null keys are keys like others. Batches without a writer
+        are not numbered: each is applied.
         """
         m = self.manifest()
-        if number <= m["writers"].get(writer, -1):
+        if writer is not None and number <= m["writers"].get(writer, -1):
             return m["version"]
         columns = [f.name for f in T.StructType.fromJson(m["schema"])] if m["schema"] else [c for c in batch.columns if not c.startswith("_")]
         new = keep_last(batch, self.keys, list(order) or [c for c in columns if c not in self.keys] or self.keys)
@@ -93,7 +94,7 @@ class KeyedTable:
                 rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v{version:08d}")
             out = {
                 "version": version, "schema": m["schema"] or new.drop(BUCKET).schema.jsonValue(), "count": m["count"],
-                "buckets": m["buckets"] | {str(b): version for b in sorted(dirty)}, "writers": m["writers"] | {writer: number},
+                "buckets": m["buckets"] | {str(b): version for b in sorted(dirty)}, "writers": m["writers"] | ({} if writer is None else {writer: number}),
             }
             folders.put_new(self.spark, f"{self.path}/manifests/{version:012d}.json", json.dumps(out))
             return version

@@ -1,13 +1,11 @@
-"""Readers of landed files: fixed schemas, tolerant of missing paths, unparseable payloads set aside. Transport is not here."""
+"""Readers of landed files: fixed schemas, tolerant of missing paths, entries that cannot be read left out. Transport is not here."""
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitpanel.config import Fundamental
-from pitpanel.functions.text import clean_html
 from pitpanel.operators.dedupe import keep_last
 
 c = F.col
@@ -99,47 +97,38 @@ def statement_rows(columns: DataFrame, fields, f: Fundamental = Fundamental()) -
     """One row per payload (ticker, freq, datekey[], field arrays) -> one per report period; pseudo periods go."""
     have = set(columns.columns)
     arrays = {k: candidate(cands, have) for k, cands in f.field_map if k in fields}
-    rows = columns.select("ticker", "freq", F.arrays_zip(c("datekey").alias("d"), *(F.coalesce(a, F.transform("datekey", lambda _: F.lit(None).cast("double"))).alias(k) for k, a in arrays.items())).alias("z"))
-    rows = rows.select("ticker", "freq", F.inline("z"))
-    return rows.withColumn("report_period", F.try_to_date("d") if hasattr(F, "try_to_date") else F.to_date(F.try_to_timestamp("d"))).where("report_period is not null").drop("d")
-
-
-def devalue(flat: list, at: int = 0):
-    """An index-linked flat array back to nested values; negative links are missing."""
-    if at < 0:
-        return None
-    v = flat[at]
-    if isinstance(v, dict):
-        return {k: devalue(flat, i) for k, i in v.items()}
-    if isinstance(v, list):
-        return [devalue(flat, i) if isinstance(i, int) and not isinstance(i, bool) else i for i in v]
-    return v
+    keep = carried(columns, "ticker", "freq")
+    rows = columns.select(*keep, F.arrays_zip(c("datekey").alias("d"), *(F.coalesce(a, F.transform("datekey", lambda _: F.lit(None).cast("double"))).alias(k) for k, a in arrays.items())).alias("z"))
+    rows = rows.select(*keep, F.inline("z"))
+    return rows.withColumn("report_period", F.try_to_date("d")).where("report_period is not null").drop("d")
 
 
 def statements(landed: DataFrame) -> DataFrame:
-    """(ticker, freq, payload) -> ticker, freq, financial: JSON of the last data node's financialData (NULL if there is none)."""
-    @F.pandas_udf("string")
-    def decode(payload: pd.Series) -> pd.Series:
-        import json
-
-        def one(text):
-            try:
-                nodes = [n for n in json.loads(text).get("nodes", []) if n and n.get("type") == "data"]
-                root = devalue(nodes[-1]["data"]) if nodes else None
-                return json.dumps(root["financialData"]) if isinstance(root, dict) and "financialData" in root else None
-            except (ValueError, TypeError, KeyError, IndexError, RecursionError):
-                return None
+    """(ticker, freq, payload) -> ticker, freq, financial: the arrays of the last data node's financialData as texts, by name
+    (NULL if there is none).
 
-        return payload.map(one)
-
-    return landed.select("ticker", "freq", decode("payload").alias("financial"))
+    A node's data is a flat array in which objects and arrays hold the places of their values; negative places and places
+    beyond the array stand for what is missing. The way from the root (place 0) over financialData and its arrays to their values has a fixed
+    length, so it is looked up step by step; links that run in a circle elsewhere do no harm.
+    """
+    nodes = F.from_json("payload", "nodes array<struct<type:string,data:array<string>>>")["nodes"]
+    flat = F.try_element_at(F.filter(nodes, lambda n: n["type"].eqNullSafe("data")), F.lit(-1))["data"]
+    keep = carried(landed, "ticker", "freq")
+    d = landed.select(*keep, flat.alias("flat"))
+    at = lambda i: F.when(i >= 0, F.get(c("flat"), i))
+    places = lambda text: F.from_json(text, "map<string,int>")
+    d = d.select(*keep, "flat", places(at(F.try_element_at(places(F.get("flat", F.lit(0))), F.lit("financialData")))).alias("fields"))
+    values = lambda text: F.transform(F.from_json(text, "array<int>"), at)
+    arrays = F.transform_values("fields", lambda _, i: values(at(i)))
+    return d.select(*keep, F.when(c("fields").isNotNull(), arrays).alias("financial"))
 
 
 def financial_arrays(decoded: DataFrame, f: Fundamental = Fundamental()) -> DataFrame:
-    """financial JSON -> datekey[] and every candidate array."""
+    """financial (arrays of texts by name) -> datekey[] and every candidate array, of numbers."""
     names = sorted({x for _, cands in f.field_map for x in cands})
-    schema = "datekey array<string>, " + ", ".join(f"{n} array<double>" for n in names)
-    return decoded.select("ticker", "freq", F.from_json("financial", schema).alias("s")).where("s is not null").select("ticker", "freq", "s.*")
+    array = lambda n: F.try_element_at("financial", F.lit(n))
+    keep = carried(decoded, "ticker", "freq")
+    return decoded.where("financial is not null").select(*keep, array("datekey").alias("datekey"), *(F.transform(array(n), lambda x: number(x)).alias(n) for n in names))
 
 
 def fallback_statement(rows: DataFrame, mapping: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -230,31 +219,13 @@ def stock_flow(landed: DataFrame, universe_: DataFrame) -> DataFrame:
     return d.select(*keep, "ticker", "foreign_buy", "foreign_sell", (c("foreign_buy") - c("foreign_sell")).alias("foreign_net"))
 
 
-def quarantine(landed: DataFrame, path: str, limit: int = 300_000) -> DataFrame:
-    """Payloads that are JSON objects; the others are written to `path`, their first `limit` characters."""
-    ok = F.coalesce(F.ltrim("payload").startswith("{"), F.lit(False))
-    bad = landed.where(~ok)
-    bad.withColumn("payload", F.substring("payload", 1, limit)).write.mode("append").parquet(path)
-    return landed.where(ok)
-
-
-def feed(spark: SparkSession, path: str, source: str, lang: str, feed_url: str, as_of: str) -> DataFrame:
-    """RSS items of landed files -> articles; a missing date becomes `as_of`, never the clock."""
-    x = spark.read.format("xml").option("rowTag", "item").schema("title string, link string, description string, summary string, pubDate string, updated string").load(path)
-    when = F.coalesce(*(F.try_to_timestamp(F.regexp_replace(c(k), r"^\w+, ", ""), F.lit(p)) for k in ("pubDate", "updated") for p in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ssXXX")), F.lit(as_of).cast("timestamp"))
-    return x.select(F.lit(source).alias("source"), F.lit(feed_url).alias("feed_url"), F.lit(lang).alias("lang"), clean_html(c("title")).alias("title"), clean_html(F.coalesce("summary", "description")).alias("summary"), F.trim(F.coalesce("link", F.lit(""))).alias("link"), when.alias("published"), F.lit(as_of).cast("timestamp").alias("fetched_at"))
-
-
-def snapshots(index: DataFrame, per_run: int = 5000) -> DataFrame:
-    """(feed_url, timestamp, statuscode) of an archive index -> at most one good snapshot per feed and day, oldest first, and
-    at most `per_run` of each feed."""
-    from pyspark.sql import Window
+def feed(spark: SparkSession, path: str, source: str, lang: str, feed_url: str, as_of: str, query: str | None = None) -> DataFrame:
+    """Landed feed files (RSS or Atom) -> articles; an undated one gets `as_of`, never the clock."""
+    from pitpanel.sources import feeds
 
-    d = index.where("statuscode = '200'").withColumn("day", F.substring("timestamp", 1, 8))
-    w = Window.partitionBy("feed_url", "day").orderBy("timestamp")
-    d = d.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("day")
-    w = Window.partitionBy("feed_url").orderBy("timestamp")
-    return d.withColumn("_n", F.row_number().over(w)).where(c("_n") <= per_run).drop("_n").orderBy("timestamp")
+    bodies = spark.read.text(path, wholetext=True).select(F.lit(source).alias("source"), F.lit(feed_url).alias("feed_url"), F.lit(lang).alias("lang"), F.lit(query).cast("string").alias("query"), c("value").alias("body"))
+    d = feeds.articles(feeds.items(bodies), as_of).withColumn("fetched_at", F.lit(as_of).cast("timestamp"))
+    return d.select("source", "feed_url", "lang", "title", "summary", "link", "published", "fetched_at", "query")
 
 
 def backfill_backend(name: str) -> str:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from plain import scan_pandas
 from pitpanel.config import Technical, Universe, load_config
 from pitpanel.functions import lexicon, scalar, text
 from pitpanel.operators import asof, dedupe, scan
@@ -36,7 +37,7 @@ def test_ewm_matches_pandas(spark):
     r = np.random.RandomState(0)
     x = pd.Series(r.randn(700)).cumsum() + 100
     df = spark.createDataFrame([("A", day(i), float(v), None if i == 0 else float(v)) for i, v in enumerate(x)], "k string, date date, x double, g double")
-    for how in (scan.scan, scan.scan_pandas):
+    for how in (scan.scan, scan_pandas):
         got = scan.ewm(df, "k", "date", {"a": ("x", 2 / 13), "b": ("g", 1 / 14)}, how)
         assert np.allclose(column(got, "a"), x.ewm(span=12, adjust=False).mean(), rtol=1e-12)
         b = column(got, "b")
@@ -251,7 +252,7 @@ def test_unescape_as_the_standard_library(spark):
 def test_scan_over_runs_of_blocks(spark):
     import numpy as np
 
-    from pitpanel.operators.scan import scan, scan_pandas
+    from pitpanel.operators.scan import scan
 
     x = np.random.RandomState(0).randn(400)
     df = spark.createDataFrame([(k, i, float(v)) for k in "ab" for i, v in enumerate(x[: 400 if k == "a" else 63])], "k string, i int, c double")

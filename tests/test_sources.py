@@ -2,13 +2,16 @@
 
 import datetime as dt
 import json
+import os
 
 import pytest
+from plain import devalue
 from pyspark.sql import functions as F
 
 from pitpanel.config import Config, load_config, load_dotenv
-from pitpanel.plans import fundamental, stages
-from pitpanel.sources import readers, sinks
+from pitpanel.plans import fundamental, landing, stages
+from pitpanel.sources import feeds, readers, sinks
+from pitpanel.sources.deadletters import DeadLetters
 from pitpanel.streaming import incremental
 
 
@@ -51,13 +54,84 @@ def test_macro_drivers(spark):
     assert [(r.date, r.value) for r in readers.monthly_statistic(stat, "2024-03-15").collect()] == [(dt.date(2024, 1, 31), 5.5)]
 
 
-def test_flow_rows_and_quarantine(spark, tmp_path):
+def test_flow_rows(spark):
     good = '{"recordsTotal":2,"data":[{"StockCode":" bbca ","ForeignBuy":5,"ForeignSell":2},{"StockCode":"XX","ForeignBuy":1,"ForeignSell":1},{"StockCode":"BBCA","ForeignBuy":"x","ForeignSell":1}]}'
-    d = frame(spark, [(dt.date(2024, 1, 1), good), (dt.date(2024, 1, 2), "<html>" + "z" * 50)], "date date, payload string")
-    ok = readers.quarantine(d, str(tmp_path / "q"), 10)
     u = frame(spark, [("BBCA.JK", "")], "ticker string, name string")
-    assert [tuple(r) for r in readers.stock_flow(ok, u).collect()] == [(dt.date(2024, 1, 1), "BBCA.JK", 5.0, 2.0, 3.0)]
-    assert [r.payload for r in spark.read.parquet(str(tmp_path / "q")).collect()] == ["<html>zzzz"]
+    d = frame(spark, [(dt.date(2024, 1, 1), good), (dt.date(2024, 1, 2), None), (dt.date(2024, 1, 3), "[]")], "date date, payload string")
+    assert [tuple(r) for r in readers.stock_flow(d, u).collect()] == [(dt.date(2024, 1, 1), "BBCA.JK", 5.0, 2.0, 3.0)]
+
+
+BAD = {
+    "observations": {'{"observations":[{"date":"n/a","value":"1"},{"date":"2024-01-01","value":"."}]}': "no usable entry", '{"observations":7}': "no observations"},
+    "series_docs": {'{"series":{"docs":[]}}': "no usable entry", '{"series":{}}': "no series.docs", '{"series":{"docs":[{"period_start_day":["x"],"value":["1"]}]}}': "no usable entry"},
+    "dynamic_table": {'{"datacontent":{"1":2},"tahun":[{"val":"1","label":"2024*"}]}': "no usable entry", '{"status":"OK"}': "no datacontent"},
+    "monthly_statistic": {'{"seriesData":[{"x":"a","y":"-"}]}': "no usable entry", '{"a":1}': "no seriesData"},
+    "flow": {'{"recordsTotal":0}': "no data"},
+    "statements": {'{"nodes":[{"type":"skip"}]}': "no usable entry", "{}": "no nodes"},
+}
+
+
+def test_dead_letters(spark, tmp_path):
+    letters = DeadLetters(spark, str(tmp_path / "d"), "2024-01-01", limit=30)
+    everywhere = {None: "empty", "  ": "empty", "<html>" + "z" * 50: "not JSON", "[1]": "not JSON", '{"a":': "not JSON"}
+    for driver, cases in BAD.items():
+        want = everywhere | cases
+        rows = frame(spark, [("s", p) for p in want], "series string, payload string")
+        assert letters.sift(rows, driver, F.col("series")).count() == 0
+        got = {(r.reason, r.payload) for r in letters.read().where(F.col("source") == driver).collect()}
+        # null and blank payloads are one content each; payloads are cut, their keys are not
+        assert got == {(r, (p or None) and p[:30]) for p, r in want.items()}
+    n, version = letters.read().count(), letters.table.manifest()["version"]
+    letters.sift(frame(spark, [("s", p) for p in BAD["flow"]], "series string, payload string"), "flow", F.col("series"))
+    assert letters.read().count() == n and letters.table.manifest()["version"] == version  # a rerun adds nothing
+    assert letters.counts()[("flow", "no data")] == 1
+    good = frame(spark, [("s", '{"recordsTotal":0,"data":[]}')], "series string, payload string")
+    assert letters.sift(good, "flow", F.col("series")).count() == 1
+
+
+def test_bad_entries_do_not_end_a_run(spark):
+    """Every decoder takes what is usable of a payload and leaves the rest."""
+    one = lambda p: frame(spark, [("s", p)], "series string, payload string")
+    got = readers.observations_api(one('{"observations":[{"date":"n/a","value":"1"},{"date":"2024-01-02","value":"3.5"},{"date":"2024-01-03","value":"NaN"}]}')).collect()
+    assert [(r.date, r.value) for r in got] == [(dt.date(2024, 1, 2), 3.5)]
+    assert readers.series_docs(one('{"series":{"docs":[]}}')).count() == 0
+    assert [r.value for r in readers.series_docs(one('{"series":{"docs":[{"period_start_day":["x","2024-02-01"],"value":["7","8"]}]}}')).collect()] == [8.0]
+    table = {"vervar": [{"val": "9"}], "turvar": [{"val": "0"}], "tahun": [{"val": "126", "label": "2026"}, {"val": "127", "label": "2027*"}], "datacontent": {"9498012612": 5.0, "949801271": 6.0, "949801261": "-"}}
+    assert [(r.date, r.value) for r in readers.dynamic_table(one(json.dumps(table)), "498").collect()] == [(dt.date(2026, 12, 31), 5.0)]
+    stat = frame(spark, [("s", 2024, 13, '{"seriesData":[{"y":2}]}'), ("s", None, 1, '{"seriesData":[{"y":2}]}'), ("s", 2024, 1, '{"seriesData":[{"y":2}]}')], "series string, year int, month int, payload string")
+    assert [(r.date, r.value) for r in readers.monthly_statistic(stat, "2024-03-15").collect()] == [(dt.date(2024, 1, 31), 2.0)]
+    bars = frame(spark, [("A", "n/a", 1.0), ("A", "2024-01-02 09:00:00", 2.0)], "ticker string, Date string, Close double")
+    assert [(r.date, r.close) for r in readers.normalize_bars(bars).collect()] == [(dt.date(2024, 1, 2), 2.0)]
+
+
+def test_later_rows_win(spark, tmp_path):
+    """Of two bars of a date the one that landed later counts, not the greater: within a file, and by file."""
+    (tmp_path / "landed/bars").mkdir(parents=True)
+    line = lambda d, c: json.dumps({"ticker": "A", "Date": d, "Close": c}) + "\n"
+    (tmp_path / "landed/bars/b.json").write_text(line("2024-01-01", 10.0) + line("2024-01-01", 9.0) + line("2024-01-02", 5.0))
+    os.utime(tmp_path / "landed/bars/b.json", (1, 1))
+    (tmp_path / "landed/bars/a.json").write_text(line("2024-01-02", 4.0))
+    got = landing.bars(spark, Config(root=str(tmp_path))).orderBy("date").collect()
+    assert [r.close for r in got] == [9.0, 4.0]
+
+
+def test_pointers_like_devalue(spark):
+    """Nested, negative and circular links: the arrays of financialData as the plain form gives them, without Python in the plan."""
+    flats = [
+        [{"financialData": 1, "self": 0}, {"datekey": 2, "revenue": 5, "cor": 8, "gp": -1, "assets": 9}, [3, 4], "2023-12-31", "2024-03-31", [6, -5], 7.5, None, [7, 6, 99], [10, 6], [6]],
+        [{"other": 1}, {"datekey": 2}, []], [{"financialData": -1}], [{"financialData": 1}, {"datekey": 2}, [1, 2, 3], "2024-03-31"], [7],
+    ]
+    rows = [(str(i), "Q", json.dumps({"nodes": [{"type": "data", "data": f}]})) for i, f in enumerate(flats)] + [("x", "Q", "<html>"), ("y", "Q", None)]
+    d = readers.statements(frame(spark, rows, "ticker string, freq string, payload string"))
+    assert "Python" not in d._jdf.queryExecution().executedPlan().toString()
+    got = {r.ticker: r.financial for r in d.collect()}
+    fin = devalue([{"financialData": 1}, *flats[0][1:8], [7, 6], *flats[0][9:]])["financialData"]
+    text = lambda x: None if x is None else str(x)
+    assert got["0"]["datekey"] == fin["datekey"] and got["0"]["revenue"] == [text(x) for x in fin["revenue"]] and got["0"]["cor"] == ["7.5" if x == 7.5 else None for x in (None, 7.5, None)]
+    assert got["0"]["gp"] is None and got["1"] is None and got["2"] is None and got["4"] is None and got["x"] is None and got["y"] is None
+    assert got["3"]["datekey"][2] == "2024-03-31"  # a list that links to itself does no harm
+    numbers = readers.financial_arrays(d).where("ticker = '0'").first()
+    assert numbers.revenue == [7.5, None] and numbers.assets[1] == 7.5
 
 
 def test_feed(spark, tmp_path):
@@ -66,6 +140,51 @@ def test_feed(spark, tmp_path):
     assert [(r.title, r.summary, r.link, r.published) for r in got] == [("A & B", "x y", "http://l", dt.datetime(2024, 1, 1, 10)), ("No date", "", "", dt.datetime(2024, 5, 5))]
 
 
+ATOM = """<?xml version="1.0"?><feed xmlns="http://www.w3.org/2005/Atom"><title>f</title><entry><title>One</title><link rel="self" href="s1"/><link href="h1"/>
+<summary>x</summary><updated>2024-01-03T10:00:00Z</updated></entry><entry><title>Two</title><content>c</content><published>2024-01-02T10:00:00+02:00</published></entry></feed>"""
+RSS = "<rss><channel><title>t</title><item><title>T{0}</title><description>d</description><link>l{0}</link><pubDate>Mon, 01 Jan 2024 10:00:00 GMT</pubDate></item></channel></rss>"
+
+
+def test_feed_bodies(spark):
+    rdf = "<rdf:RDF xmlns:rdf='r'><channel><title>t</title></channel><item><title>R</title><link>r</link><dc:date>2024-01-05</dc:date></item></rdf:RDF>"
+    rows = [("atom", ATOM), ("rss", RSS.format(1)), ("rdf", rdf), ("none", "<rss><channel></channel></rss>"), ("html", "<html><body>x</body></html>"), ("cut", RSS.format(2)[:60]), ("blank", " "), ("null", None), ("text", "no feed")]
+    got = feeds.items(frame(spark, rows, "k string, body string"))
+    assert {r.k: r.reason for r in got.collect()} == {"atom": None, "rss": None, "rdf": None, "none": None, "html": "not a feed", "cut": "not a feed", "blank": "empty", "null": "empty", "text": "not a feed"}
+    out = {(r.k, r.title): (r.summary, r.link, r.published) for r in feeds.articles(got, "2024-05-05").collect()}
+    assert out == {
+        ("atom", "One"): ("x", "h1", dt.datetime(2024, 1, 3, 10)), ("atom", "Two"): ("c", "", dt.datetime(2024, 1, 2, 8)),
+        ("rss", "T1"): ("d", "l1", dt.datetime(2024, 1, 1, 10)), ("rdf", "R"): ("", "r", dt.datetime(2024, 1, 5)),
+    }
+
+
+def test_archive_backfill(spark, tmp_path):
+    """From an archive's index and fetched bodies to historical articles: one snapshot a day, failures noted and tried again."""
+    def land(name, rows, file):
+        (tmp_path / "landed" / name).mkdir(parents=True, exist_ok=True)
+        (tmp_path / "landed" / name / file).write_text("".join(json.dumps(r) + "\n" for r in rows))
+
+    settings = {"as_of": "2024-03-20", "sentiment": {"feeds": [{"name": "f", "source": "paper", "lang": "id", "url": "u"}]}}
+    (tmp_path / "s.json").write_text(json.dumps(settings))
+    store = stages.Store(spark, load_config(str(tmp_path / "s.json"), str(tmp_path)))
+    stamps = ["20200101010000", "20200101020000", "20200102010000", "20200103010000", "20200104010000", "20200105010000"]
+    land("archive_index", [{"feed_url": "u", "timestamp": t, "statuscode": "404" if t.startswith("20200105") else "200"} for t in stamps], "1.json")
+    body = lambda t, b, status=200: {"feed_url": "u", "timestamp": t, "status": status, "body": b}
+    land("archive_bodies", [body(stamps[0], RSS.format(1)), body(stamps[1], RSS.format(9)), body(stamps[2], "<html>"), body(stamps[3], "<rss><channel/></rss>"), body(stamps[4], "x", 503)], "1.json")
+    stages.RUN["sentiment-backfill"](store)
+    ledger = lambda: {r.timestamp: (r.outcome, r.reason, r.n) for r in landing.archive_ledger(spark, store.cfg).read().collect()}
+    assert ledger() == {stamps[0]: ("done", None, 1), stamps[2]: ("failed", "not a feed", 0), stamps[3]: ("empty", None, 0), stamps[4]: ("failed", "status 503", 0)}
+    past = readers.read(spark, str(tmp_path / "raw/articles_historical"), "articles")
+    assert [(r.source, r.title, r.link) for r in past.collect()] == [("paper", "T1", "l1")]
+    assert landing.dead_letters(spark, store.cfg).counts() == {("archive", "not a feed"): 1, ("archive", "status 503"): 1}
+    stages.RUN["sentiment-backfill"](store)  # nothing new
+    assert readers.read(spark, str(tmp_path / "raw/articles_historical"), "articles").count() == 1
+    land("archive_bodies", [body(stamps[2], ATOM), body(stamps[4], RSS.format(1))], "2.json")
+    stages.RUN["sentiment-backfill"](store)
+    past = readers.read(spark, str(tmp_path / "raw/articles_historical"), "articles")
+    assert sorted(r.title for r in past.collect()) == ["One", "T1", "Two"]
+    assert ledger()[stamps[2]] == ("done", None, 2) and ledger()[stamps[4]] == ("done", None, 1)
+
+
 def test_backends():
     assert readers.backfill_backend("wayback") == "wayback"
     with pytest.raises(NotImplementedError):
@@ -169,6 +288,11 @@ def test_stages_from_payloads(spark, tmp_path):
     land("fallback_statements", [{"ticker": t, "freq": "Q", "report_period": "2023-09-30", "label": k, "value": v} for t in ("A.JK", "B.JK") for k, v in cells])
     docs = {"series": {"docs": [{"period_start_day": [str(d) for d in days], "value": [str(100 + i) for i in range(70)], "@frequency": "daily"}]}}
     land("macro", [{"series": "brent_oil", "driver": "observations", "payload": '{"observations":[{"date":"2024-01-01","value":"."}]}'}, {"series": "brent_oil", "driver": "series_docs", "payload": json.dumps(docs)}])
+    bad = {d: next(p for p in cases if p) for d, cases in BAD.items()}
+    land("macro", [{"series": "brent_oil", "driver": d, "year": 2024, "month": 1, "payload": bad[d]} for d in ("observations", "series_docs", "dynamic_table", "monthly_statistic")])
+    land("macro", [{"series": "brent_oil", "driver": "series_docs", "payload": "<html>"}])
+    land("statements", [{"ticker": "B.JK", "freq": "Q", "kind": "income", "payload": bad["statements"]}])
+    land("flow", [{"date": "2024-02-04", "payload": bad["flow"]}])
     land("macro_closes", [{"series": "gold", "date": str(d), "close": 5.0} for d in days])
     flow_of = lambda code: json.dumps({"recordsTotal": 1, "data": [{"StockCode": code, "ForeignBuy": 5, "ForeignSell": 2}]})
     land("flow", [{"date": "2024-02-01", "payload": flow_of("A")}, {"date": "2024-02-02", "payload": flow_of("ZZ")}, {"date": "2024-02-03", "payload": "<html>"}])
@@ -177,7 +301,7 @@ def test_stages_from_payloads(spark, tmp_path):
     item = "<item><title>alpha beta {0}</title><description>gains</description><link>l{0}</link></item>"
     (feeds / "1.xml").write_text("<rss><channel>" + item.format(1) + item.format(1) + "</channel></rss>")
     settings = {"as_of": "2024-03-20", "macro": {"series": [
-        {"name": "brent_oil", "group": "commodity", "frequency": "monthly", "lag": 1, "sources": [{"driver": "observations"}, {"driver": "series_docs", "frequency": "daily", "lag": 2}]},
+        {"name": "brent_oil", "group": "commodity", "frequency": "monthly", "lag": 1, "sources": [{"driver": "observations"}, {"driver": "dynamic_table", "variable": "498"}, {"driver": "monthly_statistic"}, {"driver": "series_docs", "frequency": "daily", "lag": 2}]},
         {"name": "gold", "frequency": "daily", "sources": [{"driver": "closes"}]}]}, "sentiment": {"feeds": [{"name": "f", "lang": "id", "url": "u"}]}}
     (tmp_path / "settings.json").write_text(json.dumps(settings))
     store = stages.Store(spark, load_config(str(tmp_path / "settings.json"), root))
@@ -193,13 +317,17 @@ def test_stages_from_payloads(spark, tmp_path):
     assert store.get("macro").agg(F.max("date")).first()[0] == dt.date(2024, 3, 20)
     assert [tuple(r) for r in store.raw("raw_flow").collect()] == [(dt.date(2024, 2, 1), "A.JK", 5.0, 2.0, 3.0)]
     assert [r.date for r in store.raw("empty_dates").collect()] == [dt.date(2024, 2, 2)]
-    assert spark.read.parquet(f"{root}/quarantine/flow").count() == 1
+    letters = landing.dead_letters(spark, store.cfg)
+    counts = letters.counts()
+    assert counts[("flow", "not JSON")] == counts[("flow", "no data")] == counts[("series_docs", "not JSON")] == counts[("statements", "no usable entry")] == 1
+    assert counts[("dynamic_table", "no usable entry")] == counts[("monthly_statistic", "no usable entry")] == 1 and counts[("observations", "no usable entry")] == 2
     assert store.get("panel").count() == 140 and store.raw("articles").count() == 1
     # a second run adds what is new and nothing else
     land("flow", [{"date": "2024-02-05", "payload": flow_of("B")}])
     (feeds / "2.xml").write_text("<rss><channel>" + item.format(2) + "</channel></rss>")
     for name in ("flow", "news"):
         stages.RUN[name](store)
+    assert landing.dead_letters(spark, store.cfg).counts() == counts
     assert store.raw("raw_flow").count() == 2 and store.raw("empty_dates").count() == 1
     assert sorted(r.link for r in store.raw("articles").collect()) == ["l1", "l2"]
 
@@ -215,6 +343,7 @@ def test_settings_are_checked(tmp_path):
 
 def test_snapshots_per_feed(spark):
     rows = [(f, f"2020010{d}{h}0000", code) for f in "ab" for d in range(1, 6) for h, code in (("01", "200"), ("02", "200"), ("00", "404"))]
-    got = readers.snapshots(spark.createDataFrame(rows, "feed_url string, timestamp string, statuscode string"), per_run=3).collect()
+    index = spark.createDataFrame(rows, "feed_url string, timestamp string, statuscode string")
+    got = feeds.wanted(index, spark.createDataFrame([], feeds.LEDGER), per_run=3).collect()
     assert sorted((r.feed_url, r.timestamp) for r in got) == [(f, f"2020010{d}010000") for f in "ab" for d in (1, 2, 3)]
     assert [r.timestamp for r in got] == sorted(r.timestamp for r in got)
