@@ -19,6 +19,7 @@ reason. Of two rows of one key the one that landed later counts. One source neve
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -79,26 +80,35 @@ def stock_metadata(spark, cfg: Config, prices: DataFrame) -> DataFrame | None:
     return shaped(readers.metadata(fetched, readers.universe(spark, path), first), "stock_metadata")
 
 
-def fundamentals(spark, cfg: Config) -> DataFrame | None:
-    """Of each ticker the first provider of the chain that has rows, one row per report period."""
+def statement_rows(rows: DataFrame, kind: str, cfg: Config) -> DataFrame:
+    """Statement payloads of a kind (income or balance) -> its fields, a row per ticker, frequency and report period."""
+    fields = INCOME if kind == "income" else BALANCE
+    arrays = readers.financial_arrays(readers.statements(rows.where(c("kind") == kind)), cfg.fundamental)
+    return keep_last(readers.statement_rows(arrays, fields, cfg.fundamental), ["ticker", "freq", "report_period"], ["_seq"])
+
+
+def chosen_fundamentals(kinds: list[DataFrame] | None, cells: DataFrame | None, cfg: Config) -> DataFrame | None:
+    """Rows of both kinds of statements, and cells of the second provider's tables -> of each ticker the first provider that has rows."""
     parts = []
-    rows = landed(spark, cfg, "statements")
-    if rows is not None:
-        rows = dead_letters(spark, cfg).sift(rows, "statements", F.concat_ws(" ", "ticker", "freq", "kind"))
-        kinds = []
-        for kind, fields in (("income", INCOME), ("balance", BALANCE)):
-            arrays = readers.financial_arrays(readers.statements(rows.where(c("kind") == kind)), cfg.fundamental)
-            kinds.append(keep_last(readers.statement_rows(arrays, fields, cfg.fundamental), ["ticker", "freq", "report_period"], ["_seq"]).drop("_seq"))
+    if kinds is not None:
         parts.append(fundamental.merge_statements(*kinds).withColumn("provider", F.lit("statements")))
-    rows = landed(spark, cfg, "fallback_statements")
-    if rows is not None:
-        parts.append(readers.fallback_statement(rows, dict(cfg.fundamental.fallback_map)).withColumn("provider", F.lit("fallback")))
+    if cells is not None:
+        parts.append(readers.fallback_statement(cells, dict(cfg.fundamental.fallback_map)).withColumn("provider", F.lit("fallback")))
     if not parts:
         return None
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return shaped(fundamental.canonical(fundamental.first_provider(both, cfg.fundamental.chain), cfg.fundamental), "raw_fundamentals")
 
 
+def fundamentals(spark, cfg: Config) -> DataFrame | None:
+    """Of each ticker the first provider of the chain that has rows, one row per report period."""
+    rows, kinds = landed(spark, cfg, "statements"), None
+    if rows is not None:
+        rows = dead_letters(spark, cfg).sift(rows, "statements", F.concat_ws(" ", "ticker", "freq", "kind"))
+        kinds = [statement_rows(rows, kind, cfg).drop("_seq") for kind in ("income", "balance")]
+    return chosen_fundamentals(kinds, landed(spark, cfg, "fallback_statements"), cfg)
+
+
 def decoded(rows: DataFrame, driver: str, as_of: str) -> DataFrame:
     """Payloads of a driver (with the `variable` of dynamic tables) -> series, date, value."""
     if driver == "observations":
@@ -113,38 +123,32 @@ def decoded(rows: DataFrame, driver: str, as_of: str) -> DataFrame:
 
 
 def macro_sources(spark, cfg: Config) -> DataFrame:
-    """The sources of all series in the settings, numbered: a row each, with what holds for it."""
-    out = []
+    """The sources of all series in the settings: a row each, with what holds for it, and a `number` that stays when others come and go."""
+    out, seen = [], Counter()
     for series in cfg.macro.series:
         for priority, s in enumerate(series.sources):
             transform, lag = series.transform if s.transform is None else s.transform, series.lag if s.lag is None else s.lag
             if transform not in ("none", "yoy_pct"):
                 raise ValueError(f"unknown transform {transform}")
-            out.append((str(len(out)), series.name, s.driver, priority, transform, lag, s.frequency or series.frequency, series.group, s.variable))
+            number = "|".join((series.name, s.driver, s.variable))
+            seen[number] += 1
+            out.append((f"{number}|{seen[number]}", series.name, s.driver, priority, transform, lag, s.frequency or series.frequency, series.group, s.variable))
     return spark.createDataFrame(out, "number string, name string, driver string, priority int, transform string, lag int, frequency string, group string, variable string")
 
 
-def macro_observations(spark, cfg: Config, as_of: str) -> DataFrame | None:
-    """Each series by the first source of its chain that leaves any rows, after that source's transform and with its lag.
+def macro_values(rows: DataFrame, driver: str, sources: DataFrame, cfg: Config, as_of: str) -> DataFrame:
+    """Landed payloads (or closes) of a driver, all series together -> number (of the source), date, value, _seq."""
+    own = F.broadcast(sources.where(c("driver") == driver).select("number", c("name").alias("series"), "variable"))  # as many rows as the settings name
+    d = rows.join(own, "series").drop("series").withColumnRenamed("number", "series")  # while it is decoded, its number stands for the series
+    d = d.withColumnRenamed("close", "value") if driver == "closes" else decoded(d, driver, as_of)
+    d = d.where("date is not null and value is not null")
+    return keep_last(d, ["series", "date"], ["_seq"]).select(c("series").alias("number"), "date", "value", "_seq")
 
-    Payloads are decoded once per driver, all series together; while they are, a source's number stands for the series.
-    """
-    rows, closes = landed(spark, cfg, "macro"), landed(spark, cfg, "macro_closes")
-    sources, parts = macro_sources(spark, cfg), []
-    for driver in dict.fromkeys(s.driver for series in cfg.macro.series for s in series.sources):
-        own = F.broadcast(sources.where(c("driver") == driver).select("number", c("name").alias("series"), "variable"))  # as many rows as the settings name
-        if driver == "closes":
-            one = None if closes is None else closes.join(own, "series").select(c("number").alias("series"), "date", c("close").alias("value"), "_seq")
-        elif rows is None:
-            one = None
-        else:
-            good = dead_letters(spark, cfg).sift(rows.where(c("driver") == driver), driver, c("series"))
-            one = decoded(good.join(own, "series").drop("series").withColumnRenamed("number", "series"), driver, as_of)
-        if one is not None:
-            parts.append(one.where("date is not null and value is not null").select("series", "date", "value", "_seq"))
-    if not parts:
-        return None
-    d = keep_last(reduce(DataFrame.unionByName, parts), ["series", "date"], ["_seq"]).select("series", "date", "value")
+
+def chosen_observations(values: DataFrame, sources: DataFrame, cfg: Config) -> DataFrame:
+    """(number, date, value) of all sources -> each series by the first source of its chain that leaves any rows, after that
+    source's transform and with its lag."""
+    d = values.select(c("number").alias("series"), "date", "value")
     yearly = F.broadcast(sources.where("transform = 'yoy_pct'").select(c("number").alias("series")))
     changed = macro.year_over_year(d.join(yearly, "series", "left_semi"), cfg.macro.yoy_tolerance)
     d = d.join(yearly, "series", "left_anti").unionByName(changed.select("series", "date", "value"))
@@ -153,6 +157,23 @@ def macro_observations(spark, cfg: Config, as_of: str) -> DataFrame | None:
     return shaped(macro.choose_source(d), "macro_observations")
 
 
+def drivers(cfg: Config) -> list[str]:
+    return list(dict.fromkeys(s.driver for series in cfg.macro.series for s in series.sources))
+
+
+def macro_observations(spark, cfg: Config, as_of: str) -> DataFrame | None:
+    """The observations of all series; payloads are decoded once per driver."""
+    rows, closes = landed(spark, cfg, "macro"), landed(spark, cfg, "macro_closes")
+    sources, parts = macro_sources(spark, cfg), []
+    for driver in drivers(cfg):
+        d = closes if driver == "closes" else rows
+        if d is not None and driver != "closes":
+            d = dead_letters(spark, cfg).sift(d.where(c("driver") == driver), driver, c("series"))
+        if d is not None:
+            parts.append(macro_values(d, driver, sources, cfg, as_of))
+    return chosen_observations(reduce(DataFrame.unionByName, parts), sources, cfg) if parts else None
+
+
 def flow_days(spark, cfg: Config, universe: DataFrame) -> tuple[DataFrame, DataFrame] | None:
     """(new rows, new days without rows) of the landed days that neither raw_flow nor the list of empty days has."""
     rows = landed(spark, cfg, "flow")

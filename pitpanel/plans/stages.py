@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 from pitpanel.config import Config, load_config, load_dotenv
 from pitpanel.functions.lexicon import load_lexicon
 from pitpanel.plans import align, flow, fundamental, landing, macro, sentiment, technical
+from pitpanel.plans.incremental import MonthlyFeatures
 from pitpanel.sources import readers, sinks
+from pitpanel.sources.keyed import KeyedTable
 
 log = logging.getLogger("pitpanel")
-#: Stages of `all`, in order; sentiment-backfill runs only by name.
+#: Stages of `all`, in order; sentiment-backfill and refresh run only by name.
 ORDER = ("ohlcv", "technical", "fundamentals", "funda-features", "macro", "macro-features", "flow", "flow-features", "news", "sentiment", "align")
-MANUAL = ("sentiment-backfill",)
+MANUAL = ("sentiment-backfill", "refresh")
 #: Stages whose failure leaves the others.
 SOURCES = ("ohlcv", "fundamentals", "macro", "flow", "news", "sentiment-backfill")
 
@@ -49,12 +51,19 @@ class Store:
         self.spark, self.cfg = spark, cfg
 
     def raw(self, table: str) -> DataFrame:
+        """A raw table: the keyed one that refreshes maintain, where there is one, else the one that stages write."""
+        kept = KeyedTable(self.spark, self.cfg.path(f"tables/{table}"), ["-"]).read()
+        if kept is not None:
+            return landing.shaped(kept, table)
         return readers.read(self.spark, self.cfg.path(f"raw/{table}"), table)
 
     def land(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
         df.write.mode(mode).parquet(self.cfg.path(f"raw/{table}"))
 
     def get(self, name: str) -> DataFrame | None:
+        monthly = MonthlyFeatures(self.spark, self.cfg.path(f"monthly/{name}")).read()
+        if monthly is not None:
+            return monthly
         path = self.cfg.path(f"features/{name}")
         return self.spark.read.parquet(path) if readers.exists(self.spark, path) else None
 
@@ -174,12 +183,24 @@ def _align(s: Store) -> None:
     sinks.push_tables({n: t for n, t in tables.items() if t is not None}, os.environ.get("PANEL_JDBC_URL"))
 
 
+def _refresh(s: Store) -> None:
+    """What has landed since the last refresh, and the features that it makes dirty; the other feature stages follow by name."""
+    from pitpanel.streaming.refresh import Refresh
+
+    told = Refresh(s.spark, s.cfg).run()
+    bad = {k: v for k, v in told.items() if v.startswith("failed")}
+    for name, outcome in told.items():
+        (log.warning if name in bad else log.info)("refresh of %s: %s", name, outcome)
+    if told and len(bad) == len(told):
+        raise RuntimeError("no source could be refreshed")
+
+
 RUN: dict[str, Callable[[Store], None]] = {
     "ohlcv": source("raw_prices", _bars), "technical": _technical,
     "fundamentals": source("raw_fundamentals", lambda s: {"raw_fundamentals": landing.fundamentals(s.spark, s.cfg)}), "funda-features": _fundamental,
     "macro": source("macro_observations", lambda s: {"macro_observations": landing.macro_observations(s.spark, s.cfg, _as_of(s))}), "macro-features": _macro,
     "flow": source("raw_flow", _flow_days), "flow-features": _flow,
-    "news": source("articles", _articles), "sentiment": _sentiment, "align": _align, "sentiment-backfill": _backfill,
+    "news": source("articles", _articles), "sentiment": _sentiment, "align": _align, "sentiment-backfill": _backfill, "refresh": _refresh,
 }
 
 

@@ -136,11 +136,3 @@ class KeyedTable:
         for v in versions[:-keep]:
             folders.drop(self.spark, f"{self.path}/manifests/{v:012d}.json")
             folders.drop(self.spark, f"{self.path}/changes/v{v:08d}")
-
-
-def sink(table: KeyedTable, writer: str, order: list[str] = ()):
-    """foreachBatch function. `writer` names the query with its checkpoint: a new checkpoint needs a new name (its id will do)."""
-    def run(batch: DataFrame, number: int) -> None:
-        KeyedTable(batch.sparkSession, table.path, table.keys, table.by, table.buckets).upsert(batch, writer, number, order)
-
-    return run

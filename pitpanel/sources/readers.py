@@ -51,13 +51,22 @@ def carried(landed: DataFrame, *more: str) -> list[str]:
     return [*more, *(["_seq"] if "_seq" in landed.columns else [])]
 
 
-def with_place(landed: DataFrame) -> DataFrame:
-    """Rows read from files, with `_seq`, by which later rows follow earlier ones: newer files, and places within a file."""
+def with_file(landed: DataFrame) -> DataFrame:
+    """Rows read from files, with `_seq`: the time, file and block they came from."""
     m = c("_metadata")
-    place = F.struct(m["file_modification_time"].alias("time"), m["file_path"].alias("file"), m["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("row"))
+    place = F.struct(m["file_modification_time"].alias("time"), m["file_path"].alias("file"), m["file_block_start"].alias("block"))
     return landed.select(*landed.columns, place.alias("_seq"))
 
 
+def with_row(landed: DataFrame) -> DataFrame:
+    """The same with the row's place within its block, so that later rows follow earlier ones; a stream gets it batch by batch."""
+    return landed.withColumn("_seq", F.struct("_seq.time", "_seq.file", "_seq.block", F.monotonically_increasing_id().alias("row")))
+
+
+def with_place(landed: DataFrame) -> DataFrame:
+    return with_row(with_file(landed))
+
+
 def universe(spark: SparkSession, path: str) -> DataFrame:
     """JSON {country: [{ticker, name}]} -> ticker, name: trimmed, upper case, blank ones dropped, the first of each stays."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,array<struct<ticker:string,name:string>>>").alias("m"))

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitpanel.operators.dedupe import article_key, upsert
+from pitpanel.operators.dedupe import article_key
+from pitpanel.sources.keyed import KeyedTable
 
 
 def new_articles(stream: DataFrame, delay: str = "30 days") -> DataFrame:
@@ -16,32 +17,21 @@ def new_articles(stream: DataFrame, delay: str = "30 days") -> DataFrame:
     return d.withWatermark("fetched_at", delay).dropDuplicatesWithinWatermark(["key"])
 
 
-def upsert_sink(path: str, keys: list[str]):
-    """foreachBatch function: rows of the batch beat those stored under `path`; a repeated batch changes nothing.
+def upsert_sink(table: KeyedTable, writer: str | None = None, order: list[str] = ()):
+    """foreachBatch function: rows of the batch beat those of the keyed table; a batch that is repeated changes nothing.
 
-    Versions lie side by side and a pointer, written last, names the valid one.
+    Batches are known by the query's id, which stays with its checkpoint, and their number; so a new query, whose numbers begin
+    at 0 again, loses nothing. `writer` takes the id's place where given.
     """
-    def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        from pitpanel.sources.readers import exists
-
-        at = f"{path}/current"
-        last = spark.read.text(at).first()[0] if exists(spark, at) else None
-        new = batch.dropDuplicates(keys)
-        rows = upsert(spark.read.parquet(f"{path}/{last}"), new, keys) if last else new
-        version = f"v{epoch}"
-        if version == last:
-            return
-        rows.write.mode("overwrite").parquet(f"{path}/{version}")
-        spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(at)
+    def run(batch: DataFrame, number: int) -> None:
+        who = writer or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if who is None:
+            raise ValueError("outside a streaming query the writer must be named")
+        KeyedTable(batch.sparkSession, table.path, table.keys, table.by, table.buckets).upsert(batch, who, number, order)
 
     return run
 
 
-def stored(spark, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{spark.read.text(f'{path}/current').first()[0]}")
-
-
 def hourly(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Tumbling hours by event type, late events dropped after `delay`."""
     w = F.window("ts", "1 hour")

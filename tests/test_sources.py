@@ -12,6 +12,7 @@ from pitpanel.config import Config, load_config, load_dotenv
 from pitpanel.plans import fundamental, landing, stages
 from pitpanel.sources import feeds, readers, sinks
 from pitpanel.sources.deadletters import DeadLetters
+from pitpanel.sources.keyed import KeyedTable
 from pitpanel.streaming import incremental
 
 
@@ -210,13 +211,21 @@ def test_dotenv(tmp_path, monkeypatch):
     assert load_dotenv(str(tmp_path)) == {"PANEL_A": "1", "PANEL_B": "3"}
 
 
-def test_upsert_sink_is_idempotent(spark, tmp_path):
-    run = incremental.upsert_sink(str(tmp_path / "u"), ["k"])
-    run(frame(spark, [(1, "a"), (2, "b")], "k int, v string"), 0)
-    second = frame(spark, [(2, "c"), (3, "d")], "k int, v string")
-    run(second, 1)
-    run(second, 1)
-    assert sorted(map(tuple, incremental.stored(spark, str(tmp_path / "u")).collect())) == [(1, "a"), (2, "c"), (3, "d")]
+def test_upsert_sink_knows_queries(spark, tmp_path):
+    """A stream's batches by its query's id: a repeated one changes nothing, one of a new checkpoint counts though its number is 0 again."""
+    table = KeyedTable(spark, str(tmp_path / "u"), ["k"], buckets=4)
+    schema = "k int, v string"
+    for i, (rows, checkpoint) in enumerate([([(1, "a"), (2, "b")], "c1"), ([(2, "c"), (3, "d")], "c1"), ([(4, "e")], "c2")]):
+        folder = tmp_path / ("in1" if checkpoint == "c1" else "in2")
+        frame(spark, rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+        stream = spark.readStream.schema(schema).parquet(str(folder))
+        q = stream.writeStream.foreachBatch(incremental.upsert_sink(table)).option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert table.manifest()["version"] == i + 1
+    assert sorted(map(tuple, table.read().collect())) == [(1, "a"), (2, "c"), (3, "d"), (4, "e")]
+    assert sorted(table.manifest()["writers"].values()) == [0, 1]
+    with pytest.raises(ValueError):
+        incremental.upsert_sink(table)(frame(spark, [(1, "z")], schema), 0)
 
 
 def test_streams(spark, tmp_path):
