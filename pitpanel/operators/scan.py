@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 BLOCK = 128
 
 
-def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: int = BLOCK) -> DataFrame:
-    """specs: new column -> (column of c, factor b). A missing c counts as 0. Adds the columns to df."""
+def scan(df: DataFrame, by, order, specs: dict[str, tuple[str, float]], block: int = BLOCK, skip: str | None = None) -> DataFrame:
+    """specs: new column -> (column of c, factor b). A missing c counts as 0. Adds the columns to df.
+
+    Rows for which the column `skip` holds must come first or last within a key; they take no step.
+    """
     by = [by] if isinstance(by, str) else list(by)
     whole = Window.partitionBy(*by).orderBy(order)
-    d = df.withColumn("_scan_n", F.row_number().over(whole) - 1)
+    steps = F.row_number().over(whole) if skip is None else F.sum(F.when(F.col(skip), 0).otherwise(1)).over(whole)
+    d = df.withColumn("_scan_n", steps - 1)
     d = d.withColumn("_scan_b", F.floor(F.col("_scan_n") / block).cast("int")).withColumn("_scan_k", (F.col("_scan_n") % block + 1).cast("double"))
     inside = Window.partitionBy(*by, "_scan_b").orderBy("_scan_n").rowsBetween(Window.unboundedPreceding, 0)
     for name, (c, b) in specs.items():

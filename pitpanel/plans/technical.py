@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from pitpanel.config import Technical, Universe
 from pitpanel.functions.scalar import div, finite, flag, not_below, tier
+from pitpanel.operators import shards
 from pitpanel.operators.dedupe import keep_last
-from pitpanel.operators.scan import ewm
+from pitpanel.operators.scan import ewm, scan
 from pitpanel.operators.windows import Series, across
 
 S = Series("ticker", "date")
@@ -28,7 +29,9 @@ def back_adjust(d: DataFrame) -> DataFrame:
     """Prices times adj_close / close, carried forward, then backward, 1 where there is none; high and low repaired."""
     if "adj_close" in d.columns:
         d = d.withColumn("_f", finite(div(c("adj_close"), c("close"))))
-        d = d.withColumn("_f", F.coalesce(S.ffill(c("_f")), S.bfill(c("_f")), F.lit(1.0)))
+        d = shards.filled(d, "ticker", "date", "_f", "_f_before", "_f_after") if "_halo" in d.columns else d
+        ends = ([c("_f_before")], [c("_f_after")]) if "_halo" in d.columns else ([], [])
+        d = d.withColumn("_f", F.coalesce(S.ffill(c("_f")), *ends[0], S.bfill(c("_f")), *ends[1], F.lit(1.0))).drop("_f_before", "_f_after")
     else:
         d = d.withColumn("_f", F.lit(1.0))
     for x in ("open", "high", "low", "close"):
@@ -62,14 +65,16 @@ def recursive(d: DataFrame, t: Technical = Technical(), states: bool = False) ->
     """
     fast, slow, signal = t.macd
     known = ("_known_at", "_known") if states else None
+    way = shards.scan if "_halo" in d.columns else scan
     delta, prev = c("close") - S.lag(c("close")), S.lag(c("close"))
     d = d.withColumn("_gain", not_below(delta)).withColumn("_loss", not_below(-delta))
     d = d.withColumn("_tr", F.greatest(c("high") - c("low"), F.abs(c("high") - prev), F.abs(c("low") - prev)))
     d = ewm(d, "ticker", "date", {
         "_fast": ("close", 2 / (fast + 1)), "_slow": ("close", 2 / (slow + 1)),
         "_ag": ("_gain", 1 / t.rsi), "_al": ("_loss", 1 / t.rsi), "_atr": ("_tr", 1 / t.atr),
-    }, known=known)
-    d = ewm(d.withColumn("_macd", c("_fast") - c("_slow")), "ticker", "date", {"_sig": ("_macd", 2 / (signal + 1))}, known=known)
+    }, way, known)
+    # a shard's halo rows have no means of their own, but are rows before its own all the same
+    d = ewm(d.withColumn("_macd", F.coalesce(c("_fast") - c("_slow"), F.lit(0.0))), "ticker", "date", {"_sig": ("_macd", 2 / (signal + 1))}, way, known)
     enough = lambda x, n: F.count(c(x)).over(S.past) >= n
     rsi = F.when(c("_al") > 0, 100.0 - 100.0 / (1.0 + div(c("_ag"), c("_al")))).otherwise(100.0)
     d = d.withColumn("macd_hist", c("_macd") - c("_sig")).withColumn("macd_hist_pct", div(c("_macd") - c("_sig"), c("close")))
@@ -129,6 +134,12 @@ def series_features(cleaned: DataFrame, u: Universe = Universe(), t: Technical =
     return calendar_features(range_vol(volume_features(recursive(returns(d, t), t, states), t), t), t)
 
 
+def sharded_features(cleaned: DataFrame, u: Universe = Universe(), t: Technical = Technical(), rows: int = 1_000_000) -> DataFrame:
+    """The same where one ticker's bars may be too many for a task: in shards of about `rows` bars."""
+    d = shards.split(cleaned, "ticker", "date", look_back(u, t), t.dressing_days, rows)
+    return shards.whole(series_features(d, u, t), "ticker")
+
+
 def look_back(u: Universe = Universe(), t: Technical = Technical()) -> int:
     """How many earlier rows of its ticker the finite frames of a row reach; exponential means reach all and are kept as states."""
     frames = (*t.sma_windows, u.turnover_window, t.mfi + 1, t.obv_slope + 1, t.volume_sma, t.realized_vol + 1, *(n + 1 for n in t.vol_ratio), t.bollinger[0], t.high, t.close_pos, t.rsi + 1, t.atr + 1)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
 
 from pitpanel.config import Config
-from pitpanel.oracles import ARTICLES, BARS, LEXICON, MACD, RANGE, RET, RSI, VOL, _r6, _z
-from pitpanel.plans import incremental, inputs, sentiment
+from pitpanel.oracles import ARTICLES, BARS, FLAGS, LEXICON, MACD, RANGE, RET, RSI, VOL, _r6, _z
+from pitpanel.plans import incremental, inputs, sentiment, technical
 from pitpanel.sources import folders
 from pitpanel.sources.folders import shared_folder
 from pitpanel.sources.keyed import KeyedTable
@@ -67,6 +69,17 @@ def incremental_recompute(spark, sf_dir):
     return features.read().select("ticker", "date", *(F.round(n, 6).alias(n) for n in names))
 
 
+@query(", ".join(("with " + MACD, RSI, RET, VOL, RANGE, FLAGS)) + f""", x as (select ret.ticker, ret.date, ret_250d, price_sma60_ratio, macd.h as macd_hist, case when rsi.rn >= 15 then rsi end as rsi_14, obv_slope_20d, realized_vol_20d, is_liquid, dist_52w_high
+  from ret join vol using (ticker, date) join rng using (ticker, date) join flg using (ticker, date) join rsi on rsi.ticker = ret.ticker and rsi.date = ret.date join macd on macd.ticker = ret.ticker and macd.date = ret.date)
+select ticker, date, {_r6('ret_250d', 'price_sma60_ratio', 'macd_hist', 'rsi_14', 'obv_slope_20d', 'realized_vol_20d', 'dist_52w_high')}, is_liquid, case when month(date) = 12 and row_number() over (partition by ticker, year(date), month(date) order by date desc) <= 5 then 1 else 0 end as window_dressing_flag from x""")
+def sharded_series(spark, sf_dir):
+    """The series features with every ticker's bars in shards of about 400 rows and their halos, as a hot ticker's would be."""
+    u = dataclasses.replace(CFG.universe, min_median_turnover=40_000.0, tiers=((0.0, 1500.0, 0.35), (1500.0, 5000.0, 0.25), (5000.0, 1e12, 0.20)))
+    d = technical.sharded_features(technical.clean(inputs.bars(spark, sf_dir)), u, CFG.technical, rows=400)
+    names = ("ret_250d", "price_sma60_ratio", "macd_hist", "rsi_14", "obv_slope_20d", "realized_vol_20d", "dist_52w_high")
+    return d.select("ticker", "date", *(F.round(n, 6).alias(n) for n in names), "is_liquid", "window_dressing_flag")
+
+
 @query(f"""with {BARS}, b as (select ticker, date, close, volume from bars) select ticker, strftime(date, '%Y-%m') as month, count(*) as n, round(sum(volume), 4) as volume from b group by 1, 2""")
 def keyed_change_log(spark, sf_dir):
     """Bars in yearly batches; what the change log calls changed since the first is read back by key, with what came first."""
