@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pitpanel.config import Config
 from pitpanel.oracles import ARTICLES, BARS, FLAGS, LEXICON, MACD, RANGE, RET, RSI, VOL, _r6, _z
 from pitpanel.plans import incremental, inputs, sentiment, technical
-from pitpanel.sources import folders
 from pitpanel.sources.folders import shared_folder
 from pitpanel.sources.keyed import KeyedTable
 from pitpanel.streaming import decay
@@ -104,23 +103,23 @@ g as (select key, cast(unnest(generate_series(cast(lo as timestamp), cast(hi as
 s as (select g.key, g.date, sum(a * pow({_FACTOR}, date_diff('day', d.date, g.date))) as a, sum(n * pow({_FACTOR}, date_diff('day', d.date, g.date))) as w, max(d.date) as last from g join d on d.key = g.key and d.date <= g.date group by 1, 2)
 select key, date, round(a / w, 6) as sent_decay from s where date_diff('day', last, date) <= 14""")
 def decay_stream(spark, sf_dir):
-    """Scored articles by language, landed as a file a month, as a stream of daily sums; every day until the decay ends comes out."""
+    """Scored articles by language as a stream of daily sums; every day comes out until the decay ends."""
     work = shared_folder(spark, "decay")
     rows = sentiment.score_articles(inputs.articles(spark, sf_dir), LEXICON)
     daily = sentiment.scored_daily(rows, ["lang"]).select(c("lang").alias("key"), "date", "score_sum", "n")
-    daily.withColumn("month", F.date_format("date", "yyyy-MM")).repartition("month").write.partitionBy("month").parquet(f"{work}/daily")
-    schema = "key string, date date, score_sum double, n long"
-    months = folders.names(spark, f"{work}/daily")
-    end = spark.read.parquet(f"{work}/daily").select(F.lit("").alias("key"), F.date_add(F.max("date"), 17).alias("date"), F.lit(0.0).alias("score_sum"), F.lit(0).cast("long").alias("n"))
-    parts = [spark.read.schema(schema).parquet(f"{work}/daily/{m}") for m in months if m.startswith("month=")]
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", decay.PROVIDER)
+    daily.coalesce(1).write.parquet(f"{work}/daily")  # a row per language and day
+    daily = spark.read.parquet(f"{work}/daily")
+    end = daily.agg(F.date_add(F.max("date"), 17).alias("date")).select(F.lit("").alias("key"), "date", F.lit(0.0).alias("score_sum"), F.lit(0).cast("long").alias("n"))
+    daily.unionByName(end).coalesce(1).write.parquet(f"{work}/landed")
+    keys = {"spark.sql.streaming.stateStore.providerClass": decay.PROVIDER, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
-        for part in (*parts, end):  # what lands month by month is taken run by run, as a scheduler would
-            part.coalesce(1).write.mode("append").parquet(f"{work}/landed")
-            stream = decay.decay_days(spark.readStream.schema(schema).parquet(f"{work}/landed"), CFG.sentiment.half_life, CFG.sentiment.window_days)
-            out = stream.writeStream.format("parquet").option("path", f"{work}/out").option("checkpointLocation", f"{work}/checkpoint")
-            out.trigger(availableNow=True).start().awaitTermination()
+        stream = spark.readStream.schema("key string, date date, score_sum double, n long").parquet(f"{work}/landed")
+        out = decay.decay_days(stream, CFG.sentiment.half_life, CFG.sentiment.window_days).writeStream.format("parquet").option("path", f"{work}/out")
+        out.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(decay.OUT).parquet(f"{work}/out").select("key", "date", F.round("sent_decay", 6).alias("sent_decay"))
