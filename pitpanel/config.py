@@ -149,6 +149,8 @@ class Config:
     sentiment: Sentiment = field(default_factory=Sentiment)
     root: str = "."
     use_cache: bool = False
+    buckets: int = 0  # feature tables by ticker lie in so many buckets; 0: in ranges of ticker and date
+    csv: bool = False  # the last tables also as CSV
     as_of: str = ""  # the day of the run, yyyy-MM-dd; blank: calendars end with the data
 
     def get(self, dotted: str, default=None):

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pitpanel.config import Config, load_config, load_dotenv
 from pitpanel.functions.lexicon import load_lexicon
-from pitpanel.plans import align, flow, fundamental, landing, macro, sentiment, technical
+from pitpanel.plans import align, flow, fundamental, landing, ledger, macro, sentiment, technical
 from pitpanel.plans.incremental import MonthlyFeatures
 from pitpanel.sources import readers, sinks
 from pitpanel.sources.keyed import KeyedTable
@@ -42,6 +42,8 @@ def resolve(names: list[str]) -> list[str]:
     if unknown:
         raise ValueError(f"unknown stages: {', '.join(unknown)}")
     return list(ORDER) if "all" in names else [n for n in (*ORDER, *MANUAL) if n in names]
+#: Feature tables that may lie in buckets: by which key, and sorted by what.
+BUCKETED = {"technical": ("ticker", ["date"]), "fundamental": ("ticker", ["release_date"]), "flow": ("ticker", ["date"]), "sentiment": ("ticker", ["date"]), "panel": ("ticker", ["date"])}
 
 
 class Store:
@@ -49,6 +51,7 @@ class Store:
 
     def __init__(self, spark: SparkSession, cfg: Config):
         self.spark, self.cfg = spark, cfg
+        self.written: list[tuple] = []  # what the tables written so far tell of themselves, for the ledger
 
     def raw(self, table: str) -> DataFrame:
         """A raw table: the keyed one that refreshes maintain, where there is one, else the one that stages write."""
@@ -58,17 +61,28 @@ class Store:
         return readers.read(self.spark, self.cfg.path(f"raw/{table}"), table)
 
     def land(self, table: str, df: DataFrame, mode: str = "overwrite") -> None:
+        df, seen = ledger.observed(df, table)
         df.write.mode(mode).parquet(self.cfg.path(f"raw/{table}"))
+        self.written.append(ledger.told(table, seen))
 
     def get(self, name: str) -> DataFrame | None:
         monthly = MonthlyFeatures(self.spark, self.cfg.path(f"monthly/{name}")).read()
         if monthly is not None:
             return monthly
         path = self.cfg.path(f"features/{name}")
-        return self.spark.read.parquet(path) if readers.exists(self.spark, path) else None
+        if not readers.exists(self.spark, path):
+            return None
+        if self.cfg.buckets and name in BUCKETED:
+            return sinks.read_bucketed(self.spark, path, *BUCKETED[name], self.cfg.buckets)
+        return self.spark.read.parquet(path)
 
     def put(self, name: str, df: DataFrame, sort: list[str]) -> None:
-        sinks.write_parquet(df, self.cfg.path(f"features/{name}"), sort=sort)
+        df, seen = ledger.observed(df, name)
+        if self.cfg.buckets and name in BUCKETED:
+            sinks.write_bucketed(df, self.cfg.path(f"features/{name}"), *BUCKETED[name], self.cfg.buckets)
+        else:
+            sinks.write_parquet(df, self.cfg.path(f"features/{name}"), sort=sort)
+        self.written.append(ledger.told(name, seen))
 
 
 def _as_of(s: Store) -> str:
@@ -117,6 +131,8 @@ def source(table: str, decode: Callable[[Store], dict]) -> Callable[[Store], Non
         for name, df in decode(s).items():
             if df is not None:
                 s.land(name, df)
+            if df is not None and name == "macro_observations":  # each series by itself, too
+                sinks.write_parquet(s.raw(name), s.cfg.path("raw/macro_by_series"), partition_by="series", sort=["series", "date"])
         if s.raw(table).isEmpty():
             raise RuntimeError(f"no rows of {table} were landed")
     return run
@@ -180,6 +196,10 @@ def _align(s: Store) -> None:
     if all(p is not None for p in parts):
         s.put("sentimen", sentiment.sentiment_union(*parts), ["level", "entity", "date"])
     tables = {n: s.get(n) for n in ("panel", "sentimen", "coverage")}
+    if s.cfg.csv:
+        for n, t in tables.items():
+            if t is not None:
+                sinks.write_csv(t, s.cfg.path(f"csv/{n}"), sort=[x for x in ("level", "entity", "ticker", "date", "year") if x in t.columns])
     sinks.push_tables({n: t for n, t in tables.items() if t is not None}, os.environ.get("PANEL_JDBC_URL"))
 
 
@@ -211,6 +231,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--config")
     p.add_argument("--as-of", default="", help="the day of the run: calendars reach it, undated articles get it; today unless given")
     p.add_argument("--use-cache", action="store_true")
+    p.add_argument("--csv", action="store_true", help="the last tables also as CSV, doubles with six significant digits")
+    p.add_argument("--buckets", type=int, default=0, help="feature tables by ticker in so many buckets")
     a = p.parse_args(argv)
     load_dotenv(a.root)
     cfg = load_config(a.config, a.root)
@@ -219,19 +241,33 @@ def main(argv: list[str] | None = None) -> int:
     from pitpanel.session import session
 
     setup_logging(f"{a.root}/logs")
-    store = Store(session(), replace(cfg, use_cache=a.use_cache, as_of=a.as_of or cfg.as_of or datetime.date.today().isoformat()))
-    failed = 0
-    for name in resolve(a.stages):
-        began = time.time()
+    today = datetime.date.today().isoformat()
+    cfg = replace(cfg, use_cache=a.use_cache, csv=a.csv or cfg.csv, buckets=a.buckets or cfg.buckets, as_of=a.as_of or cfg.as_of or today)
+    return run_stages(Store(session(), cfg), resolve(a.stages))
+
+
+def run_stages(store: Store, names: list[str]) -> int:
+    """The stages in order, each with a row in the ledger; a source that fails leaves the others, any other failure ends the run
+    and the stages left are noted as skipped. -> 0, or 1 if every stage failed."""
+    book, failed = ledger.Ledger(store.spark, store.cfg.path("runs")), 0
+    for i, name in enumerate(names):
+        at, began = datetime.datetime.now(), time.time()
+        store.written.clear()
         try:
             RUN[name](store)
-            log.info("%s: %.1f s", name, time.time() - began)
-        except (RuntimeError, PySparkException, Py4JJavaError) as e:
-            if name not in SOURCES:
+        except Exception as e:
+            reason = (str(e).splitlines() or [type(e).__name__])[0][:500]
+            book.add(at, name, "failed", reason, time.time() - began, list(store.written))
+            if name not in SOURCES or not isinstance(e, (RuntimeError, PySparkException, Py4JJavaError)):
+                for left in names[i + 1 :]:
+                    book.add(at, left, "skipped", f"{name} failed", 0.0, [])
                 raise
-            log.warning("%s: %s", name, e)  # a source that fails leaves the others
+            log.warning("%s: %s", name, reason)
             failed += 1
-    return 0 if failed < len(a.stages) else 1
+        else:
+            book.add(at, name, "ok", None, time.time() - began, list(store.written))
+            log.info("%s: %.1f s", name, time.time() - began)
+    return 0 if failed < len(names) else 1
 
 
 if __name__ == "__main__":

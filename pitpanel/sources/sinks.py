@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
 from pyspark.sql import DataFrame
@@ -46,3 +47,29 @@ def push_tables(tables: dict[str, DataFrame], url: str | None, properties: dict[
             log.warning("table %s was not pushed: %s", name, e)
             out[name] = "failed"
     return out
+
+
+def bucket_table(path: str) -> str:
+    """The name under which a bucketed folder is known to the catalog."""
+    return "panel_" + hashlib.md5(path.encode()).hexdigest()[:16]
+
+
+def write_bucketed(df: DataFrame, path: str, by: str, sort: list[str], buckets: int) -> DataFrame:
+    """One file a bucket of `by`, sorted: windows, aggregates and joins by that key then read it without an exchange. -> read back.
+
+    Rows of one key lie in one bucket, so this is for keys of which none is large by itself.
+    """
+    spark, name = df.sparkSession, bucket_table(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df.repartition(buckets, by).write.mode("overwrite").option("path", path).bucketBy(buckets, by).sortBy(*sort).saveAsTable(name)
+    return spark.table(name)
+
+
+def read_bucketed(spark, path: str, by: str, sort: list[str], buckets: int) -> DataFrame:
+    """A folder that write_bucketed wrote, made known to this session's catalog where it is not."""
+    name = bucket_table(path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+        order = ", ".join(f"`{x}`" for x in sort)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{by}`) SORTED BY ({order}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return spark.table(name)

@@ -9,7 +9,7 @@ from plain import devalue
 from pyspark.sql import functions as F
 
 from pitpanel.config import Config, load_config, load_dotenv
-from pitpanel.plans import fundamental, landing, stages
+from pitpanel.plans import fundamental, landing, ledger, stages
 from pitpanel.sources import feeds, readers, sinks
 from pitpanel.sources.deadletters import DeadLetters
 from pitpanel.sources.keyed import KeyedTable
@@ -356,3 +356,48 @@ def test_snapshots_per_feed(spark):
     got = feeds.wanted(index, spark.createDataFrame([], feeds.LEDGER), per_run=3).collect()
     assert sorted((r.feed_url, r.timestamp) for r in got) == [(f, f"2020010{d}010000") for f in "ab" for d in (1, 2, 3)]
     assert [r.timestamp for r in got] == sorted(r.timestamp for r in got)
+
+
+def test_run_ledger(spark, tmp_path):
+    """A row per stage: what a good one wrote, why a source failed, what was skipped when the spine was missing."""
+    root = str(tmp_path)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(70)]
+    rows = [(d, "A.JK", 10.0 + i, 11.0 + i, 9.0 + i, 10.5 + i, None, 100.0, 0.0, 0.0) for i, d in enumerate(days)]
+    frame(spark, rows, readers.SCHEMAS["raw_prices"]).write.parquet(f"{root}/raw/raw_prices")
+    store = stages.Store(spark, Config(root=root, as_of="2024-03-31", csv=True, buckets=2))
+    assert stages.run_stages(store, ["technical", "flow", "align"]) == 0
+    book = {r.stage: r for r in ledger.Ledger(spark, f"{root}/runs").read().collect()}
+    assert {k: (r.outcome, r.reason) for k, r in book.items()} == {"technical": ("ok", None), "flow": ("failed", "no rows of raw_flow were landed"), "align": ("ok", None)}
+    wrote = {t.name: t for t in book["technical"].tables}
+    assert (wrote["technical"].rows, wrote["technical"].first, wrote["technical"].last) == (70, "2024-01-01", "2024-03-10")
+    assert wrote["technical"].nulls["ret_5d"] == 5 and wrote["technical"].nulls["close"] == 0 and wrote["corporate_actions"].rows == 0
+    assert store.get("panel").count() == 70 and (tmp_path / "csv" / "panel").exists()
+    with pytest.raises(RuntimeError):
+        stages.run_stages(stages.Store(spark, Config(root=str(tmp_path / "none"))), ["align", "sentiment-backfill"])
+    left = {r.stage: (r.outcome, r.reason) for r in ledger.Ledger(spark, str(tmp_path / "none/runs")).read().collect()}
+    assert left == {"align": ("failed", "the technical panel is missing: it is the spine of the alignment"), "sentiment-backfill": ("skipped", "align failed")}
+
+
+def test_buckets_need_no_exchange(spark, tmp_path):
+    """Windows, keep-last and aggregates by ticker read a bucketed table without an exchange, also in a session that does not know it yet."""
+    from pitpanel.operators.dedupe import keep_last
+    from pitpanel.plans import technical
+
+    path = str(tmp_path / "t")
+    d = frame(spark, [(f"T{i % 7}", dt.date(2024, 1, 1) + dt.timedelta(days=i // 7), float(i), 1.0) for i in range(300)], "ticker string, date date, close double, open double")
+    want = sorted(map(str, technical.returns(d).collect()))
+    sinks.write_bucketed(d, path, "ticker", ["date"], 4)
+    spark.sql(f"DROP TABLE {sinks.bucket_table(path)}")
+    t = sinks.read_bucketed(spark, path, "ticker", ["date"], 4)
+    for plan in (technical.returns(t), keep_last(t, ["ticker", "date"], ["close"]), t.groupBy("ticker").agg(F.max("date"))):
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, technical.returns(t).collect())) == want
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) <= 4
+
+
+def test_yaml_settings(tmp_path):
+    pytest.importorskip("yaml")
+    p = tmp_path / "s.yaml"
+    p.write_text("technical:\n  sma_windows: [5, 10]\nsentiment:\n  feeds:\n    - {name: f, lang: id, url: u, query: q}\n")
+    cfg = load_config(str(p))
+    assert cfg.technical.sma_windows == (5, 10) and cfg.sentiment.feeds[0].query == "q"
