@@ -111,15 +111,8 @@ def decay_stream(spark, sf_dir):
     daily = spark.read.parquet(f"{work}/daily")
     end = daily.agg(F.date_add(F.max("date"), 17).alias("date")).select(F.lit("").alias("key"), "date", F.lit(0.0).alias("score_sum"), F.lit(0).cast("long").alias("n"))
     daily.unionByName(end).coalesce(1).write.parquet(f"{work}/landed")
-    keys = {"spark.sql.streaming.stateStore.providerClass": decay.PROVIDER, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
-    before = {k: spark.conf.get(k, None) for k in keys}
-    for k, v in keys.items():
-        spark.conf.set(k, v)
-    try:
+    with decay.state_store(spark):
         stream = spark.readStream.schema("key string, date date, score_sum double, n long").parquet(f"{work}/landed")
         out = decay.decay_days(stream, CFG.sentiment.half_life, CFG.sentiment.window_days).writeStream.format("parquet").option("path", f"{work}/out")
         out.option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(decay.OUT).parquet(f"{work}/out").select("key", "date", F.round("sent_decay", 6).alias("sent_decay"))

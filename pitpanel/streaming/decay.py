@@ -9,6 +9,7 @@ scored one. Then the key rests, with three numbers, until news come or what is l
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,27 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 DAY_MS = 86_400_000
 OUT = "key string, date date, sent_decay double"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the session for keyed state: small changes are kept as logs, and all stores of an executor share one bound on memory.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": PROVIDER,
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "2",
+}
+
+
+@contextmanager
+def state_store(spark):
+    """The settings above, for the queries started within."""
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class Decay(StatefulProcessor):
@@ -92,7 +114,7 @@ def decay_days(daily: DataFrame, half_life: float = 3.0, window_days: int = 14,
     """Stream of (key, date, score_sum, n), in any order within `delay`, several rows of a day adding up -> key, date, sent_decay
     for every day from a key's first scored one to `window_days` after its last, as the watermark passes it.
 
-    The session's state store must be RocksDB (`PROVIDER`), which keyed state with timers needs.
+    The session's state store must be RocksDB, which keyed state with timers needs: see `state_store`.
     """
     spark = daily.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass") != PROVIDER:

@@ -21,11 +21,8 @@ def run(spark, folder, checkpoint, out):
 
 @pytest.fixture
 def rocks(spark):
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    spark.conf.set(key, decay.PROVIDER)
-    yield
-    spark.conf.set(key, before)
+    with decay.state_store(spark):
+        yield
 
 
 def test_stream_equals_batch(spark, rocks, tmp_path):
