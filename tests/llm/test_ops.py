@@ -518,19 +518,56 @@ def test_mixing_small_source(spark, monkeypatch):
         assert all(abs(taken[s] - want[s]) <= max(2, 0.02 * want[s]) for s in size), (taken, want)
 
 
-def test_mixing_quotas(spark):
+def highest_quotients(units, total):
+    """{unit: (share, cap)} -> seats of each, one by one."""
+    offers = sorted((-share / (2 * k + 1), u, k) for u, (share, cap) in units.items() for k in range(min(cap, total)))
+    return collections.Counter(u for _, u, _ in offers[:total])
+
+
+def test_mixing_seats(spark):
     r = np.random.RandomState(6)
-    rows = []
-    for s, (n, top, block, part) in enumerate([(1, 900, 7, 1.3), (40, 3000, 16, 0.7), (60, 40, 8, 1.1), (25, 20000, 256, 2.0), (30, 300, 256, 0.1)]):
-        words = [int(x) for x in r.randint(1, top, n)] + [top * 9]
-        rows += [(f"s{s}", i, w, sum(words), part * sum(words), block) for i, w in enumerate(words)]
-    df = spark.createDataFrame(rows, "source string, shard int, words long, source_size long, target double, block long")
-    got = {(x.source, x.shard): x.quota for x in mixing.quotas(df).collect()}
-    for s in {x[0] for x in rows}:
-        mine = [x for x in rows if x[0] == s]
-        offers = sorted(((-(x[4] * x[2] / x[3] / x[5]) / (2 * k + 1), x[1], k) for x in mine for k in range(2 * -(-x[2] // x[5]))))
-        want = collections.Counter(i for _, i, _ in offers[: round(mine[0][4] / mine[0][5])])
-        assert {i: got[s, i] for _, i, *_ in mine} == {x[1]: want[x[1]] for x in mine}
+    rows, want = [], {}
+    for g, (n, top, total) in enumerate([(1, 900, 7), (40, 3000, 900), (60, 40, 33), (25, 20000, 5000), (30, 300, 0)]):
+        units = {f"u{i:02d}": (float(x), int(2 * x / top * total / n) + 3) for i, x in enumerate([*r.randint(1, top, n), top * 9])}
+        total = min(total, sum(c for _, c in units.values()))
+        for u, k in highest_quotients(units, total).items():
+            want[g, u] = k
+        rows += [(g, u, share, cap, total) for u, (share, cap) in units.items()]
+    free = [x for x in rows if x[0] != 0]
+    df = spark.createDataFrame([(g, u, s, 10**6 if g != 0 else c, t) for g, u, s, c, t in rows], "g int, unit string, share double, cap long, all long")
+    got = {(x.g, x.unit): x.quota for x in mixing.seats(df, ["g"]).collect()}
+    for g in {x[0] for x in free}:
+        units = {u: (s, 10**6) for h, u, s, _, _ in rows if h == g}
+        total = next(t for h, *_, t in rows if h == g)
+        seats = highest_quotients(units, total)
+        assert {u: got[g, u] for u in units} == {u: seats[u] for u in units}
+
+
+def test_mixing_blocks(spark, monkeypatch):
+    """Sources get blocks by highest quotients, their shards by theirs, and blocks are whole but for a stream's end and one cut."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 1 << 13)
+    r = np.random.RandomState(8)
+    rows = [(i, " ".join(f"w{j}" for j in range(r.randint(1, 900))), "en", f"s{i % 4}") for i in range(300)] + [(900, "only a few words", "en", "tiny")]
+    got = mixing.plan(docs(spark, rows)).collect()
+    size = collections.Counter()
+    for x in got:
+        size[x.source] += x.size
+    target = fill(size)
+    total = round(sum(round(t) for t in target.values()) / mixing.BLOCK)
+    seats = highest_quotients({s: (target[s], -(-2 * size[s] // mixing.BLOCK)) for s in size}, total)
+    by_source = spark.createDataFrame([(s, size[s], target[s]) for s in size], "source string, source_size long, target double")
+    cap = F.ceil(F.col("source_size") * 2.0 / mixing.BLOCK).cast("long")
+    units = by_source.select(F.lit(0).alias("g"), F.col("source").alias("unit"), F.col("target").alias("share"), cap.alias("cap"), F.lit(total).cast("long").alias("all"))
+    assert {x.unit: x.quota for x in mixing.seats(units, ["g"]).collect()} == {s: seats[s] for s in size}
+    taken, cuts = collections.Counter(), collections.defaultdict(set)
+    for x in got:
+        taken[x.source] += x.taken
+        assert x.block == mixing.BLOCK and x.taken <= 2 * x.size
+        if x.cut_at is not None:
+            cuts[x.source].add((x.cut_at, x.cut_words))
+    # a quota is met to a block, the target to the few words that the ends of streams and their limits leave
+    assert all(abs(taken[s] - target[s]) <= 1 for s in size), (taken, target)
+    assert all(abs(target[s] - seats[s] * mixing.BLOCK) <= mixing.BLOCK for s in size)
 
 
 # 9 ------------------------------------------------------------------------------------------------------------------
