@@ -20,7 +20,8 @@ RULES = {
     "hex": (r"[0-9a-f]+", 0, 24),
     "github": (r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     "slack": (r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
-    "jwt": (r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
+    # where a start fails, all later ones of its run of letters do: the run is consumed, with nothing in the group
+    "jwt": (r"(eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)|eyJ[A-Za-z0-9_-]+", 1, 40),
     "pem": (r"-----BEGIN (?:[A-Z]+ ){0,4}PRIVATE KEY-----", 0, 20),
 }
 #: Patterns that a text must hold for the rule of RULES to find anything; cheaper to look for. Other versions go without.
@@ -30,6 +31,7 @@ NEEDS = {
 }
 SPANS = "array<struct<start:bigint,kind:int,end:bigint>>"
 PLACES = "array<struct<start:bigint,end:bigint>>"
+CHUNK = 256
 
 
 def rule_keys(rules: dict = RULES) -> dict[str, str]:
@@ -47,15 +49,25 @@ def spans(text: Column, kind: str, rules: dict = RULES) -> Column:
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length).alias("n"),
         F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.length).alias("key"),
     )
-    found = let(hits, lambda h: F.aggregate(
-        h, F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(PLACES).alias("out")),
-        lambda a, x: F.struct(
-            (a["at"] + x["gap"] + F.coalesce(x["n"], F.lit(0))).alias("at"),
-            F.when(x["key"] >= least, F.concat(a["out"], F.array(F.struct(
-                (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end")
-            )))).otherwise(a["out"]).alias("out"),
-        ),
-    )["out"])
+    # places are running sums; arrays grow by copying, so they are summed in runs of CHUNK, then within each run
+    step = lambda x: x["gap"] + F.coalesce(x["n"], F.lit(0))
+    zero, none = F.lit(0).cast("long"), F.array().cast(PLACES)
+
+    def starts(runs: Column) -> Column:
+        ends = F.transform(runs, lambda r: F.aggregate(r, zero, lambda a, x: a + step(x)))
+        first = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(ends, first, lambda a, n: F.struct((a["at"] + n).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))["out"]
+
+    def within(run: Column, start: Column) -> Column:
+        def more(a: Column, x: Column) -> Column:
+            at = a["at"] + x["gap"]
+            kept = F.concat(a["out"], F.array(F.struct(at.alias("start"), (at + x["n"]).alias("end"))))
+            return F.struct((a["at"] + step(x)).alias("at"), F.when(x["key"] >= least, kept).otherwise(a["out"]).alias("out"))
+
+        return F.aggregate(run, F.struct(start.alias("at"), none.alias("out")), more)["out"]
+
+    runs = let(hits, lambda h: F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / CHUNK).cast("int")), lambda i: F.slice(h, i * CHUNK + 1, CHUNK)))
+    found = let(runs, lambda r: F.flatten(F.zip_with(r, starts(r), within)))
     known = kind in NEEDS and rules[kind] == RULES[kind]
     return F.when(text.rlike(NEEDS[kind]) if known else F.lit(True), found).otherwise(F.array().cast(PLACES))
 
@@ -72,7 +84,8 @@ def read_ledger(spark, ledger: str, rules: dict) -> DataFrame | None:
     ))))
     return rows.groupBy("blob").agg(
         F.array_distinct(F.flatten(F.collect_list(F.map_keys("found")))).alias("seen"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(own)))).alias("spans"),
+        # sorted, then each of which the one before is equal left out: array_distinct compares structs with all others
+        let(F.array_sort(F.flatten(F.collect_list(own))), lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))).alias("spans"),
     )
 
 

@@ -1,10 +1,12 @@
 """WARC archives: written by Spark's text writer, read back by verifying the chain of record borders.
 
-Reading: archives are split at `\\r\\n\\r\\nWARC/1.0\\r\\n`, so any task's block of any file yields segments that start at a
-magic string, in a payload or not. Each task emits, for every segment, the candidate link from its offset to that of its
+Reading: archives are split at `\\r\\n\\r\\nWARC/1.`, so any task's block of any file yields segments that start at a
+magic string of any version 1.x, in a payload or not. Each task emits, for every segment, the candidate link from its offset to that of its
 successor (by Content-Length), and where the chain leaves the block. Pointer jumping over those exits, from the start of
 each file, finds the block entries that are reached; in a block, a candidate is kept if the chain from the entry passes
-it, which pre-order numbers of the forest of successors tell. Magic inside payloads is never reached.
+it, which pre-order numbers of the forest of successors tell. Magic inside payloads is never reached. A link counts only if it
+ends at a candidate or at the end of the file; where one does not, its record is told as broken and the chain goes on at the next
+candidate whose own link counts.
 """
 
 from __future__ import annotations
@@ -12,11 +14,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitpanel.llm.shared import cut, drop_path, join_small, new_path, write
+from pitpanel.llm.shared import Scratch, cut, drop_path, join_small, new_path, write
 
 CRLF2 = "\r\n\r\n"
 MAGIC = "WARC/1.0\r\n"
-BREAK = CRLF2 + MAGIC
+#: What all versions begin with, and where archives are split.
+STEM = "WARC/1."
+BREAK = CRLF2 + STEM
 
 
 def write_warc(pages: DataFrame, path: str, least_bytes: int = 100, date: str = "2024-01-01T00:00:00Z") -> None:
@@ -55,7 +59,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 100, date: str =
     p.select(record.alias("value")).write.option("lineSep", CRLF2).text(path)
 
 
-SCAN = "file string, block long, idx int, start long, next long, exit long, tin int, tout int, whole boolean, type string, id string, refers string, bytes long, digest string, consumed long"
+SCAN = "file string, block long, idx int, start long, next long, exit long, tin int, tout int, whole boolean, type string, id string, refers string, bytes long, digest string, consumed long, root long"
 
 
 def _parse(head: bytes) -> dict[str, str]:
@@ -88,7 +92,7 @@ def _blocks(batches):
 
 
 def _chain(rows: list[list]) -> None:
-    """Fill exit, tin, tout of the rows (of one block, by offset), whose start and next are known."""
+    """Fill exit, tin, tout and root of the rows (of one block, by offset), whose start and next are known."""
     by, n = {r[3]: i for i, r in enumerate(rows) if r[4] is not None}, len(rows)
     size, free, roots = [1] * n, [0] * n, 0
     up = [by.get(r[4]) for r in rows]
@@ -98,9 +102,9 @@ def _chain(rows: list[list]) -> None:
     for i in reversed(range(n)):
         r = rows[i]
         if up[i] is None:
-            r[5], r[6], roots = r[4], roots, roots + size[i]
+            r[5], r[6], r[15], roots = r[4], roots, r[3], roots + size[i]
         else:
-            r[5], r[6] = rows[up[i]][5], free[up[i]]
+            r[5], r[6], r[15] = rows[up[i]][5], free[up[i]], rows[up[i]][15]
             free[up[i]] += size[i]
         r[7], free[i] = r[6] + size[i], r[6] + 1
 
@@ -109,17 +113,17 @@ def _scan(batches):
     import pyarrow as pa
     from itertools import groupby
 
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
     names = [x.split()[0] for x in SCAN.split(", ")]
     for (file, block), segments in groupby(_blocks(batches), key=lambda s: s[:2]):
         rows, total = [], 0
         for _, _, idx, at, text in segments:
-            total, start, skip = at + len(text) + len(BREAK), at - len(MAGIC), 0
-            row = [file, block, idx, start, None, None, 0, 0, False, None, None, None, 0, None, 0]
+            total, start, skip = at + len(text) + len(BREAK), at - len(STEM), 0
+            row = [file, block, idx, start, None, None, 0, 0, False, None, None, None, 0, None, 0, 0]
             if block == 0 and idx == 0:  # the file's first record holds its own magic
-                row[3], skip = 0, len(MAGIC)
+                row[3], skip = 0, len(STEM)
             head, found, body = text[skip:].partition(b"\r\n\r\n")
-            if found and (not skip or text.startswith(MAGIC.encode())):
+            if found and (not skip or text.startswith(STEM.encode())) and head.partition(b"\r\n")[0].isdigit():
                 h = _parse(head)
                 if h.get("content-length", "").isdigit():
                     n = int(h["content-length"])
@@ -157,8 +161,8 @@ def _joined(spark: SparkSession, lines: DataFrame, cands: DataFrame, reached: Da
     def put(key, pdf):
         import pandas as pd
 
-        text = b"\r\n\r\nWARC/1.0\r\n".join(pdf.sort_values("abs")["text"])
-        text = text[len(MAGIC):] if key[1] == 0 and text.startswith(MAGIC.encode()) else text
+        text = BREAK.encode().join(pdf.sort_values("abs")["text"])
+        text = text[len(STEM):] if key[1] == 0 and text.startswith(STEM.encode()) else text
         head, _, body = text.partition(b"\r\n\r\n")
         h = _parse(head)
         n = int(h["content-length"])
@@ -169,23 +173,40 @@ def _joined(spark: SparkSession, lines: DataFrame, cands: DataFrame, reached: Da
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """The archives in a folder -> a row per record reached: file, at, type, id, refers, bytes, digest (of the payload).
+    """The archives in a folder -> a row per record reached: file, at, type, id, refers, bytes, digest (of the payload), broken.
 
-    Files may have any size and blocks any border. A file's chain ends at the first record that is cut short or has no
-    length. An empty folder gives no rows.
+    Files may have any size, blocks any border, records any version 1.x. A record that is `cut short` by the end of its file, has
+    `no length` or a `wrong length` (it ends where neither a record nor the file does) says so in `broken` and has neither bytes
+    nor digest; the next candidate with a sound link is taken for the next record. A file that does not begin with a record is told as one with
+    no length. An empty folder gives no rows.
     """
+    scratch = Scratch(spark)
     lines = spark.read.option("lineSep", BREAK).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value")
     )
-    raw = cut(lines.mapInArrow(_scan, SCAN), "candidates")
+    raw = scratch.cut(lines.mapInArrow(_scan, SCAN), "candidates")
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = raw.where("idx = 0").select("file", "block", "consumed").withColumn("base", F.coalesce(F.sum("consumed").over(before), F.lit(0)))
-    cands = raw.join(blocks.drop("consumed"), ["file", "block"]).withColumn("abs", F.col("base") + F.col("start")).withColumn("to", F.col("base") + F.col("next"))
-    cands = cands.withColumn("out", F.col("base") + F.col("exit"))
+    blocks = blocks.withColumn("end", F.sum("consumed").over(Window.partitionBy("file")) - len(BREAK))
+    cands = raw.drop("consumed").join(blocks.drop("consumed"), ["file", "block"]).withColumn("abs", F.col("base") + F.col("start")).withColumn("to", F.col("base") + F.col("next"))
+    cands = cands.withColumn("out", F.col("base") + F.col("exit")).withColumn("root", F.col("base") + F.col("root"))
+    # where a block's chain leads, and whether that is a border: a candidate's start, or the end of the file, with or without its empty lines
+    starts = cands.select("file", F.col("abs").alias("out"), F.lit(True).alias("_start"))
+    ends = lambda c: F.coalesce(F.col(c).between(F.col("end"), F.col("end") + 4), F.lit(False))
+    led = cands.select("file", "abs", "out", "root", "to", "end").join(starts, ["file", "out"], "left")
+    led = scratch.cut(led.withColumn("sound", F.coalesce("_start", F.lit(False)) | ends("out")).drop("_start"), "exits")
+    jumps, lost = led.where("sound").select("file", "abs", "out"), led.where("not sound")
+    if not lost.isEmpty():
+        # a broken record is the root of its block's chain; the next candidate behind it whose own link counts goes on, or else
+        # the next that has a length at all, to be told as broken itself
+        ahead = Window.partitionBy("file").orderBy("abs").rowsBetween(1, Window.unboundedFollowing)
+        counts = (F.col("abs") != F.col("root")) | F.col("sound")
+        first = lambda x: F.first(F.when(x, F.col("abs")), ignorenulls=True).over(ahead)
+        on = led.withColumn("on", F.coalesce(first(counts), first(F.col("to").isNotNull()))).where("abs = root and not sound").select("file", "root", "on")
+        jumps = jumps.unionByName(lost.join(on, ["file", "root"]).where("on is not null").select("file", "abs", F.col("on").alias("out")))
     # pointer jumping: after k rounds `seen` holds the entries within 2^k - 1 jumps of a file's start, `jumps` leads 2^k on
-    sound = cands.where("next is not null")
-    jumps = cut(sound.select("file", "abs", "out").join(sound.select("file", F.col("abs").alias("out")), ["file", "out"], "left_semi"), "jumps")
-    seen, n, old = cut(sound.where("abs = 0").select("file", "abs"), "entries"), -1, []
+    jumps = cut(jumps, "jumps")
+    seen, n, old = scratch.cut(cands.where("abs = 0").select("file", "abs"), "entries"), -1, []
     while (now := seen.count()) > n:
         n = now
         ahead = seen.join(jumps, ["file", "abs"]).select("file", F.col("out").alias("abs"))
@@ -197,14 +218,21 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             drop_path(spark, x)
         old = [a, b]
     entries = cands.join(seen, ["file", "abs"], "left_semi").select("file", "block", F.col("tin").alias("entry"))
-    reached = cut(cands.where("next is not null").join(entries, ["file", "block"]).where("tin <= entry and entry < tout").select(
-        "file", F.col("abs").alias("at"), "to", "whole", "type", "id", "refers", "bytes", "digest"
-    ), "reached")
-    if not reached.where("not whole").limit(1).count():
-        return reached.drop("whole", "to")
-    more = cut(_joined(spark, lines, cands, reached), "joined")
-    out = reached.join(more, ["file", "at"], "left").where("whole or held")
-    return out.select("file", "at", "type", "id", "refers", F.when(F.col("whole"), F.col("bytes")).otherwise(F.col("bytes2")).alias("bytes"), F.when(F.col("whole"), F.col("digest")).otherwise(F.col("digest2")).alias("digest"))
+    found = cands.join(entries, ["file", "block"]).where("tin <= entry and entry < tout")
+    # within a block links end at candidates; only a root can be broken
+    sound = led.where("abs = root").select("file", "abs", "sound")
+    found = found.join(sound, ["file", "abs"], "left").withColumn("sound", F.coalesce("sound", F.lit(True)))
+    broken = F.when(F.col("next").isNull(), "no length").when(~F.col("sound") & (F.col("to") > F.col("end")), "cut short").when(~F.col("sound"), "wrong length")
+    reached = scratch.cut(found.select("file", F.col("abs").alias("at"), "to", "whole", "type", "id", "refers", "bytes", "digest", broken.alias("broken")), "reached")
+    fine = lambda c: F.when(F.col("broken").isNull(), F.col(c)).alias(c)
+    columns = ["file", "at", "type", "id", "refers"]
+    if reached.where("not whole and broken is null").isEmpty():
+        return reached.select(*columns, fine("bytes"), fine("digest"), "broken")
+    more = scratch.cut(_joined(spark, lines, cands, reached.where("broken is null")), "joined")
+    out = reached.join(more, ["file", "at"], "left")
+    out = out.withColumn("broken", F.when(F.col("broken").isNull() & ~F.col("whole") & ~F.coalesce("held", F.lit(False)), "cut short").otherwise(F.col("broken")))
+    out = out.withColumn("bytes", F.when(F.col("whole"), F.col("bytes")).otherwise(F.col("bytes2"))).withColumn("digest", F.when(F.col("whole"), F.col("digest")).otherwise(F.col("digest2")))
+    return out.select(*columns, fine("bytes"), fine("digest"), "broken")
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -213,7 +241,7 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     A revisit stands for the response with the page_id it refers to and the payload digest it names.
     """
     number = lambda c: F.expr(f"try_cast(regexp_extract({c}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
-    r = read_warc(spark, path).select(
+    r = read_warc(spark, path).where("broken is null").select(
         number("id").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), number("refers").alias("refers_to")
     )
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
