@@ -163,7 +163,7 @@ def links(fps: DataFrame, most: int = 3) -> DataFrame:
 def alike_links(docs: DataFrame, own: DataFrame, first: DataFrame, width: int, alike: tuple[int, int]) -> DataFrame:
     """(a, b): `first`, links of fingerprints, and more, so that all texts with Jaccard similarity of shingles of at least
     alike[0] / alike[1] are connected. Equal sets are one row. Each set meets the least one of each of its keys; then, where
-    a key still holds sets of several components, all of those meet."""
+    a key still holds sets of several components, those meet in blocks."""
     num, den = alike
     sets = own.where(F.size("keys") > 0).groupBy("k").agg(F.min("h").alias("h"), F.min("fp").alias("fp"), F.collect_set("fp").alias("fps"), F.first("keys").alias("keys"))
     sets = cut(sets, "shingle_sets")
@@ -185,10 +185,74 @@ def alike_links(docs: DataFrame, own: DataFrame, first: DataFrame, width: int, a
     labels = components(links_)
     now = rows.join(labels, rows.fp == labels.node, "left").select("key", "k", "fp", F.coalesce("label", "fp").alias("label"))
     mixed = now.groupBy("key").agg((F.min("label") < F.max("label")).alias("mixed")).where("mixed").select("key")
-    now = cut(now.join(mixed, "key"), "mixed_keys")
-    x = now.select("key", F.col("k").alias("x"), F.col("fp").alias("a"), F.col("label").alias("la"))
-    y = now.select("key", F.col("k").alias("y"), F.col("fp").alias("b"), F.col("label").alias("lb"))
-    return links_.union(verified(x.join(y, "key").where("la < lb").select("x", "y", "a", "b")))
+    now = cut(now.join(mixed, "key").where("fp is not null"), "mixed_keys")
+    return links_.union(meet(now, whole, alike))
+
+
+#: Sets and elements of a block of a key's sets.
+SETS, ELEMENTS = 512, 1 << 18
+
+
+def meet(rows: DataFrame, whole: DataFrame, alike: tuple[int, int]) -> DataFrame:
+    """(key, k, fp, label) and the sets (k, v) -> (a, b): links that connect, within each key, all sets of different labels
+    that are as alike as asked for.
+
+    A key's sets are dealt to blocks of bounded size; a task holds two blocks and counts common elements as matrix products, so a
+    set travels once for every block of its key, not once for every other set, and a task gives no more links than it has labels.
+    """
+    d = rows.join(whole, "k")
+    sizes = d.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / SETS), F.ceil(F.sum(F.size("v")) / ELEMENTS)).cast("int").alias("blocks"))
+    d = d.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("k", "key"), F.col("blocks")).cast("int"))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    d = d.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), (F.col("block") > F.col("other")).alias("second"), "k", "fp", "label", "v")
+    return d.groupBy("key", "one", "two").applyInPandas(_met(*alike), "a long, b long")
+
+
+def common(x: list, y: list):
+    """How many elements each set of x has in common with each of y."""
+    import numpy as np
+
+    sizes = [len(v) for v in (*x, *y)]
+    place = np.unique(np.concatenate([*x, *y]), return_inverse=True)[1]
+    row, wide = np.repeat(np.arange(len(sizes)), sizes), 4096
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    out = np.zeros((len(x), len(y)), np.int64)
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, wide):
+        part = slice(*np.searchsorted(place, [at, at + wide]))
+        m = np.zeros((len(sizes), wide), np.float32)
+        m[row[part], place[part] - at] = 1
+        out += (m[: len(x)] @ m[len(x) :].T).astype(np.int64)
+    return out
+
+
+def _met(num: int, den: int):
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+
+        same = pdf["one"].iat[0] == pdf["two"].iat[0]
+        x, y = (pdf, pdf) if same else (pdf[~pdf["second"]], pdf[pdf["second"]])
+        found = []
+        if len(x) and len(y) and pdf["label"].nunique() > 1:
+            n, m = (np.array([len(v) for v in d["v"]], np.int64) for d in (x, y))
+            both = common(list(x["v"]), list(y["v"]))
+            ok = (both * den >= (n[:, None] + m[None, :] - both) * num) & (x["label"].to_numpy()[:, None] != y["label"].to_numpy()[None, :])
+            group = {label: label for label in pdf["label"]}
+
+            def root(label):
+                while group[label] != label:
+                    group[label] = label = group[group[label]]
+                return label
+
+            for i, j in zip(*np.nonzero(ok)):  # of the links between two groups of labels one is enough
+                p, q = root(x["label"].iat[i]), root(y["label"].iat[j])
+                if p != q:
+                    group[max(p, q)] = min(p, q)
+                    found.append((x["fp"].iat[i], y["fp"].iat[j]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, alike: tuple[int, int] | None = None) -> DataFrame:

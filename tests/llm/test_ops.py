@@ -158,7 +158,9 @@ def shingles(text, width=5):
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set()
 
 
-def test_simhash_alike(spark):
+@pytest.mark.parametrize("block", [4, 512])
+def test_simhash_alike(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "SETS", block)
     r = np.random.RandomState(4)
     vocab = [f"w{i}" for i in range(3000)]
     rows = []
@@ -189,6 +191,12 @@ def test_simhash_alike(spark):
     assert simhash.near_duplicates(docs(spark, []), 5, alike=(8, 10)).count() == 0
 
 
+def test_common_elements():
+    r = np.random.RandomState(1)
+    x, y = ([np.unique(r.randint(0, 9000, k)) for k in sizes] for sizes in ((5, 800, 3000), (1, 700, 2500, 4000)))
+    assert simhash.common(x, y).tolist() == [[len(set(a) & set(b)) for b in y] for a in x]
+
+
 # 4 ------------------------------------------------------------------------------------------------------------------
 def pages_brute(rows, least=100):
     first = {}
