@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
-import json
-from pathlib import Path
+from pitpanel.config import read_settings
 
 # Fixed values.
-POSITIVE = (
-    "naik menguat melonjak melesat meroket tumbuh pertumbuhan untung laba cuan surplus rekor positif optimis optimistis membaik "
-    "pulih pemulihan ekspansi dividen apresiasi terdongkrak berkembang prospektif stabil kokoh solid bullish akumulasi penguatan "
-    "kenaikan peluang insentif efisien terkendali gain gains rally surge soar soars jump jumps rise rises climb climbs record "
-    "profit profits growth upbeat beat beats strong strength recovery recovers rebound upgrade upgraded outperform buy expansion "
-    "improve improves improved positive optimistic boom boost boosts higher"
-).split()
-NEGATIVE = (
-    "turun melemah anjlok ambles ambruk merosot tergelincir rugi kerugian defisit negatif pesimis pesimistis memburuk lesu loyo "
-    "krisis resesi gagal pailit bangkrut utang koreksi tekanan tertekan suspensi delisting penurunan pelemahan kekhawatiran "
-    "waspada ancaman bearish jual phk tumbang fall falls drop drops plunge plunges slump slumps sink sinks tumble tumbles decline "
-    "declines loss losses weak weakness miss misses fear fears risk risks recession crisis default bankrupt bankruptcy downgrade "
-    "downgraded underperform sell selloff crash warning warns lower concern concerns negative pessimistic"
-).split() + ["inflasi tinggi", "gagal bayar"]
-NEGATIONS = "tidak bukan tak belum tanpa not no never without".split()
+POSITIVE = [
+    "naik", "menguat", "melonjak", "melesat", "meroket", "tumbuh", "pertumbuhan", "untung", "laba", "cuan", "surplus", "rekor",
+    "positif", "optimis", "optimistis", "membaik", "pulih", "pemulihan", "ekspansi", "dividen", "apresiasi", "terdongkrak",
+    "berkembang", "prospektif", "stabil", "kokoh", "solid", "bullish", "akumulasi", "penguatan", "kenaikan", "peluang",
+    "insentif", "efisien", "terkendali", "gain", "gains", "rally", "surge", "soar", "soars", "jump", "jumps", "rise", "rises",
+    "climb", "climbs", "record", "profit", "profits", "growth", "upbeat", "beat", "beats", "strong", "strength", "recovery",
+    "recovers", "rebound", "upgrade", "upgraded", "outperform", "buy", "expansion", "improve", "improves", "improved", "positive",
+    "optimistic", "boom", "boost", "boosts", "higher",
+]
+NEGATIVE = [
+    "turun", "melemah", "anjlok", "ambles", "ambruk", "merosot", "tergelincir", "rugi", "kerugian", "defisit", "negatif",
+    "pesimis", "pesimistis", "memburuk", "lesu", "loyo", "krisis", "resesi", "gagal", "pailit", "bangkrut", "utang", "koreksi",
+    "tekanan", "tertekan", "suspensi", "delisting", "penurunan", "pelemahan", "kekhawatiran", "waspada", "ancaman", "bearish",
+    "jual", "phk", "tumbang", "fall", "falls", "drop", "drops", "plunge", "plunges", "slump", "slumps", "sink", "sinks", "tumble",
+    "tumbles", "decline", "declines", "loss", "losses", "weak", "weakness", "miss", "misses", "fear", "fears", "risk", "risks",
+    "recession", "crisis", "default", "bankrupt", "bankruptcy", "downgrade", "downgraded", "underperform", "sell", "selloff",
+    "crash", "warning", "warns", "lower", "concern", "concerns", "negative", "pessimistic", "inflasi tinggi", "gagal bayar",
+]
+NEGATIONS = [
+    "tidak", "bukan", "tak", "belum", "tanpa", "not", "no", "never", "without",
+]
 SECTOR_KEYWORDS = {
     "Energy": ["batu bara", "batubara", "coal", "minyak", "oil", "migas", "gas", "energi", "energy", "opec"],
     "Basic Materials": ["nikel", "nickel", "emas", "gold", "tembaga", "copper", "timah", "tin", "smelter", "tambang", "mining", "semen", "cement", "pulp", "kertas", "petrokimia"],
@@ -42,6 +47,7 @@ def words(items) -> list[str]:
 
 
 def load_lexicon(path: str | None = None) -> dict:
-    given = json.loads(Path(path).read_text()) if path else {"positive": POSITIVE, "negative": NEGATIVE, "negations": NEGATIONS, "sector_keywords": SECTOR_KEYWORDS}
+    """The lists above, or those of a JSON or YAML file."""
+    given = read_settings(path) if path else {"positive": POSITIVE, "negative": NEGATIVE, "negations": NEGATIONS, "sector_keywords": SECTOR_KEYWORDS}
     out = {k: words(given.get(k)) for k in ("positive", "negative", "negations")}
     return out | {"sector_keywords": {s: sorted(set(words(w))) for s, w in (given.get("sector_keywords") or {}).items()}}

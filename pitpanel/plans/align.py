@@ -9,6 +9,7 @@ from pitpanel.config import Fundamental, Macro
 from pitpanel.operators.asof import asof_backward
 
 c = F.col
+# Columns of the coverage report's groups.
 COVERAGE = {
     "technical": ("ret_5d", "ret_20d", "ret_60d", "ret_250d", "macd_hist_pct", "rsi_14", "mfi_14", "obv_slope_20d", "atr_ratio_14", "realized_vol_20d", "bollinger_pctb"),
     "fundamental": ("gross_margin", "operating_margin", "net_margin", "current_ratio", "debt_to_equity", "roa", "roe", "revenue_yoy", "net_income_yoy", "eps_yoy", "pe_ttm", "pbv"),

@@ -11,6 +11,7 @@ from pitpanel.operators.asof import calendar
 from pitpanel.operators.dedupe import article_key, keep_first
 from pitpanel.operators.scan import scan
 from pitpanel.operators.windows import Series
+from pitpanel.sources import folders
 
 c = F.col
 
@@ -69,6 +70,24 @@ def all_sectors(keyword_hits: DataFrame, ticker_hits: DataFrame, ents: DataFrame
     return keyword_hits.select(key, "sector").unionByName(more).distinct()
 
 
+def facts(rows: DataFrame, ents: DataFrame, groups: dict, key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scored articles -> (key, date, score, source_type), (key, ticker), (key, sector), written to the shared folder.
+
+    What all three levels need of the articles is worked out once: texts are read for scores and keywords, and again for
+    names, and no more after that.
+    """
+    spark, work = rows.sparkSession, folders.shared_folder(rows.sparkSession, "articles")
+
+    def kept(d: DataFrame, name: str) -> DataFrame:
+        d.write.parquet(f"{work}/{name}")
+        return spark.read.schema(d.schema).parquet(f"{work}/{name}")
+
+    own = kept(rows.select(key, "date", "score", "source_type", keyword_groups(c("text"), groups).alias("sectors")), "scores")
+    hits = kept(match_entities(rows.select(key, "text"), ents, key), "hits")
+    sectors = all_sectors(own.select(key, F.explode("sectors").alias("sector")), hits, ents, key)
+    return own.drop("sectors"), hits, sectors
+
+
 def stock_daily(hits: DataFrame) -> DataFrame:
     """(ticker, date, score, source_type) -> score_sum, sent_score, n (scored), news_count (all), sent_source."""
     source = F.when(F.count_distinct("source_type") > 1, "mixed").when(F.min("source_type") == "backfill", "lexicon_backfill").otherwise("lexicon_live")

@@ -170,11 +170,10 @@ def _sentiment(s: Store) -> None:
     rows = sentiment.score_articles(sentiment.union_articles(live, past), lex)
     rows = rows.withColumn("doc_id", F.xxhash64("source", "link", "title", "published", "source_type"))
     ents = sentiment.entities(s.raw("stock_metadata"), s.cfg.sentiment)
-    hits = sentiment.match_entities(rows.select("doc_id", "text"), ents)
-    own = rows.select("doc_id", "date", "score", "source_type")
-    sectors = sentiment.all_sectors(sentiment.match_sectors(rows, lex["sector_keywords"]), hits, ents).join(own, "doc_id")
+    own, hits, sectors = sentiment.facts(rows, ents, lex["sector_keywords"])
+    sectors = sectors.join(own, "doc_id")
     s.put("sentiment", sentiment.stock_sentiment(sentiment.stock_daily(hits.join(own, "doc_id")), s.cfg.sentiment), ["ticker", "date"])
-    s.put("sentiment_market", sentiment.market_sentiment(rows, s.cfg.sentiment), ["date"])
+    s.put("sentiment_market", sentiment.market_sentiment(own, s.cfg.sentiment), ["date"])
     s.put("sentiment_sector", sentiment.sector_sentiment(sectors, s.cfg.sentiment), ["sector", "date"])
 
 

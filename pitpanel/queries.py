@@ -278,9 +278,9 @@ def sentiment_decay(spark, sf_dir):
 
 
 def levels(spark, sf_dir) -> DataFrame:
-    s = scored(spark, sf_dir)
-    sectors = sector_hits(spark, sf_dir).join(s.select("doc_id", "date", "score"), "doc_id")
-    return sentiment.sentiment_union(sentiment.stock_sentiment(stock_rows(spark, sf_dir)), sentiment.market_sentiment(s), sentiment.sector_sentiment(sectors))
+    own, hits, sectors = sentiment.facts(scored(spark, sf_dir), sentiment.entities(companies(spark, sf_dir)), SECTORS)
+    by_sector = sectors.join(own.select("doc_id", "date", "score"), "doc_id")
+    return sentiment.sentiment_union(sentiment.stock_sentiment(sentiment.stock_daily(hits.join(own, "doc_id"))), sentiment.market_sentiment(own), sentiment.sector_sentiment(by_sector))
 
 
 @query
