@@ -160,7 +160,7 @@ def macro_release_features(spark, sf_dir):
 
 @query
 def macro_pct_z_stale(spark, sf_dir):
-    d = macro.series_features(monthly_grid(spark, sf_dir), (), {"1-URGENT": 20, "5-LOW": 40})
+    d = macro.series_features(monthly_grid(spark, sf_dir), None, {"1-URGENT": 20, "5-LOW": 40})
     return d.select("series", "date", *r6("pct_5d", "pct_20d", "z252"), "stale")
 
 

@@ -152,7 +152,7 @@ def test_day_of_unscored_articles(spark):
 
 def test_stale_is_null_before_first(spark):
     obs = spark.createDataFrame([("a", D, 1.0), ("b", day(3), 2.0), ("b", day(9), 3.0)], "series string, effective_date date, value double")
-    d = macro.series_features(macro.daily_grid(obs), (), {"a": 3, "b": 1})
+    d = macro.series_features(macro.daily_grid(obs), None, {"a": 3, "b": 1})
     got = {(r.series, (r.date - D).days): r.stale for r in d.collect()}
     assert got["b", 2] is None and got["b", 4] == 0 and got["b", 5] == 1 and got["a", 3] == 0 and got["a", 4] == 1
 
