@@ -720,4 +720,4 @@ def test_pipeline(spark, sf):
 
 
 def test_names():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == list(range(1, 14))
