@@ -96,6 +96,31 @@ def test_walk_of_two_trees(spread, cosine):
         assert (got == (np.triu(want, 1) if same else want)).all()
 
 
+def test_wide_nodes_are_not_walked_pair_by_pair(monkeypatch):
+    """A node wider than the threshold, which parts little, costs rows of a matrix product and no lists of pairs."""
+    r = np.random.RandomState(4)
+    v = r.randn(900, 64)
+    v[1:120:2] = 0.8 * v[0:120:2] + 0.6 * v[1:120:2]
+    v[200:204] = v[199] + 0.05 * r.randn(4, 64)
+    v = covertree._unit(v)
+    order, levels = covertree.build(v)
+    place = np.empty(len(v), int)
+    place[order] = np.arange(len(v))
+    v, levels = v[order], [(f, e, radius, place[c]) for f, e, radius, c in levels]
+    assert sum(((e - f > 1) & (radius > 0.5)).sum() for f, e, radius, _ in levels[1:2]) > 20
+    one_by_one, plain = [], np.einsum
+    monkeypatch.setattr(np, "einsum", lambda how, a, b: (one_by_one.append(len(a)), plain(how, a, b))[1])
+    for same in (False, True):
+        one_by_one.clear()
+        got = np.zeros((len(v), len(v)), int)
+        for ranges in covertree.dual(v, v, levels, levels, 0.9, same):
+            for f, e, g, h in zip(*ranges):
+                got[f:e, g:h] += np.triu(np.ones((e - f, h - g), int), 1) if same and f == g else 1
+        want = v @ v.T >= 0.9
+        assert (got == (np.triu(want, 1) if same else want)).all()
+        assert same or sum(one_by_one) < 20 * len(v)
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 def test_chat(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\[INST]b", "\\\\<s>", "<\\s>", "[SEP][TEXT]", None, "", "ü\n<s", "[TE\\XT]", "\\"]
