@@ -30,7 +30,7 @@ FIRST, BACK = 4, 4
 #: Runs of words in which all earlier sets are met, one after the other, so that only one run's postings are on disk at once.
 RUNS = 4
 #: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
-SIZES = (48, 144)
+SIZES = (96, 192)
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -61,7 +61,8 @@ def rarity(docs: DataFrame) -> Column:
 
 
 def hashes(line: Column) -> Column:
-    return F.sort_array(F.array_distinct(F.transform(words(line), lambda w: F.xxhash64(w))))
+    """Hashes of a line's different words, in any order."""
+    return F.array_except(F.transform(units(line), lambda w: F.xxhash64(w)), F.array(F.xxhash64(F.lit(""))))
 
 
 def by_rarity(hashed: Column, ranks: Column) -> Column:
@@ -75,24 +76,20 @@ def split_lines(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", F.posexplode("parts").alias("pos", "line")).where(F.col("line").rlike(WORD))
 
 
-def sketch(hashed: str) -> list[Column]:
-    """Parities of the words by the last bits of their hashes: 64 of them; in larger sets as many in each half or quarter of
-    the hashes, which are sorted. Those unused are 0."""
-    n, none, (one, two) = F.size(hashed), F.lit(0).cast("long"), SIZES
+def sketch(name: str) -> list[Column]:
+    """Parities of the words of a set by the last 6 bits of their hashes: 64 of them; in larger sets as many of each half or
+    quarter of the words, by the bits before those. Those unused are 0."""
+    n, none, (one, two) = F.size(name), F.lit(0).cast("long"), SIZES
 
-    def below(bound: int) -> Column:
-        return F.array_position(F.sort_array(F.concat(hashed, F.array(F.lit(bound).cast("long")))), F.lit(bound).cast("long")).cast("int") - 1
-
-    def of(first: Column, end: Column) -> Column:
-        part = F.slice(hashed, first + 1, end - first)
+    def of(mask: int = 0, bits: int = 0) -> Column:
+        part = F.filter(name, lambda x: x.bitwiseAND(F.lit(mask).cast("long")) == bits) if mask else F.col(name)
         return F.aggregate(part, none, lambda a, x: a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
 
-    zero, low, half, high = F.lit(0), below(-(2**62)), below(0), below(2**62)
     return [
-        F.when(n <= one, of(zero, n)).when(n <= two, of(zero, half)).otherwise(of(zero, low)).alias("s0"),
-        F.when(n <= one, none).when(n <= two, of(half, n)).otherwise(of(low, half)).alias("s1"),
-        F.when(n <= two, none).otherwise(of(half, high)).alias("s2"),
-        F.when(n <= two, none).otherwise(of(high, n)).alias("s3"),
+        F.when(n <= one, of()).when(n <= two, of(128, 0)).otherwise(of(192, 0)).alias("s0"),
+        F.when(n <= one, none).when(n <= two, of(128, 128)).otherwise(of(192, 64)).alias("s1"),
+        F.when(n <= two, none).otherwise(of(192, 128)).alias("s2"),
+        F.when(n <= two, none).otherwise(of(192, 192)).alias("s3"),
     ]
 
 
@@ -101,9 +98,9 @@ def line_sets(lines: DataFrame, ranks: Column, num: int, den: int) -> DataFrame:
     n = F.size("set")
     prefix = F.slice("set", F.lit(1), n - F.expr(f"(size(set) * {num} + {den - 1}) div {den}").cast("int") + 1)
     at = F.struct("doc_id", "h", "pos", F.xxhash64("line").alias("e")).alias("at")
-    rows = lines.select(at, hashes(F.col("line")).alias("hashed")).select("at", "hashed", by_rarity(F.col("hashed"), ranks).alias("set"))
+    rows = lines.select(at, by_rarity(hashes(F.col("line")), ranks).alias("set"))
     rows = rows.select(
-        F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), "at", n.alias("n"), *sketch("hashed"),
+        F.xxhash64("set").alias("k1"), F.xxhash64(F.lit(1), "set").alias("k2"), "at", n.alias("n"), *sketch("set"),
         F.transform(prefix, lambda x: F.hash(x)).alias("prefix"),
     )
     rows = rows.groupBy("k1", "k2").agg(F.min("at").alias("at"), *(F.first(c).alias(c) for c in ("n", *SKETCH, "prefix")))
@@ -160,8 +157,9 @@ def other_pairs(scratch: Scratch, sets: DataFrame, later: DataFrame, num: int, d
     found = []
     for run in range(RUNS):
         rows = every.where(F.pmod("key", F.lit(RUNS)) == run)
-        # a condition on one side alone would be pushed below its exchange, which the other side then could not reuse
-        met = rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where("a.late < 1 + least(b.n, 0) and b.id < a.id")
+        # a condition on one side alone would be pushed below its exchange, and a column that one side lacks would be pruned
+        # there: the other side then could not reuse it
+        met = rows.alias("a").join(rows.alias("b"), F.col("a.key") == F.col("b.key")).where("a.late + (b.late & 0) < 1 and b.id < a.id")
         met = met.where(may_match("a", "b", num, den)).select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
         found.append(scratch.cut(met, "run_pairs"))
     return reduce(DataFrame.union, found).distinct()

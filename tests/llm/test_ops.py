@@ -121,6 +121,29 @@ def test_wide_nodes_are_not_walked_pair_by_pair(monkeypatch):
         assert same or sum(one_by_one) < 20 * len(v)
 
 
+def test_both_sides_of_the_run_of_words_read_one_exchange(spark, monkeypatch):
+    plans = []
+
+    class Seen(lines.Scratch):
+        def cut(self, df, name):
+            if name == "run_pairs":
+                plans.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().cut(df, name)
+
+    monkeypatch.setattr(lines, "Scratch", Seen)
+    texts = ["one two three four five six seven eight nine ten", "one two three four five six seven eight nine eleven", "a b c"]
+    adaptive, small = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = lines.dedup_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        assert sorted((r.doc_id, r.n_removed) for r in got.collect()) == [(0, 0), (1, 1), (2, 0)]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    assert len(plans) == lines.RUNS and all("ReusedExchange" in p for p in plans)
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 def test_chat(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\[INST]b", "\\\\<s>", "<\\s>", "[SEP][TEXT]", None, "", "ü\n<s", "[TE\\XT]", "\\"]
