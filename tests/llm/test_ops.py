@@ -121,6 +121,19 @@ def test_wide_nodes_are_not_walked_pair_by_pair(monkeypatch):
         assert same or sum(one_by_one) < 20 * len(v)
 
 
+def test_steps_keep_short_plan_texts(spark):
+    """The driver keeps the plans of its last queries as texts: those of intermediate tables are short, whatever they hold."""
+    from pitpanel.llm.shared import WRITING, cut
+
+    before = {key: spark.conf.get(key, None) for key in WRITING}
+    assert cut(spark.range(3).select("id", F.lit("x" * 100_000).alias("s")).where("id > 0"), "long_plan").count() == 2
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    kept = spark._jsparkSession.sharedState().statusStore().executionsList()
+    texts = [kept.apply(k).physicalPlanDescription() for k in range(max(0, kept.size() - 5), kept.size())]
+    assert (mine := [t for t in texts if "long_plan" in t or "xxxx" in t]) and max(map(len, mine)) < 10_000
+    assert before == {key: spark.conf.get(key, None) for key in WRITING}
+
+
 def test_both_sides_of_the_run_of_words_read_one_exchange(spark, monkeypatch):
     plans = []
 
