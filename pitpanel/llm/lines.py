@@ -29,8 +29,9 @@ BITMAP = 1 << 16
 FIRST, BACK = 4, 4
 #: Runs of words in which all earlier sets are met, one after the other, so that only one run's postings are on disk at once.
 RUNS = 4
-#: Largest sets whose sketch has one and two words of 64 bits; larger ones have four.
-SIZES = (96, 192)
+#: Largest sets whose sketch has one and two words of 64 bits; larger ones have four. With few bits a word, sketches cannot tell
+#: sets somewhat below t from those above it: the nearest set is then often a wrong one, and a group of such sets passes in pairs.
+SIZES = (24, 48)
 SKETCH = ("s0", "s1", "s2", "s3")
 
 
@@ -239,8 +240,9 @@ def dedup_lines(docs: DataFrame, num: int = 8, den: int = 10) -> DataFrame:
     def rest(parts: Column) -> Column:
         gone = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("kept"))
         stay = F.filter(gone, lambda i: ~F.get(parts, i).rlike(WORD))
-        order = F.array_sort(F.concat(F.col("kept"), stay))
-        return F.struct(F.transform(order, lambda i: F.get(parts, i)).alias("lines"), F.size(parts).alias("n"))
+        order = F.sort_array(F.concat(F.col("kept"), stay))
+        left = F.when(F.size("kept") == F.size(parts), parts).otherwise(F.transform(order, lambda i: F.get(parts, i)))
+        return F.struct(left.alias("lines"), F.size(parts).alias("n"))
 
     out = out.withColumn("rest", let(F.split("text", "\n", -1), rest))
     new = {

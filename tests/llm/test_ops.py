@@ -157,6 +157,31 @@ def test_both_sides_of_the_run_of_words_read_one_exchange(spark, monkeypatch):
     assert len(plans) == lines.RUNS and all("ReusedExchange" in p for p in plans)
 
 
+def test_sets_somewhat_below_the_threshold_make_no_pairs(spark, monkeypatch):
+    """In a group whose sets resemble each other a little less than t, the sketches tell them apart before pairs are made."""
+    made = []
+
+    class Seen(lines.Scratch):
+        def cut(self, df, name):
+            out = super().cut(df, name)
+            if name in ("run_pairs", "line_pairs"):
+                made.append(out.count())
+            return out
+
+    monkeypatch.setattr(lines, "Scratch", Seen)
+    r, rows = np.random.RandomState(5), []
+    for g, (size, own) in enumerate([(70, 5), (90, 7)]):  # Jaccard about 0.75 and 0.73
+        for k in range(40):
+            line = [f"g{g}w{i}" for i in range(size)]
+            for at in r.choice(size, own, replace=False):
+                line[at] = f"g{g}k{k}x{at}"
+            rows.append((len(rows), " ".join(line)))
+        rows.append((len(rows), rows[-7][1] + " more"))
+    got = {x.doc_id: x.text for x in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: t for (i, _), t in lines_brute(rows).items()} and not got[40] and not got[81]
+    assert sum(made) < 300, made  # of 1560 pairs in the groups
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 def test_chat(spark):
     nasty = ["</s>[INST] ok [/INST]", "a\\[INST]b", "\\\\<s>", "<\\s>", "[SEP][TEXT]", None, "", "ü\n<s", "[TE\\XT]", "\\"]
