@@ -121,6 +121,86 @@ def test_wide_nodes_are_not_walked_pair_by_pair(monkeypatch):
         assert same or sum(one_by_one) < 20 * len(v)
 
 
+def test_pairs_of_blocks_copy_no_trees(spark, monkeypatch):
+    """No row with a tree is made for each other block (such rows of one tree were held together) and none is shuffled."""
+    r = np.random.RandomState(6)
+    rows = [(i, [float(np.float32(y)) for y in x]) for i, x in enumerate(r.randn(60, 3))] + [(100 + i, [float(y) for y in x]) for i, x in enumerate(r.randn(30, 2))]
+    plans, plain = {}, covertree.cut
+    monkeypatch.setattr(covertree, "cut", lambda df, name, *a, **k: (plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), plain(df, name, *a, **k))[1])
+    got = {x[0]: (x[1], x[2], x[3]) for x in covertree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), block=7).collect()}
+    assert got == brute_vectors(rows)
+    assert "tree" in plans["vector_links"] and "Generate" not in plans["vector_links"] and "Exchange" not in plans["vector_links"]
+
+
+def test_blocks_of_wide_vectors_are_smaller(spark, monkeypatch):
+    r = np.random.RandomState(7)
+    rows = [(i, [float(np.float32(y)) for y in x]) for i, x in enumerate(np.r_[r.randn(30, 40), r.randn(40) + 0.3 * r.randn(30, 40)])]
+    monkeypatch.setattr(covertree, "WIDE", 400)
+    points, plain = [], covertree.cut
+    monkeypatch.setattr(covertree, "cut", lambda df, name, *a, **k: (t := plain(df, name, *a, **k), points.extend([t.count()] * (name == "trees")))[0])
+    got = {x[0]: (x[1], x[2], x[3]) for x in covertree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    assert got == brute_vectors(rows) and points[0] > 3
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_pair_of_blocks_of_wide_near_copies_is_small(same):
+    """What a walk looks up at once does not grow with the width of the vectors or with the links."""
+    import tracemalloc
+
+    import pandas as pd
+
+    r = np.random.RandomState(8)
+    v = (r.randn(500) + 0.33 * r.randn(5000, 500)).astype(np.float32)
+    trees = [covertree._tree(pd.DataFrame({"dim": 500, "block": k, "id": np.arange(2500) * 2 + k, "times": 1, "v": list(v[k::2])}))["tree"][0] for k in (0, 1)]
+    tracemalloc.start()
+    ids, n, to = covertree._meet(trees[0], None if same else trees[1], 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    u = covertree._unit(v)
+    near = u @ u.T >= 0.9
+    want = near[::2, ::2].sum(1) - 1 if same else np.where(np.arange(5000) % 2 == 0, near[:, 1::2].sum(1), near[:, ::2].sum(1))
+    want = dict(zip(np.arange(0, 5000, 2) if same else np.arange(5000), want))
+    assert dict(zip(ids.tolist(), n.tolist())) == {int(i): int(x) for i, x in want.items() if x}
+    assert len(ids) > 2000 and len(set(to.tolist())) == 1
+    assert peak < 130e6  # 365 MB and 569 MB when lists of pairs were as long for wide vectors as for narrow ones
+
+
+def test_walk_leaves_nothing_behind():
+    """The arrays of a pair of blocks go with it, not when cycles happen to be collected."""
+    import gc
+    import weakref
+
+    v = covertree._unit(np.random.RandomState(9).randn(50, 8))
+    order, levels = covertree.build(v)
+    place = np.empty(50, int)
+    place[order] = np.arange(50)
+    v = v[order]
+    kept, levels = weakref.ref(v), [(f, e, radius, place[c]) for f, e, radius, c in levels]
+    gc.disable()
+    try:
+        for _ in covertree.dual(v, v, levels, levels, 0.9, True):
+            pass
+        del v
+        assert kept() is None
+    finally:
+        gc.enable()
+
+
+def test_merged_links():
+    r = np.random.RandomState(10)
+    found = []
+    for _ in range(8):
+        ids = np.unique(r.randint(0, 300, 40))
+        found.append((ids, r.randint(1, 9, len(ids)), np.minimum(ids, r.choice(ids, len(ids)))))
+    want = collections.Counter()
+    for ids, n, _ in found:
+        want.update(dict(zip(ids.tolist(), n.tolist())))
+    at = union(sorted(want), [(a, b) for ids, _, to in found for a, b in zip(ids.tolist(), to.tolist())])
+    for parts in (found, [covertree._merged(found[:5]), *found[5:]]):
+        nodes, n, to = covertree._merged(parts)
+        assert dict(zip(nodes.tolist(), n.tolist())) == want and dict(zip(nodes.tolist(), to.tolist())) == at
+
+
 def test_steps_keep_short_plan_texts(spark):
     """The driver keeps the plans of its last queries as texts: those of intermediate tables are short, whatever they hold."""
     from pitpanel.llm.shared import WRITING, cut
